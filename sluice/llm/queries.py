@@ -7,22 +7,35 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, simhash
+from sluice.llm import bpe, decontaminate, pii, quality_classifier, simhash
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(documents(spark, sf_dir))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_classifier.scores(docs, quality_classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(documents(spark, sf_dir))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op2_decontaminate, op3_simhash_near_dedup, op6_quality_classifier, op7_pii, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
