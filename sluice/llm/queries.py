@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, decontaminate, pii, quality_classifier, simhash
+from sluice.llm import bpe, decontaminate, lm_scoring, pii, quality_classifier, quality_rules, simhash
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = lm_scoring.held_out(docs)
+    model = lm_scoring.learn(docs.filter(~out))
+    scored = lm_scoring.scored(docs, model)
+    return scored.withColumn("held_out", lm_scoring.held_out(scored))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -21,6 +29,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality_classifier.scores(docs, quality_classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -35,7 +47,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontaminate, op3_simhash_near_dedup, op6_quality_classifier, op7_pii, op10_bpe)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op6_quality_classifier, op7_pii, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
