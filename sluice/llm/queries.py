@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, decontaminate, lm_scoring, pii, quality_classifier, quality_rules, simhash
+from sluice.llm import bpe, chat_format, decontaminate, language_id, license_scan, lm_scoring, pii, quality_classifier, quality_rules, simhash
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language_id.predicted(docs, language_id.learn(docs.filter(~language_id.held_out(docs))))
+    return found.withColumn("held_out", language_id.held_out(found))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality_classifier.scores(docs, quality_classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -42,13 +48,27 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(documents(spark, sf_dir))
 
 
+#: A conversation of control strings, besides those of the table.
+CONTROLS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(chat_format.windows(told.union(spark.createDataFrame(CONTROLS, told.schema))))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(documents(spark, sf_dir), license_scan.known_texts(spark))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op6_quality_classifier, op7_pii, op10_bpe)}
+    every = (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op5_language_id, op6_quality_classifier, op7_pii, op8_chat_format, op9_license_scan, op10_bpe)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_license_scan": license_scan.oracle()}
