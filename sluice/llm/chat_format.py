@@ -33,6 +33,8 @@ OPEN, CLOSE = "<|turn|>", "<|end|>"
 CONTROL = (OPEN, CLOSE, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>")
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
 _ESCAPED = re.compile(r"\\(.)", re.S)
+#: In a role the first line end would close it, so it is written as a backslash and this letter.
+_ROLE_LINE = "n"
 _TURN = re.compile(re.escape(OPEN) + r"(.*?)\n(.*?)" + re.escape(CLOSE) + "\n", re.S)
 WINDOWS = "conv_id long, block long, place int, text string, repeats int, n_tokens int, loss array<struct<s:int,e:int>>"
 
@@ -48,8 +50,8 @@ def unescape(text: str) -> str:
 
 
 def rendered(turn: Turn) -> str:
-    # a role's line end is escaped like a control string, as the first line end closes the role
-    return f"{OPEN}{escape(turn[0]).replace(chr(10), '\\' + 'n')}\n{escape(turn[1])}{CLOSE}\n"
+    role = escape(turn[0]).replace("\n", "\\" + _ROLE_LINE)
+    return f"{OPEN}{role}\n{escape(turn[1])}{CLOSE}\n"
 
 
 def tokens(turn: Turn) -> int:
@@ -145,7 +147,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
 
 def read_back(text: str) -> list[Turn]:
     """The turns of a window."""
-    return [(unescape(r.replace("\\n", "\n")) if "\\n" in r else unescape(r), unescape(t)) for r, t in _TURN.findall(text)]
+    return [(_ESCAPED.sub(lambda m: "\n" if m[1] == _ROLE_LINE else m[1], r), unescape(t)) for r, t in _TURN.findall(text)]
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ SPELLINGS = (
     (r"copyright owner", "copyright holder"),
     (r"favour", "favor"),
     (r"https:", "http:"),
-    (r"version |\bv\. ?|\bv(?=[0-9])", ""),
+    (r"version |\bv\. ", ""),
     (r"&", " and "),
 )
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright|\(c\)|©)[^\n]*$"
