@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Rule = tuple[str, str, list[str]]
 
@@ -53,7 +54,7 @@ def first_matches(requests: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def first_matches_python(requests: DataFrame, rules: list[Rule]) -> DataFrame:
     """As first_matches(), by Python's regular expressions, for patterns that mean something else in Spark's."""
-    kind = requests.schema
+    kind = StructType(list(requests.schema.fields))
     for c in ("rule", "field", "value"):
         kind = kind.add(c, "string")
 

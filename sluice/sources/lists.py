@@ -90,7 +90,7 @@ def pools(text: DataFrame) -> DataFrame:
 def rules(text: DataFrame) -> DataFrame:
     """`pattern ** FIELD,FIELD`: pattern and fields."""
     parts = F.split("value", r" \*\* ", 2)
-    return text.filter(F.contains("value", F.lit(" ** "))).select(parts[0].alias("pattern"), F.transform(F.split(parts[1], ","), F.trim).alias("fields"))
+    return text.filter(F.contains("value", F.lit(" ** "))).select(parts[0].alias("pattern"), F.transform(F.split(parts[1], ","), lambda x: F.trim(x)).alias("fields"))
 
 
 def any_word(words: list[str]) -> str:
