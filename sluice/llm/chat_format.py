@@ -70,7 +70,7 @@ def plan(turns: list[Turn], before: list[Turn], system: Turn | None, budget: int
         first = start
         while first > max(0, start - HISTORY) and upto[start] - upto[first - 1] <= (budget - fixed) * HISTORY_SHARE:
             first -= 1
-        if first == 0 and system and before[:1] != [system] and line[0] == system:
+        if first == 0 < start and system and not before and line[0] == system:  # it stands in the head already
             first = 1
         fixed += upto[start] - upto[first]
         end = max(start + 1, bisect_right(upto, upto[start] + budget - fixed) - 1)
