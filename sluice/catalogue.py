@@ -17,7 +17,7 @@ from sluice.operators import aggregates, filters, lookups, projections
 from sluice.operators.keyed import run_keyed
 from sluice.plans import amplification, backscatter, blacklist, bruteforce, dnstunnel, flood, hosts, miner, scan, sip, smtp, voip, web
 from sluice.schema import FLOWS_SQL, flows
-from sluice.sources import sinks
+from sluice.sources import lists, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -464,6 +464,89 @@ def backscatter_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backscatter.classified(f, lambda x: 1 / (1 + (-5 * (x["dst_ports_share"] - 0.2)).map(lambda v: 2.718281828459045**v)), 0.5)
 
 
+# Sources, sets and reports
+
+
+@query(r"""with l as (select doc_id, unnest(string_split(text, chr(10))) as value from documents), e as (select regexp_extract(value, '((?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9]))', 1) as entity from l where not regexp_matches(value, '^\s*([#;].*)?$'))
+select entity, count(*) as n from e where entity <> '' group by 1""")
+def extracted_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("value"))
+    return lists.extracted(lists.without_comments(each), "ipv4").groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query("""with d as (select user_id % 50 as ip, event_id % 900 as port, event_type as kind from events)
+select 'x' || ip as entity, string_agg(distinct cast(port as varchar), ',' order by cast(port as varchar)) as ports from d where kind = 'error' group by 1""")
+def json_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_json(F.struct(F.concat(F.lit("net-x"), (F.col("user_id") % 50).cast("string")).alias("ip"), (F.col("event_id") % 900).alias("port"), F.col("event_type").alias("kind"))).alias("value"))
+    found = lists.json_entries(e, "ip", {"kind": "error"}, "net-", "port")
+    return found.select("entity", F.array_join(F.array_sort(F.transform("ports", lambda p: p.cast("string"))), ",").alias("ports"))
+
+
+@query(f"""with {FLOWS_SQL}, a as (select distinct src_ip, dst_port from f where seq % 2 = 0), b as (select distinct src_ip, dst_port from f where seq % 3 = 0)
+select src_ip, dst_port, 'gone' as change from (select * from a except select * from b) union all select src_ip, dst_port, 'new' from (select * from b except select * from a)""")
+def list_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = flows(spark, sf_dir).select("seq", "src_ip", "dst_port")
+    old, new = (f.filter(F.col("seq") % n == 0).drop("seq").distinct() for n in (2, 3))
+    return blacklist.changes(old, new)
+
+
+@query(f"""with {samples.NAMES_SQL}, h as (select client, is_request, least(size // 10, case when is_request then 29 else 149 end) as bin, count(*) as n from d group by 1, 2, 3), r as (select *, row_number() over (partition by client, is_request order by n desc, bin) as k from h)
+select client, is_request, bin, n from r where k = 1""")
+def fullest_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = samples.names(spark, sf_dir).withColumn("round", F.lit(0))
+    return dnstunnel.fullest_bin(dnstunnel.histograms(d), ["client", "is_request"])
+
+
+@query(f"""with {samples.NAMES_SQL} select least(size // 10, 149) * 10 as size_from, count(*) as n, row_number() over (order by count(*) desc, least(size // 10, 149)) as place from d group by least(size // 10, 149)""")
+def size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.histogram_report(aggregates.clipped_histogram(samples.names(spark, sf_dir), [], "size", 10, 150), 10)
+
+
+@query(f"""with {samples.REQUESTS_SQL} select seq, regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '^$', '/') as path, array_to_string(list_sort(list_distinct(regexp_extract_all(split_part(url, '#', 1), '[?&][^=&]*=([^&]*)', 1))), ',') as arg_values, array_to_string(list_sort(list_distinct(regexp_extract_all(split_part(url, '#', 1), '[?&]([^=&]*)=[^&]*', 1))), ',') as arg_names, http_method || ' ' || host || ' ' || url as request from r""")
+def request_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = projections.http_parts(samples.requests(spark, sf_dir).drop("path"), "http_method", "host", "url")
+    return p.select("seq", F.when(F.coalesce("path", F.lit("")) == "", "/").otherwise(F.col("path")).alias("path"), F.array_join("arg_values", ",").alias("arg_values"), F.array_join("arg_names", ",").alias("arg_names"), "request")
+
+
+@query(f"""with {FLOWS_SQL}, {samples.LISTS_SQL}, m as (select f.seq, 'c' || list_id as country, row_number() over (partition by f.seq order by prefix desc, 'c' || list_id desc) as k from f join l on f.src_ip // (1::bigint << (32 - prefix)) = network // (1::bigint << (32 - prefix)))
+select f.seq, m.country from f left join m on f.seq = m.seq and k = 1""")
+def source_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = samples.list_entries(spark, sf_dir).groupBy("network", "prefix").agg(F.max(F.concat(F.lit("c"), F.col("list_id").cast("string"))).alias("country"))
+    wide = ranges.withColumn("network", ip.mask(F.col("network"), F.col("prefix"))).groupBy("network", "prefix").agg(F.max("country").alias("country"))
+    return lists.countries(flows(spark, sf_dir).select("seq", "src_ip"), "src_ip", wide).select("seq", "country")
+
+
+@query(f"""with {FLOWS_SQL}, {samples.LISTS_SQL}, p as (select distinct network as pool_ip, coalesce(port, 0) as pool_port from l)
+select seq, dst_ip, dst_port from f where exists (select 1 from p where pool_ip = dst_ip and pool_port in (0, dst_port)) and not exists (select 1 from p where pool_ip = src_ip and pool_port in (0, src_port))""")
+def pool_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pools = samples.list_entries(spark, sf_dir).select(F.col("network").alias("pool_ip"), F.coalesce("port", F.lit(0)).alias("pool_port"))
+    return lookups.in_pool(lookups.in_pool(flows(spark, sf_dir), pools, "dst_ip", "dst_port"), pools, "src_ip", "src_port", "left_anti").select("seq", "dst_ip", "dst_port")
+
+
+@query(f"""with {FLOWS_SQL}, e as (select dst_port % 7 as scenario, src_ip as entity, dst_ip as target, dst_port as port, 3232235520 as controller from f), c as (select 3232235521 as entity union all select 3232235520)
+select scenario, count(distinct case when target = controller then entity end) as own, count(distinct case when port between 1100 and 1110 then entity end) as irc, count(distinct case when target <> controller and target in (select entity from c) then entity end) as other from e group by 1""")
+def evidence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = flows(spark, sf_dir).select((F.col("dst_port") % 7).alias("scenario"), F.col("src_ip").alias("entity"), F.col("dst_ip").alias("target"), F.col("dst_port").alias("port"), F.lit(3232235520).alias("controller"))
+    return blacklist.evaluated(e, spark.createDataFrame([(3232235521,), (3232235520,)], "entity long"), (1100, 1110))
+
+
+@query(f"""with {FLOWS_SQL}, a as (select src_ip as entity, case when seq % 11 = 0 then 0 else t_last end as added from f), r as (select *, row_number() over (partition by entity order by case when added = 0 then 0 else 1 end, added desc) as k from a)
+select entity, added from r where k = 1 and (added = 0 or 1704070000 - added <= 86400)""")
+def valid_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = flows(spark, sf_dir).select(F.col("src_ip").alias("entity"), F.when(F.col("seq") % 11 == 0, 0).otherwise(F.col("t_last")).alias("added"))
+    return blacklist.latest(a, "entity", "added", 1704070000)
+
+
+@query(f"""with {_PAIRS} select server, client, case when q then 'Q' else 'R' end as way, t_last, packets, bytes, seq from w""")
+def pair_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amplification.flow_log(_both_ways(spark, sf_dir), _LIMITS).drop("t_first")
+
+
+@query()
+def amplified_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amplification.sliding(_both_ways(spark, sf_dir), _LIMITS)
+
+
 # Sinks
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.numbers import div
 from sluice.operators.aggregates import histogram, shares, top_bins
+from sluice.operators.keyed import run_keyed
 from sluice.operators.projections import by_service
 
 BYTES_MAX = 5000
@@ -79,3 +82,65 @@ def amplified(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def flow_log(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Queries and answers of each pair in one order of time."""
     return by_service(flows, limits.port).select("server", "client", F.when(F.col("is_query"), "Q").otherwise("R").alias("way"), "t_first", "t_last", "packets", "bytes", "seq").sort("server", "client", "t_last", "seq")
+
+
+class History:
+    """The flows of one pair over the last window; when it is full it is judged and its oldest part goes.
+
+    Both ways are held as histograms by time step, so the state is bounded by the bins and not by the flows.
+    """
+
+    def __init__(self, limits: Limits = Limits()):
+        self.limits, self.first, self.steps = limits, None, {}
+
+    def row(self, r: dict[str, Any]) -> list[dict[str, Any]]:
+        limits, now = self.limits, r["t_last"]
+        self.first = now if self.first is None else min(self.first, now)
+        way = self.steps.setdefault(now // 60, {True: Counter(), False: Counter()})[r["is_query"]]
+        way[r["bytes"], r["packets"]] += 1
+        if now - self.first <= limits.window:
+            return []
+        out = self.judge(r)
+        oldest = now - (limits.window - limits.slide)
+        self.steps = {k: v for k, v in self.steps.items() if k * 60 >= oldest}
+        self.first = min((k * 60 for k in self.steps), default=now)
+        return out
+
+    def judge(self, r: dict[str, Any]) -> list[dict[str, Any]]:
+        limits = self.limits
+        both = {w: sum((s[w] for s in self.steps.values()), Counter()) for w in (True, False)}
+        if not both[True] or not both[False]:
+            return []
+
+        def total(way: bool, i: int) -> int:
+            return sum(k[i] * n for k, n in both[way].items())
+
+        def top(way: bool, i: int) -> tuple[float, int, int, int]:
+            """Share and flows of the fullest bins, their mean edge, and the mean by flows."""
+            bins: Counter[int] = Counter()
+            for k, n in both[way].items():
+                if i or k[0] < BYTES_MAX:
+                    bins[k[i] // limits.step * limits.step + limits.step] += n
+            best = sorted(bins.items(), key=lambda x: (-x[1], -x[0]))[: limits.top]
+            n = sum(v for _, v in best)
+            return (n / sum(bins.values()), n, sum(k for k, _ in best) // len(best), sum(k * v for k, v in best) // n) if best else (0.0, 0, 0, 0)
+
+        kind = None
+        if total(True, 1) >= 30 and total(False, 1) // total(True, 1) >= 5:
+            largest = {w: max(k[0] for k in both[w]) for w in both}
+            if (max(k[1] for k in both[True]) > limits.big_query_packets or largest[False] > limits.big_rsp_bytes) and largest[False] // max(1, largest[True]) > limits.ratio:
+                kind = "big"
+        else:
+            rb, rp, qb = top(False, 0), top(False, 1), top(True, 0)
+            if rb[0] > limits.share and rb[1] > limits.flows and rp[3] > limits.rsp_packets and rb[3] > limits.rsp_bytes and qb[3] < limits.query_bytes and qb[2] and rb[2] // qb[2] > limits.ratio:
+                kind = "complex"
+        return [{"server": r["server"], "client": r["client"], "kind": kind, "q_flows": sum(both[True].values()), "r_flows": sum(both[False].values()), "q_bytes": total(True, 0), "r_bytes": total(False, 0), "ts_first": self.first, "ts_last": r["t_last"]}] if kind else []
+
+    def end(self) -> list[dict[str, Any]]:
+        return []
+
+
+def sliding(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Alerts of the exact sliding history of each pair."""
+    kept = by_service(flows, limits.port).select("server", "client", "is_query", "packets", "bytes", "t_last", "seq")
+    return run_keyed(kept, ["server", "client"], ["t_last", "seq"], lambda: History(limits), "server long, client long, kind string, q_flows long, r_flows long, q_bytes long, r_bytes long, ts_first long, ts_last long")

@@ -30,6 +30,11 @@ def build(lists: dict[int, DataFrame]) -> DataFrame:
     return merged_lists(every, "entity")
 
 
+def changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows that only one of two lists has, with change: gone or new."""
+    return old.subtract(new).withColumn("change", F.lit("gone")).unionByName(new.subtract(old).withColumn("change", F.lit("new")))
+
+
 def changed(new: DataFrame, old: DataFrame) -> bool:
     """Whether two lists differ as sets."""
     return not (new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty())
@@ -125,7 +130,7 @@ def adaptive_list(grouped: DataFrame) -> DataFrame:
     return grouped.select(F.explode("adaptive").alias("number")).distinct().select("number", F.lit(32).alias("prefix"), F.lit(ADAPTIVE_ID).alias("list_id")).sort("number")
 
 
-def evaluated(evidence: DataFrame, controllers: DataFrame) -> DataFrame:
+def evaluated(evidence: DataFrame, controllers: DataFrame, irc: tuple[int, int] = IRC) -> DataFrame:
     """By adaptive entity: distinct clients that talked to a known controller, to IRC ports, and to other controllers.
 
     evidence: scenario, entity (client), target, port, controller (the scenario's own).
@@ -133,7 +138,7 @@ def evaluated(evidence: DataFrame, controllers: DataFrame) -> DataFrame:
     known = bounded(controllers.select(F.col("entity").alias("__c")).distinct())
     e = evidence.join(known, evidence["target"] == known["__c"], "left")
     own = F.col("target") == F.col("controller")
-    return e.groupBy("scenario").agg(F.count_distinct(F.when(own, F.col("entity"))).alias("own"), F.count_distinct(F.when(F.col("port").between(*IRC), F.col("entity"))).alias("irc"), F.count_distinct(F.when(F.col("__c").isNotNull() & ~own, F.col("entity"))).alias("other"))
+    return e.groupBy("scenario").agg(F.count_distinct(F.when(own, F.col("entity"))).alias("own"), F.count_distinct(F.when(F.col("port").between(*irc), F.col("entity"))).alias("irc"), F.count_distinct(F.when(F.col("__c").isNotNull() & ~own, F.col("entity"))).alias("other"))
 
 
 def latest(lists: DataFrame, entity: str, at: str, now: int, ttl: int = 86400) -> DataFrame:

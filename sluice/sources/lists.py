@@ -15,9 +15,13 @@ IPV6_IN_TEXT = r"((?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:)
 URL_IN_TEXT = r"(?i)((?:https?://)?(?:[a-z0-9-]+\.)+[a-z]{2,}(?::[0-9]+)?(?:/\S*)?)"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
+def without_comments(text: DataFrame) -> DataFrame:
     """Lines (column value) without blank ones and comments (# or ;)."""
-    return spark.read.text(path).filter(~F.col("value").rlike(r"^\s*([#;].*)?$"))
+    return text.filter(~F.col("value").rlike(r"^\s*([#;].*)?$"))
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    return without_comments(spark.read.text(path))
 
 
 def ip_entries(text: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import ip
@@ -52,3 +52,9 @@ def misp_event(info: Column, attributes: Column, day: Column) -> Column:
 def event_id(*parts: Column) -> Column:
     """A name for an event that is the same in every run."""
     return F.lower(F.lpad(F.hex(F.xxhash64(*parts)), 16, "0"))
+
+
+def histogram_report(hist: DataFrame, step: int) -> DataFrame:
+    """size_from, n and place (by n, then size) of a histogram's bins, which are few."""
+    place = F.row_number().over(Window.orderBy(F.col("n").desc(), "bin"))
+    return hist.select((F.col("bin") * step).cast("long").alias("size_from"), "n", place.cast("long").alias("place"))

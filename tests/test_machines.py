@@ -3,7 +3,7 @@
 from hypothesis import given
 from hypothesis import strategies as st
 
-from sluice.plans import bruteforce, dnstunnel, flood, hosts, miner, scan, sip, voip
+from sluice.plans import amplification, bruteforce, dnstunnel, flood, hosts, miner, scan, sip, voip
 from sluice.plans.blacklist import Scenario
 
 
@@ -144,3 +144,11 @@ def test_suspect_exports():
 def test_scenarios():
     rows = [{"entity": 1, "targets": [2, 3], "ts_first": 0, "ts_last": 10}, {"entity": 1, "targets": [3, 4], "ts_first": 20, "ts_last": 600}, {"entity": 1, "targets": [5], "ts_first": 1201, "ts_last": 1201}]
     assert [x["adaptive"] for x in run(Scenario(), rows)] == [[2, 3, 4], [5]]
+
+
+def test_amplification_history():
+    limits = amplification.Limits(top=2, step=10, ratio=5, flows=2, share=0.5, rsp_packets=0, rsp_bytes=100, query_bytes=100, window=100, slide=60)
+    rows = [{"server": 1, "client": 2, "is_query": q, "packets": 1, "bytes": 40 if q else 900, "t_last": t} for t in range(0, 220, 10) for q in (True, False)]
+    told = run(amplification.History(limits), rows)
+    assert told and {t["kind"] for t in told} == {"complex"} and told[0]["ts_last"] == 110
+    assert run(amplification.History(amplification.Limits(window=100, slide=60)), rows) == []
