@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from sluice.llm.common import lower, remainder, slices, words
 
@@ -149,5 +150,5 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
 
 def kept(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of docs that aren't rejected (predicted 1), with their columns as they came."""
-    schema = docs.drop("__score", "__predicted").schema.add("__score", "double").add("__predicted", "int")
+    schema = StructType([*docs.schema.fields, StructField("__score", DoubleType()), StructField("__predicted", IntegerType())])
     return docs.mapInArrow(_scores(machine), schema).filter("__predicted = 1").drop("__score", "__predicted")
