@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a batch that are held as Python objects at a time.
 SLICE = 512
+#: Rows of ids up to which a table may be broadcast (some 40 MB); more are joined by shuffle.
+MOST_IDS = 1_000_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -54,5 +55,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def total(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+def small(ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
+    """ids (rows that are cheap to count) with a broadcast hint if they are few enough, else as they are."""
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids

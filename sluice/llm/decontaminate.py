@@ -1,7 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
 1. Words (lower case, punctuation apart) of items and documents are hashed; Karp-Rabin hashes of every window of
-   `least` words are the seeds. A bitmap of all the items' seeds (a constant 2 MB, whatever the number of items) lets
+   `least` words are the seeds. A bitmap of all the items' seeds (2 to 32 MB, whatever the number of items) lets
    documents drop windows that no item has.
 2. Remaining windows join the items' seeds, and a pair of document and item goes on if the item's windows that were
    met could cover the threshold.
@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, slices
+from sluice.llm.common import cut, slices, small
 
 LEAST_WORDS = 5
 COVERAGE = 0.6
-#: Bits of the seed bitmap: a constant, not a function of the data.
-BITMAP_BITS = 24
+#: The seed bitmap has at least and at most two to these powers of bits (2 and 32 MB).
+BITMAP_BITS = (24, 28)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -95,11 +95,11 @@ def coverage(doc: list[bytes], item: list[bytes], least: int = LEAST_WORDS) -> f
 
 def _seeds(least: int, bitmap: bytes | None):
     bits = np.frombuffer(bitmap, np.uint8) if bitmap is not None else None
-    mask = np.int64((1 << BITMAP_BITS) - 1)
+    mask = np.int64(len(bitmap) * 8 - 1) if bitmap is not None else np.int64(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
-            ids, all_ids, found, sizes = part.column(0).to_pylist(), [], [], []
+            ids, all_ids, found, sizes, times = part.column(0).to_pylist(), [], [], [], []
             for x, text in zip(ids, texts, strict=True):
                 if x is None:
                     continue
@@ -108,22 +108,24 @@ def _seeds(least: int, bitmap: bytes | None):
                 if bits is not None:
                     low = h & mask
                     h = h[bits[low >> 3] >> (low & 7).astype(np.uint8) & 1 == 1]
-                h = np.unique(h)
+                h, n = np.unique(h, return_counts=True)
                 if len(h):
                     all_ids.append(np.full(len(h), x, np.int64))
                     found.append(h)
                     sizes.append(np.full(len(h), len(w), np.int32))
+                    times.append(n.astype(np.int32))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(all_ids)), pa.array(np.concatenate(found)), pa.array(np.concatenate(sizes))], ["id", "h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(all_ids)), pa.array(np.concatenate(found)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(times))], ["id", "h", "n", "times"])
 
     return run
 
 
 def _bitmap(seeds: DataFrame) -> bytes:
-    """One bit for each low part of a seed; gathered as at most 512 pieces of 4 KB."""
-    low = F.col("h").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    out = bytearray(1 << (BITMAP_BITS - 3))
-    for row in seeds.select(F.shiftright(low, 15).alias("part"), (low % (1 << 15)).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+    """One bit for each low part of a seed, some 64 bits a seed within bounds; gathered in pieces of 4 KB (8192 at most)."""
+    power = min(BITMAP_BITS[1], max(BITMAP_BITS[0], (64 * seeds.count()).bit_length()))
+    low = F.col("h").bitwiseAND(F.lit((1 << power) - 1))
+    out = bytearray(1 << (power - 3))
+    for row in seeds.select(F.shiftright(low, 15).alias("part"), (low % (1 << 15)).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
         out[row.part << 12 : (row.part << 12) + len(row.bits)] = row.bits
     return bytes(out)
 
@@ -142,12 +144,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST_WORDS
     """doc_id, item_id and coverage of every pair in which the document holds at least the threshold of the item."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"])
-    ours = cut(items.mapInArrow(_seeds(least, None), "id long, h long, n int"))
-    met = texts.mapInArrow(_seeds(least, _bitmap(ours)), "id long, h long, n int").select(F.col("id").alias("doc_id"), "h")
-    pairs = met.join(ours.select(F.col("id").alias("item_id"), "h", "n"), "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("met"), F.first("n").alias("n"))
+    ours = cut(items.mapInArrow(_seeds(least, None), "id long, h long, n int, times int"))
+    met = texts.mapInArrow(_seeds(least, _bitmap(ours)), "id long, h long, n int, times int").select(F.col("id").alias("doc_id"), "h")
+    pairs = met.join(ours.select(F.col("id").alias("item_id"), "h", "n", "times"), "h").groupBy("doc_id", "item_id").agg(F.sum("times").alias("met"), F.min("n").alias("n"))
     # every run of r words has r - least + 1 windows, so m windows cover at most m * least words
     pairs = cut(pairs.filter(F.col("met") * least >= F.col("n") * threshold).select("doc_id", "item_id"))
-    held = texts.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    held = texts.join(small(pairs.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     with_items = pairs.join(items.select("item_id", F.col("text").alias("item_text")).distinct(), "item_id").join(held, "doc_id").select("doc_id", "item_id", "item_text", "text")
     share = with_items.mapInArrow(_tiled(least), "doc_id long, item_id long, coverage double")
     return share.filter(F.col("coverage") >= threshold).groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"))
@@ -155,5 +157,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST_WORDS
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, least: int = LEAST_WORDS, threshold: float = COVERAGE) -> DataFrame:
     """docs without the contaminated ones; a row whose id is null stays. All columns are returned as they came."""
-    gone = contaminated(docs, benchmark, least, threshold).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = small(cut(contaminated(docs, benchmark, least, threshold).select(F.col("doc_id").alias("__gone")).distinct()))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

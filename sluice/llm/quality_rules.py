@@ -117,15 +117,16 @@ def thresholds(figures: DataFrame, rules: tuple[Rule, ...] = RULES, least_rows:
     def merged(keys: list[str], tag: str) -> DataFrame:
         return own.groupBy(*keys).agg(F.sum("n").alias(f"n_{tag}"), *(F.kll_merge_agg_double(c).alias(f"{c}_{tag}") for c in names))
 
-    with_all = own.join(merged(["lang"], "lang").withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).crossJoin(F.broadcast(merged([], "all")))  # one row
+    with_lang = own.join(merged(["lang"], "lang").withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")))
+    whole = merged([], "all").first()  # one row of sketches, a few KB each
     out = [F.col("lang").alias("t_lang"), F.col("source").alias("t_source")]
     for r in rules:
-        sketch = F.when(F.col("n") >= least_rows, F.col(r.ratio)).when(F.col("n_lang") >= least_rows, F.col(f"{r.ratio}_lang")).otherwise(F.col(f"{r.ratio}_all"))
+        sketch = F.when(F.col("n") >= least_rows, F.col(r.ratio)).when(F.col("n_lang") >= least_rows, F.col(f"{r.ratio}_lang")).otherwise(F.lit(whole[f"{r.ratio}_all"]).cast("binary"))
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
         spread = F.greatest(high - low, F.lit(r.floor))
         out.append((low - r.reach * spread if r.lower else F.lit(float("-inf"))).alias(f"{r.ratio}_low"))
         out.append((high + r.reach * spread if r.upper else F.lit(float("inf"))).alias(f"{r.ratio}_high"))
-    return with_all.select(*out)
+    return with_lang.select(*out)
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_rows: int = LEAST_ROWS) -> DataFrame:

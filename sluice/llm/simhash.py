@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.llm.common import cut, lower, slices, words
+from sluice.llm.common import cut, lower, slices, small, words
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -152,11 +152,11 @@ def links(prints: DataFrame) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and component (the smallest node reachable) for every node of the edges u, v."""
     e = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     mark = None
-    for _ in range(rounds):
+    while True:
         seen = e.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if seen == mark:
             break
@@ -173,7 +173,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links."""
-    prints = cut(fingerprints(docs))
+    return grouped(cut(fingerprints(docs)))
+
+
+def grouped(prints: DataFrame) -> DataFrame:
+    """The same from doc_id and f."""
     least = cut(prints.groupBy("f").agg(F.min("doc_id").alias("least")))
     met = links(prints.select("f").filter("doc_id is not null"))
     edges = met.join(least.select(F.col("f").alias("a"), F.col("least").alias("u")), "a").join(least.select(F.col("f").alias("b"), F.col("least").alias("v")), "b").select("u", "v")
@@ -187,7 +191,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     All columns of docs are returned as they came.
     """
-    gone = groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    prints = cut(fingerprints(docs))
+    gone = small(cut(grouped(prints).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()))
+    left = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    # ids of repeated rows, of which one row stays; mostly there are none, and texts need no shuffle
+    twice = cut(prints.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id")))
+    if twice.isEmpty():
+        return left
     again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return left.withColumn("__again", again).filter((F.col("__again") == 1) | F.col("doc_id").isNull()).drop("__again")
+    twice = small(twice)
+    repeated = left.join(twice, left["doc_id"] == twice["__id"], "left_semi").withColumn("__again", again).filter("__again = 1").drop("__again")
+    return left.join(twice, left["doc_id"] == twice["__id"], "left_anti").unionByName(repeated)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import deque
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.aggregates import upper_median_of_last
 from sluice.operators.filters import scan_shaped, signature, ssh_ignored
 from sluice.operators.keyed import run_keyed
+from sluice.operators.running import running_sum
 from sluice.schema import ACK, FIN, PSH, RST, SYN, TCP
 
 LIST, BOTTOM, MATCHES, SHARE = 1000, 50, 30, 0.9
@@ -62,9 +63,17 @@ def server_profile(flows: DataFrame, last: int = 15) -> DataFrame:
 
 
 def last_n(hits: DataFrame, n: int = LIST) -> DataFrame:
-    """hits with, for each flow, the size of its host's list and the matches in it (lists of the last n of each way)."""
-    w = Window.partitionBy("host", "incoming").orderBy("seq").rowsBetween(-(n - 1), 0)
-    return hits.withColumns({"list_size": F.count("*").over(w), "list_matches": F.sum(F.col("hit").cast("long")).over(w)})
+    """hits with, for each flow, the size of its host's list and the matches in it (lists of the last n of each way).
+
+    Place and matches so far are running sums; what a list has lost are the matches up to the row n places before,
+    which a join by place finds. So a host with very many flows is many tasks' work.
+    """
+    key = ["host", "incoming"]
+    placed = running_sum(hits.withColumn("__one", F.lit(1)), key, "seq", "__one", "__place")
+    placed = running_sum(placed.withColumn("__hit", F.col("hit").cast("long")), key, "seq", "__hit", "__so_far").drop("__one", "__hit")
+    lost = placed.select(*key, (F.col("__place") + n).alias("__place"), F.col("__so_far").alias("__lost"))
+    both = placed.join(lost, [*key, "__place"], "left")
+    return both.withColumns({"list_size": F.least("__place", F.lit(n)).cast("long"), "list_matches": F.col("__so_far") - F.coalesce("__lost", F.lit(0))}).drop("__place", "__so_far", "__lost")
 
 
 def needed(n_in: int, n_out: int, bottom: int = BOTTOM, matches: int = MATCHES) -> int:

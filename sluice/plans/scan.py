@@ -22,17 +22,23 @@ def probes(flows: DataFrame, packets: int = 4) -> DataFrame:
 
 def vertical_first(flows: DataFrame, ports: int = PORTS) -> DataFrame:
     """The first alert of each pair of hosts: a port counts while it has been met an odd number of times."""
-    turn = F.row_number().over(Window.partitionBy("src_ip", "dst_ip", "dst_port").orderBy("seq"))
-    steps = probes(flows).withColumn("step", F.when(turn % 2 == 1, 1).otherwise(-1))
+    p = probes(flows).select("src_ip", "dst_ip", "src_port", "dst_port", "seq", "t_last")
+    turns = running_sum(p.withColumn("one", F.lit(1)), ["src_ip", "dst_ip", "dst_port"], "seq", "one", "turn")
+    steps = turns.withColumn("step", F.when(F.col("turn") % 2 == 1, 1).otherwise(-1))
     counted = running_sum(steps, ["src_ip", "dst_ip"], "seq", "step", "open_ports")
     hit = counted.filter(F.col("open_ports") >= ports).groupBy("src_ip", "dst_ip").agg(F.min(F.struct("seq", "open_ports", "src_port", "dst_port", "t_last")).alias("a"))
     return hit.select("src_ip", "dst_ip", F.col("a.seq").alias("seq"), F.col("a.open_ports").cast("long").alias("port_cnt"), F.col("a.src_port").alias("src_port"), F.col("a.dst_port").alias("dst_port"), F.col("a.t_last").alias("ts_last"))
 
 
 def horizontal_first(flows: DataFrame, addresses: int = ADDRESSES) -> DataFrame:
-    """The first alert of each source and port: different destinations reach the threshold."""
-    first = F.row_number().over(Window.partitionBy("src_ip", "dst_port", "dst_ip").orderBy("seq")) == 1
-    steps = flows.filter(both_ipv4(F.col("src_ip"), F.col("dst_ip")) & single_syn()).withColumn("step", first.cast("int"))
+    """The first alert of each source and port: different destinations reach the threshold.
+
+    Only a destination's first flow can raise the count, so rows become one for each destination before anything is
+    ordered.
+    """
+    kept = flows.filter(both_ipv4(F.col("src_ip"), F.col("dst_ip")) & single_syn())
+    firsts = kept.groupBy("src_ip", "dst_port", "dst_ip").agg(F.min(F.struct("seq", "t_last")).alias("f"))
+    steps = firsts.select("src_ip", "dst_port", "dst_ip", "f.*", F.lit(1).alias("step"))
     counted = running_sum(steps, ["src_ip", "dst_port"], "seq", "step", "addresses")
     hit = counted.filter(F.col("addresses") >= addresses).groupBy("src_ip", "dst_port").agg(F.min(F.struct("seq", "addresses", "dst_ip", "t_last")).alias("a"))
     return hit.select("src_ip", "dst_port", F.col("a.seq").alias("seq"), F.col("a.addresses").cast("long").alias("addr_cnt"), F.col("a.dst_ip").alias("dst_ip"), F.col("a.t_last").alias("ts_last"))

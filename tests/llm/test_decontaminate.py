@@ -78,9 +78,9 @@ def test_whole_tables_equal_every_pair(spark, tiny):
 
 def test_awkward_rows(spark):
     docs = documents(spark)
-    items = spark.createDataFrame([(1, "the cat sat on the mat and then it ran away"), (2, None), (3, ""), (4, "one two"), (None, "the cat sat on the mat"), (5, "the cat sat on the mat and then it ran away"), (6, "word word word word word word")], "item_id long, text string")
+    items = spark.createDataFrame([(1, "the cat sat on the mat and then it ran away"), (2, None), (3, ""), (4, "one two"), (None, "the cat sat on the mat"), (5, "the cat sat on the mat and then it ran away"), (6, "word word word word word word"), (7, "word " * 30)], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect())
-    assert got == [(1, 1), (1, 5), (2, 1), (2, 5), (6, 6)]
+    assert got == [(1, 1), (1, 5), (2, 1), (2, 5), (6, 6), (6, 7)]
     kept = d.cleaned(docs, items)
     assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 3, 4, 5, 7, 8, 9]
     assert d.contaminated(documents(spark, []), items).isEmpty() and d.contaminated(docs, items.limit(0)).isEmpty()
