@@ -464,6 +464,20 @@ def backscatter_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backscatter.classified(f, lambda x: 1 / (1 + (-5 * (x["dst_ports_share"] - 0.2)).map(lambda v: 2.718281828459045**v)), 0.5)
 
 
+#: Lines of a list with IPv6 networks, in several spellings.
+_LINES6 = ["# networks", "2001:db8::/32,1", "2001:db8:3::/48,2", "2001:db8:5::10/124,4", "2001:0DB8:0005:0000::0011,8", "10.0.0.0/8,16", "2001:db8::/129,32", "no address,64"]
+
+
+@query("""with e as (select event_id as seq, user_id % 16 as u, event_id % 65536 as low from events)
+select seq, cast(1 | case when u = 3 then 2 else 0 end | case when u = 5 and low between 16 and 31 then 4 else 0 end | case when u = 5 and low = 17 then 8 else 0 end as bigint) as bitmap from e where u <> 7""")
+def listed_ipv6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u, low = F.col("user_id") % 16, F.col("event_id") % 65536
+    address = F.concat(F.when(u == 7, "2001:db7:").otherwise("2001:db8:"), F.lower(F.hex(u)), F.lit("::"), F.hex(low))
+    f = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("seq"), ip.ipv6_bytes(address).alias("address"))
+    entries = lists.ip_entries(lists.without_comments(spark.createDataFrame([(x,) for x in _LINES6], "value string"))).filter("network6 is not null")
+    return lookups.prefix_matches6(f, "address", entries.select("network6", "prefix", "bitmap")).groupBy("seq").agg(F.bit_or("bitmap").alias("bitmap"))
+
+
 # Sources, sets and reports
 
 

@@ -38,6 +38,22 @@ def prefix_ends(network: Column, prefix: Column) -> tuple[Column, Column]:
     return first, first + F.pow(F.lit(2), 32 - prefix).cast("long") - 1
 
 
+def ipv6_halves(packed: Column) -> tuple[Column, Column]:
+    """The first and the last 64 bits of an address of 16 bytes, as signed longs."""
+    first, last = (F.conv(F.hex(F.substring(packed, start, 8)), 16, -10).cast("long") for start in (1, 9))
+    return first, last
+
+
+def mask6(halves: tuple[Column, Column], prefix: Column | int) -> tuple[Column, Column]:
+    """The network of an address in halves: its first `prefix` bits."""
+
+    def first_bits(half: Column, n: Column) -> Column:
+        return F.when(n <= 0, F.lit(0).cast("long")).when(n >= 64, half).otherwise(half.bitwiseAND(F.call_function("shiftleft", F.lit(-1).cast("long"), (64 - n).cast("int"))))
+
+    length = F.lit(prefix) if isinstance(prefix, int) else prefix
+    return first_bits(halves[0], length), first_bits(halves[1], length - 64)
+
+
 @F.pandas_udf(T.BinaryType())
 def ipv6_bytes(text: pd.Series) -> pd.Series:
     """An IPv6 address in any of its spellings as 16 bytes; null for anything else."""

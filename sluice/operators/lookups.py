@@ -29,6 +29,23 @@ def prefix_matches(df: DataFrame, address: str, prefixes: DataFrame) -> DataFram
     return each.join(listed, (each["__network"] == listed["__list_network"]) & (each["__prefix"] == listed["prefix"].cast("int"))).drop("__network", "__prefix", "__list_network")
 
 
+def prefix_matches6(df: DataFrame, address: str, prefixes: DataFrame) -> DataFrame:
+    """As prefix_matches() for IPv6 addresses of 16 bytes; prefixes have network6, prefix and other columns."""
+    lengths = [r[0] for r in prefixes.select("prefix").distinct().filter("prefix between 0 and 128").collect()]  # 129 at most
+    halves = ip.ipv6_halves(F.col(address))
+
+    def one(n: int) -> Column:
+        first, last = ip.mask6(halves, n)
+        return F.struct(F.lit(n).alias("__prefix"), first.alias("__first"), last.alias("__last"))
+
+    tried = F.explode(F.array(*map(one, sorted(lengths)))) if lengths else F.explode(F.array().cast("array<struct<__prefix:int,__first:bigint,__last:bigint>>"))
+    first, last = ip.mask6(ip.ipv6_halves(F.col("network6")), F.col("prefix"))
+    listed = bounded(prefixes.withColumns({"__list_first": first, "__list_last": last}).drop("network6"))
+    each = df.withColumn("__try", tried).select("*", "__try.*").drop("__try")
+    same = (each["__first"] == listed["__list_first"]) & (each["__last"] == listed["__list_last"]) & (each["__prefix"] == listed["prefix"].cast("int"))
+    return each.join(listed, same).drop("__first", "__last", "__prefix", "__list_first", "__list_last")
+
+
 def longest_prefix(df: DataFrame, key: str, address: str, prefixes: DataFrame, value: str) -> DataFrame:
     """key and the value of the longest prefix that holds the address."""
     return prefix_matches(df.select(key, address), address, prefixes).groupBy(key).agg(F.max_by(value, "prefix").alias(value))

@@ -1,5 +1,6 @@
 """Operators on small hand-made tables."""
 
+import ipaddress
 import random
 import re
 
@@ -72,6 +73,16 @@ def test_source_buckets(spark):
     assert aggregates.source_buckets(f).first().sources == 3
 
 
+def test_ipv6_prefix_lookup(spark):
+    networks = [("2001:db8::", 32, "a"), ("2001:db8:5::", 48, "b"), ("2001:db8:5::8", 125, "c"), ("::", 0, "d"), ("2001:db8:5::9", 128, "e"), ("8000::", 1, "f"), ("2001:db8:5::", 64, "g"), ("2001:db8:5:0:8000::", 65, "h")]
+    addresses = ["2001:db8:5::9", "2001:DB8:0:0:0:0:0:1", "::1", "ffff::", "2001:db8:5::f", "2001:db8:5::10", "2001:db8:5:0:ffff::1", "2001:db9::"]
+    prefixes = spark.createDataFrame(networks, "text string, prefix int, name string").select(ip.ipv6_bytes("text").alias("network6"), "prefix", "name")
+    df = spark.createDataFrame([(a,) for a in addresses], "a string").withColumn("packed", ip.ipv6_bytes("a"))
+    got = sorted((r.a, r.name) for r in lookups.prefix_matches6(df, "packed", prefixes).collect())
+    assert got == sorted((a, n) for a in addresses for net, length, n in networks if ipaddress.IPv6Address(a) in ipaddress.IPv6Network((net, length)))
+    assert lookups.prefix_matches6(df, "packed", prefixes.limit(0)).isEmpty()
+
+
 def test_prefix_lookup_overlaps(spark):
     listed = spark.createDataFrame([(0x0A000000, 8, 1), (0x0A000100, 24, 2), (0, 0, 3)], "network long, prefix int, v int")
     df = spark.createDataFrame([(1, 0x0A000105), (2, 0x0A050505), (3, 0x0B000000)], "k int, a long")
