@@ -32,6 +32,8 @@ NEEDS = {"email": "@", "phone": "+", "ip": "."}
 SCORES = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.5, "iban": 0.9}
 CONTEXT = {"email": "mail|contact|write to|@", "ip": r"\bip\b|host|server|address|addr", "card": "card|visa|master|amex|payment|credit", "phone": "phone|call|tel|mobile|fax", "iban": "iban|account|bank"}
 BONUS, WINDOW = 0.2, 40
+#: Matches of a text that are placed at a time.
+PART = 128
 
 
 def _digits(x: Column) -> Column:
@@ -72,21 +74,43 @@ def _holds(kind: str, x: Column) -> Column:
     return F.length(F.replace(x, F.lit(" "), F.lit(""))).between(15, 34) & mod97(x)
 
 
+def _placed(kind: str, pairs: Column) -> Column:
+    """Array of struct(kind, s, e, v, before) of pairs (match m, text b before it) that follow one another.
+
+    Arrays grow by copying, so PART pairs at a time are placed from 0, and the parts are moved to where they start.
+    """
+    spans = "array<struct<kind:string,s:int,e:int,v:string,before:string>>"
+
+    def start(kind: str) -> Column:
+        return F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(a: Column, pair: Column) -> Column:
+        s = a["at"] + F.length(pair["b"])
+        e = s + F.length(pair["m"])
+        one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), pair["m"].alias("v"), F.right(pair["b"], F.lit(WINDOW)).alias("before"))
+        return F.struct(e.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+
+    def join(a: Column, part: Column) -> Column:
+        one = F.struct(a["at"].alias("base"), part["out"].alias("spans"))
+        return F.struct((a["at"] + part["at"]).alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+
+    def moved(part: Column) -> Column:
+        return F.transform(part["spans"], lambda x: F.struct(x["kind"].alias("kind"), (x["s"] + part["base"]).alias("s"), (x["e"] + part["base"]).alias("e"), x["v"].alias("v"), x["before"].alias("before")))
+
+    def whole(p: Column) -> Column:
+        parts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(p) - 1) / PART).cast("int")))
+        local = F.transform(parts, lambda i: F.aggregate(F.slice(p, i * PART + 1, F.lit(PART)), start(spans), step))
+        return F.flatten(F.transform(F.aggregate(local, start(f"array<struct<base:int,spans:{spans}>>"), join, lambda a: a["out"]), moved))
+
+    return F.transform(F.array(pairs), whole)[0]  # so that the pairs are found once
+
+
 def _found(kind: str, text: Column) -> Column:
     """Array of struct(kind, s, e, score): the spans of a kind in order, in code points, end exclusive."""
     pattern = PATTERNS[kind]
     got, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,s:int,e:int,v:string,before:string>>").alias("out"))
-
-    def step(a: Column, pair: Column) -> Column:
-        start = a["at"] + F.length(pair["b"])
-        end = start + F.length(pair["m"])
-        one = F.struct(F.lit(kind).alias("kind"), start.alias("s"), end.alias("e"), pair["m"].alias("v"), F.right(pair["b"], F.lit(WINDOW)).alias("before"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
-
     pairs = F.zip_with(got, F.slice(between, F.lit(1), F.size(got)), lambda m, b: F.struct(m.alias("m"), b.alias("b")))
-    placed = F.aggregate(pairs, empty, step, lambda a: a["out"])
-    kept = F.filter(placed, lambda x: _holds(kind, x["v"]))
+    kept = F.filter(_placed(kind, pairs), lambda x: _holds(kind, x["v"]))
     scored = F.transform(kept, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), (F.lit(SCORES[kind]) + F.when(F.lower(x["before"]).rlike(CONTEXT[kind]), BONUS).otherwise(0.0)).alias("score")))
     needs = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
     none = F.array().cast("array<struct<kind:string,s:int,e:int,score:double>>")

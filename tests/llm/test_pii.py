@@ -95,3 +95,4 @@ def test_long_runs_are_linear(spark):
     texts = [(1, "a" * 400_000), (2, "1" * 400_000), (3, "1." * 150_000), (4, "a@" + "b." * 150_000), (5, "+1" + " " * 400_000), (6, "1 " * 200_000)]
     got = {r.doc_id: r for r in pii.digests(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got[4].n_email == 1 and got[3].n_ip == 37_500
+    assert got[3].spans == ",".join(f"ip:{at}:{at + 7}" for at in range(0, 300_000, 8))  # placed in many parts
