@@ -3,7 +3,10 @@
 All of it is Column expressions. A pattern's matches come from regexp_extract_all and the text between them from
 split(), so a running sum of both lengths gives each span in code points. Patterns use possessive quantifiers and
 start only where a run of their first characters starts, and a card's pattern asks for 13 digits at once (a run is
-taken whole, so shorter ones fail later anyway): that changes no result and keeps long texts linear.
+taken whole, so shorter ones fail later anyway): that changes no result and keeps long texts linear. An account
+number's pattern takes its first four characters and looks ahead at the run of groups after them, which may go on into
+the next words; of the run's beginnings that end at a word's end and pass the check, the one of the country's length
+is the number, or else the longest. Searching goes on within the run, so a number right after another is found too.
 
 Kinds: email, ip, card, phone (the base) and iban (mod 97), which this method adds. Base spans are never dropped for
 their score; the score tells what to trust. Base score by kind, plus a bonus if a word that speaks of the kind stands
@@ -24,8 +27,14 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9]){12,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30}+[A-Za-z0-9]?))",
 }
+#: Lengths of account numbers by country; others may have any.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 #: A text without this can't match.
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
 #: What a span of a kind is worth by itself, and the words before it that raise it.
@@ -71,7 +80,25 @@ def _holds(kind: str, x: Column) -> Column:
         return F.length(_digits(x)).between(13, 19) & luhn(_digits(x))
     if kind == "phone":
         return F.length(_digits(x)).between(9, 15)
-    return F.length(F.replace(x, F.lit(" "), F.lit(""))).between(15, 34) & mod97(x)
+    return x.isNotNull()
+
+
+def _account(run: Column) -> Column:
+    """The account number at the start of a run of groups and the character after it, or null."""
+    lengths = F.create_map(*(F.lit(x) for n, countries in IBAN_LENGTHS.items() for c in countries.split() for x in (c, n)))
+
+    def plain(x: Column) -> Column:
+        return F.length(F.replace(x, F.lit(" "), F.lit("")))
+
+    def beginnings(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, F.lit(1), i), " "))
+
+    def best(good: Column) -> Column:
+        usual = F.filter(good, lambda x: plain(x) == F.try_element_at(lengths, F.substring(x, 1, 2)))
+        return F.coalesce(F.get(usual, F.lit(0)), F.get(good, F.size(good) - 1))
+
+    found = F.transform(F.array(F.split(run, " ")), lambda w: F.filter(beginnings(w), lambda x: plain(x).between(15, 34) & x.rlike("^[A-Z0-9 ]+$") & mod97(x)))
+    return F.transform(found, best)[0]
 
 
 def _placed(kind: str, pairs: Column) -> Column:
@@ -87,7 +114,8 @@ def _placed(kind: str, pairs: Column) -> Column:
     def step(a: Column, pair: Column) -> Column:
         s = a["at"] + F.length(pair["b"])
         e = s + F.length(pair["m"])
-        one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), pair["m"].alias("v"), F.right(pair["b"], F.lit(WINDOW)).alias("before"))
+        value = pair["run"] if kind == "iban" else pair["m"]
+        one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), value.alias("v"), F.right(pair["b"], F.lit(WINDOW)).alias("before"))
         return F.struct(e.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
     def join(a: Column, part: Column) -> Column:
@@ -110,7 +138,13 @@ def _found(kind: str, text: Column) -> Column:
     pattern = PATTERNS[kind]
     got, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.zip_with(got, F.slice(between, F.lit(1), F.size(got)), lambda m, b: F.struct(m.alias("m"), b.alias("b")))
-    kept = F.filter(_placed(kind, pairs), lambda x: _holds(kind, x["v"]))
+    if kind == "iban":
+        pairs = F.zip_with(pairs, F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda p, more: F.struct(p["m"].alias("m"), p["b"].alias("b"), F.concat(p["m"], more).alias("run")))
+    placed = _placed(kind, pairs)
+    if kind == "iban":
+        known = F.transform(placed, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), _account(x["v"]).alias("v"), x["before"].alias("before")))
+        placed = F.transform(known, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), (x["s"] + F.length(x["v"])).alias("e"), x["v"].alias("v"), x["before"].alias("before")))
+    kept = F.filter(placed, lambda x: _holds(kind, x["v"]))
     scored = F.transform(kept, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), (F.lit(SCORES[kind]) + F.when(F.lower(x["before"]).rlike(CONTEXT[kind]), BONUS).otherwise(0.0)).alias("score")))
     needs = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
     none = F.array().cast("array<struct<kind:string,s:int,e:int,score:double>>")

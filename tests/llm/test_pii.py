@@ -71,6 +71,16 @@ def test_context_raises_the_score(spark):
     assert got == {1: ("phone:9:25", "0.7"), 2: ("phone:9:25", "0.5"), 3: ("iban:5:27", "1.1")}
 
 
+def test_account_numbers_before_other_words(spark):
+    de, gb = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"Pay {de} Please", f"Pay {gb} I paid", f"Pay {gb} 5 days", f"Pay {de} {gb} NOW", f"Pay {de}x", f"Pay {gb}9", f"Pay {gb[:-1]}3 Please", f"{de} PLEASE PAY THE 12 BILLS OF 2024 AT ONCE", "XX" + "89370400440532013000 Please"]
+    got = {r.doc_id: r.spans for r in pii.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    accounts = {i: [x for x in s.split(",") if x.startswith("iban")] for i, s in got.items()}
+    assert accounts == {0: ["iban:4:26"], 1: ["iban:4:31"], 2: ["iban:4:31"], 3: ["iban:4:26", "iban:27:54"], 4: [], 5: [], 6: [], 7: ["iban:0:22"], 8: []}
+    text = pii.redacted(spark.createDataFrame([(1, texts[3])], "doc_id long, text string")).first().text
+    assert text == "Pay [IBAN] [IBAN] NOW"
+
+
 def test_redaction(spark):
     docs = documents(spark, [(1, "Mail me@x-y.co.uk or 4111 1111 1111 1111.", "en", "a", 9), (2, None, None, None, None), (3, "", "en", "a", 0), (4, "\U0001f600 1.2.3.4 end", "en", "a", 3)])
     out = pii.redacted(docs)
