@@ -177,7 +177,7 @@ def _trained(flat: np.ndarray, unigram: np.ndarray, own: dict[bytes, int], seed:
 
 @dataclass
 class Model:
-    """What scoring needs: totals, the head's counts, the network, and each class's log10 of words plus kinds plus one."""
+    """What scoring needs: totals, the head's counts, the network, each class's log10 of words plus kinds plus one, and the count of texts' ends (which the head may lack)."""
 
     tokens: int
     kinds: int
@@ -187,6 +187,7 @@ class Model:
     class_log: np.ndarray
     least: int
     counts: DataFrame
+    ends: int
 
 
 def head_of(counts: DataFrame, most: int) -> tuple[int, DataFrame]:
@@ -228,7 +229,7 @@ def learn(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WORDS) -
             piece = np.array(row[1:], np.float32)
             at = row["part"] * PART
             p.flat[at : at + PART] = piece[: len(p.flat) - at]
-    return Model(int(tokens), int(kinds), head, own, p.flat, np.log10(n + v + 1), least, counts)
+    return Model(int(tokens), int(kinds), head, own, p.flat, np.log10(n + v + 1), least, counts, int(ends))
 
 
 def log_probabilities(flat: np.ndarray, contexts: list[np.ndarray], target: np.ndarray) -> np.ndarray:
@@ -247,9 +248,7 @@ def log_probabilities(flat: np.ndarray, contexts: list[np.ndarray], target: np.n
     return lp
 
 
-def _scored(flat: np.ndarray, own: dict[bytes, int], head: dict[bytes, int], class_log: np.ndarray):
-    ends = head.get(END_WORD, 0)
-
+def _scored(flat: np.ndarray, own: dict[bytes, int], head: dict[bytes, int], class_log: np.ndarray, ends: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w: i for i, w in enumerate(head)}
         log_c = np.log10(np.array([*head.values(), 0], np.float64) + 1)
@@ -283,7 +282,7 @@ def _scored(flat: np.ndarray, own: dict[bytes, int], head: dict[bytes, int], cla
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_scored(model.flat, model.own, model.head, model.class_log), "doc_id long, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<int>")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_scored(model.flat, model.own, model.head, model.class_log, model.ends), "doc_id long, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<int>")
     rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
     each = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("w"), F.col("x.times").alias("times"))
     rare = model.counts.filter((F.length("w") > 0) & (F.floor(F.log2("c") * 6).cast("int") < model.least))

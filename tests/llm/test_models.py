@@ -87,6 +87,14 @@ def test_lm_awkward_rows(spark):
     assert lm.scored(documents(spark, []), empty).isEmpty()
 
 
+def test_end_outside_the_head_is_known(spark):
+    many = " ".join(f"{w} {w}" for w in map(str, range(40)))
+    docs = documents(spark, [(2, many, "en", "a", 1), (1, "3 4 unseen", "en", "a", 1)])
+    model, got = scored(docs, head_words=20)
+    assert lm.END_WORD not in model.head
+    same_base(got, [(2, many), (1, "3 4 unseen")])
+
+
 def test_kneser_ney_sums_to_one():
     texts = [b"the cat sat on the mat", b"a dog ate the cat", "le chat est sur l'été".encode()]
     g = [li.grams(t) for t in texts]
