@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.common import small
+
 #: Equivalent spellings (a pattern over lower-case text, what it becomes).
 SPELLINGS = (
     (r"licence", "license"),
@@ -94,8 +96,8 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 def scanned(docs: DataFrame, known: DataFrame, least_line: int = 8) -> DataFrame:
     """doc_id, digest, license_id (of the whole text, or null) and notices (ids of lines' licences, sorted, joined, or null)."""
-    found = known_digests(known)
-    lines = F.filter(F.split(F.coalesce(docs["text"], F.lit("")), "\n"), lambda x: (F.length(x) >= least_line) & F.lower(x).rlike("licen[cs]e"))
+    found = small(known_digests(known))
+    lines = F.filter(F.split(F.coalesce(docs["text"], F.lit("")), "\n"), lambda x: F.length(x) >= least_line)
     # what lines hold depends on the text alone, so the text's own digest leads back to its rows
     text_key = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), digest(docs["text"]).alias("digest"), text_key.alias("__text"))

@@ -95,6 +95,13 @@ def test_licences_equal_duckdb(spark, tiny):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, c.execute(ls.oracle()).fetchall()))
 
 
+def test_notices_without_the_word_licence(spark):
+    known = spark.createDataFrame([("reserved", "All rights reserved."), ("MIT", "SPDX-Identifier: MIT")], "license_id string, text string")
+    rows = [(1, "Some prose.\nAll Rights Reserved\nMore.", "en", "a", 1), (2, "spdx identifier - MIT\nAll rights reserved!", "en", "a", 1), (3, "All rights reserved here.", "en", "a", 1)]
+    got = {r.doc_id: r.notices for r in ls.scanned(documents(spark, rows), known).collect()}
+    assert got == {1: "reserved", 2: "MIT,reserved", 3: None}
+
+
 def test_licence_awkward_rows(spark):
     docs = documents(spark)
     got = ls.scanned(docs, ls.known_texts(spark)).collect()
