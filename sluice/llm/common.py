@@ -44,17 +44,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.
 
-    Spark sets that folder up by itself where the setting is there; a session without it (tests) gets its own.
+    Only a local master, whose tasks all run in this process (tests), may leave it unset; a cluster without it is an
+    error, as a folder of one machine would be lost with it and can't be read by the others.
     """
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+    return tempfile.mkdtemp(prefix="sluice-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sluice-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+#: Steps of a share: a hash of 63 bits is compared with it.
+STEPS = 1 << 62
+
+
+def share_of(sample: int, n: int) -> int:
+    """How many of STEPS steps give about `sample` of n rows; never zero for a positive sample."""
+    return STEPS if n <= sample else max(1, STEPS * sample // n)
+
+
+def draw(*columns: str | Column) -> Column:
+    """A uniform number below STEPS, by a hash of the columns."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 2)
+
+
 def small(ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
     """ids (rows that are cheap to count) with a broadcast hint if they are few enough, else as they are."""
     return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids

@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models, one for each language.
 
 Letters in lower case are symbols, everything else between them is one gap. Counts of ORDER-grams in a bounded sample of
-learning texts (about SAMPLE texts a language, chosen by a hash of the id) give all lower orders: below the highest, a
+learning texts (about SAMPLE texts a language however many it has, chosen by a 62-bit hash of the id) give all lower orders: below the highest, a
 gram counts by how many different symbols stand before it. The models of all languages share sorted arrays of mixed
 64-bit gram codes, one for each order, with a column of log probabilities for each language; contexts have the weight
 of the next lower order likewise. A text's cross-entropy per symbol decides; its language is the lowest one's.
@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import remainder, slices
+from sluice.llm.common import draw, remainder, share_of, slices
 
 ORDER = 4
 #: Learning texts of a language, about, at most; every fourth calibrates.
 SAMPLE = 1600
 CALIBRATING = 4
+#: A language with fewer texts than this in the sample isn't calibrated: all its texts are counted.
+LEAST_CALIBRATED = 40
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -166,12 +168,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     if not sizes:
         return None
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    share = F
+    share, enough = F, F
     for lang, n in sizes.items():
-        share = share.when(F.col("lang") == lang, int(min(1.0, sample / n) * (1 << 20)))
-    chosen = known.filter(draw < share)
-    calibrating = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATING)) == 0
+        share = share.when(F.col("lang") == lang, F.lit(share_of(sample, n)).cast("long"))
+        enough = enough.when(F.col("lang") == lang, min(sample, n) >= LEAST_CALIBRATED)
+    chosen = known.filter(draw("doc_id") < share)
+    # a language of few texts needs all of them for its counts, and its entropies have no upper bound
+    calibrating = enough & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATING)) == 0)
     got = chosen.filter(~calibrating).select("lang", "text").mapInArrow(_counts, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(got["lang"].to_pylist())) if got.num_rows else []
     if not languages:

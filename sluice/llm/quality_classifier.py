@@ -4,7 +4,7 @@ score = sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2
 time linear in the features. Words fall into hashed buckets with counts scaled to length one; statistics (symbols,
 capitals, digits, punctuation, repeated lines and words, word length, text length) fall into bins, one feature each.
 
-Learning takes a bounded sample of labelled rows (MOST_ROWS, chosen by a hash of the id), trained in numpy with
+Learning takes a bounded sample of labelled rows (about MOST_ROWS however many there are, chosen by a 62-bit hash of the id), trained in numpy with
 mini-batches and AdaGrad. Scoring is one pass over all whole texts; the model is a constant 2 MB.
 
 Defined results: null and empty texts get a score (their statistics are zero), without labels every score is 0.5,
@@ -21,9 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from sluice.llm.common import lower, remainder, slices, words
+from sluice.llm.common import draw, lower, remainder, share_of, slices, words
 
 #: Labelled rows that are learnt from, about, at most.
 MOST_ROWS = 12_000
@@ -121,9 +120,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Machine:
     """Learns from labelled rows whose crc32(doc_id) modulo 3 is not 1, about most_rows of them at most."""
     known = labels.filter("quality is not null and doc_id is not null").select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality")).filter(remainder(F.col("doc_id"), 3) != 1)
-    n = known.count()
-    share = min(1.0, most_rows / max(1, n))
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    share = share_of(most_rows, known.count())
+    chosen = known.filter(draw("doc_id") < share).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # the sample's size is bounded by most_rows, so it may be broadcast
     sample = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
     got = sample.select("quality", "text", "doc_id").mapInArrow(_extract, "quality int, ids array<int>, x array<float>").toArrow()
@@ -135,8 +133,15 @@ def _scores(machine: Machine):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             score = np.array([machine.score(*features(t)) for t in texts], np.float64)
-            columns = [part.column(i) for i in range(part.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*part.schema.names, "__score", "__predicted"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+
+    return run
+
+
+def _kept(machine: Machine):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            yield part.filter(pa.array([machine.score(*features(t)) >= 0.5 for t in texts], pa.bool_()))
 
     return run
 
@@ -144,11 +149,10 @@ def _scores(machine: Machine):
 def scores(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, held_out (crc32 modulo 3 is 1), score and predicted of every whole text."""
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    out = d.mapInArrow(_scores(machine), "doc_id long, text string, __score double, __predicted int")
-    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    out = d.mapInArrow(_scores(machine), "doc_id long, score double, predicted int")
+    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
 def kept(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of docs that aren't rejected (predicted 1), with their columns as they came."""
-    schema = StructType([*docs.schema.fields, StructField("__score", DoubleType()), StructField("__predicted", IntegerType())])
-    return docs.mapInArrow(_scores(machine), schema).filter("__predicted = 1").drop("__score", "__predicted")
+    return docs.mapInArrow(_kept(machine), docs.schema)
