@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from cases import ALL_IDS, documents, ids
+from pyspark.sql import functions as F
 
 from sluice.llm import quality_classifier as qc
 from sluice.llm import quality_rules as qr
@@ -39,6 +40,54 @@ def test_thresholds_adapt(spark):
     assert sum(r.kept for r in got.values()) >= 395
 
 
+def plain_kept(spark, rows, least_rows):
+    """Thresholds from exact groups: rows of doc_id, text, lang, source."""
+    ratios = {}
+    for i, text, lang, source in rows:
+        n, chars, symbols, dup, repeat, lines, capitals, stutters = qr.counts((text or "").encode())
+        over = lambda a, b: a / b if b else 0.0
+        ratios[i] = (lang, source, [over(symbols, chars), over(capitals, chars), over(repeat, n), over(dup, lines), over(stutters, n), over(chars, n)], n < 20 or 100 * repeat > 30 * n)
+    def quartiles(values):
+        v = sorted(values)
+        rank = lambda q: v[max(0, -(-int(q * 4) * len(v) // 4) - 1)]  # the inclusive rank of a sketch that holds all values
+        return rank(0.25), rank(0.75)
+    out = {}
+    for i, (lang, source, x, base) in ratios.items():
+        own = [r for r in ratios.values() if r[:2] == (lang, source)]
+        same = [r for r in ratios.values() if r[0] == lang]
+        group = own if len(own) >= least_rows else same if len(same) >= least_rows else list(ratios.values())
+        good = not base
+        for k, rule in enumerate(qr.RULES):
+            low, high = quartiles([r[2][k] for r in group])
+            spread = max(high - low, rule.floor)
+            good &= not (rule.lower and x[k] < low - rule.reach * spread) and not (rule.upper and x[k] > high + rule.reach * spread)
+        out[i] = good
+    return out
+
+
+def test_kept_equals_exact_thresholds(spark, tiny):
+    """Up to 200 values a sketch holds them all, so its quantiles are exact."""
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang", F.concat(F.lit("s"), F.col("doc_id") % 3).alias("source"))
+    rows = [tuple(r) for r in docs.collect()]
+    assert len(rows) <= 200
+    for least_rows in (20, 60):
+        got = {r.doc_id: r.kept for r in qr.judged(docs, least_rows=least_rows).collect()}
+        assert got == plain_kept(spark, rows, least_rows) and len(set(got.values())) == 2
+
+
+def test_repeated_windows_need_equal_words():
+    w = [b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h"]
+    assert qr.repeated_words(w * 10 + [b"z"] * 3) == 80
+
+
+def test_shares_stay_positive_at_any_size():
+    from sluice.llm.common import STEPS, share_of
+
+    for n in (10**4, 10**11, 10**15):
+        for sample in (1600, 12_000):
+            assert abs(n * share_of(sample, n) / STEPS - min(sample, n)) < 0.01 * sample
+
+
 def test_rules_on_awkward_rows(spark):
     docs = documents(spark)
     got = qr.judged(docs).collect()
