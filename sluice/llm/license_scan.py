@@ -1,12 +1,18 @@
 """Licence scan by canonical digests.
 
-Texts are brought to one form (lower case, copyright lines gone, equivalent spellings made one, punctuation and white
-space to single spaces), and the SHA-256 of the whole form is joined with the digests of known licences. The lines of
-a text, each a whole text of its own, are looked up alike among known one-line notices. Known texts are a parameter; the defaults
-hold some short licences and notices.
+Texts are brought to one form: copyright lines gone, lower case, punctuation and white space to single spaces,
+equivalent spellings made one. A copyright line is one that starts with the word or sign and goes on with a sign, a
+year (or its placeholder) or, capitalised, with a name to its end; a wrapped sentence that happens to go on with
+"copyright notice" is text. The SHA-256 of the whole form is looked up among the digests of known licences, and so are
+the lines of a text, each a text of its own. Known texts are a parameter; the defaults hold short licences and notices
+as texts and long ones as digests of their published texts.
+
+Up to MOST_LITERAL known digests are part of the expression itself, so the scan reads texts once and shuffles nothing;
+more are hash-joined.
 
 Defined results: a null or empty text, or one without a letter or digit, has the empty form's digest and no licence;
-of known texts with the same form the first id counts; repeated rows are repeated; other columns are ignored.
+known texts of an empty form count for nothing; of known texts with the same form the first id counts; repeated rows
+are repeated; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,20 +22,26 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import small
 
-#: Equivalent spellings (a pattern over lower-case text, what it becomes).
+#: Equivalent spellings, over lower-case words with single spaces between them (what becomes what).
 SPELLINGS = (
-    (r"licence", "license"),
-    (r"sub-license", "sublicense"),
-    (r"non-commercial", "noncommercial"),
-    (r"acknowledgement", "acknowledgment"),
-    (r"per cent", "percent"),
-    (r"copyright owner", "copyright holder"),
-    (r"favour", "favor"),
-    (r"https:", "http:"),
-    (r"version |\bv\. ", ""),
-    (r"&", " and "),
+    ("licence", "license"),
+    ("sub license", "sublicense"),
+    ("non commercial", "noncommercial"),
+    ("non infringement", "noninfringement"),
+    ("acknowledgement", "acknowledgment"),
+    ("per cent", "percent"),
+    ("copyright owner", "copyright holder"),
+    ("favour", "favor"),
+    ("https ", "http "),
+    (" version ", " "),
+    (" v ", " "),
 )
-COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright|\(c\)|©)[^\n]*$"
+_MARGIN = r"[ \t*#/;-]*"
+#: Copyright lines in lower case; and lines of the word and a name, as they are written.
+COPYRIGHT_LINE = r"(?:^|\n)" + _MARGIN + r"(?:(?:copyright|copr\.)[ \t:,]*(?:\(c\)|©|[0-9]{4}|[\[<{](?:yyyy|year))|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*"
+NAMED_LINE = r"(?:^|\n)(?:" + _MARGIN + r"Copyright[ \t]+(?:[A-Z][a-z0-9.&'-]*,?[ \t]*){2,}(?:\n|$))+"
+#: Known digests up to this many stand in the expression as literals.
+MOST_LITERAL = 2_000
 
 _PERMISSION = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so{terms}
 
@@ -50,34 +62,89 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
 _THIRD = """
 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
 """
-#: Licence texts without their title and copyright lines, and one-line notices.
+_UNENCUMBERED = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+_SHORT = (
+    ("MIT", _PERMISSION.format(terms=_MIT_TERMS), ("", "The MIT License", "MIT License", "The MIT License (MIT)")),
+    ("MIT-0", _PERMISSION.format(terms="."), ("", "MIT No Attribution")),
+    ("ISC", _PURPOSE.format(terms=", provided that the above copyright notice and this permission notice appear in all copies."), ("", "ISC License")),
+    ("0BSD", _PURPOSE.format(terms="."), ("", "BSD Zero Clause License")),
+    ("BSD-2-Clause", _BSD.format(third=""), ("", "All rights reserved.", "BSD 2-Clause License", "BSD 2-Clause License\n\nAll rights reserved.")),
+    ("BSD-3-Clause", _BSD.format(third=_THIRD), ("", "All rights reserved.", "BSD 3-Clause License", "BSD 3-Clause License\n\nAll rights reserved.")),
+    ("Unlicense", _UNENCUMBERED, ("",)),
+)
+#: Licence texts without their copyright lines, under each title, and one-line notices.
 KNOWN = (
-    ("MIT", _PERMISSION.format(terms=_MIT_TERMS)),
-    ("MIT", "The MIT License\n\n" + _PERMISSION.format(terms=_MIT_TERMS)),
-    ("MIT", "MIT License\n\n" + _PERMISSION.format(terms=_MIT_TERMS)),
-    ("MIT-0", _PERMISSION.format(terms=".")),
-    ("ISC", _PURPOSE.format(terms=", provided that the above copyright notice and this permission notice appear in all copies.")),
-    ("0BSD", _PURPOSE.format(terms=".")),
-    ("BSD-2-Clause", _BSD.format(third="")),
-    ("BSD-3-Clause", _BSD.format(third=_THIRD)),
+    *((i, f"{title}\n\n{text}" if title else text) for i, text, titles in _SHORT for title in titles),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("all-rights-reserved", "All rights reserved."),
+)
+#: Digests of the canonical forms of long licences as their stewards publish them, by file name there.
+DIGESTS = (
+    ("Apache-2.0", "56a561bcaf2d3e3099bc992836b55ea7a17a1c01c99abe64858b92b0f3134c6a"),
+    ("Apache-2.0", "3ff2e363ee3915b0a6aad9d16dc7426463e0e39c32b591e51c42ecc13b98f47f"),
+    ("Artistic-1.0-Perl", "9968c2c6a84e31b4004cec6494a1693ed698d0fb57d54ed6ee464f0228fe1cf2"),
+    ("CC0-1.0", "faf752a00431e77a7cb10e16bd3d40575c05b0cd42d19910a32e2a35c449b53b"),
+    ("GFDL-1.2", "7dcf014d80b01a3c1ada95790cbd4e267fe336215e97dbbf7f21a0cdd15aead0"),
+    ("GFDL-1.3", "e8d291721d79f89f531ce09181d7ca00987c0ea22aa02cc9db053a971e0f17fa"),
+    ("GPL-1.0", "310014c8ac015742451ad9c94a3fb85d1a424c97b342b67820012ca5375d7337"),
+    ("GPL-2.0", "f250d8e9bdaceb4970c70578140b9dff2e55ae107797f66c5e8dc845635bfe60"),
+    ("GPL-3.0", "5768470e0527f96eff21a39790958d8ea7c4a653aef1d2b073f9a10fcb321e30"),
+    ("LGPL-2.0", "538f2b5bad6aab8f0ae7f23a9969aea626a4734c66e482e9b62407bb9b3fa3da"),
+    ("LGPL-2.1", "bbc13d69f348b35c0daa0da1ad1c66027b6a4b581894be106fc5998eeb540913"),
+    ("LGPL-3.0", "6b7235d3fb71e3e003c181b2c4040028d4a5fe17bb00b1f21e7bbf9582ca9de5"),
+    ("MPL-1.1", "ac31357a807b96710a73041f16a3b3314806ac7f4c99827f589772eb65b50f5d"),
+    ("MPL-2.0", "02d912b7f55fc2238dc6d20403ab4deab35451ff5dd4e7271ba2c41f49a551be"),
 )
 
 
+def _copyright_gone(text: Column) -> Column:
+    return F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_LINE, "\n")), COPYRIGHT_LINE, "")
+
+
+def _spelt(words: Column) -> Column:
+    """One spelling, of words that have single spaces before, between and after them."""
+    for old, new in SPELLINGS:
+        words = F.replace(words, F.lit(old), F.lit(new))
+    return F.trim(words)
+
+
+def _spaced(lines: Column) -> Column:
+    """Words with single spaces around them; line ends stay."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.replace(lines, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " "), F.lit(" "))
+
+
 def canonical(text: Column) -> Column:
     """The one form of a text."""
-    x = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
-    for pattern, to in SPELLINGS:
-        x = F.regexp_replace(x, pattern, to)
-    return F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
+    return _spelt(F.regexp_replace(_spaced(_copyright_gone(text)), r"[ \n]+", " "))
+
+
+def line_forms(text: Column) -> Column:
+    """The forms of a text's lines, copyright lines gone; a form may be empty."""
+    apart = F.replace(_spaced(_copyright_gone(text)), F.lit("\n"), F.lit(" \n "))
+    for old, new in (("  ", " "), *SPELLINGS):
+        apart = F.replace(apart, F.lit(old), F.lit(new))
+    return F.transform(F.split(apart, "\n"), lambda x: F.trim(x))
 
 
 def digest(text: Column) -> Column:
@@ -88,41 +155,68 @@ def known_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "license_id string, text string")
 
 
-def known_digests(known: DataFrame) -> DataFrame:
-    """digest and license_id, one row for each digest."""
-    k = known.select(digest(known["text"]).alias("known"), known["license_id"]).filter("license_id is not null")
-    return k.groupBy("known").agg(F.min("license_id").alias("license_id"))
+def long_texts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(DIGESTS), "license_id string, digest string")
 
 
-def scanned(docs: DataFrame, known: DataFrame, least_line: int = 8) -> DataFrame:
+def known_digests(known: DataFrame, digests: DataFrame | None = None) -> DataFrame:
+    """known (a digest) and license_id of known texts and digests, one row for each digest but the empty form's."""
+    k = known.select(digest(known["text"]).alias("known"), known["license_id"])
+    if digests is not None:
+        k = k.unionByName(digests.select(digests["digest"].alias("known"), digests["license_id"]))
+    return k.filter((F.col("known") != F.sha2(F.lit(""), 256)) & F.col("license_id").isNotNull()).groupBy("known").agg(F.min("license_id").alias("license_id"))
+
+
+def scanned(docs: DataFrame, known: DataFrame, digests: DataFrame | None = None, most_literal: int = MOST_LITERAL) -> DataFrame:
     """doc_id, digest, license_id (of the whole text, or null) and notices (ids of lines' licences, sorted, joined, or null)."""
-    found = small(known_digests(known))
-    lines = F.filter(F.split(F.coalesce(docs["text"], F.lit("")), "\n"), lambda x: F.length(x) >= least_line)
+    found = known_digests(known, digests)
+    few = found.limit(most_literal + 1).collect()
+    d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], digest(docs["text"]).alias("digest"))
+    lines = F.transform(line_forms(F.col("text")), lambda x: F.sha2(x, 256))
+    if not few:
+        return d.select("doc_id", "digest", *(F.lit(None).cast("string").alias(c) for c in ("license_id", "notices")))
+    if len(few) <= most_literal:
+        ids = F.create_map(*(F.lit(x) for r in few for x in r))
+        every = [r["known"] for r in few]
+        met = F.transform(F.filter(lines, lambda x: x.isin(every)), lambda x: F.element_at(ids, x))
+        whole = F.when(F.col("digest").isin(every), F.element_at(ids, F.col("digest")))
+        return d.select("doc_id", "digest", whole.alias("license_id"), F.nullif(F.array_join(F.array_sort(F.array_distinct(met)), ","), F.lit("")).alias("notices"))
+    found = small(found)
     # what lines hold depends on the text alone, so the text's own digest leads back to its rows
-    text_key = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), digest(docs["text"]).alias("digest"), text_key.alias("__text"))
-    each = docs.select(text_key.alias("__key"), lines.alias("x")).filter(F.size("x") > 0).select("__key", F.explode("x").alias("x")).select("__key", digest(F.col("x")).alias("d"))
+    key = F.sha2(F.coalesce("text", F.lit("")), 256)
+    each = d.select(key.alias("__key"), F.explode(F.array_distinct(lines)).alias("d"))
     met = each.join(found, each["d"] == found["known"]).groupBy("__key").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
-    whole = d.join(found, F.col("digest") == found["known"], "left")
+    whole = d.select("doc_id", "digest", key.alias("__text")).join(found, F.col("digest") == found["known"], "left")
     return whole.join(met, F.col("__text") == F.col("__key"), "left").select("doc_id", "digest", "license_id", "notices")
 
 
-def oracle(known: list[tuple[str, str]] | tuple[tuple[str, str], ...] = KNOWN, least_line: int = 8) -> str:
+def oracle(known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = DIGESTS) -> str:
     """The same in SQL for DuckDB."""
 
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
+    def spaced(x: str) -> str:
+        gone = f"regexp_replace(lower(regexp_replace(coalesce({x}, ''), {quoted(NAMED_LINE)}, chr(10), 'g')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
+        return f"' ' || regexp_replace(replace({gone}, '&', ' and '), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') || ' '"
+
+    def spelt(x: str) -> str:
+        for old, new in SPELLINGS:
+            x = f"replace({x}, {quoted(old)}, {quoted(new)})"
+        return f"trim({x})"
+
     def form(x: str) -> str:
-        x = f"regexp_replace(lower(coalesce({x}, '')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
-        for pattern, to in SPELLINGS:
-            x = f"regexp_replace({x}, {quoted(pattern)}, {quoted(to)}, 'g')"
-        return f"sha256(trim(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')))"
+        return f"sha256({spelt(f"regexp_replace({spaced(x)}, '[ \\n]+', ' ', 'g')")})"
+
+    def line(x: str) -> str:
+        return f"sha256({spelt(f"replace(' ' || {x} || ' ', '  ', ' ')")})"
 
-    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in known)
+    texts = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in known)
+    long = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in digests)
     return f"""
-with known as (select {form("t")} as known, min(i) as license_id from (values {values}) k(i, t) group by 1),
-lines as (select distinct text, {form("x")} as d from (select text, unnest(string_split(coalesce(text, ''), chr(10))) as x from documents) where length(x) >= {least_line} and regexp_matches(lower(x), 'licen[cs]e')),
+with k as (select {form("t")} as known, i from (values {texts}) k(i, t) union all select d, i from (values {long}) k(i, d)),
+known as (select known, min(i) as license_id from k where known <> sha256('') group by 1),
+lines as (select distinct text, {line("x")} as d from (select text, unnest(string_split({spaced("text")}, chr(10))) as x from documents)),
 met as (select text, string_agg(license_id, ',' order by license_id) as notices from (select distinct l.text, k.license_id from lines l join known k on l.d = k.known) group by text),
 d as (select doc_id, text, {form("text")} as digest from documents)
 select d.doc_id, d.digest, k.license_id, m.notices

@@ -58,7 +58,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scanned(documents(spark, sf_dir), license_scan.known_texts(spark))
+    return license_scan.scanned(documents(spark, sf_dir), license_scan.known_texts(spark), license_scan.long_texts(spark))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,7 +91,7 @@ def test_canonical_forms(spark):
 def test_licences_equal_duckdb(spark, tiny):
     c = duckdb.connect()
     c.execute(f"create view documents as select * from read_parquet('{tiny}/documents.parquet')")
-    got = ls.scanned(spark.read.parquet(f"{tiny}/documents.parquet"), ls.known_texts(spark)).select("doc_id", "digest", "license_id", "notices").collect()
+    got = ls.scanned(spark.read.parquet(f"{tiny}/documents.parquet"), ls.known_texts(spark), ls.long_texts(spark)).select("doc_id", "digest", "license_id", "notices").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, c.execute(ls.oracle()).fetchall()))
 
 
@@ -110,3 +110,37 @@ def test_licence_awkward_rows(spark):
     assert by[3].digest == by[4].digest == by[5].digest == hashlib.sha256(b"").hexdigest()
     assert ls.scanned(documents(spark, []), ls.known_texts(spark)).isEmpty()
     assert {r.license_id for r in ls.scanned(docs, ls.known_texts(spark).limit(0)).collect()} == {None}
+
+
+def test_wrapped_licences_are_known(spark):
+    import textwrap
+
+    def wrapped(text, width):
+        return "\n\n".join("\n".join(textwrap.wrap(p, width)) for p in text.split("\n\n"))
+
+    long = [(i, t) for i, t in ls.KNOWN if len(t) > 200]
+    rows, want = [], {}
+    for i, t in long:
+        for width in range(40, 121):
+            want[len(rows)] = i
+            head = ("", "Copyright (c) 2021 Some One\n\n", "Copyright Jane Doe\nCopyright 2019, 2020 The Others, Inc.\n\n", "(C) 2001 X\n")[width % 4]
+            rows.append((len(rows), head + wrapped(t, width), "en", "a", 1))
+    got = {r.doc_id: r.license_id for r in ls.scanned(documents(spark, rows), ls.known_texts(spark)).collect()}
+    assert got == want
+
+
+def test_long_licences_by_digest(spark):
+    import os
+
+    folder = "/usr/share/common-licenses"
+    names = {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "GPL-2.0": "GPL-2", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = {i: open(f"{folder}/{n}", encoding="utf-8").read() for i, n in names.items() if os.path.exists(f"{folder}/{n}")}
+    rows = [(n, change(t), i, "a", 1) for n, (i, t, change) in enumerate((i, t, c) for i, t in texts.items() for c in (str, str.upper, lambda t: "\n".join(" * " + x.strip() for x in t.split("\n"))))]
+    for r in ls.scanned(documents(spark, rows).select("doc_id", "text"), ls.known_texts(spark), ls.long_texts(spark)).collect():
+        assert r.license_id == rows[r.doc_id][2]
+
+
+def test_many_known_texts_are_joined(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").union(spark.createDataFrame([(-1, ls.KNOWN[0][1], "en", "a", 1), (-2, "x\nAll rights reserved\nReleased under the MIT licence", "en", "a", 1)], "doc_id long, text string, lang string, source string, n_chars long"))
+    inside, joined = (sorted(map(str, ls.scanned(docs, ls.known_texts(spark), ls.long_texts(spark), n).collect())) for n in (2000, 3))
+    assert inside == joined
