@@ -5,6 +5,7 @@ import random
 from cases import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate as d
 
@@ -45,6 +46,49 @@ def test_tiles_equal_plain(doc, item):
     assert len({x for a, _, n in found for x in range(a, a + n)}) == sum(n for *_, n in found) == len({x for _, b, n in found for x in range(b, b + n)})
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"d", b"x"]), max_size=60), st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), max_size=30), st.integers(1, 4))
+def test_longer_tiles_equal_plain(doc, item, least):
+    assert sum(n for *_, n in d.tiles(doc, item, least)) == plain_tiles(doc, item, least)
+
+
+def test_repetitive_texts_in_bounded_memory_and_time():
+    import time
+    import tracemalloc
+
+    def texts(n):
+        yield b"word " * n, b"word " * 500, 1.0
+        yield b"one two three four five six seven " * (n // 7), b"one two three four five six seven " * 20 + b"two one three four five " * 60, 0.3
+
+    for doc, item, least_share in texts(1_000_000):
+        words, other = d.tokens(doc), d.tokens(item)
+        start = time.time()
+        assert d.coverage(words, other) >= least_share and time.time() - start < 5
+    for doc, item, _ in texts(100_000):
+        words, other = d.tokens(doc), d.tokens(item)
+        tracemalloc.start()
+        d.coverage(words, other)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 10 << 20  # in proportion: 100 MB for a million words
+
+
+def test_spared_windows_lose_no_pair(spark):
+    rnd = random.Random(4)
+    head = [f"h{i}" for i in range(20)]
+    items = [(i, " ".join(head + [f"i{i}w{k}" for k in range(30)])) for i in range(60)]
+    docs = [(i, " ".join(head)) for i in range(100, 140)] + [(i, t) for i, t in items[:20]]
+    for i in range(200, 260):
+        w = rnd.choice(items)[1].split()
+        docs.append((i, " ".join(w[: rnd.randint(5, 50)] + ["x"] + w[rnd.randint(0, 40) :])))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = plain_pairs(docs, items)
+    for hot in (0, 3, 16, 10**6):
+        assert {(r.doc_id, r.item_id): r.coverage for r in d.contaminated(*frames, hot_items=hot).collect()} == want
+    kept = d.needed_windows(frames[1].mapInArrow(d._seeds(5, None), "id long, h long, n int, times int"), 5, 0.6, 16).groupBy("id").agg(F.count("*").alias("n"), F.max("spared").alias("spared")).collect()
+    assert len(kept) == 60 and {(r.n, r.spared) for r in kept} == {(41, 5)}
+
+
 def test_reordered_passages_count():
     rnd = random.Random(1)
     item = [b"w%d" % i for i in range(40)]
