@@ -6,11 +6,11 @@ at 3. Two segments that differ in at most 2 bits share such a codeword (the one
 them), and two that differ in at most 1 bit have the nearest codeword of either one among those of the other.
 
 Four errors over three segments leave (pigeonhole) either one segment without an error and another with at most two,
-or two segments with at most one each. So every fingerprint gets these keys:
+or an error in each, where two segments have just one (so one half of each is as it was) and the third at most two. So
+every fingerprint gets these keys:
 
 * for each ordered pair of segments: the first as it is, with each codeword near the second (33 bits),
-* for each pair of segments, as a left side: each codeword near the one with each near the other; as a right side:
-  the two nearest codewords (24 bits).
+* for each segment: each codeword near it, with one half of each other segment as it is (32 to 34 bits).
 
 A join on the keys meets every pair of different fingerprints within four bits and counts their differing bits; a pair
 counts only at the first kind of key that suits it. Equal fingerprints are never paired: they have one node. Links
@@ -40,6 +40,9 @@ MOST_BITS = 4
 SEED = 42
 #: Low bit and width of each segment.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
+#: Low bit and width of the halves of each segment; and a segment with one half of each other.
+HALVES = tuple(((lo, w // 2), (lo + w // 2, w - w // 2)) for lo, w in SEGMENTS)
+_HALVES = tuple((r, a, b) for r, p, q in ((2, 0, 1), (1, 0, 2), (0, 1, 2)) for a in HALVES[p] for b in HALVES[q])
 #: Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GOLAY = 0xAE3
 
@@ -100,55 +103,49 @@ def codewords(x: np.ndarray) -> np.ndarray:
     return np.where(e < 0, -1, (x[:, None] ^ e) >> 11)
 
 
-def keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each fingerprint as a left and as a right side; -1: none."""
+def keys(f: np.ndarray) -> np.ndarray:
+    """Keys of each fingerprint; -1: none."""
     seg = [(f >> lo & ((1 << w) - 1)).astype(np.int64) for lo, w in SEGMENTS]
     near = [codewords(s) for s in seg]
-    both, left, right = [], [], []
+    out = []
     for kind, (p, q) in enumerate(permutations(range(3), 2)):
-        both.append(np.where(near[q] < 0, -1, kind << 40 | seg[p][:, None] << 12 | near[q]))
-    for kind, (p, q) in enumerate(combinations(range(3), 2), 6):
-        a, b = near[p][:, :, None], near[q][:, None, :]
-        left.append(np.where((a < 0) | (b < 0), -1, kind << 40 | a << 12 | b).reshape(len(f), -1))
-        right.append((kind << 40 | near[p][:, :1] << 12 | near[q][:, :1]))
-    return np.concatenate(both + left, 1), np.concatenate(both + right, 1)
+        out.append(np.where(near[q] < 0, -1, kind << 40 | seg[p][:, None] << 12 | near[q]))
+    for kind, (r, a, b) in enumerate(_HALVES, 6):
+        halves = (f >> a[0] & ((1 << a[1]) - 1)) << 11 | (f >> b[0] & ((1 << b[1]) - 1))
+        out.append(np.where(near[r] < 0, -1, kind << 40 | halves[:, None] << 12 | near[r]))
+    return np.concatenate(out, 1)
 
 
-def _keyed(side: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                f = batch.column(0).slice(start, 4096).to_numpy(zero_copy_only=False)
-                k = keys(f)[side]
-                good = k >= 0
-                yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(f[:, None], k.shape)[good]), pa.array(k[good])], ["f", "k"])
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            f = batch.column(0).slice(start, 4096).to_numpy(zero_copy_only=False)
+            k = keys(f)
+            good = k >= 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(f[:, None], k.shape)[good]), pa.array(k[good])], ["f", "k"])
 
-    return run
 
-
-def _differing(x: Column, segment: int) -> Column:
-    lo, w = SEGMENTS[segment]
-    return F.bit_count(x.bitwiseAND(F.lit(((1 << w) - 1) << lo if lo + w < 64 else -(1 << lo))))
+def _differing(x: Column, low: int, width: int) -> Column:
+    return F.bit_count(x.bitwiseAND(F.lit(((1 << width) - 1) << low if low + width < 64 else -(1 << low))))
 
 
 def _suits(x: Column, kind: Column) -> Column:
     """True where the kind of key is the first that must bring together fingerprints with the given differing bits."""
-    d = [_differing(x, i) for i in range(3)]
+    d = [_differing(x, *s) for s in SEGMENTS]
     first = F
     for i, (p, q) in enumerate(permutations(range(3), 2)):
         first = first.when((d[p] == 0) & (d[q] <= 2), i)
-    for i, (p, q) in enumerate(combinations(range(3), 2), 6):
-        first = first.when((d[p] <= 1) & (d[q] <= 1), i)
+    for i, (r, a, b) in enumerate(_HALVES, 6):
+        first = first.when((d[r] <= 2) & (_differing(x, *a) == 0) & (_differing(x, *b) == 0), i)
     return first == kind
 
 
 def links(prints: DataFrame) -> DataFrame:
     """Pairs a < b of different fingerprints (column f) that differ in at most four bits, each once."""
-    different = prints.select("f").distinct()
-    left = different.mapInArrow(_keyed(0), "f long, k long").toDF("a", "k")
-    right = different.mapInArrow(_keyed(1), "f long, k long").toDF("b", "k")
+    keyed = prints.select("f").distinct().mapInArrow(_keyed, "f long, k long")
+    left, right = keyed.toDF("a", "k"), keyed.toDF("b", "j")
     x = F.col("a").bitwiseXOR(F.col("b"))
-    met = left.join(right, (left["k"] == right["k"]) & (F.col("a") < F.col("b")) & (F.bit_count(x) <= MOST_BITS) & _suits(x, F.shiftright(left["k"], 40)))
+    met = left.join(right, (F.col("k") == F.col("j")) & (F.col("a") < F.col("b")) & (F.bit_count(x) <= MOST_BITS) & _suits(x, F.shiftright("k", 40)))
     return met.select("a", "b").distinct()
 
 

@@ -51,10 +51,19 @@ def test_keys_meet_within_four_bits(errors):
     rnd = random.Random(errors)
     f = np.array([rnd.getrandbits(64) for _ in range(1500)], np.uint64)
     g = np.array([int(x) ^ sum(1 << b for b in rnd.sample(range(64), errors)) for x in f], np.uint64)
-    left, right = simhash.keys(f.view(np.int64))[0], simhash.keys(g.view(np.int64))[1]
+    left, right = simhash.keys(f.view(np.int64)), simhash.keys(g.view(np.int64))
     assert all(set(p[p >= 0]) & set(q[q >= 0]) for p, q in zip(left, right, strict=True))
 
 
+def test_keys_are_wide():
+    for a in simhash.HALVES:
+        assert sum(w for _, w in a) in (21, 22)
+    # bits of a key besides its kind: a segment or two halves as they are, and a codeword's twelve
+    assert min(a[1] + b[1] + 12 for _, a, b in simhash._HALVES) >= 32 and len(simhash._HALVES) == 12
+    k = simhash.keys(np.array([random.Random(5).getrandbits(63) for _ in range(500)], np.int64))
+    assert (k >= 0).sum(1).max() <= 108 and (k >= 0).sum(1).min() >= 18
+
+
 def prints_frame(spark, prints):
     return spark.createDataFrame([(i, int(np.uint64(f).astype(np.int64))) for i, f in prints.items()], "doc_id long, f long")
 
