@@ -16,6 +16,12 @@ A join on the keys meets every pair of different fingerprints within four bits a
 counts only at the first kind of key that suits it. Equal fingerprints are never paired: they have one node. Links
 become components by alternating star contraction, wholly in joins and grouped minima.
 
+groups() is that rule. Four bits of 64 are far less than the difference of near copies (texts of 0.8 similarity differ
+in some ten), so deduplicated() has a rule of its own: five-word shingle sets with a Jaccard similarity of 0.8 or more.
+Its candidates are the fingerprints' links and texts that share a class of shingles (class_keys); the sets decide.
+Candidates by keys are a matter of chance: a pair of similar texts is missed in fewer than one of 10,000 cases where
+few texts share its keys, and more often within large groups, where chains of links stand in.
+
 Defined results: a null or empty text, or one without a word, has fingerprint zero and is linked like any other; rows
 with a null id get their group's smallest id (null if the group has none); repeated rows are repeated in the result.
 """
@@ -31,12 +37,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sluice.llm.common import cut, lower, slices, small, words
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
+#: Near copies: words of a shingle, and the similarity of the shingle sets.
+COPY_WORDS, LEAST_SIMILAR = 5, 0.8
+#: Classes of a text's shingles that give keys, and members of a key's group that every other is compared with.
+CLASSES, LEADERS = 24, 4
 SEED = 42
 #: Low bit and width of each segment.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -183,19 +192,127 @@ def grouped(prints: DataFrame) -> DataFrame:
     return prints.join(of, "f").select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id; a row whose id is null stays.
+def shingles(text: bytes, size: int = COPY_WORDS) -> np.ndarray:
+    """The sorted different XXH64 of a text's shingles; a shorter text is one shingle, one without a word has none."""
+    w = words(lower(text))
+    if not w:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(w) - size + 1)
+    grams = map(b" ".join, zip(*(w[i:] for i in range(size)), strict=False)) if len(w) > size else iter((b" ".join(w),))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, n))
+
+
+def class_keys(h: np.ndarray, least: float = LEAST_SIMILAR, most: int = CLASSES) -> np.ndarray:
+    """Keys of a set of shingles: a mixed sum for each of its classes by hash.
+
+    Two sets as similar as `least` differ in at most (1 - least) / least of the smaller one's size; there are as many
+    classes as that, so (pigeonhole, as for the segments of a fingerprint) each class stays whole with a chance of a
+    third or more. The first `most` classes give keys. Class counts go by powers of two of the set's size, and a set
+    whose partner may have the next power has keys for both.
+    """
+    out = []
+    level = len(h).bit_length() - 1
+    for b in (level, level + 1) if len(h) >= least * (2 << level) else (level,):
+        n_classes = max(1, int((2 << b) * (1 - least) / least + 0.5))
+        of = h >> np.uint64(20)
+        of = of % np.uint64(n_classes) if n_classes > 1 else np.zeros(len(h), np.uint64)
+        chosen = of < most
+        g, of = h[chosen], of[chosen]
+        order = np.argsort(of, kind="stable")
+        g, of = g[order] * np.uint64(0x9E3779B97F4A7C15), of[order]
+        g ^= g >> np.uint64(29)
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))[: len(of)]
+        if len(first):
+            sums = np.add.reduceat(g * np.uint64(0xBF58476D1CE4E5B9), first)
+            out.append((sums ^ (of[first] + np.uint64(1)) * np.uint64(0x94D049BB133111EB)) + np.uint64(b + 1) * np.uint64(0xD6E8FEB86659FD93))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _copy_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, texts in slices(batches):
+        sets = [shingles(t) for t in texts]
+        f = np.fromiter(map(_majority, sets), np.uint64, len(sets)).view(np.int64)
+        ks = [np.append(class_keys(h), x.view(np.uint64)).view(np.int64) if len(h) else np.zeros(0, np.int64) for h, x in zip(sets, f, strict=True)]
+        offsets = np.cumsum([0, *map(len, ks)]).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *ks])))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), listed], ["doc_id", "c", "f", "n", "ks"])
+
+
+def _majority(h: np.ndarray) -> int:
+    """The fingerprint of a set of shingles."""
+    if not len(h):
+        return 0
+    set_in = sum(np.unpackbits(h[i : i + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64) for i in range(0, len(h), 1 << 16))
+    return int(np.packbits(2 * set_in > len(h), bitorder="little").view(np.uint64)[0])
+
+
+def _similar(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[bytes | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        for part, texts in slices(batches, "u_text"):
+            (others,) = (x for _, x in slices(iter([part]), "v_text"))
+            good = []
+            for t, other in zip(texts, others, strict=True):
+                if t != last[0]:
+                    last = (t, shingles(t))
+                a, b = last[1], shingles(other)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(both >= least * (len(a) + len(b) - both))
+            yield part.filter(pa.array(good, pa.bool_())).select(["u", "v"])
+
+    return run
+
+
+def candidates(nodes: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
+    """Pairs u < v of nodes (least, f, n, ks) that share a key or have fingerprints within four bits, sizes permitting.
+
+    A node is paired with a few members of each of its keys' groups, chosen by hashes of the group's nodes and so the
+    same for all of it: the work grows with the keys, not with the square of a group. A small group's pairs are all met.
+    """
+    each = nodes.select("least", "n", F.explode("ks").alias("k"))
+    member = F.struct("least", "n")
+    led = each.groupBy("k").agg(F.count("*").alias("size"), F.array_distinct(F.array(*(F.min_by(member, F.xxhash64("least", F.lit(i))) for i in range(LEADERS)))).alias("leaders")).filter("size > 1").drop("size")
+    met = each.join(led, "k").select(F.col("least").alias("a"), F.col("n").alias("a_n"), F.explode("leaders").alias("x")).select("a", "a_n", F.col("x.least").alias("b"), F.col("x.n").alias("b_n"))
+    # of the nodes with one fingerprint the key groups take care; one of them stands for all beside other fingerprints
+    stand = cut(nodes.groupBy("f").agg(F.min(F.struct("least", "n")).alias("x")).select("f", "x.least", "x.n"))
+    sides = [stand.select(F.col("f").alias(s), F.col("least").alias(f"{s}_id"), F.col("n").alias(f"{s}_n")) for s in ("p", "q")]
+    close = links(stand).toDF("p", "q").join(sides[0], "p").join(sides[1], "q").select(F.col("p_id").alias("a"), F.col("p_n").alias("a_n"), F.col("q_id").alias("b"), F.col("q_n").alias("b_n"))
+    fit = (F.col("a") != F.col("b")) & (F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * least)
+    return met.union(close).filter(fit).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
+
+
+def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
+    """doc_id and component_id, the smallest doc_id reachable over links, of all rows with an id.
+
+    Texts with the same set of five-word shingles are linked, and texts whose sets have a Jaccard similarity of `least`
+    or more: candidates() proposes, the whole texts' sets decide.
+    """
+    prints = cut(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_copy_prints, "doc_id long, c string, f long, n int, ks array<long>").filter("doc_id is not null"))
+    nodes = cut(prints.groupBy("c").agg(F.min("doc_id").alias("least"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks")))
+    pairs = cut(candidates(nodes, least))
+    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"])
+    held = texts.join(small(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()), "id", "left_semi").dropDuplicates(["id", "text"])
+    # v is a group's member mostly and u its leader, so rows of a hot u are spread by v first
+    told = pairs.join(held.toDF("v", "v_text"), "v").join(held.toDF("u", "u_text"), "u").select("u", "v", "u_text", "v_text")
+    edges = told.mapInArrow(_similar(least), "u long, v long")
+    found = components(edges)
+    of = nodes.select("c", "least").join(found, F.col("least") == found["node"], "left").select("c", F.coalesce("component", "least").alias("component_id"))
+    return prints.select("doc_id", "c").join(of, "c").select("doc_id", "component_id")
+
+
+def deduplicated(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
+    """One document of each group of similar_groups(), the one with the smallest id; a row whose id is null stays.
 
-    All columns of docs are returned as they came.
+    All columns of docs are returned as they came. Of rows with the same id one stays.
     """
-    prints = cut(fingerprints(docs))
-    gone = small(cut(grouped(prints).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()))
+    found = cut(similar_groups(docs, least))
+    gone = small(cut(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()))
     left = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
     # ids of repeated rows, of which one row stays; mostly there are none, and texts need no shuffle
-    twice = cut(prints.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id")))
+    twice = cut(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id")))
     if twice.isEmpty():
         return left
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     twice = small(twice)
-    repeated = left.join(twice, left["doc_id"] == twice["__id"], "left_semi").withColumn("__again", again).filter("__again = 1").drop("__again")
-    return left.join(twice, left["doc_id"] == twice["__id"], "left_anti").unionByName(repeated)
+    again = left.join(twice, left["doc_id"] == twice["__id"], "left_semi")
+    one = again.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(F.struct(*(again[c] for c in docs.columns)), F.xxhash64("text")).alias("__row")).select("__row.*")
+    return left.join(twice, left["doc_id"] == twice["__id"], "left_anti").unionByName(one)
