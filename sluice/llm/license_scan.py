@@ -17,6 +17,10 @@ are repeated; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,33 +122,50 @@ DIGESTS = (
 )
 
 
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x worked out once."""
+    return F.transform(F.array(x), f)[0]
+
+
 def _copyright_gone(text: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_LINE, "\n")), COPYRIGHT_LINE, "")
+    """Lower-case text; the patterns run only where their words are."""
 
+    def named(x: Column) -> Column:
+        return F.when(F.contains(x, F.lit("Copyright")), F.regexp_replace(x, NAMED_LINE, "\n")).otherwise(x)
 
-def _spelt(words: Column) -> Column:
-    """One spelling, of words that have single spaces before, between and after them."""
-    for old, new in SPELLINGS:
-        words = F.replace(words, F.lit(old), F.lit(new))
-    return F.trim(words)
+    def signed(x: Column) -> Column:
+        any_sign = reduce(or_, (F.contains(x, F.lit(sign)) for sign in ("copyright", "copr.", "(c)", "©")))
+        return F.when(any_sign, F.regexp_replace(x, COPYRIGHT_LINE, "")).otherwise(x)
 
+    return _bound(F.lower(_bound(F.coalesce(text, F.lit("")), named)), signed)
 
-def _spaced(lines: Column) -> Column:
-    """Words with single spaces around them; line ends stay."""
-    return F.concat(F.lit(" "), F.regexp_replace(F.replace(lines, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " "), F.lit(" "))
 
+def _spelt(words: Column, spellings: tuple[tuple[str, str], ...]) -> Column:
+    """One spelling, of words that have single spaces before, between and after them."""
 
-def canonical(text: Column) -> Column:
-    """The one form of a text."""
-    return _spelt(F.regexp_replace(_spaced(_copyright_gone(text)), r"[ \n]+", " "))
+    def replaced(old: str, new: str) -> Callable[[Column], Column]:
+        return lambda x: F.when(F.contains(x, F.lit(old)), F.replace(x, F.lit(old), F.lit(new))).otherwise(x)
+
+    for old, new in spellings:
+        words = _bound(words, replaced(old, new))
+    return words
 
 
 def line_forms(text: Column) -> Column:
-    """The forms of a text's lines, copyright lines gone; a form may be empty."""
-    apart = F.replace(_spaced(_copyright_gone(text)), F.lit("\n"), F.lit(" \n "))
-    for old, new in (("  ", " "), *SPELLINGS):
-        apart = F.replace(apart, F.lit(old), F.lit(new))
-    return F.transform(F.split(apart, "\n"), lambda x: F.trim(x))
+    """The forms of a text's lines that aren't empty, copyright lines gone."""
+    plain = F.regexp_replace(F.replace(_copyright_gone(text), F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " ")
+    apart = F.replace(F.replace(F.concat(F.lit(" "), plain, F.lit(" ")), F.lit("\n"), F.lit(" \n ")), F.lit("  "), F.lit(" "))
+    return F.filter(F.transform(F.split(_spelt(apart, SPELLINGS), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def whole_form(lines: Column) -> Column:
+    """The form of the text of these lines; spellings of two words may go over a line's end."""
+    return F.trim(_spelt(F.concat(F.lit(" "), F.array_join(lines, " "), F.lit(" ")), tuple(x for x in SPELLINGS if " " in x[0].strip())))
+
+
+def canonical(text: Column) -> Column:
+    """The one form of a text."""
+    return whole_form(line_forms(text))
 
 
 def digest(text: Column) -> Column:
@@ -171,8 +192,9 @@ def scanned(docs: DataFrame, known: DataFrame, digests: DataFrame | None = None,
     """doc_id, digest, license_id (of the whole text, or null) and notices (ids of lines' licences, sorted, joined, or null)."""
     found = known_digests(known, digests)
     few = found.limit(most_literal + 1).collect()
-    d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], digest(docs["text"]).alias("digest"))
-    lines = F.transform(line_forms(F.col("text")), lambda x: F.sha2(x, 256))
+    d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], line_forms(docs["text"]).alias("lines"))
+    d = d.select("doc_id", "text", "lines", F.sha2(whole_form(F.col("lines")), 256).alias("digest"))
+    lines = F.transform("lines", lambda x: F.sha2(x, 256))
     if not few:
         return d.select("doc_id", "digest", *(F.lit(None).cast("string").alias(c) for c in ("license_id", "notices")))
     if len(few) <= most_literal:
@@ -196,28 +218,28 @@ def oracle(known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str,
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    def spaced(x: str) -> str:
-        gone = f"regexp_replace(lower(regexp_replace(coalesce({x}, ''), {quoted(NAMED_LINE)}, chr(10), 'g')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
-        return f"' ' || regexp_replace(replace({gone}, '&', ' and '), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') || ' '"
-
-    def spelt(x: str) -> str:
-        for old, new in SPELLINGS:
+    def spelt(x: str, spellings: tuple[tuple[str, str], ...]) -> str:
+        for old, new in spellings:
             x = f"replace({x}, {quoted(old)}, {quoted(new)})"
-        return f"trim({x})"
+        return x
 
-    def form(x: str) -> str:
-        return f"sha256({spelt(f"regexp_replace({spaced(x)}, '[ \\n]+', ' ', 'g')")})"
+    def lines(x: str) -> str:
+        gone = f"regexp_replace(lower(regexp_replace(coalesce({x}, ''), {quoted(NAMED_LINE)}, chr(10), 'g')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
+        plain = f"' ' || regexp_replace(replace({gone}, '&', ' and '), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') || ' '"
+        apart = f"replace(replace({plain}, chr(10), ' ' || chr(10) || ' '), '  ', ' ')"
+        return f"list_filter(list_transform(string_split({spelt(apart, SPELLINGS)}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
 
-    def line(x: str) -> str:
-        return f"sha256({spelt(f"replace(' ' || {x} || ' ', '  ', ' ')")})"
+    def whole(x: str) -> str:
+        two = tuple(s for s in SPELLINGS if " " in s[0].strip())
+        return f"sha256(trim({spelt(f"' ' || array_to_string({x}, ' ') || ' '", two)}))"
 
     texts = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in known)
     long = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in digests)
     return f"""
-with k as (select {form("t")} as known, i from (values {texts}) k(i, t) union all select d, i from (values {long}) k(i, d)),
+with k as (select {whole("x")} as known, i from (select i, {lines("t")} as x from (values {texts}) k(i, t)) union all select d, i from (values {long}) k(i, d)),
 known as (select known, min(i) as license_id from k where known <> sha256('') group by 1),
-lines as (select distinct text, {line("x")} as d from (select text, unnest(string_split({spaced("text")}, chr(10))) as x from documents)),
-met as (select text, string_agg(license_id, ',' order by license_id) as notices from (select distinct l.text, k.license_id from lines l join known k on l.d = k.known) group by text),
-d as (select doc_id, text, {form("text")} as digest from documents)
-select d.doc_id, d.digest, k.license_id, m.notices
-from d left join known k on d.digest = k.known left join met m on d.text = m.text"""
+d as (select doc_id, text, {lines("text")} as x from documents),
+lines as (select distinct text, sha256(l) as d from (select text, unnest(x) as l from d)),
+met as (select text, string_agg(license_id, ',' order by license_id) as notices from (select distinct l.text, k.license_id from lines l join known k on l.d = k.known) group by text)
+select d.doc_id, {whole("d.x")} as digest, k.license_id, m.notices
+from d left join known k on {whole("d.x")} = k.known left join met m on d.text = m.text"""
