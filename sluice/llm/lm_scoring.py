@@ -1,14 +1,19 @@
 """A log-bilinear language model, trained with noise-contrastive estimation, scores whole texts.
 
-Outputs of the network are the most frequent words, the text's end, and classes of all other words (by a checksum of
-their first bytes). A context vector is the sum over the last CONTEXT outputs of their vectors times a vector of the
-position; its product with each output's vector plus a bias is the output's score. A word of a class then has its
-add-one share of the class, so the model gives a probability to every word, seen or not, and they sum to one.
+Every word of LEAST_OWN occurrences or more (at most HEAD_WORDS) has a vector, which stands for it as context and as
+output alike. A context vector is the sum over the last CONTEXT words of their vectors times a vector of the position,
+and the mean of the last MEMORY words' vectors times one more (which trains only the latter). Its product with an output's vector plus a bias is the
+output's score, normalised in two steps: among the most frequent words, the text's end and classes of all other words
+(by a checksum of their first bytes), then within the class among its words with vectors and one symbol for its rest.
+Words of the rest share its probability by their counts less a discount; what that frees is the class's unseen word,
+one symbol as in the base score. So the probabilities of all words and the unseen ones sum to one.
 
 1. Counts of all words of all learning documents (partial sums in tasks, then a shuffle by word).
 2. Words of a high count, at most HEAD_WORDS, go to all tasks; rarer ones stay in the table of counts.
-3. Training: each round takes its share of the learning documents, each of them once in all; every task trains a copy
-   in numpy with noise samples shared by a batch, and the copies are averaged by their tokens.
+3. Training: documents fall into shards of about SHARD_TOKENS words by a hash of id and text, however the input is
+   partitioned, and each shard's documents stand in the order of that hash. Every round takes its share of the shards;
+   each trains a copy in numpy in that order, and a vector's copies are averaged by its occurrences, in whole numbers,
+   whose sums don't depend on their order.
 4. Scoring: batched matrix products give all outputs' scores, and their log-sum the normaliser. Counts of rare words
    come by a join on the word.
 
@@ -32,15 +37,19 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, lower, remainder, slices, words
 
-#: Words whose counts all tasks have: a constant bound.
+#: Words whose counts all tasks have, and the bound of words with vectors.
 HEAD_WORDS = 1 << 16
-#: Words that are outputs of their own, and classes of the others. With the end: 256 outputs.
-OWN_WORDS, CLASSES = 191, 64
-END = OWN_WORDS
-OUTPUTS = OWN_WORDS + 1 + CLASSES
-CONTEXT, WIDTH = 3, 16
-ROUNDS, NOISE, BATCH, RATE = 2, 24, 4096, 0.08
-PART = 64
+#: Occurrences from which on a word has a vector.
+LEAST_OWN = 4
+#: Words that are outputs of the first step, and classes of the others. With the end: 384 outputs.
+OWN_WORDS, CLASSES = 127, 256
+CONTEXT, MEMORY, WIDTH = 3, 64, 16
+#: Shares of the shards that each round trains on, of 16.
+ROUNDS = (2, 14)
+SHARD_TOKENS = 2_000_000
+NOISE, CLASS_NOISE, BATCH, RATE = 32, 4, 4096, 0.2
+#: Averages are sums of whole numbers: values by this, times occurrences up to MOST_WEIGHT.
+UNIT, MOST_WEIGHT = 1 << 15, 256
 #: The end of a text in the table of counts (words are never empty).
 END_WORD = b""
 
@@ -66,129 +75,222 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+class Vocabulary:
+    """Rows of the words with vectors and of the other symbols, and which rows are normalised together.
+
+    Rows are the first step's outputs (frequent words, END, the classes), then the start of a text, then the rest of
+    each class, then the classes' words.
+    """
+
+    def __init__(self, counted: list[tuple[bytes, int]], ends: int, rest: np.ndarray):
+        """counted: words with vectors, most frequent first; rest: occurrences of each class's other words."""
+        own = counted[:OWN_WORDS]
+        self.end, self.classes = OWN_WORDS, OWN_WORDS + 1
+        self.n_first = self.classes + CLASSES
+        self.start, self.rest = self.n_first, self.n_first + 1
+        first_word = self.rest + CLASSES
+        self.row = {w: i for i, (w, _) in enumerate(own)} | {w: i for i, (w, _) in enumerate(counted[OWN_WORDS:], first_word)}
+        self.n_rows = first_word + max(0, len(counted) - OWN_WORDS)
+        of = np.array([word_class(w) for w, _ in counted[OWN_WORDS:]], np.int64)
+        self.class_of = np.full(self.n_rows, -1, np.int64)  # of the rows of the second step
+        self.class_of[self.rest : first_word] = np.arange(CLASSES)
+        self.class_of[first_word:] = of
+        count = np.zeros(self.n_rows)
+        count[: len(own)] = [c for _, c in own]
+        count[self.end] = ends
+        count[self.rest : first_word] = rest
+        count[first_word:] = [c for _, c in counted[OWN_WORDS:]]
+        count += 0.5
+        count[self.classes : self.n_first] = np.bincount(self.class_of[self.rest :], count[self.rest :], CLASSES)
+        # rows of a class side by side, and each row's share of what it is normalised with
+        self.order = np.argsort(self.class_of[self.rest :], kind="stable") + self.rest
+        self.bounds = np.searchsorted(self.class_of[self.order], np.arange(CLASSES + 1))
+        share = np.ones(self.n_rows)
+        share[: self.n_first] = count[: self.n_first] / count[: self.n_first].sum()
+        share[self.rest :] = count[self.rest :] / count[self.classes : self.n_first][self.class_of[self.rest :]]
+        self.log_share = np.log(share).astype(np.float32)
+        self.first_sums = np.cumsum(share[: self.n_first])
+        self.class_sums = np.cumsum(share[self.order])
+
+    def rows(self, w: list[bytes]) -> list[int]:
+        """The rows of words; a word without a vector has its class's rest."""
+        row, rest = self.row, self.rest
+        return [row[x] if x in row else rest + crc32(x[:3]) % CLASSES for x in w]
+
+
 @dataclass
 class Parameters:
-    """All parameters in one vector: output vectors, biases, context vectors (the last is the start's), positions."""
+    """A vector and bias (the last column) for each row, and vectors of the context's positions (the last: the mean)."""
 
-    flat: np.ndarray
-
-    @staticmethod
-    def shapes() -> list[tuple[int, ...]]:
-        return [(OUTPUTS, WIDTH), (OUTPUTS,), (OUTPUTS + 1, WIDTH), (CONTEXT, WIDTH)]
+    table: np.ndarray
+    position: np.ndarray
 
     @classmethod
-    def size(cls) -> int:
-        return sum(int(np.prod(s)) for s in cls.shapes())
+    def fresh(cls, v: Vocabulary, seed: int = 11) -> Parameters:
+        table = np.random.default_rng(seed).normal(0, 0.1, (v.n_rows, WIDTH + 1)).astype(np.float32)
+        table[:, WIDTH] = v.log_share
+        position = np.full((CONTEXT + 1, WIDTH), 0.5, np.float32)
+        position[CONTEXT] = 2.0
+        return cls(table, position)
 
-    def views(self) -> list[np.ndarray]:
-        out, at = [], 0
-        for s in self.shapes():
-            n = int(np.prod(s))
-            out.append(self.flat[at : at + n].reshape(s))
-            at += n
-        return out
+    def copy(self) -> Parameters:
+        return Parameters(self.table.copy(), self.position.copy())
 
-    @classmethod
-    def fresh(cls, unigram: np.ndarray, seed: int = 11) -> Parameters:
-        rng = np.random.default_rng(seed)
-        p = cls(np.zeros(cls.size(), np.float32))
-        out, bias, context, position = p.views()
-        out[:] = rng.normal(0, 0.1, out.shape)
-        context[:] = rng.normal(0, 0.1, context.shape)
-        position[:] = 1.0
-        bias[:] = np.log(unigram)
-        return p
-
-
-def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the values by row, as an (n, width) array."""
-    order = np.argsort(rows.astype(np.int16), kind="stable")
-    ordered = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out = np.zeros((n, values.shape[1]), np.float32)
-    out[ordered[first]] = np.add.reduceat(values[order], first)
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums of the rows before each place."""
+    out = np.zeros((len(x) + 1, x.shape[1]), np.float64)
+    np.cumsum(x, axis=0, out=out[1:])
     return out
 
 
+class Line:
+    """Texts one after another, each as the rows of its words and END; the context of each place."""
+
+    def __init__(self, texts: list[np.ndarray], start: int):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        self.target = np.concatenate([np.zeros(0, np.int64), *texts])
+        self.place = np.arange(len(self.target)) - np.repeat(ends - sizes, sizes)
+        self.last = np.repeat(ends, sizes)
+        at = np.arange(len(self.target))
+        self.contexts = [np.where(self.place > i, self.target[np.maximum(at - i - 1, 0)], start) for i in range(CONTEXT)]
+        self.back = np.minimum(self.place, MEMORY)
+
+    def context(self, p: Parameters, vectors: np.ndarray, part: slice) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Context vectors of a part of the places, and what each position adds before it is weighed."""
+        first = max(0, part.start - MEMORY)
+        back = self.back[part]
+        sums = _sums(vectors[self.target[first : part.stop]])
+        at = np.arange(part.start, part.stop) - first
+        mean = ((sums[at] - sums[at - back]) / np.maximum(back, 1)[:, None]).astype(np.float32)
+        seen = [*(vectors[c[part]] for c in self.contexts), mean]
+        return sum(x * p.position[i] for i, x in enumerate(seen)), seen
+
+
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad over batches of (context, output)."""
+    """Noise-contrastive estimation with AdaGrad over batches of places."""
 
-    def __init__(self, flat: np.ndarray, unigram: np.ndarray, seed: int):
-        self.p = Parameters(flat.astype(np.float32).copy())
-        self.g = Parameters(np.full(len(flat), 1e-3, np.float32))
-        self.log_noise = np.log(NOISE * unigram).astype(np.float32)
-        self.cumulated = np.cumsum(unigram)
+    def __init__(self, v: Vocabulary, p: Parameters, seed: int):
+        self.v, self.p = v, p.copy()
+        self.g = Parameters(np.full(p.table.shape, 1e-3, np.float32), np.full(p.position.shape, 1e-3, np.float32))
         self.rng = np.random.default_rng(seed)
+        self.seen = np.zeros(v.n_rows, np.int64)
         self.tokens = 0
 
-    def step(self, contexts: list[np.ndarray], target: np.ndarray) -> None:
-        out, bias, context, position = self.p.views()
-        n = len(target)
+    @staticmethod
+    def _errors(true: np.ndarray, false: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return 1 / (1 + np.exp(-true.clip(-30, 30))) - 1, 1 / (1 + np.exp(-false.clip(-30, 30)))
+
+    def step(self, line: Line, part: slice) -> None:
+        v, table = self.v, self.p.table
+        vectors, bias = table[:, :WIDTH], table[:, WIDTH]
+        row = line.target[part]
+        n = len(row)
         self.tokens += n
-        seen = [context[c] for c in contexts]
-        q = sum(s * position[i] for i, s in enumerate(seen))
-        noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE) * self.cumulated[-1]), OUTPUTS - 1)
-        own = out[target]
-        true = np.einsum("ij,ij->i", q, own) + bias[target] - self.log_noise[target]
-        false = q @ out[noise].T + (bias - self.log_noise)[noise]
-        e_true = (1 / (1 + np.exp(-true.clip(-30, 30))) - 1) / n
-        e_false = 1 / (1 + np.exp(-false.clip(-30, 30))) / n
-        dq = e_true[:, None] * own + e_false @ out[noise]
-        d_out = _scatter(target, e_true[:, None] * q, OUTPUTS)
-        np.add.at(d_out, noise, e_false.T @ q)
-        d_bias = np.bincount(target, e_true, OUTPUTS).astype(np.float32)
-        np.add.at(d_bias, noise, e_false.sum(0))
-        d_context = sum(_scatter(c, dq * position[i], OUTPUTS + 1) for i, c in enumerate(contexts))
-        d_position = np.stack([np.einsum("ij,ij->j", dq, s) for s in seen])
-        d = np.concatenate([x.ravel() for x in (d_out, d_bias, d_context, d_position)])
-        self.g.flat += d * d
-        self.p.flat -= RATE * d / np.sqrt(self.g.flat)
-
-
-def outputs(w: list[bytes], own: dict[bytes, int]) -> list[int]:
-    """The outputs of words."""
-    return [own[x] if x in own else END + 1 + crc32(x[:3]) % CLASSES for x in w]
-
-
-def positions(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Contexts (nearest first) and targets over rows of outputs, each ending with END; the start is output OUTPUTS."""
-    start = np.full(CONTEXT, OUTPUTS, np.int64)
-    line = np.concatenate([x for row in rows for x in (start, row)])
-    target = np.flatnonzero(line != OUTPUTS)
-    return [line[target - i - 1] for i in range(CONTEXT)], line[target]
-
-
-def _trained(flat: np.ndarray, unigram: np.ndarray, own: dict[bytes, int], seed: int):
+        np.add.at(self.seen, row, 1)
+        q, seen = line.context(self.p, vectors, part)
+        # the first step: frequent words, the end and classes; noise is shared by the batch
+        kind = v.class_of[row]
+        target = np.where(kind < 0, row, v.classes + kind)
+        np.add.at(self.seen, target[kind >= 0], 1)
+        noise = np.minimum(np.searchsorted(v.first_sums, self.rng.random(NOISE) * v.first_sums[-1]), v.n_first - 1)
+        log_noise = v.log_share + np.float32(np.log(NOISE))
+        e_true, e_false = self._errors(np.einsum("ij,ij->i", q, vectors[target]) + (bias - log_noise)[target], q @ vectors[noise].T + (bias - log_noise)[noise])
+        dq = e_true[:, None] * vectors[target] + e_false @ vectors[noise]
+        rows, values = [target, noise], [np.column_stack([e_true[:, None] * q, e_true]), np.column_stack([e_false.T @ q, e_false.sum(0)])]
+        # the second step: words of a class, each place with noise of its own
+        within = np.flatnonzero(kind >= 0)
+        if len(within):
+            k, own, qk = kind[within], row[within], q[within]
+            below = np.concatenate([[0.0], v.class_sums])
+            low, high = below[v.bounds[k]], below[v.bounds[k + 1]]
+            drawn = low[:, None] + self.rng.random((len(within), CLASS_NOISE)) * (high - low)[:, None]
+            at = np.clip(np.searchsorted(v.class_sums, drawn), v.bounds[k][:, None], v.bounds[k + 1][:, None] - 1)
+            noise = v.order[at]
+            log_noise = v.log_share + np.float32(np.log(CLASS_NOISE))
+            theirs = vectors[noise]
+            e_true, e_false = self._errors(np.einsum("ij,ij->i", qk, vectors[own]) + (bias - log_noise)[own], np.einsum("ij,ikj->ik", qk, theirs) + (bias - log_noise)[noise])
+            dq[within] += e_true[:, None] * vectors[own] + np.einsum("ik,ikj->ij", e_false, theirs)
+            rows += [own, noise.ravel()]
+            values += [np.column_stack([e_true[:, None] * qk, e_true]), np.column_stack([(e_false[:, :, None] * qk[:, None, :]).reshape(-1, WIDTH), e_false.ravel()])]
+        # the context's words
+        for i, c in enumerate(line.contexts):
+            rows.append(c[part])
+            values.append(np.column_stack([dq * self.p.position[i], np.zeros(n, np.float32)]))
+        self._move(np.concatenate(rows), np.concatenate(values).astype(np.float32), n)
+        d = np.stack([np.einsum("ij,ij->j", dq, x) for x in seen]) / n
+        self.g.position += d * d
+        self.p.position -= 0.5 * RATE * d / np.sqrt(self.g.position)
+
+    def _move(self, rows: np.ndarray, values: np.ndarray, n: int) -> None:
+        order = np.argsort(rows.astype(np.int32))
+        ordered = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        d = np.add.reduceat(values[order], first) / np.float32(n)
+        at = ordered[first]
+        g = self.g.table[at] + d * d
+        self.g.table[at] = g
+        self.p.table[at] -= RATE * d / np.sqrt(g)
+
+    def learn(self, texts: list[np.ndarray]) -> None:
+        line = Line(texts, self.v.start)
+        for at in range(0, len(line.target), BATCH):
+            self.step(line, slice(at, min(at + BATCH, len(line.target))))
+
+
+def _trained(v: Vocabulary, p: Parameters):
+    """Trains a copy on each shard and gives its rows' vectors and the positions (row -1 and below) times their weight."""
+    kinds = [("row", pa.int32()), ("weight", pa.int64()), ("x", pa.list_(pa.int32()))]
+
+    def out(t: Trainer) -> pa.RecordBatch:
+        rows = np.flatnonzero(t.seen)
+        weight = np.minimum(t.seen[rows], MOST_WEIGHT)
+        x = np.concatenate([np.rint(t.p.table[rows] * (weight[:, None] * float(UNIT))), np.rint(np.column_stack([t.p.position, np.zeros(CONTEXT + 1)]) * float(UNIT))]).clip(-(2**31), 2**31 - 1).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, WIDTH + 1, dtype=np.int32)), pa.array(x.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([rows, -1 - np.arange(CONTEXT + 1)]).astype(np.int32)), pa.array(np.concatenate([weight, np.ones(CONTEXT + 1, np.int64)])), listed], [k for k, _ in kinds])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Trainer(flat, unigram, seed)
-        for _, texts in slices(batches):
-            rows = [np.array([*outputs(words(lower(x)), own), END], np.int64) for x in texts]
-            contexts, target = positions(rows)
-            for at in range(0, len(target), BATCH):
-                t.step([c[at : at + BATCH] for c in contexts], target[at : at + BATCH])
-        if t.tokens:
-            n = -(-len(flat) // PART)
-            full = np.zeros(n * PART, np.float64)
-            full[: len(flat)] = t.p.flat
-            yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([float(t.tokens)] * n), pa.array(full.reshape(n, PART).tolist(), pa.list_(pa.float64()))], ["part", "tokens", "x"])
+        shard, t, waiting, n = None, None, [], 0
+        for part, texts in slices(batches):
+            for s, text in zip(part.column(part.schema.get_field_index("shard")).to_pylist(), texts, strict=True):
+                if s != shard:
+                    if t:
+                        t.learn(waiting)
+                        yield out(t)
+                    shard, t, waiting, n = s, Trainer(v, p, s & 0xFFFFFFFF), [], 0
+                waiting.append(np.array([*v.rows(words(lower(text))), v.end], np.int64))
+                n += len(waiting[-1])
+                if n >= 8 * BATCH:
+                    t.learn(waiting)
+                    waiting, n = [], 0
+        if t:
+            t.learn(waiting)
+            yield out(t)
 
     return run
 
 
 @dataclass
 class Model:
-    """What scoring needs: totals, the head's counts, the network, each class's log10 of words plus kinds plus one, and the count of texts' ends (which the head may lack)."""
+    """What scoring needs: totals, the head's counts, the network, the rest of each class and the count of texts' ends (which the head may lack)."""
 
     tokens: int
     kinds: int
     head: dict[bytes, int]
-    own: dict[bytes, int]
-    flat: np.ndarray
-    class_log: np.ndarray
+    vocabulary: Vocabulary
+    parameters: Parameters
+    rest: np.ndarray  # occurrences of each class's words without vectors
+    rest_kinds: np.ndarray
+    discount: float
     least: int
     counts: DataFrame
     ends: int
 
+    def unseen_logs(self) -> np.ndarray:
+        """log10 of the unseen word's share of each class's rest."""
+        return np.log10(np.where(self.rest > 0, self.discount * self.rest_kinds / np.maximum(self.rest, 1), 1.0))
+
 
 def head_of(counts: DataFrame, most: int) -> tuple[int, DataFrame]:
     """The least count such that at most `most` words have it or more (by steps of a sixth of an octave), and these words."""
@@ -202,73 +304,111 @@ def head_of(counts: DataFrame, most: int) -> tuple[int, DataFrame]:
     return (least if least is not None else 1 << 20), counts.filter(step >= F.lit(least if least is not None else 1 << 20))
 
 
-def learn(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WORDS) -> Model:
+def learn(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, head_words: int = HEAD_WORDS, shard_tokens: int = SHARD_TOKENS) -> Model:
     """Learns from all rows of docs (doc_id, text)."""
-    counts = cut(docs.select("doc_id", "text").mapInArrow(_counted, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")))
-    tokens, kinds = counts.select(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    docs = docs.select("doc_id", "text")
+    counts = cut(docs.mapInArrow(_counted, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")))
+    tokens, kinds, once, twice = counts.select(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     least, top = head_of(counts, head_words)
     got = top.toArrow()
     head = dict(zip(got["w"].to_pylist(), got["c"].to_pylist(), strict=True))
-    ranked = sorted(((w, c) for w, c in head.items() if w != END_WORD), key=lambda x: (-x[1], x[0]))
-    own = {w: i for i, (w, _) in enumerate(ranked[:OWN_WORDS])}
+    ranked = sorted(((w, c) for w, c in head.items() if w != END_WORD and c >= LEAST_OWN), key=lambda x: (-x[1], x[0]))
     ends = head[END_WORD] if END_WORD in head else (counts.filter(F.length("w") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
-    n, v = np.zeros(CLASSES), np.zeros(CLASSES)
+    rest, rest_kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.filter(F.length("w") > 0).groupBy((F.crc32(F.substring("w", 1, 3)) % CLASSES).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        n[r["k"]], v[r["k"]] = r["n"], r["v"]
-    for w in own:
-        n[word_class(w)] -= head[w]
-        v[word_class(w)] -= 1
-    unigram = np.array([*(head[w] for w in own), *[0] * (OWN_WORDS - len(own)), ends, *n], np.float64) + 0.5
-    unigram /= unigram.sum()
-    p = Parameters.fresh(unigram)
-    for r in range(rounds):
-        share = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r).select("doc_id", "text")
-        parts = share.mapInArrow(_trained(p.flat, unigram, own, r), "part int, tokens double, x array<double>")
-        means = parts.groupBy("part").agg(*((F.sum(F.col("x")[i] * F.col("tokens")) / F.sum("tokens")).alias(f"x{i}") for i in range(PART)))
-        for row in means.collect():
-            piece = np.array(row[1:], np.float32)
-            at = row["part"] * PART
-            p.flat[at : at + PART] = piece[: len(p.flat) - at]
-    return Model(int(tokens), int(kinds), head, own, p.flat, np.log10(n + v + 1), least, counts, int(ends))
-
-
-def log_probabilities(flat: np.ndarray, contexts: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the targets' normalised probabilities among all outputs."""
-    out, bias, context, position = Parameters(flat).views()
-    tables = [context * position[i] for i in range(CONTEXT)]
-    lp = np.empty(len(target), np.float64)
-    for at in range(0, len(target), BATCH):
-        part = slice(at, at + BATCH)
-        q = sum(tables[i][c[part]] for i, c in enumerate(contexts))
-        s = q @ out.T
-        s += bias
-        np.clip(s, -80, 80, out=s)
-        true = s[np.arange(len(s)), target[part]]
-        lp[part] = true - np.log(np.exp(s, out=s).sum(1))
+        rest[r["k"]], rest_kinds[r["k"]] = r["n"], r["v"]
+    for w, c in ranked:
+        rest[word_class(w)] -= c
+        rest_kinds[word_class(w)] -= 1
+    v = Vocabulary(ranked, int(ends), rest)
+    p = Parameters.fresh(v)
+    # which documents a shard holds and in which order depends on the documents alone
+    shards = max(1, -(-int(tokens) // shard_tokens)) * sum(rounds)
+    mark = F.xxhash64("doc_id", "text")
+    marked = docs.select("text", mark.alias("mark"), F.pmod(mark, F.lit(shards)).alias("fine"))
+    done = 0
+    for share in rounds:
+        part = F.col("fine") % sum(rounds)
+        # fine shards of the round's remainders that stand together are one shard
+        mine = marked.filter((part >= done) & (part < done + share)).withColumn("shard", F.floor(F.col("fine") / sum(rounds)))
+        done += share
+        ordered = mine.repartition("shard").sortWithinPartitions("shard", "mark", "text").select("shard", "text")
+        parts = ordered.mapInArrow(_trained(v, p), "row int, weight long, x array<int>")
+        means = parts.groupBy("row").agg(F.sum("weight").alias("weight"), *(F.sum(F.col("x")[i]).alias(f"x{i}") for i in range(WIDTH + 1))).toArrow()
+        rows = means["row"].to_numpy()
+        x = np.column_stack([means[f"x{i}"].to_numpy() for i in range(WIDTH + 1)]) / (means["weight"].to_numpy()[:, None] * float(UNIT))
+        p = p.copy()
+        p.table[rows[rows >= 0]] = x[rows >= 0]
+        p.position[-1 - rows[rows < 0]] = x[rows < 0, :WIDTH]
+    discount = float(np.clip(once / max(1, once + 2 * twice), 0.1, 0.9))
+    return Model(int(tokens), int(kinds), head, v, p, rest, rest_kinds, discount, least, counts, int(ends))
+
+
+def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 << 14) -> np.ndarray:
+    """Natural logarithms of the normalised probabilities of a line's targets, in blocks of bounded size."""
+    vectors, bias = np.ascontiguousarray(p.table[:, :WIDTH]), p.table[:, WIDTH]
+    lp = np.empty(len(line.target), np.float64)
+
+    def normalised(q: np.ndarray, rows: np.ndarray | slice, target: np.ndarray) -> np.ndarray:
+        s = q @ vectors[rows].T
+        s += bias[rows]
+        np.minimum(s, 80, out=s)
+        true = s[np.arange(len(s)), target]
+        return true - np.log(np.exp(s, out=s).sum(1))
+
+    at_in_class = np.zeros(v.n_rows, np.int64)
+    at_in_class[v.order] = np.arange(len(v.order)) - v.bounds[v.class_of[v.order]]
+    for start in range(0, len(line.target), block):
+        part = slice(start, min(start + block, len(line.target)))
+        q, _ = line.context(p, vectors, part)
+        row = line.target[part]
+        kind = v.class_of[row]
+        target = np.where(kind < 0, row, v.classes + kind)
+        out = np.empty(len(row), np.float64)
+        for i in range(0, len(row), 4096):
+            out[i : i + 4096] = normalised(q[i : i + 4096], slice(0, v.n_first), target[i : i + 4096])
+        order = np.argsort(kind, kind="stable")
+        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        for k in range(CLASSES):
+            members = v.order[v.bounds[k] : v.bounds[k + 1]]
+            step = max(1, (1 << 21) // len(members))
+            for i in range(bounds[k], bounds[k + 1], step):
+                here = order[i : min(i + step, bounds[k + 1])]
+                out[here] += normalised(q[here], members, at_in_class[row[here]])
+        lp[part] = out
     return lp
 
 
-def _scored(flat: np.ndarray, own: dict[bytes, int], head: dict[bytes, int], class_log: np.ndarray, ends: int):
+def _scored(m: Model):
+    v, p, head, ends, discount, unseen, rest = m.vocabulary, m.parameters, m.head, m.ends, m.discount, m.unseen_logs(), m.rest
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w: i for i, w in enumerate(head)}
-        log_c = np.log10(np.array([*head.values(), 0], np.float64) + 1)
-        output = np.array([*outputs(list(head), own), 0], np.int64)
-        # a word of a class has the share (c + 1) / (class's words + kinds + 1)
-        shares = np.concatenate([np.zeros(END + 1), class_log])
+        count = np.array([*head.values(), 0], np.float64)
+        log_c, row = np.log10(count + 1), np.array([*v.rows(list(head)), 0], np.int64)
+        # what a word without a vector adds to its class's rest
+        share = np.array([np.log10((c - discount) / rest[word_class(w)]) if w not in v.row and w != END_WORD else 0.0 for w, c in head.items()] + [0.0])
         for part, texts in slices(batches):
             rows, figures, rare = [], [], []
             for text in texts:
                 w = words(lower(text))
                 at = np.fromiter(map(index.get, w, repeat(-1)), np.int64, len(w))
-                out = output[at]
+                out = row[at]
                 other = np.flatnonzero(at < 0).tolist()
                 strange = [w[i] for i in other]
-                out[other] = [END + 1 + crc32(x[:3]) % CLASSES for x in strange]
-                rows.append(np.append(out, END))
-                logs = log_c[at]
-                figures.append((len(w) + 1, len(w) - len(other) + (ends > 0), logs.sum() + np.log10(ends + 1.0), logs[out > END].sum() - shares[out].sum()))
+                kinds = np.array([crc32(x[:3]) % CLASSES for x in strange], np.int64)
+                out[other] = v.rest + kinds
+                rows.append(np.append(out, v.end))
+                figures.append((len(w) + 1, len(w) - len(other) + (ends > 0), log_c[at].sum() + np.log10(ends + 1.0), share[at].sum() + unseen[kinds].sum()))
                 rare.append(Counter(strange))
-            lp = log_probabilities(flat, *positions(rows))
+            if rows:
+                lp = np.empty(sum(map(len, rows)))
+                done, first = 0, 0
+                for i in range(1, len(rows) + 1):  # some texts at a time, so that memory is bounded but for one text's rows
+                    if i == len(rows) or sum(map(len, rows[first:i])) > 1 << 18:
+                        line = Line(rows[first:i], v.start)
+                        lp[done : done + len(line.target)] = log_probabilities(v, p, line)
+                        done, first = done + len(line.target), i
             firsts = np.cumsum([0, *map(len, rows[:-1])]) if rows else np.zeros(0, np.int64)
             model = np.add.reduceat(lp, firsts) / np.log(10) if rows else np.zeros(0)
             n, known, base, more = map(np.array, zip(*figures, strict=True)) if rows else [np.zeros(0)] * 4
@@ -282,17 +422,20 @@ def _scored(flat: np.ndarray, own: dict[bytes, int], head: dict[bytes, int], cla
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_scored(model.flat, model.own, model.head, model.class_log, model.ends), "doc_id long, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<int>")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_scored(model), "doc_id long, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<int>")
     rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
     each = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("w"), F.col("x.times").alias("times"))
     rare = model.counts.filter((F.length("w") > 0) & (F.floor(F.log2("c") * 6).cast("int") < model.least))
-    found = each.join(rare, "w").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"))
+    # a word that was counted takes its own share of the class's rest instead of the unseen word's
+    freed = F.array(*(F.lit(float(x)) for x in np.log10(np.maximum(model.discount * model.rest_kinds, 1e-300))))
+    share = F.log10(F.col("c") - model.discount) - F.get(freed, (F.crc32(F.substring("w", 1, 3)) % CLASSES).cast("int"))
+    found = each.join(rare, "w").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum(F.col("times") * share).alias("more_model"))
 
     def plus(name: str, more: str) -> Column:
         return F.col(name) + F.coalesce(more, F.lit(0))
 
     whole = float(np.log10(model.tokens + model.kinds + 1))
-    return rows.drop("rare", "times").join(found, "row", "left").select("doc_id", "n_tokens", plus("n_known", "more_known").cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), (plus("base", "more") - F.col("n_tokens") * whole).alias("base_score"), plus("model", "more").alias("score"))
+    return rows.drop("rare", "times").join(found, "row", "left").select("doc_id", "n_tokens", plus("n_known", "more_known").cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), (plus("base", "more") - F.col("n_tokens") * whole).alias("base_score"), plus("model", "more_model").alias("score"))
 
 
 def held_out(docs: DataFrame) -> Column:

@@ -46,35 +46,111 @@ def test_base_equals_plain_with_rare_words(spark, tiny):
     same_base(got, [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def plain_scores(model, docs):
+    """The score of each text by its definition, one token at a time."""
+    v, p = model.vocabulary, model.parameters
+    counts = {bytes(r.w): r.c for r in model.counts.collect()}
+    vector = lambda row: p.table[row, :-1].astype(float)
+    out = []
+    for _, text in docs:
+        rows, total = [], 0.0
+        for w in [*(x.encode() for x in split(text)[:-1]), None]:
+            row = v.end if w is None else v.row.get(w, v.rest + zlib.crc32(w[:3]) % lm.CLASSES)
+            q = sum((vector(rows[-i - 1] if i < len(rows) else v.start) * p.position[i] for i in range(lm.CONTEXT)), np.zeros(lm.WIDTH))
+            if rows:
+                q = q + np.mean([vector(r) for r in rows[-lm.MEMORY :]], 0) * p.position[lm.CONTEXT]
+            score = lambda r, q=q: vector(r) @ q + p.table[r, -1]
+            share = lambda r, among, score=score: score(r) - np.log(sum(math.exp(score(x)) for x in among))
+            k = v.class_of[row]
+            total += share(row if k < 0 else v.classes + k, range(v.n_first))
+            if k >= 0:
+                total += share(row, np.flatnonzero(v.class_of == k))
+            if w is not None and w not in v.row:
+                c = counts.get(w, 0)
+                kinds = sum(x not in v.row and lm.word_class(x) == k for x in counts if x)
+                if model.rest[k]:
+                    total += math.log((c - model.discount if c else model.discount * kinds) / model.rest[k])
+            rows.append(row)
+        out.append(total / math.log(10))
+    return out
+
+
+def test_score_equals_plain(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").filter("length(text) < 500")
+    model = lm.learn(docs.filter(~lm.held_out(docs)), head_words=200)
+    some = sorted((r.doc_id, r.text) for r in docs.collect())[:12] + [(-1, ""), (-2, None), (-3, "neverseen words ofcourse the the")]
+    got = {r.doc_id: r.score for r in lm.scored(documents(spark, [(i, t, None, None, 0) for i, t in some]), model).collect()}
+    for (i, _), want in zip(some, plain_scores(model, some), strict=True):
+        assert math.isclose(got[i], want, rel_tol=1e-4)
+
+
+def test_scores_do_not_depend_on_partitions(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    ways = [docs, docs.repartition(8), docs.repartition(3, "source").sortWithinPartitions("text")]
+    scores = []
+    for way in ways:
+        _, got = scored(way, shard_tokens=100_000)
+        scores.append({r.doc_id: r.score for r in got})
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys()
+        assert max(abs(other[i] / scores[0][i] - 1) for i in other) < 1e-6
+
+
 def test_model_beats_counts_on_held_out(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    _, got = scored(docs)
+    model, got = scored(docs)
     held = [r for r in got if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert sum(r.score for r in held) > 0.95 * sum(r.base_score for r in held)
+    fewer, _ = scored(docs.filter("doc_id % 4 = 0"))
+    assert model.vocabulary.n_rows > 1.5 * fewer.vocabulary.n_rows - 600  # words with vectors grow with the corpus
+
+
+def a_vocabulary(n=3000):
+    return lm.Vocabulary([(b"w%d" % i, n - i + 4) for i in range(n)], 50, np.full(lm.CLASSES, 7.0))
 
 
 def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(3)
-    flat = rng.normal(0, 0.5, lm.Parameters.size()).astype(np.float32)
-    contexts = [np.full(lm.OUTPUTS, c) for c in (5, lm.OUTPUTS, 200)]
-    lp = lm.log_probabilities(flat, contexts, np.arange(lm.OUTPUTS))
-    assert math.isclose(np.exp(lp).sum(), 1, rel_tol=1e-4)
-    # a class's words and its unseen word share the class's probability
-    counts = np.array([5, 1, 1])
-    assert math.isclose(((counts + 1).sum() + 1) / (counts.sum() + len(counts) + 1), 1)
+    v = a_vocabulary()
+    p = lm.Parameters.fresh(v)
+    p.table += np.random.default_rng(3).normal(0, 0.5, p.table.shape).astype(np.float32)
+    start = [v.row[b"w7"], v.rest + 3, v.row[b"w2000"]]
+    # every word and every rest, each after the same words; END alone of the other rows ends a text
+    symbols = [r for r in range(v.n_rows) if r != v.start and not v.classes <= r < v.n_first]
+    total = 0.0
+    for r in symbols:
+        lp = lm.log_probabilities(v, p, lm.Line([np.array([*start, r])], v.start))
+        total += math.exp(lp[-1])
+    assert math.isclose(total, 1, rel_tol=1e-4)
+    # a class's rest is shared by its words and the unseen one
+    counts, discount = np.array([5, 1, 1]), 0.6
+    assert math.isclose(((counts - discount).sum() + discount * len(counts)) / counts.sum(), 1)
+
+
+def test_blocks_do_not_change_probabilities():
+    v = a_vocabulary(400)
+    p = lm.Parameters.fresh(v)
+    rng = np.random.default_rng(2)
+    texts = [np.append(rng.choice(list(v.row.values()), n), v.end) for n in (0, 1, 3, 70, 300)]
+    whole = lm.log_probabilities(v, p, lm.Line(texts, v.start))
+    assert np.allclose(whole, lm.log_probabilities(v, p, lm.Line(texts, v.start), block=37), rtol=1e-5)
+    assert np.allclose(whole, np.concatenate([lm.log_probabilities(v, p, lm.Line([t], v.start)) for t in texts]), rtol=1e-5)
 
 
 def test_noise_contrast_learns():
     rng = np.random.default_rng(0)
-    unigram = np.full(lm.OUTPUTS, 1 / lm.OUTPUTS)
-    t = lm.Trainer(lm.Parameters.fresh(unigram).flat, unigram, 1)
-    target = rng.integers(0, 8, 40_000)
-    context = np.concatenate([[lm.OUTPUTS], (target[:-1])])
-    target = np.where(rng.random(40_000) < 0.9, (context + 1) % 8, target)
-    for at in range(0, 40_000, 500):
-        t.step([context[at : at + 500]] * lm.CONTEXT, target[at : at + 500])
-    lp = lm.log_probabilities(t.p.flat, [context] * lm.CONTEXT, target)
-    assert lp.mean() > -2.5 > np.log(unigram[0])
+    v = lm.Vocabulary([(b"w%d" % i, 1000) for i in range(lm.OWN_WORDS + 200)], 40, np.zeros(lm.CLASSES))
+    names = [v.row[b"w0"], v.row[b"w1"], *(v.row[b"w%d" % i] for i in range(lm.OWN_WORDS, lm.OWN_WORDS + 6))]
+    line, at = [], 0
+    for _ in range(60_000):
+        at = (at + 1) % 8 if rng.random() < 0.9 else int(rng.integers(0, 8))
+        line.append(names[at])
+    texts = [np.array([*line[i : i + 99], v.end]) for i in range(0, len(line), 99)]
+    t = lm.Trainer(v, lm.Parameters.fresh(v), 1)
+    for _ in range(3):
+        t.learn(texts)
+    before = lm.log_probabilities(v, lm.Parameters.fresh(v), lm.Line(texts[:50], v.start)).mean()
+    # better than to know the eight words alone
+    assert lm.log_probabilities(v, t.p, lm.Line(texts[:50], v.start)).mean() > -math.log(8) > before
 
 
 def test_lm_awkward_rows(spark):
