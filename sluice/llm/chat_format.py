@@ -1,11 +1,15 @@
 """Chat formatting in budgeted windows.
 
-A conversation's turns fall into blocks of BLOCK turn numbers, the unit that a task holds, so a conversation of any
+A conversation's turns are numbered by their order, whatever numbers they bear (a sort by ranges, counts of each range
+and their running sums), and fall into blocks of BLOCK turns, the unit that a task holds, so a conversation of any
 length is many tasks' work. Each block also gets the few turns before it and the conversation's system turn. Within a
 block, prefix sums of turn tokens choose the longest turn-aligned span that fits the budget beside what is repeated:
 the system turn and at most HISTORY turns before the span. Repeated turns never count as targets, so every assistant
 turn is under the loss mask exactly once. A turn longer than the budget has a window of its own; it is never cut.
 
+Tokens are those of the BPE vocabulary whose path is given (op10's encoder, over the rendered turn; turns end with a line
+end, so their tokens add up), or else words of the text and four for the template.
+
 Template: `<|turn|>role` newline text `<|end|>` newline. In roles and texts a backslash is doubled, and one is put
 after the first character of every control string, which unescape() takes back.
 
@@ -18,12 +22,16 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from sluice.llm.bpe import WordBpe, vocabulary
+from sluice.llm.common import cut
 
 BUDGET = 2048
 HISTORY, HISTORY_SHARE = 2, 0.25
@@ -59,14 +67,14 @@ def tokens(turn: Turn) -> int:
     return len(turn[1].split()) + 4
 
 
-def plan(turns: list[Turn], before: list[Turn], system: Turn | None, budget: int = BUDGET) -> list[tuple[list[Turn], list[Turn]]]:
+def plan(turns: list[Turn], before: list[Turn], system: Turn | None, budget: int = BUDGET, size: Callable[[Turn], int] = tokens) -> list[tuple[list[Turn], list[Turn]]]:
     """Windows as (repeated turns, own turns); `before` holds the turns before the first."""
     line = before + turns
-    upto = [0, *accumulate(map(tokens, line))]
+    upto = [0, *accumulate(map(size, line))]
     out, start = [], len(before)
     while start < len(line):
         head = [system] if system and start else []
-        fixed = sum(map(tokens, head))
+        fixed = sum(map(size, head))
         first = start
         while first > max(0, start - HISTORY) and upto[start] - upto[first - 1] <= (budget - fixed) * HISTORY_SHARE:
             first -= 1
@@ -79,7 +87,7 @@ def plan(turns: list[Turn], before: list[Turn], system: Turn | None, budget: int
     return out
 
 
-def window(repeated: list[Turn], own: list[Turn]) -> tuple[str, int, int, list[dict[str, int]]]:
+def window(repeated: list[Turn], own: list[Turn], size: Callable[[Turn], int] = tokens) -> tuple[str, int, int, list[dict[str, int]]]:
     """Text, number of repeated turns, tokens, and the spans of own assistant texts in code points."""
     parts = [rendered(t) for t in repeated]
     at, loss = sum(map(len, parts)), []
@@ -90,16 +98,21 @@ def window(repeated: list[Turn], own: list[Turn]) -> tuple[str, int, int, list[d
             loss.append({"s": end - len(escape(turn[1])), "e": end})
         parts.append(piece)
         at += len(piece)
-    return "".join(parts), len(repeated), sum(map(tokens, repeated + own)), loss
+    return "".join(parts), len(repeated), sum(map(size, repeated + own)), loss
 
 
-def _windows(budget: int):
+def _windows(budget: int, source: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, turns, before, system, out = None, [], [], None, []
+        bpe = WordBpe(source) if source else None
 
         def flush() -> None:
-            for place, (repeated, own) in enumerate(plan(turns, before, system, budget)):
-                out.append((*key, place, *window(repeated, own)))
+            size = tokens
+            if bpe:
+                every = list({*turns, *before, *([system] if system else [])})
+                size = dict(zip(every, (len(ids) // 4 for ids, _ in bpe.encode_all([rendered(t) for t in every])), strict=True)).__getitem__
+            for place, (repeated, own) in enumerate(plan(turns, before, system, budget, size)):
+                out.append((*key, place, *window(repeated, own, size)))
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
@@ -128,21 +141,36 @@ def _windows(budget: int):
     return run
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """The windows of all conversations: conv_id, block and place (their order), text, repeats, n_tokens and loss spans."""
+def placed(turns: DataFrame) -> DataFrame:
+    """turns with place, the number of turns of the conversation before it in the order of turn, role and text.
+
+    A conversation may span many ranges of the sort; only its counts by range, a row each, come together.
+    """
+    # a range is told by the beginnings of long texts, which never parts equal ones
+    ranges = turns.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64)).sortWithinPartitions("conv_id", "turn", "role", "text")
+    rows = cut(ranges.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("id")))
+    upto = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("conv_id", "range").agg(F.min("id").alias("first"), F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(upto), F.lit(0)) - F.col("first"))
+    parts = parts.select(F.col("conv_id").alias("of"), F.col("range").alias("of_range"), "base")
+    return rows.join(parts, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("range") == F.col("of_range"))).withColumn("place", F.col("base") + F.col("id")).drop("range", "id", "of", "of_range", "base")
+
+
+def windows(conversations: DataFrame, budget: int = BUDGET, path: str | None = None) -> DataFrame:
+    """The windows of all conversations: conv_id, block and place (their order), text, repeats, n_tokens and loss spans.
+
+    path is that of a BPE vocabulary, whose tokens the budget counts.
+    """
     c = conversations.select(conversations["conv_id"].cast("long").alias("conv_id"), conversations["turn"].cast("long").alias("turn"), *(F.coalesce(conversations[x].cast("string"), F.lit("")).alias(x) for x in ("role", "text")))
-    c = c.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 53))))
+    c = cut(placed(c).select("conv_id", "role", "text", "place")).withColumn("block", F.floor(F.col("place") / BLOCK))
     own = c.withColumn("kind", F.lit(2))
-    last = F.pmod("turn", F.lit(BLOCK)) >= BLOCK - HISTORY
-    before = c.filter(last).withColumn("block", F.col("block") + 1).withColumn("kind", F.lit(1))
-    blocks = c.select("conv_id", "block").distinct()
-    first = c.groupBy("conv_id").agg(F.min(F.struct(F.col("turn").isNotNull().alias("a"), "turn", "role", "text", "block")).alias("first"))
-    system = first.filter("first.role = 'system'").select(F.col("conv_id").alias("of"), "first.*").withColumnRenamed("block", "first_block")
-    told = blocks.join(system, F.col("conv_id").eqNullSafe(F.col("of"))).select("conv_id", "turn", "role", "text", "block", F.lit(0).alias("kind"))
+    before = c.filter(F.col("place") % BLOCK >= BLOCK - HISTORY).withColumn("block", F.col("block") + 1).withColumn("kind", F.lit(1))
+    starts = c.filter(F.col("place") % BLOCK == 0).select("conv_id", "block")
+    system = c.filter("place = 0 and role = 'system'").select(F.col("conv_id").alias("of"), "role", "text", "place")
+    told = starts.join(system, F.col("conv_id").eqNullSafe(F.col("of"))).select("conv_id", "role", "text", "place", "block", F.lit(0).alias("kind"))
     # history without turns of its own would make a window of nothing
-    before = before.join(blocks.withColumnsRenamed({"conv_id": "b_conv", "block": "b_block"}), F.col("conv_id").eqNullSafe(F.col("b_conv")) & (F.col("block") == F.col("b_block")), "left_semi")
-    rows = own.select("conv_id", "turn", "role", "text", "block", "kind").unionByName(before).unionByName(told)
-    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "kind", "turn", "role", "text").mapInArrow(_windows(budget), WINDOWS)
+    before = before.join(starts.toDF("b_conv", "b_block"), F.col("conv_id").eqNullSafe(F.col("b_conv")) & (F.col("block") == F.col("b_block")), "left_semi")
+    rows = own.unionByName(before).unionByName(told)
+    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "kind", "place").mapInArrow(_windows(budget, vocabulary(path) if path else None), WINDOWS)
 
 
 def read_back(text: str) -> list[Turn]:

@@ -54,7 +54,7 @@ CONTROLS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return chat_format.digests(chat_format.windows(told.union(spark.createDataFrame(CONTROLS, told.schema))))
+    return chat_format.digests(chat_format.windows(told.union(spark.createDataFrame(CONTROLS, told.schema)), path=public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

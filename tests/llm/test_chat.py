@@ -75,6 +75,34 @@ def test_system_turn_is_repeated(spark):
     assert sum(len(cf.read_back(w.text)) - w.repeats for w in made) == 600
 
 
+def test_gaps_in_numbers_change_nothing(spark):
+    rnd = random.Random(8)
+    turns = [(1, i, "user" if i % 2 else "assistant", "w " * rnd.randint(1, 60)) for i in range(700)]
+    key = lambda w: (w.block, w.place, w.text, w.repeats, w.n_tokens)
+    dense, sparse = (sorted(map(key, cf.windows(frame(spark, [(c, i * step - 5, r, t) for c, i, r, t in turns]), 300).collect())) for step in (1, 1000))
+    assert dense == sparse
+    assert sum(repeats > 0 for *_, repeats, _ in sparse) >= len(sparse) - 1 and any(len(cf.read_back(text)) > 5 for _, _, text, *_ in sparse)
+
+
+def test_many_turns_of_one_number(spark):
+    rows = [(1, 5, "user", f"text {i:04d}") for i in range(600)]
+    made = cf.windows(frame(spark, rows), 100).orderBy("block", "place").collect()
+    assert [t for w in made for _, t in cf.read_back(w.text)[w.repeats :]] == [f"text {i:04d}" for i in range(600)]
+
+
+def test_budget_counts_bpe_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rnd = random.Random(4)
+    rows = [(c, i, "user" if i % 2 else "assistant", "".join(rnd.choice([*PIECES, "tokenization ", "ünï ", "12345 "]) for _ in range(rnd.randint(0, 40)))) for c in range(3) for i in range(40)]
+    for w in cf.windows(frame(spark, rows), 200, path).collect():
+        assert w.n_tokens == len(library.encode(w.text, add_special_tokens=False).ids)
+        assert w.n_tokens <= 200 or len(cf.read_back(w.text)) - w.repeats == 1
+
+
 def test_empty_conversations(spark):
     assert cf.digests(cf.windows(frame(spark, []))).isEmpty()
 
