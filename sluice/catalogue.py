@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice import samples
+from sluice import machines_sql, samples
 from sluice.functions import bits, ip, text
 from sluice.functions.numbers import div
 from sluice.operators import aggregates, filters, lookups, projections
@@ -63,14 +63,14 @@ def horizontal_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.horizontal_first(flows(spark, sf_dir), 3)
 
 
-@query()
+@query(f"with recursive {FLOWS_SQL}, {_PROBES}, {machines_sql.vertical(5, 1500)}")
 def vertical_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.vertical_all(flows(spark, sf_dir), 5, 100_000)
+    return scan.vertical_all(flows(spark, sf_dir), 5, 1500)
 
 
-@query()
+@query(f"with recursive {FLOWS_SQL}, p as (select * from f where packets = 1 and protocol = 6 and tcp_flags = 2), {machines_sql.horizontal(2, 1500)}")
 def horizontal_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.horizontal_all(flows(spark, sf_dir), 3, 100_000)
+    return scan.horizontal_all(flows(spark, sf_dir), 2, 1500).withColumn("samples", _joined(F.col("samples")))
 
 
 @query(f"""with {_HORIZONTAL.removeprefix('with ').rpartition('select src_ip')[0]},
@@ -152,7 +152,7 @@ def floods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flood.floods(flood.grid(flows(spark, sf_dir), 30, 32), 1, 1, 100)
 
 
-@query()
+@query(f"with recursive {_GRID}, {machines_sql.lifecycle(1, 1, 100)}")
 def flood_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flood.lifecycle(flood.grid(flows(spark, sf_dir), 30, 32), 1, 1, 100)
 
@@ -188,7 +188,18 @@ def amplification_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.join(every, keys).select(*keys, "mean_bin", "mean", "n", div(F.col("n") * 1000000, F.col("every")).alias("share_millionths"))
 
 
-@query()
+def _tops(way: str, column: str, most: str, tag: str) -> str:
+    return f"""h_{tag} as (select server, client, start, {column} // 50 * 50 + 50 as bin, count(*) as n from x where {way}{most} group by 1, 2, 3, 4),
+k_{tag} as (select *, sum(n) over (partition by server, client, start) as every, row_number() over (partition by server, client, start order by n desc, bin desc) as k from h_{tag}),
+{tag} as (select server, client, start, sum(bin) // count(*) as mean_bin, sum(bin * n) // sum(n) as mean, sum(n) as n, sum(n) * 1.0 / max(every) as share from k_{tag} where k <= 3 group by 1, 2, 3)"""
+
+
+@query(f"""with {_PAIRS}, t as (select server, client, start, count(*) filter (where q) as q_flows, count(*) filter (where not q) as r_flows, cast(coalesce(sum(packets) filter (where q), 0) as bigint) as q_packets, cast(coalesce(sum(packets) filter (where not q), 0) as bigint) as r_packets,
+cast(coalesce(sum(bytes) filter (where q), 0) as bigint) as q_bytes, cast(coalesce(sum(bytes) filter (where not q), 0) as bigint) as r_bytes, max(packets) filter (where q) as q_most, max(bytes) filter (where q) as q_max, max(bytes) filter (where not q) as r_max, min(t_first) as ts_first, max(t_last) as ts_last from x group by 1, 2, 3),
+{_tops('not q', 'bytes', ' and bytes < 5000', 'rb')}, {_tops('not q', 'packets', '', 'rp')}, {_tops('q', 'bytes', ' and bytes < 5000', 'qb')},
+j as (select t.*, q_packets >= 30 and r_packets // q_packets >= 5 as heavy, rb.share as share, rb.n as n, rp.mean as rp_mean, rb.mean as rb_mean, qb.mean as qb_mean, rb.mean_bin as rb_bin, qb.mean_bin as qb_bin from t join rb using (server, client, start) join rp using (server, client, start) join qb using (server, client, start) where q_flows > 0 and r_flows > 0)
+select server, client, start, case when heavy then 'big' else 'complex' end as kind, q_flows, q_packets, q_bytes, r_flows, r_packets, r_bytes, ts_first, ts_last from j
+where case when heavy then (q_most > 1000 or r_max > 100000) and r_max // q_max > 0 else share > 0.1 and n > 2 and rp_mean > 0 and rb_mean > 10 and qb_mean < 100000 and rb_bin // qb_bin > 0 end""")
 def amplified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplification.amplified(_both_ways(spark, sf_dir), _LIMITS)
 
@@ -228,14 +239,14 @@ def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.daily_log(hosts.events(hosts.profiles(flows(spark, sf_dir), 3000), rules))
 
 
-@query()
+@query(f"with recursive {FLOWS_SQL}, h as (select src_ip as host, seq, t_last, packets, bytes from f union all select dst_ip, seq, t_last, packets, bytes from f), {machines_sql.timeouts(300, 30)}")
 def host_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.records(flows(spark, sf_dir))
 
 
 # Password guessing
 
-_SSH = f"""{FLOWS_SQL}, b as (select *, dst_port = 22 as incoming, case when dst_port = 22 then src_ip else dst_ip end as host, tcp_flags & 24 = 24 and packets between 1 and 4 as hit from f where protocol = 6 and (dst_port = 22 or src_port = 22)
+_SSH = f"""{FLOWS_SQL}, b as (select *, dst_port = 22 as incoming, case when dst_port = 22 then src_ip else dst_ip end as host, case when dst_port = 22 then dst_ip else src_ip end as victim, tcp_flags & 24 = 24 and packets between 1 and 4 as hit from f where protocol = 6 and (dst_port = 22 or src_port = 22)
   and (packets, tcp_flags) not in ((1, 2), (2, 2), (2, 6), (1, 18), (1, 20), (3, 2)) and not (packets = 1 and tcp_flags = 16) and not (packets = 4 and tcp_flags = 2))"""
 
 
@@ -248,9 +259,9 @@ def guessing_last_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bruteforce.last_n(_ssh_hits(spark, sf_dir), 20).select("host", "seq", "incoming", "hit", "list_size", "list_matches")
 
 
-@query()
+@query(f"with recursive {_SSH}, {machines_sql.guessing(600, 5.0, 2, 3)}")
 def guessing_attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = _ssh_hits(spark, sf_dir).select("host", "seq", "incoming", "hit", "t_last")
+    hits = _ssh_hits(spark, sf_dir).select("host", "seq", "incoming", "hit", "victim", "t_last")
     return run_keyed(hits, ["host"], ["seq"], lambda: bruteforce.Guessing(every=600, least_share=5.0, least_events=2, matches=3), bruteforce.ALERT)
 
 
@@ -260,6 +271,46 @@ def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.upper_median_of_last(flows(spark, sf_dir), ["dst_ip"], "seq", "bytes")
 
 
+#: The signatures over the sample's logins: flags, packets and bytes of each way.
+_LOGIN_HITS = {
+    "ssh": ("tcp_flags & 26 = 26 and packets between 11 and 30 and bytes between 1000 and 5000", "tcp_flags & 26 = 26 and packets between 11 and 50 and bytes between 1000 and 11000"),
+    "rdp": (
+        "(tcp_flags & 30 = 30 and packets between 7 and 11 and bytes between 1500 and 2000) or (tcp_flags & 26 = 26 and packets = 3 and bytes between 100 and 200) or (tcp_flags & 26 = 26 and packets between 20 and 100 and bytes between 2200 and 8001)",
+        "(tcp_flags & 26 = 26 and packets = 7 and bytes between 1700 and 2200) or (tcp_flags & 26 = 26 and packets = 2 and bytes between 81 and 119) or (tcp_flags & 26 = 26 and packets between 30 and 190 and bytes between 3000 and 180000)",
+    ),
+    "telnet": ("tcp_flags & 26 = 26 and packets between 9 and 50 and bytes between 450 and 3000", "tcp_flags & 27 = 27 and packets >= 6 and packets <= most_packets and bytes <= most_bytes"),
+}
+
+
+def _logins_sql(service: str) -> str:
+    to, back = _LOGIN_HITS[service]
+    medians = ", ".join(f"(select max(v) from (select {c} as v, row_number() over (order by {c}) as i, count(*) over () as n from (select {c} from a0 where a0.server = x.server order by e desc limit 15)) where i = n // 2 + 1) + {more} as most_{c}" for c, more in (("packets", 5), ("bytes", 500)))
+    return f"""{samples.LOGINS_SQL}, a0 as (select * from g0 where port = {bruteforce.PORTS[service]} and not asks and tcp_flags & 27 = 27),
+pr as (select server, {medians} from (select distinct server from a0) x),
+b as (select g0.client as host, g0.e as seq, asks as incoming, coalesce(case when asks then {to} else {back} end, false) as hit, g0.server as victim, t_last from g0 left join pr on g0.server = pr.server where port = {bruteforce.PORTS[service]})"""
+
+
+def _logins(service: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return bruteforce.attacks(samples.logins(spark, sf_dir), service, every=900, least_share=4.0, least_events=2, matches=4, bottom=20)
+
+    run.__name__ = f"{service}_guessing"
+    return run
+
+
+def _login_hits(service: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return bruteforce.matched(samples.logins(spark, sf_dir), service).select("host", "victim", "seq", "incoming", "hit")
+
+    run.__name__ = f"{service}_signatures"
+    return run
+
+
+for _service in bruteforce.PORTS:
+    query(f"with recursive {_logins_sql(_service)}, {machines_sql.guessing(900, 4.0, 2, 4, 20)}")(_logins(_service))
+    query(f"with {_logins_sql(_service)} select host, victim, seq, incoming, hit from b")(_login_hits(_service))
+
+
 # SIP and VoIP
 
 
@@ -363,7 +414,17 @@ def listed_rollup_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("entity", "protocol", "list_id", "start", "part", "parts", _joined(F.col("targets")).alias("targets"))
 
 
-@query()
+@query(f"""{_ROLLED}, g as (select entity, protocol, list_id, t_first - t_first % 300 as start, min(t_first) as a, max(t_last) as b from e where list_id in (1, 2, 3) group by all),
+m as (select *, case when b - lag(b) over (partition by entity order by b, a) > 600 then 1 else 0 end as cut from g), i as (select *, sum(cut) over (partition by entity order by b, a, protocol, list_id, start) as n from m),
+t as (select distinct i.entity, i.n, e.target from i join e on e.entity = i.entity and e.protocol = i.protocol and e.list_id = i.list_id and e.t_first - e.t_first % 300 = i.start),
+w as (select entity, n, arg_min(a, (b, a)) as ts_first, max(b) as ts_last from i group by 1, 2)
+select w.entity, (select string_agg(target, ',' order by target) from t where t.entity = w.entity and t.n = w.n) as adaptive, ts_first, ts_last from w""")
+def scenario_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blacklist.scenarios(blacklist.rolled_up(_listed(spark, sf_dir)), [1, 2, 3])
+    return found.withColumn("adaptive", _joined(F.array_sort("adaptive")))
+
+
+@query(f"{_ROLLED} select distinct target as number, 32 as prefix, 999 as list_id from e where list_id in (1, 2, 3)")
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blacklist.adaptive_list(blacklist.scenarios(blacklist.rolled_up(_listed(spark, sf_dir)), [1, 2, 3]))
 
@@ -416,7 +477,13 @@ def miner_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*miner.KEYS, (F.col("ack_flows") + F.col("ackpush_flows") + F.col("other_flows")).alias("flows"), miner.score().alias("score"))
 
 
-@query()
+@query(f"""with {samples.LISTS_SQL}, pools as (select distinct network as ip, coalesce(port, 0) as port from l), {_SUSPECTS.replace("min(case when tcp_flags in (16, 24) then seq end)", "min(case when listed or tcp_flags in (16, 24) then seq end)").replace("as first from f)", '''as first from (
+  select f.*, exists (select 1 from pools b where b.ip % 4 = 1 + 1 and b.ip = f.dst_ip and b.port in (0, f.dst_port)) as listed from f
+  where not exists (select 1 from pools w where w.ip % 4 = 1 and w.ip = f.dst_ip and w.port in (0, f.dst_port)) and not exists (select 1 from pools b where b.ip % 4 = 2 and b.ip = f.src_ip and b.port in (0, f.src_port))))''')},
+v as (select *, ack_flows + ackpush_flows + other_flows as flows, last_seen - first_seen as active from u),
+x as (select *, case when (ack_flows + ackpush_flows) * 100 // flows >= 80 then 2 else 0 end + case when bytes // packets > 50 and bytes // packets < 130 then 2 else 0 end + case when packets // flows < 10 or packets // flows > 20 then 1 else 0 end
++ case when active >= 5 and packets * 60 // active between 8 and 30 then 2 else 0 end + case when req_flows * 10 > flows * 9 then 3 else 0 end + case when active >= 300 then 3 else 0 end as score from v)
+select src_ip, dst_ip, dst_port, ack_flows, ackpush_flows, other_flows, req_flows, packets, bytes, first_seen, last_seen, score from x where score >= 5 and packets > 2 and req_flows > 0""")
 def miners(spark: SparkSession, sf_dir: str) -> DataFrame:
     pools = samples.list_entries(spark, sf_dir).select(F.col("network").alias("pool_ip"), F.coalesce("port", F.lit(0)).alias("pool_port"))
     white, black = pools.filter("pool_ip % 4 = 1"), pools.filter("pool_ip % 4 = 2")
@@ -424,7 +491,7 @@ def miners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return miner.miners(miner.suspects(miner.candidates(flows(spark, sf_dir), black, white)), 5, tree)
 
 
-@query()
+@query(f"with recursive {FLOWS_SQL}, {machines_sql.exports(60, 3600)}")
 def miner_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return miner.exports(flows(spark, sf_dir))
 
@@ -437,9 +504,11 @@ def mail_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smtp.entities(samples.mails(spark, sf_dir), 3000).drop("senders")
 
 
-@query()
+@query(f"""select host, start, outgoing, incoming, peers, points, cast(floor(confidence * 1000 + 1e-9) as bigint) as confidence_thousandths from (select *, 1 / (1 + exp(-(case when outgoing > 0 then points * 1.0 / outgoing else 0 end + case when incoming = 0 and outgoing > 0 then ln(outgoing) else 0 end + case when peers > 10 then 1 else -1 end
++ case when outgoing > 0 and incoming * 1.0 / outgoing <= 1.2 then 1 else -1 end) / 2.0)) as confidence from ({ORACLES["mail_hosts"]})) where confidence > 0.6""")
 def spammers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return smtp.spammers(smtp.entities(samples.mails(spark, sf_dir), 3000), 0.6)
+    found = smtp.spammers(smtp.entities(samples.mails(spark, sf_dir), 3000), 0.6)
+    return found.select("host", "start", "outgoing", "incoming", "peers", "points", F.floor(F.col("confidence") * 1000 + 1e-9).alias("confidence_thousandths"))
 
 
 _RULES: list[web.Rule] = [("digits", r"[0-9]{3,}", ["path"]), ("letters", r"(?i)th|er", ["host", "path"]), ("any", r"^http", ["url"])]
@@ -458,10 +527,13 @@ def backscatter_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("src_ip", "protocol", "flows", "dst_ips", "dst_ports", "src_ports", "subnets", F.floor(F.col("dst_ports_share") * 1000 + 1e-9).alias("ports_thousandths"), F.col("duration").cast("long").alias("duration"))
 
 
-@query()
+@query(f"""with {FLOWS_SQL}, v as (select src_ip, protocol, count(*) as flows, count(distinct dst_port) as dst_ports, min(t_first) as t_start, max(t_last) as t_end from f group by 1, 2),
+p as (select *, 1 / (1 + exp(-5 * (dst_ports * 1.0::double / flows - 0.2))) as probability from v where flows >= 30 and t_end - t_start between 30 and 720000)
+select src_ip, protocol, flows, dst_ports, cast(floor(probability * 1000000) as bigint) as millionths from p where probability > 0.5""")
 def backscatter_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = backscatter.features(backscatter.gated(backscatter.observed(flows(spark, sf_dir)), [], 30, 30, 720000))
-    return backscatter.classified(f, lambda x: 1 / (1 + (-5 * (x["dst_ports_share"] - 0.2)).map(lambda v: 2.718281828459045**v)), 0.5)
+    found = backscatter.classified(f, lambda x: 1 / (1 + (-5 * (x["dst_ports_share"] - 0.2)).map(lambda v: 2.718281828459045**v)), 0.5)
+    return found.select("src_ip", "protocol", "flows", "dst_ports", F.floor(F.col("probability") * 1000000).alias("millionths"))
 
 
 #: Lines of a list with IPv6 networks, in several spellings.
@@ -569,7 +641,9 @@ def alerts_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.as_json(vertical_scan(spark, sf_dir).select("src_ip", "dst_ip", "port_cnt", "ts_last"))
 
 
-@query()
+@query(f"""with a as (select *, left(sha256(concat_ws(':', src_ip, dst_ip, seq)), 32) as id from ({_VERTICAL})),
+t as (select *, concat_ws('.', src_ip // 16777216, src_ip // 65536 % 256, src_ip // 256 % 256, src_ip % 256) as src, concat_ws('.', dst_ip // 16777216, dst_ip // 65536 % 256, dst_ip // 256 % 256, dst_ip % 256) as dst, strftime(make_timestamp(ts_last * 1000000), '%Y-%m-%dT%H:%M:%SZ') as detected from a)
+select id, '{{"Format":"IDEA0","ID":"' || id || '","Category":["Recon.Scanning"],"DetectTime":"' || detected || '","Source":[{{"IP4":["' || src || '"]}}],"Target":[{{"IP4":["' || dst || '"]}}],"FlowCount":' || port_cnt || ',"Node":[{{"Name":"sluice.vertical_scan","Type":["Flow","Statistical"]}}]}}' as document from t""")
 def alerts_as_idea(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = vertical_scan(spark, sf_dir)
     identity = sinks.event_id(F.col("src_ip"), F.col("dst_ip"), F.col("seq"))

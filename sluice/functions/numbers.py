@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def div(a: Column, b: Column) -> Column:
-    """Whole quotient of non-negative numbers; null where b is zero."""
-    return F.when(b != 0, (a - a % b) / b).cast("long")
+    """Whole quotient of whole non-negative numbers, exact over all of 64 bits; null where b is zero."""
+    return F.when(b != 0, F.call_function("div", a.cast("long"), b.cast("long")))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,26 @@ def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def is_bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    return df.limit(most + 1).count() <= most
+
+
+def with_prefixes(df: DataFrame, address: str, prefixes: DataFrame, columns: list[str], out: str) -> DataFrame:
+    """df with out: an array of struct(columns) of all prefixes (network, prefix, columns) that hold the address.
+
+    The list must be bounded: it is broadcast, one equality join for each prefix length that it has (33 at most), so
+    rows of df stay where they are.
+    """
+    lengths = sorted(r[0] for r in prefixes.select("prefix").distinct().filter("prefix between 0 and 32").collect())
+    listed = prefixes.groupBy(F.col("prefix").cast("int").alias("__n"), ip.mask(F.col("network"), F.col("prefix")).alias("__net")).agg(F.collect_list(F.struct(*columns)).alias("__found"))
+    kind = listed.schema["__found"].dataType
+    df = df.withColumn(out, F.array().cast(kind))
+    for n in lengths:
+        one = F.broadcast(listed.filter(F.col("__n") == n).select("__net", "__found"))
+        df = df.join(one, ip.mask(F.col(address), n) == F.col("__net"), "left").withColumn(out, F.when(F.col("__found").isNull(), F.col(out)).otherwise(F.concat(out, "__found"))).drop("__net", "__found")
+    return df
+
+
 def prefix_matches(df: DataFrame, address: str, prefixes: DataFrame) -> DataFrame:
     """Each row of df with every prefix (network, prefix and other columns) that holds its address.
 
@@ -72,9 +94,20 @@ def exact_matches(df: DataFrame, key: str, names: DataFrame, name: str) -> DataF
     return df.join(listed, df[key] == listed[name])
 
 
+def _within(port: Column) -> Callable[[Column], Column]:
+    return lambda rule: rule["port_from"].isNull() | port.between(rule["port_from"], F.coalesce(rule["port_to"], rule["port_from"]))
+
+
 def not_whitelisted(flows: DataFrame, rules: DataFrame, key: str = "seq") -> DataFrame:
     """Flows that no rule covers. Rules: network, prefix, direction (src, dst or all), port_from, port_to (null: any)."""
 
+    if is_bounded(rules):
+        for end in ("src", "dst"):
+            own, port = rules.filter(F.col("direction").isin(end, "all")), F.col(f"{end}_port")
+            covers = F.exists("__rules", _within(port))
+            flows = with_prefixes(flows, f"{end}_ip", own, ["port_from", "port_to"], "__rules").filter(~F.coalesce(covers, F.lit(False))).drop("__rules")
+        return flows
+
     def hits(end: str) -> DataFrame:
         own = rules.filter(F.col("direction").isin(end, "all"))
         port = F.col(f"{end}_port")
@@ -86,7 +119,13 @@ def not_whitelisted(flows: DataFrame, rules: DataFrame, key: str = "seq") -> Dat
 
 def in_pool(flows: DataFrame, pools: DataFrame, address: str, port: str, how: str = "left_semi") -> DataFrame:
     """Flows whose address and port are listed (pool_ip, pool_port; port 0 or null: any), or with left_anti those whose aren't."""
-    listed = bounded(pools.select("pool_ip", F.coalesce("pool_port", F.lit(0)).alias("pool_port")).distinct())
+    listed = pools.select("pool_ip", F.coalesce("pool_port", F.lit(0)).alias("pool_port")).distinct()
+    if is_bounded(listed):
+        every = F.broadcast(listed.filter("pool_port = 0").select(F.col("pool_ip").alias("__any")))
+        named = F.broadcast(listed.filter("pool_port <> 0").select(F.col("pool_ip").alias("__own"), F.col("pool_port").alias("__port")))
+        marked = flows.join(every, flows[address] == every["__any"], "left").join(named, (flows[address] == named["__own"]) & (flows[port] == named["__port"]), "left")
+        found = F.col("__any").isNotNull() | F.col("__own").isNotNull()
+        return marked.filter(found if how == "left_semi" else ~found).drop("__any", "__own", "__port")
     tried = flows.withColumn("__port", F.explode(F.array(F.col(port), F.lit(0))))
     hit = tried.join(listed, (tried[address] == listed["pool_ip"]) & (tried["__port"] == listed["pool_port"]), "left_semi").select("seq").distinct()
     return flows.join(hit, "seq", how)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import text
 from sluice.functions.bits import ids
 from sluice.operators.aggregates import in_parts, merged_lists
 from sluice.operators.keyed import run_keyed
-from sluice.operators.lookups import bounded, exact_matches, port_allowed, prefix_matches
+from sluice.operators.lookups import bounded, exact_matches, is_bounded, port_allowed, prefix_matches, with_prefixes
 
 #: Ports above this are ephemeral and aren't told.
 LAST_PORT = 49152
@@ -40,6 +41,10 @@ def changed(new: DataFrame, old: DataFrame) -> bool:
     return not (new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty())
 
 
+def _allowed(port: Column) -> Callable[[Column], Column]:
+    return lambda x: port_allowed(x["bitmap"], x["ports"], port)
+
+
 def match_ips(flows: DataFrame, entries: DataFrame) -> DataFrame:
     """Flows whose source or destination is listed, with src_bitmap and dst_bitmap; DNS traffic is left out.
 
@@ -49,6 +54,12 @@ def match_ips(flows: DataFrame, entries: DataFrame) -> DataFrame:
     kept = flows.filter((F.col("src_port") != 53) & (F.col("dst_port") != 53))
     listed = entries.filter("network is not null").select("network", "prefix", "bitmap", "ports")
 
+    if is_bounded(listed):
+        for end in ("src", "dst"):
+            found = F.transform("__met", _allowed(F.col(f"{end}_port")))
+            kept = with_prefixes(kept, f"{end}_ip", listed, ["bitmap", "ports"], "__met").withColumn(f"{end}_bitmap", F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))).drop("__met")
+        return kept.filter((F.col("src_bitmap") != 0) | (F.col("dst_bitmap") != 0))
+
     def of(end: str, other: str) -> DataFrame:
         met = prefix_matches(kept.select("seq", f"{end}_ip", f"{end}_port"), f"{end}_ip", listed)
         bits = port_allowed(F.col("bitmap"), F.col("ports"), F.col(f"{end}_port"))

@@ -26,7 +26,7 @@ SIGNATURES = {
     ),
     "telnet": ([(SAP, (9, 50), (450, 3000))], [(SAP | FIN, (6, 1 << 31), (0, 1 << 31))]),
 }
-ALERT = "host long, seq long, state string, scale long, ts long"
+ALERT = "host long, seq long, state string, scale long, ts long, victims string"
 
 
 def _any(signatures: list[tuple[int, tuple[int, int], tuple[int, int]]]) -> Column:
@@ -46,7 +46,7 @@ def matched(flows: DataFrame, service: str) -> DataFrame:
     f = flows.filter((F.col("protocol") == TCP) & ((F.col("dst_port") == port) | (F.col("src_port") == port)) & ~scan_shaped())
     if service == "ssh":
         f = f.filter(~ssh_ignored())
-    f = f.select("*", incoming.alias("incoming"), F.when(incoming, F.col("src_ip")).otherwise(F.col("dst_ip")).alias("host"))
+    f = f.select("*", incoming.alias("incoming"), F.when(incoming, F.col("src_ip")).otherwise(F.col("dst_ip")).alias("host"), F.when(incoming, F.col("dst_ip")).otherwise(F.col("src_ip")).alias("victim"))
     to, back = SIGNATURES[service]
     f = f.withColumn("hit", F.when(F.col("incoming"), _any(to)).otherwise(_any(back)))
     if service == "telnet":
@@ -85,7 +85,10 @@ def needed(n_in: int, n_out: int, bottom: int = BOTTOM, matches: int = MATCHES)
 
 
 class Guessing:
-    """NEW, then ATTACK reports every `every` seconds while enough flows match, then END."""
+    """NEW, then ATTACK reports every `every` seconds while enough flows match, then END.
+
+    Reports name the victims: the servers of the matching flows of either list, each once and in order.
+    """
 
     def __init__(self, every: int = 300, least_share: float = 20.0, least_events: int = 20, size: int = LIST, matches: int = MATCHES, bottom: int = BOTTOM):
         self.every, self.least_share, self.least_events, self.need = every, least_share, least_events, (bottom, matches)
@@ -96,14 +99,17 @@ class Guessing:
         self.seen: dict[str, Any] = {}
 
     def told(self, state: str, scale: int) -> dict[str, Any]:
-        return {"host": self.seen["host"], "seq": self.seen["seq"], "state": state, "scale": scale, "ts": self.seen["t_last"]}
+        return {"host": self.seen["host"], "seq": self.seen["seq"], "state": state, "scale": scale, "ts": self.seen["t_last"], "victims": "I:" + self.named(True) + ";O:" + self.named(False)}
+
+    def named(self, way: bool) -> str:
+        return ",".join(map(str, sorted({v for hit, v in self.lists[way] if hit and v is not None})))
 
     def row(self, r: dict[str, Any]) -> list[dict[str, Any]]:
         self.seen, way = r, r["incoming"]
         line = self.lists[way]
         if len(line) == line.maxlen:
-            self.hits[way] -= line[0]
-        line.append(r["hit"])
+            self.hits[way] -= line[0][0]
+        line.append((r["hit"], r.get("victim")))
         self.hits[way] += r["hit"]
         if self.reported is None:
             limit = needed(len(self.lists[True]), len(self.lists[False]), *self.need)
@@ -130,5 +136,5 @@ class Guessing:
 
 
 def attacks(flows: DataFrame, service: str, **settings: Any) -> DataFrame:
-    hits = matched(flows, service).select("host", "seq", "incoming", "hit", "t_last")
+    hits = matched(flows, service).select("host", "seq", "incoming", "hit", "victim", "t_last")
     return run_keyed(hits, ["host"], ["seq"], lambda: Guessing(**settings), ALERT)

@@ -74,3 +74,21 @@ def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = flows_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
     s = F.col("seq")
     return f.withColumns({"dst_port": F.when(s % 2 == 0, 25).otherwise(F.col("dst_port")), "smtp_status": F.when(s % 3 == 0, F.lit(0x40000000) + F.when(s % 5 == 0, 0x100).otherwise(0)).otherwise(16).cast("long"), "sender": F.when(s % 4 > 0, F.concat(F.lit("s"), (s % 9).cast("string"))), "recipient": F.when(s % 7 > 0, F.lit("r"))})
+
+
+def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows of SSH, RDP and Telnet in both directions from the events, with the columns of a flow."""
+    f = flows_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    e = F.col("seq")
+    port = F.when(e % 3 == 0, 22).when(e % 3 == 1, 3389).otherwise(23)
+    asks = F.floor(e / 3) % 2 == 0
+    return f.select(
+        "seq", F.when(asks, F.col("src_ip")).otherwise(F.col("dst_ip")).alias("src_ip"), F.when(asks, F.col("dst_ip")).otherwise(F.col("src_ip")).alias("dst_ip"),
+        F.when(asks, F.lit(40000) + e % 999).otherwise(port).cast("int").alias("src_port"), F.when(asks, port).otherwise(F.lit(40000) + e % 999).cast("int").alias("dst_port"),
+        F.lit(6).alias("protocol"), (1 + e * 7 % 60).alias("packets"), (80 + e * 131 % 4000).alias("bytes"), F.when(e % 5 == 0, 27).when(e % 5 == 1, 30).otherwise(26).cast("int").alias("tcp_flags"), "t_first", "t_last",
+    )
+
+
+LOGINS_SQL = """g0 as (select cast(event_id as bigint) e, cast(167772160 + user_id % 16 as bigint) client, cast(3232235520 + (event_id // 3) % 8 as bigint) server, (event_id // 3) % 2 = 0 as asks,
+  case event_id % 3 when 0 then 22 when 1 then 3389 else 23 end as port, cast(1 + event_id * 7 % 60 as bigint) packets, cast(80 + event_id * 131 % 4000 as bigint) bytes,
+  case event_id % 5 when 0 then 27 when 1 then 30 else 26 end as tcp_flags, cast(1704067200 + event_id as bigint) t_last from events)"""

@@ -51,7 +51,7 @@ def misp_event(info: Column, attributes: Column, day: Column) -> Column:
 
 def event_id(*parts: Column) -> Column:
     """A name for an event that is the same in every run."""
-    return F.lower(F.lpad(F.hex(F.xxhash64(*parts)), 16, "0"))
+    return F.left(F.sha2(F.concat_ws(":", *(p.cast("string") for p in parts)), 256), F.lit(32))
 
 
 def histogram_report(hist: DataFrame, step: int) -> DataFrame:
