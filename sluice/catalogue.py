@@ -188,10 +188,10 @@ def amplification_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.join(every, keys).select(*keys, "mean_bin", "mean", "n", div(F.col("n") * 1000000, F.col("every")).alias("share_millionths"))
 
 
-def _tops(way: str, column: str, most: str, tag: str) -> str:
-    return f"""h_{tag} as (select server, client, start, {column} // 50 * 50 + 50 as bin, count(*) as n from x where {way}{most} group by 1, 2, 3, 4),
-k_{tag} as (select *, sum(n) over (partition by server, client, start) as every, row_number() over (partition by server, client, start order by n desc, bin desc) as k from h_{tag}),
-{tag} as (select server, client, start, sum(bin) // count(*) as mean_bin, sum(bin * n) // sum(n) as mean, sum(n) as n, sum(n) * 1.0 / max(every) as share from k_{tag} where k <= 3 group by 1, 2, 3)"""
+def _tops(way: str, column: str, most: str, tag: str, keys: str = "server, client, start", table: str = "x") -> str:
+    return f"""h_{tag} as (select {keys}, {column} // 50 * 50 + 50 as bin, count(*) as n from {table} where {way}{most} group by all),
+k_{tag} as (select *, sum(n) over (partition by {keys}) as every, row_number() over (partition by {keys} order by n desc, bin desc) as k from h_{tag}),
+{tag} as (select {keys}, sum(bin) // count(*) as mean_bin, sum(bin * n) // sum(n) as mean, sum(n) as n, sum(n) * 1.0 / max(every) as share from k_{tag} where k <= 3 group by all)"""
 
 
 @query(f"""with {_PAIRS}, t as (select server, client, start, count(*) filter (where q) as q_flows, count(*) filter (where not q) as r_flows, cast(coalesce(sum(packets) filter (where q), 0) as bigint) as q_packets, cast(coalesce(sum(packets) filter (where not q), 0) as bigint) as r_packets,
@@ -628,7 +628,16 @@ def pair_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplification.flow_log(_both_ways(spark, sf_dir), _LIMITS).drop("t_first")
 
 
-@query()
+_SIDES = ", ".join(f"count(*) filter (where {way}) as {p}_flows, " + ", ".join(f"coalesce(sum({c}) filter (where {way}), 0) as {p}_{c}" for c in ("packets", "bytes")) for p, way in (("q", "q"), ("r", "not q")))
+_JUDGED = f"""t as (select id, {_SIDES}, max(packets) filter (where q) as q_most, max(bytes) filter (where q) as q_max, max(bytes) filter (where not q) as r_max from u group by id),
+d as (select id, {_SIDES} from r group by id),
+{_tops('not q', 'bytes', ' and bytes < 5000', 'rb', 'id', 'u')}, {_tops('not q', 'packets', '', 'rp', 'id', 'u')}, {_tops('q', 'bytes', ' and bytes < 5000', 'qb', 'id', 'u')},
+v as (select t.*, q_packets >= 30 and r_packets // q_packets >= 5 as heavy, rb.share as share, rb.n as n, rp.mean as rp_mean, rb.mean as rb_mean, coalesce(qb.mean, 0) as qb_mean, rb.mean_bin as rb_bin, qb.mean_bin as qb_bin from t left join rb using (id) left join rp using (id) left join qb using (id) where q_flows > 0 and r_flows > 0)
+select server, client, case when heavy then 'big' else 'complex' end as kind, {", ".join(f"cast(v.{c} - coalesce(d.{c}, 0) as bigint) as {c}" for c in ("q_flows", "q_packets", "q_bytes", "r_flows", "r_packets", "r_bytes"))}, ts_first, ts_last from v join j using (id) left join d using (id)
+where case when heavy then (q_most > 1000 or r_max > 100000) and r_max // greatest(1, q_max) > 0 else share > 0.1 and n > 2 and rp_mean > 0 and rb_mean > 10 and qb_mean < 100000 and coalesce(rb_bin // qb_bin > 0, false) end"""
+
+
+@query(f"with recursive {_PAIRS}, {machines_sql.sliding(1000, 500, _JUDGED)}")
 def amplified_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplification.sliding(_both_ways(spark, sf_dir), _LIMITS)
 

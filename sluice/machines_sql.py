@@ -97,3 +97,20 @@ union all select dst_net, i, case when ends then [here] when started0 is null th
 last as (select *, row_number() over (partition by dst_net order by i desc) as k from z)
 select dst_net, told_start as started, told as reported, told_bytes as bytes, ended from z where told is not null
 union all select dst_net, started, reported, extra, true from last where k = 1 and started is not null"""
+
+
+def sliding(window: int, slide: int, judged: str) -> str:
+    """w: server, client, q, packets, bytes, t_first, t_last, seq. The history of each pair, judged when it is longer
+    than the window; judged: a select over j (id, server, client, ts_first, ts_last), u (id and its flows) and r (id
+    and the flows told before)."""
+    item = "struct(t bigint, q boolean, bytes bigint, packets bigint)[]"
+    return f"""o as (select server, client, q, cast(packets as bigint) as packets, cast(bytes as bigint) as bytes, t_first, t_last, row_number() over (partition by server, client order by t_last, seq, q) as i from w),
+z as (select server, client, cast(0 as bigint) as i, cast([] as {item}) as line, cast([] as {item}) as kept, cast([] as {item}) as told, cast([] as {item}) as told0, cast(null as bigint) as first, cast(null as bigint) as first0, false as judged, cast(0 as bigint) as t_last from (select distinct server, client from o)
+union all select server, client, i, line, case when judged then rest else line end, case when judged then rest else told0 end, told0, case when not judged then first0 when len(rest) > 0 then least(t_first, list_min(list_transform(rest, lambda x: x.t))) end, first0, judged, t_last from (
+  select *, t_last - first0 > {window} as judged, list_filter(line, lambda x: t_last - x.t <= {window - slide}) as rest from (
+    select o.server, o.client, o.i, o.t_first, o.t_last, list_append(z.kept, {{'t': o.t_first, 'q': o.q, 'bytes': o.bytes, 'packets': o.packets}}) as line, z.told as told0, coalesce(z.first, o.t_first) as first0
+    from z join o on o.server = z.server and o.client = z.client and o.i = z.i + 1))),
+j as (select row_number() over (order by server, client, i) as id, server, client, first0 as ts_first, t_last as ts_last, line, told0 from z where judged),
+u as (select id, x.q as q, x.bytes as bytes, x.packets as packets from (select id, unnest(line) as x from j)),
+r as (select id, x.q as q, x.bytes as bytes, x.packets as packets from (select id, unnest(told0) as x from j)),
+{judged}"""

@@ -85,25 +85,27 @@ def flow_log(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 class History:
-    """The flows of one pair over the last window; when it is full it is judged and its oldest part goes.
+    """The flows of one pair over the last window; when it is longer than that it is judged and its oldest part goes.
 
-    Both ways are held as histograms by time step, so the state is bounded by the bins and not by the flows.
+    A flow stands at its beginning. Flows of the same second, bytes and packets are held as one with a count, so a
+    flood of like flows doesn't grow the state. A report tells what came since the last judgement.
     """
 
     def __init__(self, limits: Limits = Limits()):
         self.limits, self.first, self.steps = limits, None, {}
+        self.told = {True: Counter(), False: Counter()}
 
     def row(self, r: dict[str, Any]) -> list[dict[str, Any]]:
         limits, now = self.limits, r["t_last"]
-        self.first = now if self.first is None else min(self.first, now)
-        way = self.steps.setdefault(now // 60, {True: Counter(), False: Counter()})[r["is_query"]]
+        self.first = r["t_first"] if self.first is None else self.first
+        way = self.steps.setdefault(r["t_first"], {True: Counter(), False: Counter()})[r["is_query"]]
         way[r["bytes"], r["packets"]] += 1
         if now - self.first <= limits.window:
             return []
         out = self.judge(r)
-        oldest = now - (limits.window - limits.slide)
-        self.steps = {k: v for k, v in self.steps.items() if k * 60 >= oldest}
-        self.first = min((k * 60 for k in self.steps), default=now)
+        self.steps = {t: v for t, v in self.steps.items() if now - t <= limits.window - limits.slide}
+        self.first = min(r["t_first"], *self.steps) if self.steps else None
+        self.told = {w: sum((v[w] for v in self.steps.values()), Counter()) for w in (True, False)}
         return out
 
     def judge(self, r: dict[str, Any]) -> list[dict[str, Any]]:
@@ -112,8 +114,11 @@ class History:
         if not both[True] or not both[False]:
             return []
 
-        def total(way: bool, i: int) -> int:
-            return sum(k[i] * n for k, n in both[way].items())
+        def total(way: bool, i: int, of: dict[bool, Counter[tuple[int, int]]] = both) -> int:
+            return sum(k[i] * n for k, n in of[way].items())
+
+        def fresh(way: bool, i: int) -> int:
+            return total(way, i) - total(way, i, self.told)
 
         def top(way: bool, i: int) -> tuple[float, int, int, int]:
             """Share and flows of the fullest bins, their mean edge, and the mean by flows."""
@@ -134,13 +139,16 @@ class History:
             rb, rp, qb = top(False, 0), top(False, 1), top(True, 0)
             if rb[0] > limits.share and rb[1] > limits.flows and rp[3] > limits.rsp_packets and rb[3] > limits.rsp_bytes and qb[3] < limits.query_bytes and qb[2] and rb[2] // qb[2] > limits.ratio:
                 kind = "complex"
-        return [{"server": r["server"], "client": r["client"], "kind": kind, "q_flows": sum(both[True].values()), "r_flows": sum(both[False].values()), "q_bytes": total(True, 0), "r_bytes": total(False, 0), "ts_first": self.first, "ts_last": r["t_last"]}] if kind else []
+        flows = {w: both[w].total() - self.told[w].total() for w in both}
+        figures = {"q_flows": flows[True], "q_packets": fresh(True, 1), "q_bytes": fresh(True, 0), "r_flows": flows[False], "r_packets": fresh(False, 1), "r_bytes": fresh(False, 0)}
+        return [{"server": r["server"], "client": r["client"], "kind": kind, **figures, "ts_first": self.first, "ts_last": r["t_last"]}] if kind else []
 
     def end(self) -> list[dict[str, Any]]:
         return []
 
 
 def sliding(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Alerts of the exact sliding history of each pair."""
-    kept = by_service(flows, limits.port).select("server", "client", "is_query", "packets", "bytes", "t_last", "seq")
-    return run_keyed(kept, ["server", "client"], ["t_last", "seq"], lambda: History(limits), "server long, client long, kind string, q_flows long, r_flows long, q_bytes long, r_bytes long, ts_first long, ts_last long")
+    """Alerts of the sliding history of each pair, flow by flow, with what came since the pair's last judgement."""
+    kept = by_service(flows, limits.port).select("server", "client", "is_query", "packets", "bytes", "t_first", "t_last", "seq")
+    schema = "server long, client long, kind string, q_flows long, q_packets long, q_bytes long, r_flows long, r_packets long, r_bytes long, ts_first long, ts_last long"
+    return run_keyed(kept, ["server", "client"], ["t_last", "seq", "is_query"], lambda: History(limits), schema)

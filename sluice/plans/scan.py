@@ -106,8 +106,11 @@ def horizontal_all(flows: DataFrame, addresses: int = ADDRESSES, idle: int = IDL
 
 
 def sessions(flows: DataFrame, keys: list[str], idle: int = IDLE) -> DataFrame:
-    """keys, session (from 0), flows, ts_first and ts_last, cut by gaps of more than `idle` seconds between ends."""
-    w = Window.partitionBy(*keys).orderBy("t_last", "seq")
-    gap = (F.col("t_last") - F.lag("t_last").over(w) > idle).cast("int")
-    marked = flows.withColumn("gap", F.coalesce(gap, F.lit(0)))
-    return marked.withColumn("session", F.sum("gap").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "session").agg(F.count("*").alias("flows"), F.min("t_first").alias("ts_first"), F.max("t_last").alias("ts_last"))
+    """keys, session (from 0), flows, ts_first and ts_last, cut by gaps of more than `idle` seconds between ends.
+
+    Spark's session windows merge rows into sessions before anything is numbered, so only sessions are sorted by key.
+    """
+    window = F.session_window(F.timestamp_seconds("t_last"), f"{idle + 1} seconds")  # a gap of whole seconds ends one
+    found = flows.groupBy(*keys, window.alias("__session")).agg(F.count("*").alias("flows"), F.min("t_first").alias("ts_first"), F.max("t_last").alias("ts_last"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("__session.start"))
+    return found.withColumn("session", (place - 1).cast("long")).select(*keys, "session", "flows", "ts_first", "ts_last")

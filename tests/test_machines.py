@@ -148,7 +148,9 @@ def test_scenarios():
 
 def test_amplification_history():
     limits = amplification.Limits(top=2, step=10, ratio=5, flows=2, share=0.5, rsp_packets=0, rsp_bytes=100, query_bytes=100, window=100, slide=60)
-    rows = [{"server": 1, "client": 2, "is_query": q, "packets": 1, "bytes": 40 if q else 900, "t_last": t} for t in range(0, 220, 10) for q in (True, False)]
+    rows = [{"server": 1, "client": 2, "is_query": q, "packets": 1, "bytes": 40 if q else 900, "t_first": t, "t_last": t} for t in range(0, 220, 10) for q in (True, False)]
     told = run(amplification.History(limits), rows)
     assert told and {t["kind"] for t in told} == {"complex"} and told[0]["ts_last"] == 110
+    # a report tells what came since the judgement before it; what is older than window - slide seconds is gone
+    assert [(t["ts_first"], t["ts_last"], t["q_flows"], t["r_flows"]) for t in told][:2] == [(0, 110, 12, 11), (70, 180, 7, 7)]
     assert run(amplification.History(amplification.Limits(window=100, slide=60)), rows) == []
