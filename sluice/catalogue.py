@@ -642,9 +642,133 @@ def amplified_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplification.sliding(_both_ways(spark, sf_dir), _LIMITS)
 
 
+# Sources
+
+
+def _lines(spark: SparkSession, sf_dir: str, table: str, value: Column) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(value.alias("value"))
+
+
+@query(f"""with {FLOWS_SQL}, {samples.NAMES_SQL}, u as (select 'flows' as input, bytes as size, protocol from f union all select 'names', size, null from d) select input, count(*) as n, cast(sum(size) as bigint) as bytes, count(protocol) as with_protocol from u group by 1""")
+def tagged_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = lists.tagged({"flows": flows(spark, sf_dir).select(F.col("bytes").alias("size"), "protocol"), "names": samples.names(spark, sf_dir).select("size")})
+    return both.groupBy("input").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.count("protocol").alias("with_protocol"))
+
+
+@query(rf"""with l as (select unnest(string_split(text, chr(10))) as value from documents), e as (select regexp_extract(value, '{lists.URL_IN_TEXT}', 1) as entity from l) select entity, count(*) as n from e where entity <> '' group by 1""")
+def extracted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = _lines(spark, sf_dir, "documents", F.explode(F.split("text", "\n")))
+    return lists.extracted(each, "url").groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query(rf"""with l as (select 'host ' || case c_custkey % 3 when 0 then '2001:db8:0:0:0:0:0:' || c_custkey % 97 when 1 then '2001:db8::' || c_custkey % 97 || ':1' else 'none' end || ' up' as value from customer), e as (select regexp_extract(value, '{lists.IPV6_IN_TEXT}', 1) as entity from l) select entity, count(*) as n from e where entity <> '' group by 1""")
+def extracted_ipv6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    last = (k % 97).cast("string")
+    line = F.concat(F.lit("host "), F.when(k % 3 == 0, F.concat(F.lit("2001:db8:0:0:0:0:0:"), last)).when(k % 3 == 1, F.concat(F.lit("2001:db8::"), last, F.lit(":1"))).otherwise("none"), F.lit(" up"))
+    return lists.extracted(_lines(spark, sf_dir, "customer", line), "ipv6").groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query(r"""select 's' || s_suppkey || '.example' as name, cast(s_suppkey % 7 as bigint) as bitmap from supplier where s_suppkey % 5 <> 0""")
+def name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    line = F.concat(F.lit("s"), k.cast("string"), F.lit(".example"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("\\"), (k % 7).cast("string"))))
+    return lists.name_entries(_lines(spark, sf_dir, "supplier", line))
+
+
+@query("""select 'e' || c_custkey % 40 as entity, count(*) as n from customer where c_custkey % 6 <> 0 group by 1""")
+def csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    cell = F.concat(F.lit("e"), (k % 40).cast("string"))
+    line = F.when(k % 6 == 0, "x").otherwise(F.concat(F.lit("x;"), F.when(k % 2 == 0, F.concat(F.lit(' "'), cell, F.lit('" '))).otherwise(cell), F.lit(";y")))
+    return lists.csv_column(_lines(spark, sf_dir, "customer", line), 2, ";").groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query("""with n as (select n_nationkey as k, 167772160 + n_nationkey as network, case n_nationkey % 3 when 0 then 'src' when 1 then 'dst' else 'all' end as direction, cast(case when n_nationkey % 4 = 0 then 32 else 24 + n_nationkey % 8 end as int) as prefix from nation)
+select cast(network as bigint) as network, prefix, direction, cast(case when k % 4 in (0, 1) then null when k % 4 = 2 then 22 else p end as int) as port_from, cast(case when k % 4 in (0, 1) then null when k % 4 = 2 then 22 else q end as int) as port_to from (select n.*, 80 as p, 90 as q from n union all select n.*, 443, 443 from n where k % 4 = 3)""")
+def white_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    network = F.concat(F.lit("10.0.0."), k.cast("string"), F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("/"), (24 + k % 8).cast("string"))), F.when(k % 4 == 2, "/22").when(k % 4 == 3, "/80-90,443").otherwise(""))
+    return lists.whitelist(_lines(spark, sf_dir, "nation", F.concat(F.when(k % 3 == 0, "src ").when(k % 3 == 1, "dst ").otherwise(""), network, F.lit("  # remark"))))
+
+
+@query("""select cast(167772160 + n_nationkey as bigint) as pool_ip, cast(case when n_nationkey % 2 = 0 then 3333 else 0 end as int) as pool_port from nation where n_nationkey % 5 <> 0""")
+def pool_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    return lists.pools(_lines(spark, sf_dir, "nation", F.when(k % 5 == 0, "no address").otherwise(F.concat(F.lit("10.0.0."), k.cast("string"), F.when(k % 2 == 0, ":3333").otherwise("")))))
+
+
+@query("""select '^p' || n_nationkey || '$' as pattern, 'HOST,URL' as fields from nation where n_nationkey % 3 <> 0""")
+def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    line = F.concat(F.lit("^p"), k.cast("string"), F.lit("$"), F.when(k % 3 == 0, " * HOST").otherwise(" ** HOST, URL"))
+    return lists.rules(_lines(spark, sf_dir, "nation", line)).withColumn("fields", _joined(F.col("fields")))
+
+
+@query(f"""with {samples.REQUESTS_SQL} select seq, regexp_extract(lower(path), 'the|in|e', 0) as word from r where regexp_matches(lower(path), 'the|in|e')""")
+def words_of_a_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pattern = lists.any_word(["in", "e", "the"])
+    return samples.requests(spark, sf_dir).select("seq", F.regexp_extract(F.lower("path"), f"({pattern})", 1).alias("word")).filter("word <> ''")
+
+
+@query(f"""with {FLOWS_SQL} select seq, t_last, src_ip, dst_ip, bytes, 'n' || seq || '.example' as name, case when seq % 2 = 0 then 'a' || seq end as answer from f where seq % 7 <> 0""")
+def dns_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, s = flows(spark, sf_dir), F.col("seq").cast("string")
+    fields = [s, F.concat(F.col("t_last").cast("string"), F.lit(".25")), ip.ipv4_text(F.col("src_ip")), ip.ipv4_text(F.col("dst_ip")), F.col("bytes").cast("string"), F.concat(F.lit("n"), s, F.lit(".example"))]
+    line = F.when(F.col("seq") % 7 == 0, "short\tline").otherwise(F.concat(F.concat_ws("\t", *fields), F.when(F.col("seq") % 2 == 0, F.concat(F.lit("\ta"), s)).otherwise("")))
+    return lists.dns_dump(f.select(line.alias("value")))
+
+
+@query(f"""with {FLOWS_SQL}, {samples.REQUESTS_SQL} select r.seq, dst_port from r join f on r.seq = f.seq where dst_port <> 443 and src_port <> 443 and (r.seq % 3 <> 0)""")
+def plain_http(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = samples.requests(spark, sf_dir).select("seq", F.when(F.col("seq") % 3 != 0, F.col("http_method")).alias("http_method"))
+    return flows(spark, sf_dir).join(r, "seq").filter(filters.plain_http_request()).select("seq", "dst_port")
+
+
+@query(f"""with {samples.REQUESTS_SQL}, x as (select distinct lower(host) as domain from r where seq % 10 = 0) select seq, host from r where not exists (select 1 from x where lower(host) = domain or lower(host) like '%.' || domain)""")
+def without_excepted_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = samples.requests(spark, sf_dir)
+    excepted = r.filter("seq % 10 = 0").select(F.col("host").alias("domain"))
+    return filters.without_domains(r.select("seq", "host"), "host", excepted)
+
+
+@query(f"""with {samples.REQUESTS_SQL} select distinct host as value, ('0x' || left(sha256(host), 15))::bigint as code from r""")
+def host_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.dictionary(samples.requests(spark, sf_dir), "host")
+
+
+@query(f"""with {FLOWS_SQL}, d as (select seq as id, src_ip from f where seq % 50 = 0)
+select d.id, d.src_ip, a.client, count(*) as n from d left join (select f.src_ip as client, x.id from f, lateral (select distinct unnest([seq - seq % 50, seq - seq % 100]) as id) x where seq % 9 = 0) a on d.id = a.id group by 1, 2, 3""")
+def merged_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = flows(spark, sf_dir)
+    s = F.col("seq")
+    adaptive = f.filter(s % 9 == 0).select(F.col("src_ip").alias("client"), F.concat_ws(", ", (s - s % 50).cast("string"), (s - s % 100).cast("string")).alias("adaptive_ids"))
+    return blacklist.merged_evidence(f.filter(s % 50 == 0).select(s.alias("id"), "src_ip"), adaptive).groupBy("id", "src_ip", "client").agg(F.count("*").alias("n"))
+
+
 # Sinks
 
 
+@query("""with e as (select distinct cast(167772160 + s_suppkey % 40 as bigint) as number, cast(s_nationkey % 7 + 1 as int) as list_id, cast(case when s_suppkey % 3 = 0 then s_nationkey end as int) as port from supplier),
+b as (select number, cast(bit_or(1::bigint << (list_id - 1)) as bigint) as bitmap from e group by 1), p as (select number, list_id, list_id || ':' || string_agg(port::varchar, ',' order by port) as part from e where port is not null group by 1, 2),
+q as (select number, string_agg(part, ';' order by list_id) as parts from p group by 1)
+select number, concat_ws('.', number // 16777216, number // 65536 % 256, number // 256 % 256, number % 256) || ',' || bitmap || case when parts is null then '' else ';' || parts end as line from b left join q using (number)""")
+def detector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("s_suppkey")
+    e = spark.read.parquet(f"{sf_dir}/supplier.parquet").select((167772160 + s % 40).cast("long").alias("number"), (F.col("s_nationkey") % 7 + 1).cast("int").alias("list_id"), F.when(s % 3 == 0, F.col("s_nationkey")).cast("int").alias("port"))
+    by_list = e.groupBy("number", "list_id").agg(F.array_sort(F.collect_set("port")).alias("ports"))
+    maps = F.map_from_entries(F.filter(F.collect_list(F.struct("list_id", "ports")), lambda x: F.size(x["ports"]) > 0))
+    return sinks.detector_file(by_list.groupBy("number").agg(F.bit_or(bits.of_id(F.col("list_id"))).alias("bitmap"), maps.alias("ports")))
+
+
+@query(f"""with a as ({_VERTICAL}), t as (select *, concat_ws('.', src_ip // 16777216, src_ip // 65536 % 256, src_ip // 256 % 256, src_ip % 256) as src, strftime(make_timestamp(ts_last * 1000000), '%Y-%m-%d') as day from a)
+select seq, '{{"Event":{{"info":"scan of ' || dst_ip || '","date":"' || day || '","Attribute":[{{"type":"ip-src","category":"Network activity","value":"' || src || '"}}]}}}}' as document from t""")
+def misp_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = vertical_scan(spark, sf_dir)
+    found = F.array(F.struct(F.lit("ip-src").alias("type"), F.lit("Network activity").alias("category"), ip.ipv4_text(F.col("src_ip")).alias("value")))
+    return a.select("seq", sinks.misp_event(F.concat(F.lit("scan of "), F.col("dst_ip").cast("string")), found, F.date_format(F.timestamp_seconds("ts_last"), "yyyy-MM-dd")).alias("document"))
+
+
 @query(_VERTICAL.replace("select src_ip, dst_ip, seq, cast(open_ports as bigint) as port_cnt, src_port, dst_port, t_last as ts_last from a", """select '{"src_ip":' || src_ip || ',"dst_ip":' || dst_ip || ',"port_cnt":' || cast(open_ports as bigint) || ',"ts_last":' || t_last || '}' as value from a"""))
 def alerts_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.as_json(vertical_scan(spark, sf_dir).select("src_ip", "dst_ip", "port_cnt", "ts_last"))

@@ -131,6 +131,15 @@ def in_pool(flows: DataFrame, pools: DataFrame, address: str, port: str, how: st
     return flows.join(hit, "seq", how)
 
 
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """value and code of every different string of a column; a code is the first 60 bits of its SHA-256, so it is the same in every run."""
+    return df.select(F.col(column).alias("value")).filter("value is not null").distinct().withColumn("code", coded(F.col("value")))
+
+
+def coded(value: Column) -> Column:
+    return F.conv(F.left(F.sha2(value, 256), F.lit(15)), 16, 10).cast("long")
+
+
 def correlate_calls(messages: DataFrame) -> DataFrame:
     """OK answers with the INVITE that they answer: same call and callee, swapped ends, earlier."""
     invite = messages.filter("sip_msg_type = 'invite'").select("call_id", "callee", F.col("src_ip").alias("caller_ip"), F.col("dst_ip").alias("server_ip"), F.col("seq").alias("invite_seq"))

@@ -152,6 +152,12 @@ def evaluated(evidence: DataFrame, controllers: DataFrame, irc: tuple[int, int]
     return e.groupBy("scenario").agg(F.count_distinct(F.when(own, F.col("entity"))).alias("own"), F.count_distinct(F.when(F.col("port").between(*irc), F.col("entity"))).alias("irc"), F.count_distinct(F.when(F.col("__c").isNotNull() & ~own, F.col("entity"))).alias("other"))
 
 
+def merged_evidence(detection: DataFrame, adaptive: DataFrame, identity: str = "id", ids: str = "adaptive_ids") -> DataFrame:
+    """detection with each adaptive event whose comma-parted ids name it (columns of adaptive, null without one)."""
+    each = adaptive.withColumn("__id", F.explode(F.array_distinct(F.transform(F.split(ids, ","), lambda x: F.trim(x))))).drop(ids)
+    return detection.join(each, detection[identity].cast("string") == each["__id"], "left").drop("__id")
+
+
 def latest(lists: DataFrame, entity: str, at: str, now: int, ttl: int = 86400) -> DataFrame:
     """Entries that still hold: added at 0 (for good) or within ttl seconds."""
     newest = lists.withColumn("__r", F.row_number().over(Window.partitionBy(entity).orderBy(F.when(F.col(at) == 0, 0).otherwise(1), F.col(at).desc()))).filter("__r = 1").drop("__r")
