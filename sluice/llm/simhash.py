@@ -150,9 +150,10 @@ def _suits(x: Column, kind: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Pairs a < b of different fingerprints (column f) that differ in at most four bits, each once."""
-    keyed = prints.select("f").distinct().mapInArrow(_keyed, "f long, k long")
-    left, right = keyed.toDF("a", "k"), keyed.toDF("b", "j")
+    """Pairs a < b of fingerprints (column f, each of which stands once) that differ in at most four bits, each once."""
+    keyed = prints.select("f").mapInArrow(_keyed, "f long, k long")
+    # a fingerprint has about a hundred keys, more than Spark expects of a map, so neither side may be broadcast
+    left, right = keyed.toDF("a", "k").hint("merge"), keyed.toDF("b", "j")
     x = F.col("a").bitwiseXOR(F.col("b"))
     met = left.join(right, (F.col("k") == F.col("j")) & (F.col("a") < F.col("b")) & (F.bit_count(x) <= MOST_BITS) & _suits(x, F.shiftright("k", 40)))
     return met.select("a", "b").distinct()
@@ -185,7 +186,7 @@ def groups(docs: DataFrame) -> DataFrame:
 def grouped(prints: DataFrame) -> DataFrame:
     """The same from doc_id and f."""
     least = cut(prints.groupBy("f").agg(F.min("doc_id").alias("least")))
-    met = links(prints.select("f").filter("doc_id is not null"))
+    met = links(least.filter("least is not null"))
     edges = met.join(least.select(F.col("f").alias("a"), F.col("least").alias("u")), "a").join(least.select(F.col("f").alias("b"), F.col("least").alias("v")), "b").select("u", "v")
     found = components(edges)
     of = least.join(found, least["least"] == found["node"], "left").select("f", F.coalesce("component", "least").alias("component_id"))
