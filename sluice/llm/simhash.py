@@ -46,6 +46,9 @@ MOST_BITS = 4
 COPY_WORDS, LEAST_SIMILAR = 5, 0.8
 #: Classes of a text's shingles that give keys, and members of a key's group that every other is compared with.
 CLASSES, LEADERS = 24, 4
+#: Bits that fingerprints of similar sets differ in at most: some ten are to be expected, more than this in fewer than one
+#: of 10,000 pairs (sets of five shingles; far fewer of larger ones), and unrelated sets differ in some 32.
+MOST_APART = 24
 SEED = 42
 #: Low bit and width of each segment.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -265,21 +268,24 @@ def _similar(least: float):
 
 
 def candidates(nodes: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
-    """Pairs u < v of nodes (least, f, n, ks) that share a key or have fingerprints within four bits, sizes permitting.
+    """Pairs u < v of nodes (least, f, n, ks) that share a key or have fingerprints within four bits.
 
     A node is paired with a few members of each of its keys' groups, chosen by hashes of the group's nodes and so the
-    same for all of it: the work grows with the keys, not with the square of a group. A small group's pairs are all met.
+    same for all of it: the work grows with the keys, not with the square of a group. A small group's pairs are all
+    met. Pairs whose sizes exclude the similarity go, and those whose fingerprints are further apart than MOST_APART.
     """
-    each = nodes.select("least", "n", F.explode("ks").alias("k"))
-    member = F.struct("least", "n")
-    led = each.groupBy("k").agg(F.count("*").alias("size"), F.array_distinct(F.array(*(F.min_by(member, F.xxhash64("least", F.lit(i))) for i in range(LEADERS)))).alias("leaders")).filter("size > 1").drop("size")
-    met = each.join(led, "k").select(F.col("least").alias("a"), F.col("n").alias("a_n"), F.explode("leaders").alias("x")).select("a", "a_n", F.col("x.least").alias("b"), F.col("x.n").alias("b_n"))
+    each = nodes.select("least", F.explode("ks").alias("k"))
+    led = each.groupBy("k").agg(F.count("*").alias("size"), F.array_distinct(F.array(*(F.min_by("least", F.xxhash64("least", F.lit(i))) for i in range(LEADERS)))).alias("leaders")).filter("size > 1").drop("size")
+    met = each.join(led, "k").select(F.col("least").alias("a"), F.explode("leaders").alias("b"))
     # of the nodes with one fingerprint the key groups take care; one of them stands for all beside other fingerprints
-    stand = cut(nodes.groupBy("f").agg(F.min(F.struct("least", "n")).alias("x")).select("f", "x.least", "x.n"))
-    sides = [stand.select(F.col("f").alias(s), F.col("least").alias(f"{s}_id"), F.col("n").alias(f"{s}_n")) for s in ("p", "q")]
-    close = links(stand).toDF("p", "q").join(sides[0], "p").join(sides[1], "q").select(F.col("p_id").alias("a"), F.col("p_n").alias("a_n"), F.col("q_id").alias("b"), F.col("q_n").alias("b_n"))
-    fit = (F.col("a") != F.col("b")) & (F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * least)
-    return met.union(close).filter(fit).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
+    stand = cut(nodes.groupBy("f").agg(F.min("least").alias("least")))
+    close = links(stand).toDF("p", "q").join(stand.toDF("p", "a"), "p").join(stand.toDF("q", "b"), "q").select("a", "b")
+    pairs = met.union(close).filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    figures = nodes.groupBy("least").agg(F.collect_set("f").alias("f"), F.min("n").alias("low"), F.max("n").alias("high"))  # ids of several texts have several
+    u, v = (figures.select(F.col("least").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("f", "low", "high"))) for s in ("u", "v"))
+    sized = (F.col("u_high") >= F.col("v_low") * least) & (F.col("v_high") >= F.col("u_low") * least)
+    near = F.exists("u_f", lambda x: F.exists("v_f", lambda y: F.bit_count(x.bitwiseXOR(y)) <= MOST_APART))
+    return pairs.join(u, "u").join(v, "v").filter(sized & near).select("u", "v")
 
 
 def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
