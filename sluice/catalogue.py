@@ -403,8 +403,8 @@ union all select distinct k.seq, dst_ip, src_ip, case when dst_port <= 49152 the
 
 @query(f"""{_ROLLED} select entity, protocol, cast(list_id as int) as list_id, t_first - t_first % 300 as start, count(*) as flows, count(distinct target) as targets, count(distinct p) as ports, cast(coalesce(sum(bytes) filter (where sends), 0) as bigint) as sent_bytes, cast(coalesce(sum(packets) filter (where not sends), 0) as bigint) as received_packets, min(t_first) as ts_first, max(t_last) as ts_last from e group by 1, 2, 3, 4""")
 def listed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = blacklist.rolled_up(_listed(spark, sf_dir))
-    return r.select("entity", "protocol", "list_id", "start", "flows", F.size("targets").cast("long").alias("targets"), F.size("ports").cast("long").alias("ports"), "sent_bytes", "received_packets", "ts_first", "ts_last")
+    r = blacklist.rolled_up_counts(_listed(spark, sf_dir))
+    return r.select("entity", "protocol", "list_id", "start", "flows", "targets", "ports", "sent_bytes", "received_packets", "ts_first", "ts_last")
 
 
 @query(f"""{_ROLLED}, g as (select entity, protocol, list_id, t_first - t_first % 300 as start, target from e group by all), n as (select *, row_number() over (partition by entity, protocol, list_id, start order by target) - 1 as i, count(*) over (partition by entity, protocol, list_id, start) as c from g)

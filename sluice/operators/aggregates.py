@@ -64,14 +64,6 @@ def rolled_up(alerts: DataFrame, keys: list[str], member: str, count: str, width
     return each.groupBy(*keys, "start").agg(members.alias("members"), F.min("ts_first").alias("ts_first"), F.max("ts_last").alias("ts_last"))
 
 
-def in_parts(events: DataFrame, members: str, most: int = 1000) -> DataFrame:
-    """One row for each `most` members of an event's array, in their order, with part (from 0) and parts."""
-    size = F.size(members)
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(size / most).cast("int") - 1, F.lit(0)))
-    pieces = F.transform(starts, lambda i: F.slice(F.col(members), i * most + 1, F.lit(most)))
-    return events.select("*", F.size(pieces).alias("parts"), F.posexplode(pieces).alias("part", "__piece")).withColumn(members, F.col("__piece")).drop("__piece")
-
-
 def sample_addresses(alerts: DataFrame, keys: list[str], order: str, addresses: str, count: str) -> DataFrame:
     """keys, addresses of the first three alerts and of the last one (from the fourth on), the sum, times.
 

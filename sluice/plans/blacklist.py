@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from sluice.functions import text
 from sluice.functions.bits import ids
-from sluice.operators.aggregates import in_parts, merged_lists
+from sluice.operators.aggregates import merged_lists
 from sluice.operators.keyed import run_keyed
 from sluice.operators.lookups import bounded, exact_matches, is_bounded, port_allowed, prefix_matches, with_prefixes
+from sluice.operators.running import running_sum
 
 #: Ports above this are ephemeral and aren't told.
 LAST_PORT = 49152
@@ -85,21 +86,47 @@ def single_bits(matches: DataFrame, column: str = "bitmap") -> DataFrame:
     return matches.withColumn("list_id", F.explode(ids(F.col(column))))
 
 
-def rolled_up(matches: DataFrame, width: int = 300) -> DataFrame:
-    """By listed address, protocol, list and window: peers, ports, flows, packets, bytes of both ways."""
+ROLLUP = ["entity", "protocol", "list_id", "start"]
+SUMS = ("flows", "sent_packets", "sent_bytes", "received_packets", "received_bytes")
+
+
+def _each(matches: DataFrame, width: int) -> DataFrame:
+    """A row for each listed end of a match and each of its lists, with the window's start."""
     ends = []
     for end, other in (("src", "dst"), ("dst", "src")):
         ends.append(matches.filter(F.col(f"{end}_bitmap") != 0).select(F.col(f"{end}_ip").alias("entity"), F.col(f"{other}_ip").alias("target"), F.when(F.col(f"{end}_port") <= LAST_PORT, F.col(f"{end}_port")).alias("port"), "protocol", F.col(f"{end}_bitmap").alias("bitmap"), F.lit(end == "src").alias("sends"), "packets", "bytes", "t_first", "t_last"))
-    each = single_bits(ends[0].union(ends[1])).withColumn("start", F.col("t_first") - F.col("t_first") % width)
-    keys = ["entity", "protocol", "list_id", "start"]
-    # a first aggregation by target keeps sets small and spreads an entity with many flows
-    by_target = each.groupBy(*keys, "target").agg(F.collect_set("port").alias("ports"), F.count("*").alias("flows"), *(F.coalesce(F.sum(F.when(F.col("sends") == s, F.col(c))), F.lit(0)).alias(f"{n}_{c}") for s, n in ((True, "sent"), (False, "received")) for c in ("packets", "bytes")), F.min("t_first").alias("ts_first"), F.max("t_last").alias("ts_last"))
-    sums = ("flows", "sent_packets", "sent_bytes", "received_packets", "received_bytes")
-    return by_target.groupBy(*keys).agg(F.array_sort(F.collect_list("target")).alias("targets"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ports")))).alias("ports"), *(F.sum(c).cast("long").alias(c) for c in sums), F.min("ts_first").alias("ts_first"), F.max("ts_last").alias("ts_last"))
+    return single_bits(ends[0].union(ends[1])).withColumn("start", F.col("t_first") - F.col("t_first") % width)
+
+
+def _by_target(each: DataFrame) -> DataFrame:
+    """Sums by target: a first aggregation that spreads an entity with many flows."""
+    sides = (F.coalesce(F.sum(F.when(F.col("sends") == s, F.col(c))), F.lit(0)).alias(f"{n}_{c}") for s, n in ((True, "sent"), (False, "received")) for c in ("packets", "bytes"))
+    return each.groupBy(*ROLLUP, "target").agg(F.collect_set("port").alias("ports"), F.count("*").alias("flows"), *sides, F.min("t_first").alias("ts_first"), F.max("t_last").alias("ts_last"))
+
+
+def rolled_up(matches: DataFrame, width: int = 300) -> DataFrame:
+    """By listed address, protocol, list and window: peers and ports as arrays, flows, packets, bytes of both ways.
+
+    An entity's peers of one window are one row's array; rolled_up_counts() and rolled_up_parts() have no such limit.
+    """
+    by_target = _by_target(_each(matches, width))
+    return by_target.groupBy(*ROLLUP).agg(F.array_sort(F.collect_list("target")).alias("targets"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ports")))).alias("ports"), *(F.sum(c).cast("long").alias(c) for c in SUMS), F.min("ts_first").alias("ts_first"), F.max("ts_last").alias("ts_last"))
+
+
+def rolled_up_counts(matches: DataFrame, width: int = 300) -> DataFrame:
+    """The same with the numbers of different targets and ports in place of the arrays."""
+    each = _each(matches, width)
+    ports = each.groupBy(*ROLLUP, "port").agg(F.count("*").alias("n")).groupBy(*ROLLUP).agg(F.count("port").alias("ports"))
+    sums = _by_target(each).groupBy(*ROLLUP).agg(F.count("*").alias("targets"), *(F.sum(c).cast("long").alias(c) for c in SUMS), F.min("ts_first").alias("ts_first"), F.max("ts_last").alias("ts_last"))
+    return sums.join(ports, ROLLUP)
 
 
-def rolled_up_parts(matches: DataFrame, most: int = 1000) -> DataFrame:
-    return in_parts(rolled_up(matches), "targets", most)
+def rolled_up_parts(matches: DataFrame, most: int = 1000, width: int = 300) -> DataFrame:
+    """keys, part (from 0), parts and targets, at most so many a row: targets are numbered by running sums, not in an array."""
+    targets = _each(matches, width).select(*ROLLUP, "target").distinct().withColumn("__one", F.lit(1))
+    placed = running_sum(targets, ROLLUP, "target", "__one", "__place").withColumn("part", F.floor((F.col("__place") - 1) / most).cast("int"))
+    parts = targets.groupBy(*ROLLUP).agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    return placed.groupBy(*ROLLUP, "part").agg(F.array_sort(F.collect_list("target")).alias("targets")).join(parts, ROLLUP)
 
 
 class Scenario:
