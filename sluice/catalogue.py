@@ -233,7 +233,46 @@ def host_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.events(hosts.profiles(flows(spark, sf_dir), 3000), [rule])
 
 
-@query()
+def _host_columns() -> str:
+    """The counters that the rules read, in SQL."""
+    out, flag = [], {"syn": 2, "ack": 16}
+    for way, mine in (("in", "not o"), ("out", "o")):
+        for kind, holds in (("all", mine), ("req", f"{mine} and dir = 'req'"), ("rsp", f"{mine} and dir = 'rsp'")):
+            out += [f"count(*) filter (where {holds}) as {way}_{kind}_flows", f"count(distinct peer) filter (where {holds}) as {way}_{kind}_ips"]
+            out += [f"coalesce(sum({c}) filter (where {holds}), 0) as {way}_{kind}_{c}" for c in ("packets", "bytes")]
+            out += [f"count(*) filter (where {holds} and tcp_flags & {f} = {f}) as {way}_{kind}_{n}" for n, f in flag.items()]
+            ssh = f"{holds} and protocol = 6 and 22 in (src_port, dst_port)"
+            out += [f"coalesce(sum(packets) filter (where {ssh}), 0) as ssh_{way}_{kind}_packets", f"count(*) filter (where {ssh} and tcp_flags & 2 = 2) as ssh_{way}_{kind}_syn"]
+        out.append(f"count(*) filter (where {mine} and src_port = 53 and dir = 'rsp' and bytes >= 1000 * packets) as dns_{way}_over")
+    return ", ".join(out)
+
+
+def _estimate(way: str, kind: str, what: str, share: float) -> str:
+    every, req, rsp = (f"{way}_{k}_{what}" for k in ("all", "req", "rsp"))
+    return f"trunc({way}_{kind}_{what} + ({every} - {req} - {rsp}) * {share})"
+
+
+def _dos(way: str, back: str) -> str:
+    flows_, packets, size = (_estimate(way, "req", x, 0.8) for x in ("flows", "packets", "bytes"))
+    tcp = f"{way}_all_syn > 5 and {way}_all_packets < 20 * {way}_all_flows and {way}_all_syn > 2 * {way}_all_ack"
+    return f"(({tcp}) or ({flows_} > 5 and {packets} < 20 * {flows_})) and {_estimate(back, 'rsp', 'flows', 0.2)} < 0.8 * {flows_} and {packets} > 0 and {size} / {packets} < 100"
+
+
+_SYN_OUT = _estimate("out", "req", "syn", 0.8)
+_HOST_RULES = (
+    ("horizontal_scan", "'horizontal SYN scan'", "out_all_syn - out_all_ack", f"{_SYN_OUT} > 5 and {_SYN_OUT} > {_estimate('out', 'req', 'ack', 0.8)} and {_SYN_OUT} > {_estimate('in', 'rsp', 'syn', 0.2)} and out_req_ips >= 2 and out_req_syn > out_all_flows // 3 and out_all_syn >= out_all_ack"),
+    ("dos", "case when in_all_flows < 2 * in_all_ips then 'victim, probably spoofed' else 'victim' end", "in_all_flows", _dos("in", "out")),
+    ("dos", "'attacker'", "out_all_flows", _dos("out", "in")),
+    ("bruteforce", "'victim'", "ssh_in_req_syn", "ssh_out_rsp_packets between 10 * ssh_out_rsp_syn and 25 * ssh_out_rsp_syn and ssh_out_rsp_syn > 30 and ssh_in_req_packets between 5 * ssh_in_req_syn and 20 * ssh_in_req_syn and ssh_in_req_syn > 60 and ssh_in_req_syn > 3 * ssh_out_req_syn and ssh_out_rsp_syn > 20 * out_all_ips"),
+    ("bruteforce", "'attacker'", "ssh_out_req_syn", "ssh_out_req_packets > 5 * ssh_out_req_syn and ssh_out_req_packets < 20 * ssh_out_req_syn and ssh_out_req_syn > 60 and ssh_in_rsp_packets > 10 * ssh_in_rsp_syn and ssh_in_rsp_packets < 25 * ssh_in_rsp_syn and ssh_in_rsp_syn > 30 and ssh_in_req_syn < 3 * ssh_out_req_syn and ssh_out_req_syn > case when out_all_ips < 5 then 20 else 10 end * out_all_ips"),
+    ("dns_amplification", "'misused server'", "dns_out_over", "dns_out_over > 10000"),
+    ("dns_amplification", "'victim'", "dns_in_over", "dns_in_over > 10000"),
+)
+
+
+@query(f"""with {_ROLES}, s as (select host, t_last - t_last % 3000 as start, {_host_columns()}, min(t_first) as ts_first, max(t_last) as ts_last from z group by 1, 2),
+e as ({" union all ".join(f"select host, ts_first, ts_last, '{event}' as event, {note} as note, cast({scale} as bigint) as scale from s where {holds}" for event, note, scale, holds in _HOST_RULES)})
+select strftime(make_timestamp(ts_first * 1000000), '%Y-%m-%d') as day, concat_ws(';', strftime(make_timestamp(ts_first * 1000000), '%Y-%m-%d %H:%M:%S'), strftime(make_timestamp(ts_last * 1000000), '%Y-%m-%d %H:%M:%S'), event, host, scale, note) as line from e""")
 def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = hosts.general_rules(5, 2, 5, 5, 1, 1, 20) + [r for s in hosts.SUBPROFILES for r in s.rules()]
     return hosts.daily_log(hosts.events(hosts.profiles(flows(spark, sf_dir), 3000), rules))
@@ -373,7 +412,21 @@ def dns_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dnstunnel.letters_by_size(samples.names(spark, sf_dir)).select("client", "bin", F.floor(F.col("letters") * 1000 + 1e-6).alias("letters_thousandths"), "n")
 
 
-@query()
+def _figures(name: str, rows: str) -> str:
+    """Figures of the names of each client and round: inserts, different, once, main_share and longest."""
+    return f"""{name}_e as (select client, round, name, count(*) as n from ({rows}) group by 1, 2, 3),
+{name}_p as (select client, round, regexp_replace(name, '^[^.]*\\.', '') as parent, sum(n) as inserts, count(*) as different, count(*) filter (where n = 1) as once, max(length(name)) as longest from {name}_e group by 1, 2, 3),
+{name} as (select client, round, sum(inserts) as inserts, sum(different) as different, sum(once) as once, max(different) * 1.0 / sum(different) as main_share, max(longest) as longest from {name}_p group by 1, 2)"""
+
+
+_LETTERS = "len(list_distinct(string_split(name, '')))"
+_STRANGE = f"(length(name) >= 5 and ({_LETTERS} > 7 or (length(regexp_replace(name, '[^0-9]', '', 'g')) * 1.0 / length(name) > 0.3 and length(regexp_replace(name, '[^0-9]', '', 'g')) > 15)))"
+
+
+@query(f"""with recursive {samples.NAMES_SQL}, {_figures("q", f"select * from d where is_request and {_STRANGE}")}, {_figures("a", f"select * from d where not is_request and {_LETTERS} > 8")},
+t as (select client, round from q where (inserts > 1 and once * 1.0 / inserts > 0.5 and different * 1.0 / inserts > 0.5 and main_share > 0.2) or (inserts > 30 and once * 1.0 / inserts > 0.98 and different * 1.0 / inserts > 0.98 and longest > 60)
+union select client, round from a where inserts > 1 and once * 1.0 / inserts > 0.5 and different * 1.0 / inserts > 0.5),
+b as (select d.client, d.round, bool_or(case when is_request then {_STRANGE} else {_LETTERS} > 8 end) as strange, bool_or(t.client is not null) as confirmed from d left join t on d.client = t.client and d.round = t.round group by 1, 2), {machines_sql.rounds()}""")
 def dns_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = dnstunnel.Limits(name_length=5, name_letters=7, answer_letters=8, inserts=1, share=0.5, main_share=0.2, answer_inserts=1)
     seen = samples.names(spark, sf_dir).withColumns({k: F.lit(None).cast("string") for k in dnstunnel.RECORD_KINDS.values()})

@@ -114,3 +114,13 @@ j as (select row_number() over (order by server, client, i) as id, server, clien
 u as (select id, x.q as q, x.bytes as bytes, x.packets as packets from (select id, unnest(line) as x from j)),
 r as (select id, x.q as q, x.bytes as bytes, x.packets as packets from (select id, unnest(told0) as x from j)),
 {judged}"""
+
+
+def rounds(calm_suspicion: int = 3, calm_attack: int = 5) -> str:
+    """b: client, round, strange, confirmed. NEW, SUSPICION and ATTACK of each client."""
+    return f"""o as (select *, row_number() over (partition by client order by round) as i from b),
+z as (select client, cast(0 as bigint) as i, cast(0 as bigint) as round, 'NEW' as state, 'NEW' as before, cast(0 as bigint) as rounds from (select distinct client from b)
+union all select client, i, round, case when confirmed then 'ATTACK' when strange and before = 'NEW' then 'SUSPICION' when before <> 'NEW' and n + 1 > case before when 'ATTACK' then {calm_attack} else {calm_suspicion} end then 'NEW' else before end, before,
+  case when confirmed or (strange and before = 'NEW') or before = 'NEW' then 0 when n + 1 > case before when 'ATTACK' then {calm_attack} else {calm_suspicion} end then 0 else n + 1 end from (
+  select o.client, o.i, o.round, o.strange, o.confirmed, z.state as before, z.rounds as n from z join o on o.client = z.client and o.i = z.i + 1))
+select client, round, state, rounds from z where state <> before"""
