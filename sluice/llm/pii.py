@@ -43,6 +43,8 @@ CONTEXT = {"email": "mail|contact|write to|@", "ip": r"\bip\b|host|server|addres
 BONUS, WINDOW = 0.2, 40
 #: Matches of a text that are placed at a time.
 PART = 128
+#: Code points of a block of a text in which spans are replaced.
+BLOCK = 4096
 
 
 def _digits(x: Column) -> Column:
@@ -178,13 +180,22 @@ def redacted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     text = F.col("text")
     everything = F.array_sort(F.filter(F.concat(*(F.transform(_found(k, F.coalesce(text, F.lit(""))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), x["score"].alias("score"))) for k in PATTERNS)), lambda x: x["score"] >= least))
 
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["s"] >= a["at"]
-        piece = F.concat(F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(fresh, F.concat(a["out"], F.array(piece))).otherwise(a["out"]).alias("out"))
+    spans = F.col("__spans")
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(F.col("__spans"), start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(text, a["at"] + 1)))
+    def one(block: Column, i: Column) -> Column:
+        """A block of the text with what starts in it replaced; a span from an earlier block may reach into it."""
+        first = i * BLOCK
+        mine = F.filter(spans, lambda x: (x["s"] >= first) & (x["s"] < first + BLOCK))
+        covered = F.aggregate(F.filter(spans, lambda x: x["s"] < first), F.lit(0), lambda a, x: F.greatest(a, x["e"]))
+
+        def step(a: Column, x: Column) -> Column:
+            piece = F.concat(F.substring(block, a["at"] - first + 1, x["s"] - a["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+            return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] >= a["at"], F.concat(a["out"], F.array(piece))).otherwise(a["out"]).alias("out"))
+
+        start = F.struct(F.greatest(covered, first).alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(mine, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(block, a["at"] - first + 1)))
+
+    # texts are cut into blocks in one pass, so that no span's place is counted from the text's beginning
+    done = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), one), "")
     out = docs.withColumn("__spans", everything).withColumn("text", F.when(F.size("__spans") > 0, done).otherwise(text)).drop("__spans")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
-

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from cases import ALL_IDS, documents, ids
 from hypothesis import given
 from hypothesis import strategies as st
@@ -89,6 +90,36 @@ def test_redaction(spark):
     assert got == {1: ("Mail [EMAIL] or [CARD].", 23), 2: (None, None), 3: ("", 0), 4: ("\U0001f600 [IP] end", 10)}
 
 
+def plain_redacted(text, found):
+    at, out = 0, ""
+    for s, e, kind in sorted(found):
+        if s >= at:
+            out += text[at:s] + f"[{kind.upper()}]"
+        at = max(at, e)
+    return out + text[at:]
+
+
+@pytest.mark.parametrize("block", [7, 64, 4096])
+def test_redaction_by_blocks_equals_plain(spark, monkeypatch, block):
+    monkeypatch.setattr(pii, "BLOCK", block)
+    rnd = random.Random(block)
+    pieces = ["me@x.org", "1.2.3.4", "+420 123 456 789", "4111 1111 1111 1111", "DE89370400440532013000", "\U0001f600", "é ", "\n", "word ", ", ", "mail ", "call ", "7"]
+    rows = [(i, "".join(rnd.choice(pieces) + rnd.choice(["", " "]) for _ in range(rnd.randint(0, 60)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(x.s, x.e, x.kind) for k in pii.PATTERNS for x in r[k]] for r in pii.spans(docs).collect()}
+    assert {r.doc_id: r.text for r in pii.redacted(docs, 0.0).collect()} == {i: plain_redacted(t, found[i]) for i, t in rows}
+    assert sum(map(len, found.values())) > 500
+
+
+def test_redaction_of_many_spans_is_quick(spark):
+    import time
+
+    text = "call 1.2.3.4 or write to me@x.org now\n" * 10_000
+    start = time.time()
+    out = pii.redacted(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert out == "call [IP] or write to [EMAIL] now\n" * 10_000 and time.time() - start < 60
+
+
 def test_no_python_in_the_plan(spark, capsys):
     pii.digests(documents(spark)).explain()
     assert "Python" not in (said := capsys.readouterr().out) and "Arrow" not in said
