@@ -1,6 +1,6 @@
 """A log-bilinear language model, trained with noise-contrastive estimation, scores whole texts.
 
-Every word of LEAST_OWN occurrences or more (at most HEAD_WORDS) has a vector, which stands for it as context and as
+Every word of LEAST_OWN occurrences or more (at most MOST_OWN) has a vector, which stands for it as context and as
 output alike. A context vector is the sum over the last CONTEXT words of their vectors times a vector of the position,
 and the mean of the last MEMORY words' vectors times one more (which trains only the latter). Its product with an output's vector plus a bias is the
 output's score, normalised in two steps: among the most frequent words, the text's end and classes of all other words
@@ -37,17 +37,17 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, lower, remainder, slices, words
 
-#: Words whose counts all tasks have, and the bound of words with vectors.
+#: Words whose counts all tasks have, at most.
 HEAD_WORDS = 1 << 16
-#: Occurrences from which on a word has a vector.
-LEAST_OWN = 4
+#: Occurrences from which on a word has a vector, and how many words have one at most.
+LEAST_OWN, MOST_OWN = 4, 1 << 15
 #: Words that are outputs of the first step, and classes of the others. With the end: 384 outputs.
 OWN_WORDS, CLASSES = 127, 256
-CONTEXT, MEMORY, WIDTH = 3, 64, 16
+CONTEXT, MEMORY, WIDTH = 2, 64, 16
 #: Shares of the shards that each round trains on, of 16.
 ROUNDS = (2, 14)
 SHARD_TOKENS = 2_000_000
-NOISE, CLASS_NOISE, BATCH, RATE = 32, 4, 4096, 0.2
+NOISE, CLASS_NOISE, BATCH, RATE = 32, 3, 4096, 0.2
 #: Averages are sums of whole numbers: values by this, times occurrences up to MOST_WEIGHT.
 UNIT, MOST_WEIGHT = 1 << 15, 256
 #: The end of a text in the table of counts (words are never empty).
@@ -112,10 +112,12 @@ class Vocabulary:
         self.first_sums = np.cumsum(share[: self.n_first])
         self.class_sums = np.cumsum(share[self.order])
 
-    def rows(self, w: list[bytes]) -> list[int]:
+    def rows(self, w: list[bytes]) -> np.ndarray:
         """The rows of words; a word without a vector has its class's rest."""
-        row, rest = self.row, self.rest
-        return [row[x] if x in row else rest + crc32(x[:3]) % CLASSES for x in w]
+        out = np.fromiter(map(self.row.get, w, repeat(-1)), np.int64, len(w))
+        other = np.flatnonzero(out < 0)
+        out[other] = [self.rest + crc32(w[i][:3]) % CLASSES for i in other.tolist()]
+        return out
 
 
 @dataclass
@@ -259,7 +261,7 @@ def _trained(v: Vocabulary, p: Parameters):
                         t.learn(waiting)
                         yield out(t)
                     shard, t, waiting, n = s, Trainer(v, p, s & 0xFFFFFFFF), [], 0
-                waiting.append(np.array([*v.rows(words(lower(text))), v.end], np.int64))
+                waiting.append(np.append(v.rows(words(lower(text))), v.end))
                 n += len(waiting[-1])
                 if n >= 8 * BATCH:
                     t.learn(waiting)
@@ -312,7 +314,7 @@ def learn(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, head_words: int = H
     least, top = head_of(counts, head_words)
     got = top.toArrow()
     head = dict(zip(got["w"].to_pylist(), got["c"].to_pylist(), strict=True))
-    ranked = sorted(((w, c) for w, c in head.items() if w != END_WORD and c >= LEAST_OWN), key=lambda x: (-x[1], x[0]))
+    ranked = sorted(((w, c) for w, c in head.items() if w != END_WORD and c >= LEAST_OWN), key=lambda x: (-x[1], x[0]))[:MOST_OWN]
     ends = head[END_WORD] if END_WORD in head else (counts.filter(F.length("w") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
     rest, rest_kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.filter(F.length("w") > 0).groupBy((F.crc32(F.substring("w", 1, 3)) % CLASSES).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
@@ -346,13 +348,15 @@ def learn(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, head_words: int = H
 
 def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 << 14) -> np.ndarray:
     """Natural logarithms of the normalised probabilities of a line's targets, in blocks of bounded size."""
-    vectors, bias = np.ascontiguousarray(p.table[:, :WIDTH]), p.table[:, WIDTH]
+    vectors, bias = np.ascontiguousarray(p.table[:, :WIDTH]), np.ascontiguousarray(p.table[:, WIDTH])
+    longest, highest = float(np.sqrt(np.square(vectors).sum(1).max())), float(bias.max())
     lp = np.empty(len(line.target), np.float64)
 
     def normalised(q: np.ndarray, rows: np.ndarray | slice, target: np.ndarray) -> np.ndarray:
         s = q @ vectors[rows].T
         s += bias[rows]
-        np.minimum(s, 80, out=s)
+        if len(q) and longest * float(np.sqrt(np.square(q).sum(1).max())) + highest > 80:
+            np.minimum(s, 80, out=s)
         true = s[np.arange(len(s)), target]
         return true - np.log(np.exp(s, out=s).sum(1))
 
@@ -385,7 +389,7 @@ def _scored(m: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w: i for i, w in enumerate(head)}
         count = np.array([*head.values(), 0], np.float64)
-        log_c, row = np.log10(count + 1), np.array([*v.rows(list(head)), 0], np.int64)
+        log_c, row = np.log10(count + 1), np.append(v.rows(list(head)), 0)
         # what a word without a vector adds to its class's rest
         share = np.array([np.log10((c - discount) / rest[word_class(w)]) if w not in v.row and w != END_WORD else 0.0 for w, c in head.items()] + [0.0])
         for part, texts in slices(batches):
