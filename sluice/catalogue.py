@@ -157,6 +157,11 @@ def flood_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flood.lifecycle(flood.grid(flows(spark, sf_dir), 30, 32), 1, 1, 100)
 
 
+@query(ORACLES["flood_lifecycle"])
+def flood_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flood.ring(flows(spark, sf_dir), 30, 32, rate=1, source_rate=1, least_bytes=100)
+
+
 # Amplification
 
 _LIMITS = amplification.Limits(top=3, step=50, ratio=0, flows=2, share=0.1, rsp_packets=0, rsp_bytes=10, query_bytes=100000, window=1000, slide=500, port=80)

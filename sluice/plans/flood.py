@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -102,5 +103,60 @@ class Lifecycle:
         return [self.told(self.flood["reported"], True)] if self.flood else []
 
 
+class Ring:
+    """The last minutes of one destination as its flows come, each told to a Lifecycle when the ring has passed it.
+
+    A flow's bytes go to its minutes by seconds, as in attributed(). A late flow still fills the minutes that the ring
+    holds; what belongs to older ones is left out and counted in `late`. If time jumps by more than the ring, the
+    input was interrupted: what is held is told and everything starts anew.
+    """
+
+    def __init__(self, lifecycle: Callable[[], Lifecycle], slots: int = SLOTS):
+        self.fresh, self.slots, self.late = lifecycle, slots, 0
+        self.reset()
+
+    def reset(self) -> None:
+        self.inner, self.held, self.newest, self.closed, self.dst = self.fresh(), {}, None, None, None
+
+    def close(self, before: int) -> list[dict[str, Any]]:
+        """Tells all minutes before the given one."""
+        out = []
+        if self.held or self.closed is not None:
+            at = self.closed if self.closed is not None else min(self.held)
+            for minute in range(at, before, 60):
+                size, sources = self.held.pop(minute, (0, set()))
+                out += self.inner.row({"dst_net": self.dst, "minute": minute, "bytes": size, "sources": len(sources)})
+            self.closed = max(at, before)
+        return out
+
+    def row(self, r: dict[str, Any]) -> list[dict[str, Any]]:
+        first, last, out = r["t_first"], r["t_last"], []
+        if last < first:
+            return []
+        minute = last - last % 60
+        if self.newest is not None and minute - self.newest > self.slots * 60:
+            out = self.end()
+            self.reset()
+        self.dst, self.newest = r["dst_net"], minute if self.newest is None else max(self.newest, minute)
+        out += self.close(self.newest - (self.slots - 1) * 60)
+        for start in range(first - first % 60, minute + 1, 60):
+            until = [r["bytes"] * max(0, min(edge, last + 1) - first) // (last - first + 1) for edge in (start, start + 60)]
+            if self.closed is not None and start < self.closed:
+                self.late += until[1] - until[0]
+                continue
+            size, sources = self.held.get(start, (0, set()))
+            self.held[start] = (size + until[1] - until[0], sources | ({r["src_net"] % 511} if start == minute else set()))
+        return out
+
+    def end(self) -> list[dict[str, Any]]:
+        return (self.close(self.newest + 60) if self.newest is not None else []) + self.inner.end()
+
+
+def ring(flows: DataFrame, src_prefix: int = 24, dst_prefix: int = 32, slots: int = SLOTS, **settings: Any) -> DataFrame:
+    """The lifecycle of floods from the flows themselves, in one pass, as a stream of them gives it."""
+    nets = networks(flows, src_prefix, dst_prefix).select("dst_net", "src_net", "bytes", "t_first", "t_last", "seq")
+    return run_keyed(nets, ["dst_net"], ["t_last", "seq"], lambda: Ring(lambda: Lifecycle(**settings), slots), FLOOD)
+
+
 def lifecycle(minutes: DataFrame, rate: int = RATE, source_rate: int = SOURCE_RATE, least_bytes: int = LEAST_BYTES) -> DataFrame:
     return run_keyed(minutes, ["dst_net"], ["minute"], lambda: Lifecycle(rate, source_rate, least_bytes), FLOOD)

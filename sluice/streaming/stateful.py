@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Any
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from sluice.operators.keyed import Machine
+from sluice.plans import flood
 
 
 def with_event_time(flows: DataFrame, lateness: str = "420 seconds", column: str = "t_last") -> DataFrame:
@@ -50,6 +52,14 @@ def run_stream(df: DataFrame, keys: list[str], order: list[str], machine: Callab
     return df.groupBy(*keys).applyInPandasWithState(advance, kind, "machine binary", "append", timeout)
 
 
+def flood_ring_stream(nets: DataFrame, idle: int = 420, slots: int = flood.SLOTS, **settings: Any) -> DataFrame:
+    """Floods of each destination as flows arrive (dst_net, src_net, bytes, t_first, t_last, seq, ts); late flows fill the ring.
+
+    A destination without a flow for `idle` seconds of event time is told to its end and forgotten.
+    """
+    return run_stream(nets, ["dst_net"], ["t_last", "seq"], lambda: flood.Ring(partial(flood.Lifecycle, **settings), slots), flood.FLOOD, idle)
+
+
 def rolled_up_stream(alerts: DataFrame, keys: list[str], count: str, width: str = "5 minutes") -> DataFrame:
     """Alerts (with event time ts) in tumbling windows: keys, start, alerts, sum, first and last time."""
     return alerts.groupBy(F.window("ts", width), *keys).agg(F.count("*").alias("alerts"), F.sum(count).alias("n"), F.min("ts").alias("ts_first"), F.max("ts").alias("ts_last")).select(F.col("window.start").alias("start"), *keys, "alerts", "n", "ts_first", "ts_last")

@@ -154,3 +154,33 @@ def test_amplification_history():
     # a report tells what came since the judgement before it; what is older than window - slide seconds is gone
     assert [(t["ts_first"], t["ts_last"], t["q_flows"], t["r_flows"]) for t in told][:2] == [(0, 110, 12, 11), (70, 180, 7, 7)]
     assert run(amplification.History(amplification.Limits(window=100, slide=60)), rows) == []
+
+
+def flow(t, size, first=None, src=1):
+    return {"dst_net": 9, "src_net": src, "bytes": size, "t_first": t if first is None else first, "t_last": t}
+
+
+def test_flood_ring_takes_late_flows_and_jumps():
+    class Seen:
+        def __init__(self):
+            self.rows = []
+
+        def row(self, r):
+            self.rows.append((r["minute"], r["bytes"], r["sources"]))
+            return []
+
+        def end(self):
+            return [{"rows": self.rows}]
+
+    ring = flood.Ring(Seen, slots=3)
+    assert ring.row(flow(10, 100)) == [] and ring.row(flow(70, 120, 50, 2)) == []
+    ring.row(flow(130, 5))
+    ring.row(flow(20, 7, src=512))  # late, but its minute is held
+    assert ring.inner.rows == []
+    ring.row(flow(190, 1))  # the first minute leaves the ring
+    assert ring.inner.rows == [(0, 100 + 57 + 7, 1)] and ring.late == 0  # 512 and 1 share a bucket
+    ring.row(flow(30, 11))
+    assert ring.late == 11
+    told = ring.row(flow(190 + 4 * 60, 3))  # a jump beyond the ring starts anew
+    assert told == [{"rows": [(0, 164, 1), (60, 63, 1), (120, 5, 1), (180, 1, 1)]}]
+    assert ring.end() == [{"rows": [(420, 3, 1)]}]
