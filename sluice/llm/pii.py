@@ -39,7 +39,14 @@ IBAN_LENGTHS = {
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
 #: What a span of a kind is worth by itself, and the words before it that raise it.
 SCORES = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.5, "iban": 0.9}
-CONTEXT = {"email": "mail|contact|write to|@", "ip": r"\bip\b|host|server|address|addr", "card": "card|visa|master|amex|payment|credit", "phone": "phone|call|tel|mobile|fax", "iban": "iban|account|bank"}
+#: Context words in English, German, French and Spanish.
+CONTEXT = {
+    "email": "mail|contact|write to|@|kontakt|schreib|courriel|écri|correo|escrib",
+    "ip": r"\bip\b|host|server|address|addr|serv|adress|direcci",
+    "card": "card|visa|master|amex|payment|credit|karte|kredit|zahlung|carte|paiement|tarjeta|pago",
+    "phone": "phone|call|tel|mobile|fax|handy|anruf|rufnummer|tél|appel|portable|móvil|llam",
+    "iban": "iban|account|bank|konto|compte|banque|cuenta|banco",
+}
 BONUS, WINDOW = 0.2, 40
 #: Matches of a text that are placed at a time.
 PART = 128
