@@ -41,13 +41,13 @@ from sluice.llm.common import cut, lower, remainder, slices, words
 HEAD_WORDS = 1 << 16
 #: Occurrences from which on a word has a vector, and how many words have one at most.
 LEAST_OWN, MOST_OWN = 4, 1 << 15
-#: Words that are outputs of the first step, and classes of the others. With the end: 384 outputs.
-OWN_WORDS, CLASSES = 127, 256
+#: Words that are outputs of the first step, and classes of the others. With the end: 256 outputs.
+OWN_WORDS, CLASSES = 63, 192
 CONTEXT, MEMORY, WIDTH = 2, 64, 16
 #: Shares of the shards that each round trains on, of 16.
 ROUNDS = (2, 14)
 SHARD_TOKENS = 2_000_000
-NOISE, CLASS_NOISE, BATCH, RATE = 32, 3, 4096, 0.2
+NOISE, CLASS_NOISE, BATCH, RATE = 24, 2, 4096, 0.3
 #: Averages are sums of whole numbers: values by this, times occurrences up to MOST_WEIGHT.
 UNIT, MOST_WEIGHT = 1 << 15, 256
 #: The end of a text in the table of counts (words are never empty).
@@ -346,10 +346,11 @@ def learn(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, head_words: int = H
     return Model(int(tokens), int(kinds), head, v, p, rest, rest_kinds, discount, least, counts, int(ends))
 
 
-def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 << 14) -> np.ndarray:
+def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 << 17) -> np.ndarray:
     """Natural logarithms of the normalised probabilities of a line's targets, in blocks of bounded size."""
     vectors, bias = np.ascontiguousarray(p.table[:, :WIDTH]), np.ascontiguousarray(p.table[:, WIDTH])
     longest, highest = float(np.sqrt(np.square(vectors).sum(1).max())), float(bias.max())
+    ones = np.ones(max(v.n_first, int(np.diff(v.bounds).max())), np.float32)
     lp = np.empty(len(line.target), np.float64)
 
     def normalised(q: np.ndarray, rows: np.ndarray | slice, target: np.ndarray) -> np.ndarray:
@@ -358,7 +359,7 @@ def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 <
         if len(q) and longest * float(np.sqrt(np.square(q).sum(1).max())) + highest > 80:
             np.minimum(s, 80, out=s)
         true = s[np.arange(len(s)), target]
-        return true - np.log(np.exp(s, out=s).sum(1))
+        return true - np.log(np.exp(s, out=s) @ ones[: s.shape[1]])
 
     at_in_class = np.zeros(v.n_rows, np.int64)
     at_in_class[v.order] = np.arange(len(v.order)) - v.bounds[v.class_of[v.order]]
@@ -369,8 +370,8 @@ def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 <
         kind = v.class_of[row]
         target = np.where(kind < 0, row, v.classes + kind)
         out = np.empty(len(row), np.float64)
-        for i in range(0, len(row), 4096):
-            out[i : i + 4096] = normalised(q[i : i + 4096], slice(0, v.n_first), target[i : i + 4096])
+        for i in range(0, len(row), 512):
+            out[i : i + 512] = normalised(q[i : i + 512], slice(0, v.n_first), target[i : i + 512])
         order = np.argsort(kind, kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for k in range(CLASSES):
