@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluice.llm.bpe import WordBpe, vocabulary
-from sluice.llm.common import cut
+from sluice.llm.common import SLICE, cut
 
 BUDGET = 2048
 HISTORY, HISTORY_SHARE = 2, 0.25
@@ -104,15 +104,23 @@ def window(repeated: list[Turn], own: list[Turn], size: Callable[[Turn], int] =
 def _windows(budget: int, source: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, turns, before, system, out = None, [], [], None, []
+        size: dict[Turn, int] = {}
         bpe = WordBpe(source) if source else None
 
+        def sizes(part: list[Turn]) -> list[int]:
+            return [len(ids) // 4 for ids, _ in bpe.encode_all(list(map(rendered, part)))] if bpe else list(map(tokens, part))
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Turn, int]]:
+            """Rows with their turn and its tokens; turns are encoded together, whatever conversation they are of."""
+            for b in batches:
+                for i in range(0, b.num_rows, SLICE):
+                    part = b.slice(i, SLICE).to_pylist()
+                    told = [(r["role"], r["text"]) for r in part]
+                    yield from zip(part, told, sizes(told), strict=True)
+
         def flush() -> None:
-            size = tokens
-            if bpe:
-                every = list({*turns, *before, *([system] if system else [])})
-                size = dict(zip(every, (len(ids) // 4 for ids, _ in bpe.encode_all([rendered(t) for t in every])), strict=True)).__getitem__
-            for place, (repeated, own) in enumerate(plan(turns, before, system, budget, size)):
-                out.append((*key, place, *window(repeated, own, size)))
+            for place, (repeated, own) in enumerate(plan(turns, before, system, budget, size.__getitem__)):
+                out.append((*key, place, *window(repeated, own, size.__getitem__)))
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
@@ -120,17 +128,16 @@ def _windows(budget: int, source: str | None):
             out.clear()
             return made
 
-        for b in batches:
-            for row in b.to_pylist():
-                if (row["conv_id"], row["block"]) != key:
-                    if key:
-                        flush()
-                    key, turns, before, system = (row["conv_id"], row["block"]), [], [], None
-                turn = (row["role"], row["text"])
-                if row["kind"] == 0:
-                    system = turn
-                else:
-                    (before if row["kind"] == 1 else turns).append(turn)
+        for row, turn, n in counted(batches):
+            if (row["conv_id"], row["block"]) != key:
+                if key:
+                    flush()
+                key, turns, before, system, size = (row["conv_id"], row["block"]), [], [], None, {}
+            size[turn] = n
+            if row["kind"] == 0:
+                system = turn
+            else:
+                (before if row["kind"] == 1 else turns).append(turn)
             if len(out) >= 256:
                 yield batch()
         if key:
