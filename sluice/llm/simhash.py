@@ -45,7 +45,7 @@ MOST_BITS = 4
 #: Near copies: words of a shingle, and the similarity of the shingle sets.
 COPY_WORDS, LEAST_SIMILAR = 5, 0.8
 #: Classes of a text's shingles that give keys, and members of a key's group that every other is compared with.
-CLASSES, LEADERS = 24, 4
+CLASSES, LEADERS = 24, 2
 #: Bits that fingerprints of similar sets differ in at most: some ten are to be expected, more than this in fewer than one
 #: of 10,000 pairs (sets of five shingles; far fewer of larger ones), and unrelated sets differ in some 32.
 MOST_APART = 24
