@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat_format, decontaminate, language_id, license_scan, lm_scoring, pii, quality_classifier, quality_rules, simhash
+from sluice.llm import bpe, chat_format, decontaminate, language_id, license_scan, lm_scoring, merkle, pii, quality_classifier, quality_rules, simhash
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,10 +65,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    every = (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op5_language_id, op6_quality_classifier, op7_pii, op8_chat_format, op9_license_scan, op10_bpe)
+    every = (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op5_language_id, op6_quality_classifier, op7_pii, op8_chat_format, op9_license_scan, op10_bpe, op13_merkle_manifest)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_license_scan": license_scan.oracle()}
+    return {"op9_license_scan": license_scan.oracle(), "op13_merkle_manifest": merkle.ORACLE}
