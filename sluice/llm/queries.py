@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat_format, decontaminate, language_id, license_scan, lm_scoring, merkle, pii, quality_classifier, quality_rules, simhash
+from sluice.llm import bpe, chat_format, decontaminate, language_id, license_scan, lm_scoring, merkle, pii, quality_classifier, quality_rules, simhash, token_alignment, warc
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,14 +65,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_alignment.file_contents(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts, _ = token_alignment.aligned(documents(spark, sf_dir), *files)
+    return token_alignment.digests(texts)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op5_language_id, op6_quality_classifier, op7_pii, op8_chat_format, op9_license_scan, op10_bpe, op13_merkle_manifest)
+    every = (op1_lm_scoring, op2_decontaminate, op3_simhash_near_dedup, op4_quality_rules, op5_language_id, op6_quality_classifier, op7_pii, op8_chat_format, op9_license_scan, op10_bpe, op11_warc, op12_token_alignment, op13_merkle_manifest)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_license_scan": license_scan.oracle(), "op13_merkle_manifest": merkle.ORACLE}
+    return {"op9_license_scan": license_scan.oracle(), "op11_warc": warc.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
