@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -67,6 +68,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def swept(spark: SparkSession, *folders: str) -> None:
+    """Lets Spark delete the shuffle files of finished stages, and deletes folders that no later stage reads.
+
+    Shuffle files go once the driver's JVM has collected the objects that stand for them; Spark asks for that every half
+    an hour (spark.cleaner.periodicGC.interval), here it is asked for between the stages of one operator.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Steps of a share: a hash of 63 bits is compared with it.
 STEPS = 1 << 62
 

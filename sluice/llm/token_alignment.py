@@ -1,9 +1,11 @@
 """Alignment of two tokenizers' tokens: groups between common ends, links of overlapping tokens, counts of linked ids.
 
 Tokens cover the same bytes twice. The alignment is relational: tokens are exploded with their places, a windowed sum
-of their lengths gives each its end, an equi-join on text and end finds where both end (a cut), running counts of cuts
-number the groups, and each stretch between neighbouring ends is one link, of the two tokens that cover it. (Neighbours
-come from the same window; a range join would pair all tokens of a group that has no common end within.)
+of their lengths gives each its end, tokens of both sides meet by text and end (a cut is where both end), running counts
+of cuts number the groups, and each stretch between neighbouring ends is one link, of the two tokens that cover it. The
+sides meet by grouping on (text, end), a full outer equi-join of two sides that have an end once at most: unlike the
+join it keeps the partitions by text, so that nothing is shuffled after the tokens were exploded. Neighbours come from
+the window that counts cuts; a range join would pair all tokens of a group that has no common end within.
 
 Neither tokenizer's tokens cross a single space between two words, and what stands before it doesn't change what comes
 after; so a text's alignment is the chain of its words' alignments, and each different word is tokenised and aligned
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import shared_folder, small
+from sluice.llm.common import shared_folder, small, swept
 
 #: Before a single space between two characters that aren't white space.
 CUT = re.compile(r" (?<=\S )(?=\S)")
@@ -37,9 +39,13 @@ CUT = re.compile(r" (?<=\S )(?=\S)")
 MOST_DIFFERENT, MOST_WORDS = 1 << 19, 1 << 23
 #: Words that are tokenised in one call, and characters of the output that are held.
 CALL_WORDS, OUT_CHARS = 2048, 1 << 24
+#: Counted pairs of ids up to which they are broadcast (some 80 MB); more are joined by shuffle.
+MOST_PAIRS = 2_000_000
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 CODED = "block long, words array<string>, counts array<long>, doc_ids array<long>, codes array<array<int>>"
-DICTIONARY = "seg long, word string, n long, a_ids array<int>, a_lens array<int>, b_ids array<int>, b_lens array<int>"
+DICTIONARY = "seg long, word string, n long, tokens array<int>"
+#: A token in one number: id, length (bits below) and side (0: A, 1: B; one bit).
+ID_BITS, LENGTH_BITS = 18, 12
 
 
 class Tokenizers:
@@ -57,6 +63,8 @@ class Tokenizers:
             self.a_lens[i] = len(name)  # a character stands for a byte
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_lens = np.array([1 if self.b.is_byte(i) else len(p.replace("▁", " ").encode()) for i, p in enumerate(pieces)], np.int64)
+        if max(len(self.a_lens), len(self.b_lens)) > 1 << ID_BITS or max(self.a_lens.max(), self.b_lens.max()) >= 1 << LENGTH_BITS:
+            raise ValueError("the vocabularies are larger, or their tokens longer, than a number holds")
         before = json.loads(a)["pre_tokenizer"] or {}
         self.separable = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not any("▁" in p.lstrip("▁") for p in pieces)
 
@@ -134,31 +142,36 @@ def _tokens(a: str, b: bytes):
                 pairs = both.each(rows.column(0).to_pylist())
                 out = [pa.array(range(part << 40 | done, (part << 40 | done) + len(pairs)), pa.int64()), rows.column(0), rows.column(1)]
                 done += len(pairs)
-                for side, lens in ((0, both.a_lens), (1, both.b_lens)):
-                    flat = np.concatenate([np.zeros(0, np.int64), *(p[side] for p in pairs)])
-                    ends = pa.array(np.concatenate([[0], np.cumsum([len(p[side]) for p in pairs])]).astype(np.int32))
-                    out += [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (flat, lens[flat])]
+                flat = [np.concatenate([np.zeros(0, np.int64), *(p[side] for p in pairs)]) for side in (0, 1)]
+                packed = [f << LENGTH_BITS + 1 | lens[f] << 1 | side for side, (f, lens) in enumerate(zip(flat, (both.a_lens, both.b_lens), strict=True))]
+                counts = [[len(p[side]) for p in pairs] for side in (0, 1)]
+                at = [np.cumsum([0, *c[:-1]]) for c in counts]
+                each = [x for i in range(len(pairs)) for x in (packed[0][at[0][i] : at[0][i] + counts[0][i]], packed[1][at[1][i] : at[1][i] + counts[1][i]])]
+                ends = np.cumsum([0, *(x + y for x, y in zip(*counts, strict=True))]).astype(np.int32)
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *each]).astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(out, [x.split()[0] for x in DICTIONARY.split(", ")])
 
     return run
 
 
-def token_ends(words: DataFrame, side: str) -> DataFrame:
-    """seg, end and the id (named after the side) of each token."""
-    zipped = F.arrays_zip(F.col(f"{side}_ids").alias("id"), F.col(f"{side}_lens").alias("len"))
-    tokens = words.repartition("seg").select("seg", F.posexplode(zipped).alias("at", "t"))
-    so_far = Window.partitionBy("seg").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    return tokens.select("seg", F.sum("t.len").over(so_far).alias("end"), F.col("t.id").alias(side))
+def token_ends(words: DataFrame) -> DataFrame:
+    """seg, n, end, and the ids a and b of the tokens that end there (null: none)."""
+    tokens = words.select("seg", "n", "tokens").repartition("seg").select("seg", "n", F.posexplode("tokens").alias("at", "t"))
+    side, length = F.col("t").bitwiseAND(1).alias("side"), F.shiftright("t", 1).bitwiseAND((1 << LENGTH_BITS) - 1).alias("length")
+    tokens = tokens.select("seg", "n", "at", side, length, F.shiftright("t", LENGTH_BITS + 1).alias("id"))
+    so_far = Window.partitionBy("seg", "side").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    ended = tokens.select("seg", "n", "side", "id", F.sum("length").over(so_far).alias("end"))
+    return ended.groupBy("seg", "n", "end").agg(F.max(F.when(F.col("side") == 0, F.col("id"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("id"))).alias("b"))
 
 
 def aligned_words(words: DataFrame) -> DataFrame:
-    """seg, groups (`a1,a2|b1;a3|b2,b3`), n_a, n_b, n_groups and links (array of a and b) of each word."""
-    ends = token_ends(words, "a").join(token_ends(words, "b"), ["seg", "end"], "full_outer")
+    """seg, n, groups (`a1,a2|b1;a3|b2,b3`), n_a, n_b, n_groups and links (array of a and b) of each word."""
+    ends = token_ends(words)
     # from the text's end on: the last id met is the one that covers the stretch before an end, and cuts met so far
     # number the groups backwards
     back = Window.partitionBy("seg").orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
     cut = (F.col("a").isNotNull() & F.col("b").isNotNull()).cast("int")
-    met = ends.select("seg", "end", "a", "b", F.sum(cut).over(back).alias("left"), F.struct(F.last("a", True).over(back).alias("a"), F.last("b", True).over(back).alias("b")).alias("link"))
+    met = ends.select("seg", "n", "end", "a", "b", F.sum(cut).over(back).alias("left"), F.struct(F.last("a", True).over(back).alias("a"), F.last("b", True).over(back).alias("b")).alias("link"))
 
     def ids(side: str) -> Column:
         return F.array_sort(F.collect_list(F.when(F.col(side).isNotNull(), F.struct("end", F.col(side).alias("id")))))
@@ -166,16 +179,15 @@ def aligned_words(words: DataFrame) -> DataFrame:
     def said(of: str) -> Column:
         return F.array_join(F.transform(of, lambda x: x["id"].cast("string")), ",")
 
-    groups = met.groupBy("seg", "left").agg(ids("a").alias("as"), ids("b").alias("bs"), F.collect_list("link").alias("links"))
-    groups = groups.select("seg", F.struct((-F.col("left")).alias("at"), F.concat(said("as"), F.lit("|"), said("bs")).alias("said")).alias("group"), F.size("as").alias("n_a"), F.size("bs").alias("n_b"), "links")
-    whole = groups.groupBy("seg").agg(F.array_sort(F.collect_list("group")).alias("g"), F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count("*").alias("n_groups"), F.flatten(F.collect_list("links")).alias("links"))
-    return whole.select("seg", F.array_join(F.transform("g", lambda x: x["said"]), ";").alias("groups"), "n_a", "n_b", "n_groups", "links")
+    groups = met.groupBy("seg", "n", "left").agg(ids("a").alias("as"), ids("b").alias("bs"), F.collect_list("link").alias("links"))
+    groups = groups.select("seg", "n", F.struct((-F.col("left")).alias("at"), F.concat(said("as"), F.lit("|"), said("bs")).alias("said")).alias("group"), F.size("as").alias("n_a"), F.size("bs").alias("n_b"), "links")
+    whole = groups.groupBy("seg", "n").agg(F.array_sort(F.collect_list("group")).alias("g"), F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count("*").alias("n_groups"), F.flatten(F.collect_list("links")).alias("links"))
+    return whole.select("seg", "n", F.array_join(F.transform("g", lambda x: x["said"]), ";").alias("groups"), "n_a", "n_b", "n_groups", "links")
 
 
-def linked(words: DataFrame, aligned: DataFrame) -> DataFrame:
+def linked(met: DataFrame) -> DataFrame:
     """a, b and count of linked ids: how many links of all texts hold them."""
-    weighed = aligned.select("seg", F.explode("links").alias("l")).join(words.select("seg", "n"), "seg")
-    return weighed.groupBy(F.col("l.a").alias("a"), F.col("l.b").alias("b")).agg(F.sum("n").alias("count"))
+    return met.select("n", F.explode("links").alias("l")).groupBy(F.col("l.a").alias("a"), F.col("l.b").alias("b")).agg(F.sum("n").alias("count"))
 
 
 def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -225,13 +237,17 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
     coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_code(a, b, most_different, most_words), CODED), "coded")
     places = coded.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     words = kept(places.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(_tokens(a, b), DICTIONARY), "words")
+    swept(spark)
     met = kept(aligned_words(words), "aligned")
-    pairs = kept(linked(words, met), "pairs")
+    swept(spark)
+    pairs = kept(linked(met), "pairs")
     most = pairs.groupBy("b").agg(F.max("count").alias("most"))  # at most a row for each id of B
     judged = pairs.join(F.broadcast(most), "b").select("a", "b", "count", (F.col("count") == F.col("most")).cast("int").alias("best"))
-    of_links = met.select("seg", F.explode("links").alias("l")).select("seg", "l.a", "l.b").join(small(judged), ["a", "b"]).groupBy("seg").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
-    figures = words.select("seg", "word").join(met.withColumn("n_links", F.size("links")).drop("links"), "seg").join(of_links, "seg")
-    of_places = places.select("block", "at", "word").join(figures.drop("seg"), "word").drop("word")
+    of_links = met.select("seg", F.explode("links").alias("l")).select("seg", "l.a", "l.b").join(small(judged, MOST_PAIRS), ["a", "b"]).groupBy("seg").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
+    figures = words.select("seg", "word").join(met.withColumn("n_links", F.size("links")).drop("links", "n"), "seg").join(of_links, "seg").drop("seg")
+    figures = kept(figures, "figures")
+    swept(spark, f"{folder}/words", f"{folder}/aligned")
+    of_places = places.select("block", "at", "word").join(figures, "word").drop("word")
     kind = ", ".join(["doc_id long", *(f"{f} long" for f in FIGURES), "groups string"])
     texts = coded.select(F.col("block").alias("of_block"), "doc_ids", "codes").groupBy("of_block").cogroup(of_places.groupBy("block")).applyInArrow(_assemble, kind)
     return texts, judged
