@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models, one for each language.
 
 Letters in lower case are symbols, everything else between them is one gap. Counts of ORDER-grams in a bounded sample of
-learning texts (about SAMPLE texts a language however many it has, chosen by a 62-bit hash of the id) give all lower orders: below the highest, a
+learning texts (about SAMPLE different texts a language however many it has, chosen by a 62-bit hash of id and text) give all lower orders: below the highest, a
 gram counts by how many different symbols stand before it. The models of all languages share sorted arrays of mixed
 64-bit gram codes, one for each order, with a column of log probabilities for each language; contexts have the weight
 of the next lower order likewise. A text's cross-entropy per symbol decides; its language is the lowest one's.
@@ -165,16 +165,17 @@ def _entropies(model: Model):
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learns from text and lang of docs; None without a language."""
     known = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    # rows repeated as a whole count once; about as many different ones as the sketch says (one row a language)
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("doc_id", "text"), 0.01).alias("n")).collect()}
     if not sizes:
         return None
     share, enough = F, F
     for lang, n in sizes.items():
         share = share.when(F.col("lang") == lang, F.lit(share_of(sample, n)).cast("long"))
         enough = enough.when(F.col("lang") == lang, min(sample, n) >= LEAST_CALIBRATED)
-    chosen = known.filter(draw("doc_id") < share)
+    chosen = known.filter(draw("doc_id", "text") < share).dropDuplicates(["lang", "doc_id", "text"])
     # a language of few texts needs all of them for its counts, and its entropies have no upper bound
-    calibrating = enough & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATING)) == 0)
+    calibrating = enough & (F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(CALIBRATING)) == 0)
     got = chosen.filter(~calibrating).select("lang", "text").mapInArrow(_counts, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(got["lang"].to_pylist())) if got.num_rows else []
     if not languages:

@@ -7,8 +7,9 @@ year (or its placeholder) or, capitalised, with a name to its end; a wrapped sen
 the lines of a text, each a text of its own. Known texts are a parameter; the defaults hold short licences and notices
 as texts and long ones as digests of their published texts.
 
-Up to MOST_LITERAL known digests are part of the expression itself, so the scan reads texts once and shuffles nothing;
-more are hash-joined.
+Whole texts are hash-joined to the known digests, which are broadcast while they were counted as few, so the scan reads
+texts once and shuffles nothing. Lines look theirs up among up to MOST_LITERAL known digests in the expression itself;
+beyond that they are joined too.
 
 Defined results: a null or empty text, or one without a letter or digit, has the empty form's digest and no licence;
 known texts of an empty form count for nothing; of known texts with the same form the first id counts; repeated rows
@@ -44,7 +45,10 @@ _MARGIN = r"[ \t*#/;-]*"
 #: Copyright lines in lower case; and lines of the word and a name, as they are written.
 COPYRIGHT_LINE = r"(?:^|\n)" + _MARGIN + r"(?:(?:copyright|copr\.)[ \t:,]*(?:\(c\)|©|[0-9]{4}|[\[<{](?:yyyy|year))|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*"
 NAMED_LINE = r"(?:^|\n)(?:" + _MARGIN + r"Copyright[ \t]+(?:[A-Z][a-z0-9.&'-]*,?[ \t]*){2,}(?:\n|$))+"
-#: Known digests up to this many stand in the expression as literals.
+#: The same for Java, which repeats a group by recursion unless it may never give a repetition back. It need not here: a
+#: name begins with the only capital letter in it, and a line ends at the only place where it can.
+_NAMED_LINE_JAVA = r"(?:^|\n)(?:" + _MARGIN + r"Copyright[ \t]+(?:[A-Z][a-z0-9.&'-]*+,?+[ \t]*+){2,}+(?:\n|$))++"
+#: Known digests up to this many stand in the expression for lines as literals.
 MOST_LITERAL = 2_000
 
 _PERMISSION = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so{terms}
@@ -131,7 +135,7 @@ def _copyright_gone(text: Column) -> Column:
     """Lower-case text; the patterns run only where their words are."""
 
     def named(x: Column) -> Column:
-        return F.when(F.contains(x, F.lit("Copyright")), F.regexp_replace(x, NAMED_LINE, "\n")).otherwise(x)
+        return F.when(F.contains(x, F.lit("Copyright")), F.regexp_replace(x, _NAMED_LINE_JAVA, "\n")).otherwise(x)
 
     def signed(x: Column) -> Column:
         any_sign = reduce(or_, (F.contains(x, F.lit(sign)) for sign in ("copyright", "copr.", "(c)", "©")))
@@ -197,18 +201,18 @@ def scanned(docs: DataFrame, known: DataFrame, digests: DataFrame | None = None,
     lines = F.transform("lines", lambda x: F.sha2(x, 256))
     if not few:
         return d.select("doc_id", "digest", *(F.lit(None).cast("string").alias(c) for c in ("license_id", "notices")))
+    found = small(found)
+    whole = d.join(found, d["digest"] == found["known"], "left").drop("known")
     if len(few) <= most_literal:
         ids = F.create_map(*(F.lit(x) for r in few for x in r))
         every = [r["known"] for r in few]
         met = F.transform(F.filter(lines, lambda x: x.isin(every)), lambda x: F.element_at(ids, x))
-        whole = F.when(F.col("digest").isin(every), F.element_at(ids, F.col("digest")))
-        return d.select("doc_id", "digest", whole.alias("license_id"), F.nullif(F.array_join(F.array_sort(F.array_distinct(met)), ","), F.lit("")).alias("notices"))
-    found = small(found)
+        return whole.select("doc_id", "digest", "license_id", F.nullif(F.array_join(F.array_sort(F.array_distinct(met)), ","), F.lit("")).alias("notices"))
     # what lines hold depends on the text alone, so the text's own digest leads back to its rows
     key = F.sha2(F.coalesce("text", F.lit("")), 256)
     each = d.select(key.alias("__key"), F.explode(F.array_distinct(lines)).alias("d"))
     met = each.join(found, each["d"] == found["known"]).groupBy("__key").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
-    whole = d.select("doc_id", "digest", key.alias("__text")).join(found, F.col("digest") == found["known"], "left")
+    whole = whole.select("doc_id", "digest", "license_id", key.alias("__text"))
     return whole.join(met, F.col("__text") == F.col("__key"), "left").select("doc_id", "digest", "license_id", "notices")
 
 

@@ -122,8 +122,9 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Mac
     known = labels.filter("quality is not null and doc_id is not null").select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality")).filter(remainder(F.col("doc_id"), 3) != 1)
     share = share_of(most_rows, known.count())
     chosen = known.filter(draw("doc_id") < share).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    # the sample's size is bounded by most_rows, so it may be broadcast
-    sample = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    # the sample's size is bounded by most_rows, so it may be broadcast; of an id that stands several times one text counts
+    sample = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = sample.select("quality", "text", "doc_id").mapInArrow(_extract, "quality int, ids array<int>, x array<float>").toArrow()
     rows = sorted(((i.tobytes(), x.tobytes(), q) for q, i, x in zip(got["quality"].to_pylist(), (a.values.to_numpy() for a in got["ids"]), (a.values.to_numpy() for a in got["x"]), strict=True)))
     return train([(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32), q) for i, x, q in rows])
