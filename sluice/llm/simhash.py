@@ -19,8 +19,11 @@ become components by alternating star contraction, wholly in joins and grouped m
 groups() is that rule. Four bits of 64 are far less than the difference of near copies (texts of 0.8 similarity differ
 in some ten), so deduplicated() has a rule of its own: five-word shingle sets with a Jaccard similarity of 0.8 or more.
 Its candidates are the fingerprints' links and texts that share a class of shingles (class_keys); the sets decide.
-Candidates by keys are a matter of chance: a pair of similar texts is missed in fewer than one of 10,000 cases where
-few texts share its keys, and more often within large groups, where chains of links stand in.
+A pair of similar texts shares no key in fewer than one of 10,000 cases. Within a key's group a text is compared with
+LEADERS others a round, the most central ones first (those whose keys most texts share: they carry the fewest changes
+of their own), and texts that no round has linked yet go on to the next. So work grows with the keys, never with the
+square of a group, and what may be missed is a text of a very mixed large group whose few similar ones aren't among
+its keys' ROUNDS x LEADERS most central.
 
 Defined results: a null or empty text, or one without a word, has fingerprint zero and is linked like any other; rows
 with a null id get their group's smallest id (null if the group has none); repeated rows are repeated in the result.
@@ -29,13 +32,13 @@ with a null id get their group's smallest id (null if the group has none); repea
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations, permutations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, lower, slices, small, words
@@ -44,8 +47,10 @@ SHINGLE_WORDS = 4
 MOST_BITS = 4
 #: Near copies: words of a shingle, and the similarity of the shingle sets.
 COPY_WORDS, LEAST_SIMILAR = 5, 0.8
-#: Classes of a text's shingles that give keys, and members of a key's group that every other is compared with.
-CLASSES, LEADERS = 24, 2
+#: Classes of a text's shingles that give keys.
+CLASSES = 24
+#: Members of a key's group that others are compared with in a round, and rounds.
+LEADERS, ROUNDS = 2, 6
 #: Bits that fingerprints of similar sets differ in at most: some ten are to be expected, more than this in fewer than one
 #: of 10,000 pairs (sets of five shingles; far fewer of larger ones), and unrelated sets differ in some 32.
 MOST_APART = 24
@@ -239,7 +244,7 @@ def _copy_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ks = [np.append(class_keys(h), x.view(np.uint64)).view(np.int64) if len(h) else np.zeros(0, np.int64) for h, x in zip(sets, f, strict=True)]
         offsets = np.cumsum([0, *map(len, ks)]).astype(np.int32)
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *ks])))
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), listed], ["doc_id", "c", "f", "n", "ks"])
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), listed], ["doc_id", "t", "c", "f", "n", "ks"])
 
 
 def _majority(h: np.ndarray) -> int:
@@ -262,47 +267,83 @@ def _similar(least: float):
                 a, b = last[1], shingles(other)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(both >= least * (len(a) + len(b) - both))
-            yield part.filter(pa.array(good, pa.bool_())).select(["u", "v"])
+            yield part.filter(pa.array(good, pa.bool_())).select(["u", "v", "u_least", "v_least"])
 
     return run
 
 
-def candidates(nodes: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
-    """Pairs u < v of nodes (least, f, n, ks) that share a key or have fingerprints within four bits.
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """k, node and size of the keys that several nodes have."""
+    each = nodes.select("node", F.explode("ks").alias("k"))
+    return each.join(each.groupBy("k").agg(F.count("*").alias("size")).filter("size > 1"), "k")
 
-    A node is paired with a few members of each of its keys' groups, chosen by hashes of the group's nodes and so the
-    same for all of it: the work grows with the keys, not with the square of a group. A small group's pairs are all
-    met. Pairs whose sizes exclude the similarity go, and those whose fingerprints are further apart than MOST_APART.
-    """
-    each = nodes.select("least", F.explode("ks").alias("k"))
-    led = each.groupBy("k").agg(F.count("*").alias("size"), F.array_distinct(F.array(*(F.min_by("least", F.xxhash64("least", F.lit(i))) for i in range(LEADERS)))).alias("leaders")).filter("size > 1").drop("size")
-    met = each.join(led, "k").select(F.col("least").alias("a"), F.explode("leaders").alias("b"))
+
+def leaders(shared: DataFrame, most: int) -> DataFrame:
+    """k, leader and place of each key's most central nodes: those whose keys most nodes share."""
+    weight = shared.groupBy("node").agg(F.sum(F.round(F.log2("size") * 1000).cast("long")).alias("weight"))
+    place = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("weight"), "node"))
+    return shared.select("k", "node").join(weight, "node").withColumn("place", place).filter(F.col("place") <= most).select("k", F.col("node").alias("leader"), "place")
+
+
+def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs u, v (with their least ids) whose sizes allow the similarity and whose fingerprints are near enough."""
+    u, v = (nodes.select(F.col("node").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("least", "f", "n"))) for s in ("u", "v"))
+    sized = (F.col("u_n") >= F.col("v_n") * least) & (F.col("v_n") >= F.col("u_n") * least)
+    near = F.bit_count(F.col("u_f").bitwiseXOR(F.col("v_f"))) <= MOST_APART
+    return pairs.join(u, "u").join(v, "v").filter(sized & near).select("u", "v", "u_least", "v_least")
+
+
+def _node(doc_id: Column, text_hash: Column) -> Column:
+    """The number of a text of an id."""
+    return F.xxhash64(doc_id, text_hash)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """The pairs whose whole texts' sets are similar."""
+    texts = docs.select(_node(docs["doc_id"].cast("long"), F.xxhash64(docs["text"])).alias("node"), docs["text"])
+    held = texts.join(small(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "node", "left_semi").dropDuplicates(["node"])
+    # v is a group's member mostly and u its leader, so rows of a hot u are spread by v first
+    told = pairs.join(held.toDF("v", "v_text"), "v").join(held.toDF("u", "u_text"), "u").select("u", "v", "u_least", "v_least", "u_text", "v_text")
+    return told.mapInArrow(_similar(least), "u long, v long, u_least long, v_least long")
+
+
+def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
+    """u, v: ids of similar nodes (node, least, f, n, ks), enough of them to join the groups."""
+    shared = cut(shared_keys(nodes))
+    led = cut(leaders(shared, LEADERS * ROUNDS))
     # of the nodes with one fingerprint the key groups take care; one of them stands for all beside other fingerprints
-    stand = cut(nodes.groupBy("f").agg(F.min("least").alias("least")))
-    close = links(stand).toDF("p", "q").join(stand.toDF("p", "a"), "p").join(stand.toDF("q", "b"), "q").select("a", "b")
-    pairs = met.union(close).filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-    figures = nodes.groupBy("least").agg(F.collect_set("f").alias("f"), F.min("n").alias("low"), F.max("n").alias("high"))  # ids of several texts have several
-    u, v = (figures.select(F.col("least").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("f", "low", "high"))) for s in ("u", "v"))
-    sized = (F.col("u_high") >= F.col("v_low") * least) & (F.col("v_high") >= F.col("u_low") * least)
-    near = F.exists("u_f", lambda x: F.exists("v_f", lambda y: F.bit_count(x.bitwiseXOR(y)) <= MOST_APART))
-    return pairs.join(u, "u").join(v, "v").filter(sized & near).select("u", "v")
+    stand = cut(nodes.groupBy("f").agg(F.min("node").alias("node")))
+    met = links(stand.select("f")).toDF("p", "q").join(stand.toDF("p", "a"), "p").join(stand.toDF("q", "b"), "q").select("a", "b")
+    found, left = [], shared
+    for at in range(ROUNDS):
+        own = led.filter(F.col("place").between(LEADERS * at + 1, LEADERS * (at + 1))).select("k", "leader")
+        by_key = left.join(own, "k").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        pairs = (by_key if at else by_key.union(met)).filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+        pairs = cut(likely(pairs, nodes, least))
+        if pairs.isEmpty():
+            break
+        found.append(cut(verified(pairs, docs, least)))
+        linked = found[-1].select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        left = cut(left.filter(F.col("size") > LEADERS * (at + 1)).join(small(linked), "node", "left_anti"))
+    if not found:
+        return nodes.select(F.col("least").alias("u"), F.col("least").alias("v")).limit(0)
+    return reduce(DataFrame.union, found).select(F.col("u_least").alias("u"), F.col("v_least").alias("v"))
 
 
 def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
     """doc_id and component_id, the smallest doc_id reachable over links, of all rows with an id.
 
     Texts with the same set of five-word shingles are linked, and texts whose sets have a Jaccard similarity of `least`
-    or more: candidates() proposes, the whole texts' sets decide.
+    or more: similar_links() proposes, the whole texts' sets decide. Texts of one id are one document.
     """
-    prints = cut(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_copy_prints, "doc_id long, c string, f long, n int, ks array<long>").filter("doc_id is not null"))
-    nodes = cut(prints.groupBy("c").agg(F.min("doc_id").alias("least"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks")))
-    pairs = cut(candidates(nodes, least))
-    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"])
-    held = texts.join(small(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()), "id", "left_semi").dropDuplicates(["id", "text"])
-    # v is a group's member mostly and u its leader, so rows of a hot u are spread by v first
-    told = pairs.join(held.toDF("v", "v_text"), "v").join(held.toDF("u", "u_text"), "u").select("u", "v", "u_text", "v_text")
-    edges = told.mapInArrow(_similar(least), "u long, v long")
-    found = components(edges)
+    prints = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), docs["text"])
+    prints = cut(prints.mapInArrow(_copy_prints, "doc_id long, t long, c string, f long, n int, ks array<long>").filter("doc_id is not null"))
+    nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"))
+    nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks"))
+    same_id = prints.groupBy("doc_id").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("doc_id")
+    # a document of several texts joins their groups
+    of_one = prints.join(same_id, "doc_id", "left_semi").select("doc_id", "c").distinct().join(nodes.select("c", "least"), "c").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
+    found = components(similar_links(nodes, docs, least).union(of_one))
     of = nodes.select("c", "least").join(found, F.col("least") == found["node"], "left").select("c", F.coalesce("component", "least").alias("component_id"))
     return prints.select("doc_id", "c").join(of, "c").select("doc_id", "component_id")
 

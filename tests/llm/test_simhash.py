@@ -109,3 +109,48 @@ def test_deduplicated_keeps_one_of_each(spark):
     assert ids(kept.collect()) == [1, 3, 6, 7, 8, 9, None, None]
     twice = documents(spark, [(1, "a b c", "en", "a", 1), (1, "a b c", "en", "a", 1)])
     assert simhash.deduplicated(twice).count() == 1
+
+
+def mixed(seed, n, words, low, high):
+    """Copies of one text with a few words changed in each."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rnd.randint(low, high)):
+            own[rnd.randrange(words)] = f"x{rnd.randint(0, 10**9)}"
+        out.append(" ".join(own))
+    return out
+
+
+def plain_groups(texts):
+    """Number of groups by all pairs."""
+    sets = [frozenset(simhash.shingles(t.encode()).tolist()) for t in texts]
+    of = list(range(len(texts)))
+
+    def top(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if top(i) != top(j) and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                of[top(i)] = top(j)
+    return len({top(i) for i in range(len(texts))})
+
+
+@pytest.mark.parametrize(("words", "low", "high", "least"), [(100, 1, 3, 0.985), (200, 2, 5, 0.96), (100, 1, 2, 0.995)])
+def test_large_mixed_groups(spark, words, low, high, least):
+    texts = mixed(1, 1200, words, low, high)
+    got = simhash.similar_groups(documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])).collect()
+    removed, by_all = len(texts) - len({r.component_id for r in got}), len(texts) - plain_groups(texts)
+    print("removed", removed, "of", by_all)
+    assert least * by_all <= removed <= by_all
+
+
+def test_one_id_with_very_many_texts(spark):
+    rows = [(7, f"text number {i} of one id with words {i * 31} and {i * 17} and more", "en", "a", 1) for i in range(1500)] + [(8, "text number 3 of one id with words 93 and 51 and more", "en", "a", 1), (9, "quite another text that nothing here is like in any way", "en", "a", 1)]
+    got = {(r.doc_id, r.component_id) for r in simhash.similar_groups(documents(spark, rows)).collect()}
+    assert got == {(7, 7), (8, 7), (9, 9)}
