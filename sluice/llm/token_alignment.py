@@ -36,13 +36,15 @@ from sluice.llm.common import shared_folder, small, swept
 #: Before a single space between two characters that aren't white space.
 CUT = re.compile(r" (?<=\S )(?=\S)")
 #: Different words, and words, after which a block is closed.
-MOST_DIFFERENT, MOST_WORDS = 1 << 19, 1 << 23
+MOST_DIFFERENT, MOST_WORDS = 1 << 18, 1 << 22
+#: Words, and texts, of a block that one row holds.
+ROW_WORDS, ROW_TEXTS = 1 << 13, 1 << 7
 #: Words that are tokenised in one call, and characters of the output that are held.
 CALL_WORDS, OUT_CHARS = 2048, 1 << 24
 #: Counted pairs of ids up to which they are broadcast (some 80 MB); more are joined by shuffle.
 MOST_PAIRS = 2_000_000
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-CODED = "block long, words array<string>, counts array<long>, doc_ids array<long>, codes array<array<int>>"
+CODED = "block long, start int, words array<string>, counts array<long>, doc_ids array<long>, codes array<array<int>>"
 DICTIONARY = "seg long, word string, n long, tokens array<int>"
 #: A token in one number: id, length (bits below) and side (0: A, 1: B; one bit).
 ID_BITS, LENGTH_BITS = 18, 12
@@ -75,22 +77,28 @@ class Tokenizers:
         return CUT.split(text) if self.separable else [text]
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(self.a.encode(" " + text, add_special_tokens=False).ids, np.int64), np.array(self.b.encode(text, num_threads=1), np.int64)
-
-    def each(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of each word by A and B; words that can stand side by side are tokenised in one call."""
-        beside = [self.separable and not w[0].isspace() and not w[-1].isspace() for w in words]
-        chain = [w for w, good in zip(words, beside, strict=True) if good]
-        ends = np.cumsum([len(w.encode()) + 1 for w in chain], dtype=np.int64)
-        found = []
-        for ids, lens in zip(self.of(" ".join(chain)) if chain else (np.zeros(0, np.int64),) * 2, (self.a_lens, self.b_lens), strict=True):
+        return np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64), np.array(self.b.encode(text, num_threads=1), np.int64)
+
+    def flat(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and B, the ids of all words' tokens in order within a word, and the number of each one's word.
+
+        Words that can stand side by side are tokenised in one call.
+        """
+        alone = [i for i, w in enumerate(words) if not self.separable or w[0].isspace() or w[-1].isspace()]
+        apart = set(alone)
+        chain = [i for i in range(len(words)) if i not in apart] if alone else range(len(words))
+        text = " ".join([words[i] for i in chain]) if alone else " ".join(words)
+        ends = np.cumsum([len(words[i].encode()) + 1 for i in chain], dtype=np.int64)
+        one_by_one = [self.of(words[i]) for i in alone]
+        out = []
+        for side, (ids, lens) in enumerate(zip(self.of(text) if len(ends) else (np.zeros(0, np.int64),) * 2, (self.a_lens, self.b_lens), strict=True)):
             token_ends = np.cumsum(lens[ids])
-            cuts = np.searchsorted(token_ends, ends) + 1
-            if len(ends) and not (token_ends[cuts - 1] == ends).all():
+            of = np.searchsorted(ends, token_ends)
+            if len(ends) and not np.isin(ends, token_ends, assume_unique=True).all():
                 raise ValueError("tokens cross a word's end")
-            found.append(np.split(ids, cuts[:-1]) if chain else [])
-        pairs = iter(zip(*found, strict=True))
-        return [next(pairs) if good else self.of(w) for w, good in zip(words, beside, strict=True)]
+            own = [pair[side] for pair in one_by_one]
+            out.append((np.concatenate([ids, *own]), np.concatenate([np.array(chain, np.int64)[of], np.repeat(np.array(alone, np.int64), [len(x) for x in own])])))
+        return out
 
 
 def _code(a: str, b: bytes, most_different: int, most_words: int):
@@ -102,19 +110,22 @@ def _code(a: str, b: bytes, most_different: int, most_words: int):
         codes: list[array | None] = []
         n_words = 0
 
-        def block() -> pa.RecordBatch:
-            flat = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(c, np.int32) for c in codes if c is not None)])
-            # offsets with a null for a text without tokens
-            lengths = np.array([0 if c is None else len(c) for c in codes], np.int64)
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            texts = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array([c is None for c in codes]))
-            one = pa.array([0, len(codes)], pa.int32())
-            counts = np.bincount(flat, minlength=len(numbers)).astype(np.int64)
-            at = pa.array([0, len(numbers)], pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part << 24 | made], pa.int64()), pa.ListArray.from_arrays(at, pa.array(list(numbers), pa.string())), pa.ListArray.from_arrays(at, pa.array(counts)), pa.ListArray.from_arrays(one, pa.array(ids, pa.int64())), pa.ListArray.from_arrays(one, texts)],
-                ["block", "words", "counts", "doc_ids", "codes"],
-            )
+        def row(start: int, words: pa.Array, counts: pa.Array, doc_ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+            listed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (words, counts, doc_ids, texts)]
+            return pa.RecordBatch.from_arrays([pa.array([part << 24 | made], pa.int64()), pa.array([start], pa.int32()), *listed], [x.split()[0] for x in CODED.split(", ")])
+
+        def block() -> Iterator[pa.RecordBatch]:
+            counts, every = np.zeros(len(numbers), np.int64), pa.list_(pa.int32())
+            for at in range(0, len(ids), ROW_TEXTS):
+                own = codes[at : at + ROW_TEXTS]
+                flat = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(c, np.int32) for c in own if c is not None)])
+                counts += np.bincount(flat, minlength=len(numbers))
+                ends = np.cumsum([0, *(0 if c is None else len(c) for c in own)]).astype(np.int32)
+                texts = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array([c is None for c in own]))
+                yield row(0, pa.array([], pa.string()), pa.array([], pa.int64()), pa.array(ids[at : at + ROW_TEXTS], pa.int64()), texts)
+            words = list(numbers)
+            for at in range(0, len(words), ROW_WORDS):
+                yield row(at, pa.array(words[at : at + ROW_WORDS], pa.string()), pa.array(counts[at : at + ROW_WORDS]), pa.array([], pa.int64()), pa.array([], every))
 
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -125,10 +136,10 @@ def _code(a: str, b: bytes, most_different: int, most_words: int):
                     codes.append(None if words is None else array("i", [numbers.setdefault(w, len(numbers)) for w in words]))
                     n_words += len(words or ())
                     if len(numbers) >= most_different or n_words >= most_words or len(ids) >= most_words:
-                        yield block()
+                        yield from block()
                         numbers, ids, codes, n_words, made = {}, [], [], 0, made + 1
         if ids:
-            yield block()
+            yield from block()
 
     return run
 
@@ -139,16 +150,14 @@ def _tokens(a: str, b: bytes):
         for batch in batches:
             for start in range(0, batch.num_rows, CALL_WORDS):
                 rows = batch.slice(start, CALL_WORDS)
-                pairs = both.each(rows.column(0).to_pylist())
-                out = [pa.array(range(part << 40 | done, (part << 40 | done) + len(pairs)), pa.int64()), rows.column(0), rows.column(1)]
-                done += len(pairs)
-                flat = [np.concatenate([np.zeros(0, np.int64), *(p[side] for p in pairs)]) for side in (0, 1)]
-                packed = [f << LENGTH_BITS + 1 | lens[f] << 1 | side for side, (f, lens) in enumerate(zip(flat, (both.a_lens, both.b_lens), strict=True))]
-                counts = [[len(p[side]) for p in pairs] for side in (0, 1)]
-                at = [np.cumsum([0, *c[:-1]]) for c in counts]
-                each = [x for i in range(len(pairs)) for x in (packed[0][at[0][i] : at[0][i] + counts[0][i]], packed[1][at[1][i] : at[1][i] + counts[1][i]])]
-                ends = np.cumsum([0, *(x + y for x, y in zip(*counts, strict=True))]).astype(np.int32)
-                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *each]).astype(np.int32))))
+                sides = both.flat(rows.column(0).to_pylist())
+                packed = [ids << LENGTH_BITS + 1 | lens[ids] << 1 | side for side, ((ids, _), lens) in enumerate(zip(sides, (both.a_lens, both.b_lens), strict=True))]
+                of = np.concatenate([2 * of + side for side, (_, of) in enumerate(sides)])
+                ends = np.concatenate([[0], np.cumsum(np.bincount(of >> 1, minlength=rows.num_rows))]).astype(np.int32)
+                tokens = np.concatenate(packed)[np.argsort(of, kind="stable")].astype(np.int32)
+                seg = part << 40 | done
+                done += rows.num_rows
+                out = [pa.array(np.arange(seg, seg + rows.num_rows)), rows.column(0), rows.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))]
                 yield pa.RecordBatch.from_arrays(out, [x.split()[0] for x in DICTIONARY.split(", ")])
 
     return run
@@ -205,10 +214,10 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
             sums.append(pa.array(so_far[ends[1:]] - so_far[ends[:-1]], pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *sums, pa.array(groups, pa.string())], names)
 
+    held: tuple[list, list, list] = ([], [], [])
+    size = 0
     for row in range(left.num_rows):
         ids, texts = left.column("doc_ids")[row].values, left.column("codes")[row].values
-        held: tuple[list, list, list] = ([], [], [])
-        size = 0
         for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
             codes = text.values.to_numpy() if text.is_valid else np.zeros(0, np.int32)
             groups = ";".join(map(said.__getitem__, codes.tolist()))
@@ -218,7 +227,7 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
             if size >= OUT_CHARS:
                 out.append(packed(*held))
                 held, size = ([], [], []), 0
-        out.append(packed(*held))
+    out.append(packed(*held))
     return pa.Table.from_batches(out)
 
 
@@ -235,7 +244,7 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
         return spark.read.parquet(f"{folder}/{name}")
 
     coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_code(a, b, most_different, most_words), CODED), "coded")
-    places = coded.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    places = coded.select("block", "start", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", (F.col("start") + F.col("at")).alias("at"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     words = kept(places.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(_tokens(a, b), DICTIONARY), "words")
     swept(spark)
     met = kept(aligned_words(words), "aligned")
@@ -249,7 +258,7 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
     swept(spark, f"{folder}/words", f"{folder}/aligned")
     of_places = places.select("block", "at", "word").join(figures, "word").drop("word")
     kind = ", ".join(["doc_id long", *(f"{f} long" for f in FIGURES), "groups string"])
-    texts = coded.select(F.col("block").alias("of_block"), "doc_ids", "codes").groupBy("of_block").cogroup(of_places.groupBy("block")).applyInArrow(_assemble, kind)
+    texts = coded.filter(F.size("doc_ids") > 0).select(F.col("block").alias("of_block"), "doc_ids", "codes").groupBy("of_block").cogroup(of_places.groupBy("block")).applyInArrow(_assemble, kind)
     return texts, judged
 
 
