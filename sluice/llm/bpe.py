@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 #: Words and pieces that a task keeps at most, in each of two generations.
-KEPT = 120_000
+KEPT = 60_000
 #: Longer ones aren't kept.
 LONGEST_KEPT = 64
 #: Words with letters beyond this one are normalised and parted by the tokenizers library: Unicode versions differ.
