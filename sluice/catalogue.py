@@ -851,3 +851,6 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertical_scan(spark, sf_dir)
+
+
+from sluice import catalogue_state as _state  # noqa: E402, F401  its queries use what stands above

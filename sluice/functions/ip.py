@@ -38,6 +38,16 @@ def prefix_ends(network: Column, prefix: Column) -> tuple[Column, Column]:
     return first, first + F.pow(F.lit(2), 32 - prefix).cast("long") - 1
 
 
+def hex_of_ipv4(number: Column) -> Column:
+    """The address as 32 hexadecimal digits, where IPv4 has its place among IPv6 addresses (::ffff:0:0/96)."""
+    return F.concat(F.lit("00000000000000000000ffff"), F.lower(F.lpad(F.hex(number), 8, "0")))
+
+
+def hex_of_ipv6(packed: Column) -> Column:
+    """An address of 16 bytes as 32 hexadecimal digits."""
+    return F.lower(F.hex(packed))
+
+
 def ipv6_halves(packed: Column) -> tuple[Column, Column]:
     """The first and the last 64 bits of an address of 16 bytes, as signed longs."""
     first, last = (F.conv(F.hex(F.substring(packed, start, 8)), 16, -10).cast("long") for start in (1, 9))

@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +27,9 @@ def gated(victims: DataFrame, own: list[tuple[int, int]], least_flows: int = 30,
     return victims.filter(F.col("src_ip").isNotNull() & ~inside & (F.col("flows") >= least_flows) & (F.col("t_end") - F.col("t_start")).between(least, most))
 
 
-def observed(flows: DataFrame) -> DataFrame:
-    """One row for each source and protocol with what a classifier needs."""
-    return flows.groupBy("src_ip", "protocol").agg(F.count("*").alias("flows"), F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes"), F.count_distinct("dst_ip").alias("dst_ips"), F.count_distinct("dst_port").alias("dst_ports"), F.count_distinct("src_port").alias("src_ports"), F.count_distinct(ip.mask(F.col("dst_ip"), 24)).alias("subnets"), F.min("t_first").alias("t_start"), F.max("t_last").alias("t_end"))
+def observed(flows: DataFrame, *more: str) -> DataFrame:
+    """One row for each source and protocol (and further keys) with what a classifier needs."""
+    return flows.groupBy("src_ip", "protocol", *more).agg(F.count("*").alias("flows"), F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes"), F.count_distinct("dst_ip").alias("dst_ips"), F.count_distinct("dst_port").alias("dst_ports"), F.count_distinct("src_port").alias("src_ports"), F.count_distinct(ip.mask(F.col("dst_ip"), 24)).alias("subnets"), F.min("t_first").alias("t_start"), F.max("t_last").alias("t_end"))
 
 
 def features(victims: DataFrame) -> DataFrame:
@@ -49,6 +53,21 @@ def classified(ready: DataFrame, probability: Callable[[pd.DataFrame], pd.Series
     return ready.withColumn("probability", p(F.struct(*FEATURES))).filter(F.col("probability") > sure)
 
 
+def trained(labelled: DataFrame, seed: int = 7, rounds: int = 40) -> PipelineModel:
+    """A scaler and a classifier over FEATURES, fitted on rows with a `label` (0 or 1).
+
+    Gradient-boosted trees, grown by Spark from per-feature histograms, so the rows never leave their partitions.
+    """
+    stages = [VectorAssembler(inputCols=list(FEATURES), outputCol="raw", handleInvalid="skip"), StandardScaler(inputCol="raw", outputCol="scaled"), GBTClassifier(featuresCol="scaled", labelCol="label", seed=seed, maxIter=rounds, maxDepth=4)]
+    return Pipeline(stages=stages).fit(labelled)
+
+
+def judged(ready: DataFrame, model: PipelineModel) -> DataFrame:
+    """Rows with the model's probability of label 1."""
+    kept = ready.columns
+    return model.transform(ready).select(*kept, vector_to_array("probability")[1].alias("probability"))
+
+
 def whole_internet(count: Column, monitored: int) -> Column:
     """A count scaled from the monitored addresses to all."""
     return count * (2**32 / monitored)

@@ -171,3 +171,15 @@ def daily_log(found: DataFrame) -> DataFrame:
     """day and one line of text an event, its fields parted by semicolons."""
     at = F.timestamp_seconds("ts_first")
     return found.select(F.date_format(at, "yyyy-MM-dd").alias("day"), F.concat_ws(";", F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(F.timestamp_seconds("ts_last"), "yyyy-MM-dd HH:mm:ss"), "event", "host", "scale", "note").alias("line"))
+
+
+def peer_halves(flows: DataFrame, peer: str | Column = "dst_ip", half: int = WIDTH // 2, precision: int = 12) -> DataFrame:
+    """host, half (its start) and a sketch of the host's peers in it; a sketch has one size however many peers there are."""
+    at = F.col("t_last") - F.col("t_last") % half
+    return flows.groupBy(F.col("src_ip").alias("host"), at.alias("half")).agg(F.hll_sketch_agg(peer, precision).alias("peers"))
+
+
+def peers(halves: DataFrame, half: int = WIDTH // 2) -> DataFrame:
+    """host, start and about how many peers it had in the half window from start and the next; only sketches are shuffled."""
+    each = halves.select("host", F.explode(F.array(F.col("half") - half, F.col("half"))).alias("start"), "peers")
+    return each.groupBy("host", "start").agg(F.hll_sketch_estimate(F.hll_union_agg("peers")).alias("peers"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sluice.operators.filters import both_ipv4, single_syn, syn_probe
 from sluice.operators.keyed import run_keyed
+from sluice.operators.resets import WIDTH, after_gaps, restarts
 from sluice.operators.running import running_sum
+from sluice.storage import cut
 
 PORTS, ADDRESSES, IDLE = 50, 50, 300
 VERTICAL = "src_ip long, dst_ip long, port_cnt int, seq long, ts_first long, ts_last long"
@@ -105,6 +107,32 @@ def horizontal_all(flows: DataFrame, addresses: int = ADDRESSES, idle: int = IDL
     return run_keyed(kept, ["src_ip", "dst_port"], ["seq"], lambda: Horizontal(addresses, idle), HORIZONTAL)
 
 
+def horizontal_spread(flows: DataFrame, addresses: int = ADDRESSES, idle: int = IDLE, width: int = WIDTH) -> DataFrame:
+    """As horizontal_all(), with the rows of one source and port spread over tasks.
+
+    For flows whose ends don't go back within a source and port by seq: gaps then don't depend on where counting began,
+    and cut each key's rows into sessions.
+    """
+    key = ["src_ip", "dst_port"]
+    kept = flows.filter(both_ipv4(F.col("src_ip"), F.col("dst_ip")) & single_syn()).select(*key, "dst_ip", "seq", "t_first", "t_last")
+    placed = cut(running_sum(kept.withColumn("one", F.lit(1)), key, "seq", "one", "place").drop("one"))
+    gaps = after_gaps(placed, key, "t_last", idle, width).withColumn("gap", F.col("gap").cast("int"))
+    rows = cut(running_sum(gaps, key, "place", "gap", "session", width).drop("gap"))
+    started = restarts(rows.withColumnRenamed("dst_ip", "member"), [*key, "session"], addresses, width).withColumn("start", F.lit(1))
+    parted = rows.join(started, [*key, "session", "place"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    parted = running_sum(parted, key, "place", "start", "part", width)
+    by = [*key, "session", "part"]
+    members = parted.groupBy(*by, "dst_ip").agg(F.min("place").alias("place"), F.min("t_first").alias("ts_first"), F.max("t_last").alias("ts_last"), F.max(F.struct("place", "seq")).alias("end"))
+    # a part has `addresses` members at most
+    parts = members.groupBy(*by).agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(F.struct("place", "dst_ip"))), 1, 4).alias("met"), F.min("ts_first").alias("ts_first"), F.max("ts_last").alias("ts_last"), F.max("end").alias("end"))
+    parts = cut(parts)
+    last = parts.groupBy(*key).agg(F.max("session").alias("last"))
+    first = parts.groupBy(*key, "session").agg(F.min("part").alias("first"))
+    told = parts.join(last, key).join(first, [*key, "session"]).withColumn("trailing", F.col("n") < addresses)
+    told = told.filter(~F.col("trailing") | ((F.col("part") > F.col("first")) & (F.col("session") < F.col("last"))))
+    return told.select(*key, F.col("n").cast("int").alias("addr_cnt"), "end.seq", F.transform("met", lambda x: x["dst_ip"]).alias("samples"), "ts_first", "ts_last", "trailing")
+
+
 def sessions(flows: DataFrame, keys: list[str], idle: int = IDLE) -> DataFrame:
     """keys, session (from 0), flows, ts_first and ts_last, cut by gaps of more than `idle` seconds between ends.
 

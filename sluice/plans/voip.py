@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
@@ -37,12 +38,80 @@ def shared_ends(called: DataFrame, longest: int = LONGEST, strings: int = STRING
     return found.withColumn("__r", best).filter("__r = 1").select("caller", F.reverse("prefix").alias("suffix"), F.col("n").alias("strings"))
 
 
+class Ends:
+    """Numbers by their last `longest` digits: how many end in each string, and which string has too many.
+
+    A tree from the last digit backwards with a count at every node. Adding or taking away a number changes one path of
+    `longest` nodes at most; a node whose count comes over the limit goes to a heap, where what has sunk again is thrown
+    away when it comes up. Taking a node's whole subtree visits that subtree alone.
+    """
+
+    def __init__(self, longest: int = LONGEST, strings: int = STRINGS):
+        self.longest, self.strings = longest, strings
+        self.count: dict[str, int] = {}
+        self.longer: dict[str, set[str]] = {}
+        self.numbers: dict[str, set[str]] = {}  # by their longest end
+        self.over: list[tuple[int, str]] = []
+
+    def _path(self, number: str) -> list[str]:
+        return [number[-n:] for n in range(1, min(self.longest, len(number)) + 1)]
+
+    def add(self, number: str) -> None:
+        path = self._path(number)
+        for end, above in zip(path, [*path[1:], None], strict=True):
+            self.count[end] = n = self.count.get(end, 0) + 1
+            if n == self.strings + 1:
+                heappush(self.over, (-len(end), end))
+            if above is not None:
+                self.longer.setdefault(end, set()).add(above)
+        if path:
+            self.numbers.setdefault(path[-1], set()).add(number)
+
+    def take(self, number: str) -> None:
+        path = self._path(number)
+        for at in range(len(path) - 1, -1, -1):
+            end = path[at]
+            self.count[end] -= 1
+            if not self.count[end]:
+                del self.count[end]
+                self.longer.pop(end, None)
+                if at:
+                    self.longer[path[at - 1]].discard(end)
+        if path:
+            own = self.numbers[path[-1]]
+            own.discard(number)
+            if not own:
+                del self.numbers[path[-1]]
+
+    def deepest(self) -> str | None:
+        """The longest end that too many numbers share, of equally long ones the first."""
+        while self.over:
+            end = self.over[0][1]
+            if self.count.get(end, 0) > self.strings:
+                return end
+            heappop(self.over)
+        return None
+
+    def below(self, end: str) -> list[str]:
+        """All numbers with this end."""
+        found, todo = [], [end]
+        while todo:
+            node = todo.pop()
+            found += self.numbers.get(node, ())
+            todo += self.longer.get(node, ())
+        return found
+
+
 class Caller:
-    """Numbers that one caller tries; a check every `every` seconds, an alert forgets the numbers that it tells."""
+    """Numbers that one caller tries; a check every `every` seconds, an alert forgets the numbers that it tells.
+
+    Each row and each number told costs a path of the tree, whatever the caller has tried before.
+    """
 
     def __init__(self, longest: int = LONGEST, strings: int = STRINGS, every: int = 60):
-        self.longest, self.strings, self.every = longest, strings, every
+        self.every = every
         self.numbers: dict[str, bool] = {}
+        self.ends = Ends(longest, strings)
         self.checked: int | None = None
         self.caller = 0
         self.last = 0
@@ -51,28 +120,26 @@ class Caller:
         self.caller, self.last = r["caller"], r["t_last"]
         self.checked = r["t_last"] if self.checked is None else self.checked
         out = self.check() if r["t_last"] - self.checked >= self.every else []
-        self.numbers[r["callee"]] = self.numbers.get(r["callee"], False) or r["ok"]
+        number, before = r["callee"], self.numbers.get(r["callee"])
+        self.numbers[number] = now = bool(before) or bool(r["ok"])
+        if before is None and not now:
+            self.ends.add(number)
+        elif before is False and now:
+            self.ends.take(number)
         return out
 
     def check(self) -> list[dict[str, Any]]:
         self.checked, out = self.last, []
-        while True:
-            ends: dict[str, int] = {}
-            for number, ok in self.numbers.items():
-                if not ok:
-                    for n in range(1, min(self.longest, len(number)) + 1):
-                        ends[number[-n:]] = ends.get(number[-n:], 0) + 1
-            over = [e for e, n in ends.items() if n > self.strings]
-            if not over:
-                return out
-            deepest = min(over, key=lambda e: (-len(e), e))
-            gone = [x for x, ok in self.numbers.items() if not ok and x.endswith(deepest)]
+        while (deepest := self.ends.deepest()) is not None:
+            gone = self.ends.below(deepest)
             out.append({"caller": self.caller, "suffix": deepest, "strings": len(gone), "tried": len(self.numbers), "ts_last": self.last})
             for x in gone:
+                self.ends.take(x)
                 del self.numbers[x]
+        return out
 
     def end(self) -> list[dict[str, Any]]:
-        return self.check() if self.numbers else []
+        return self.check()
 
 
 def guesses(called: DataFrame, **settings: Any) -> DataFrame:

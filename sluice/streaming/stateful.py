@@ -70,6 +70,12 @@ def host_counts_stream(flows: DataFrame, width: str = "5 minutes") -> DataFrame:
     return flows.groupBy(F.window("ts", width), "src_ip").agg(F.count("*").alias("flows"), F.sum("bytes").alias("bytes"), F.approx_count_distinct("dst_ip").alias("peers")).select(F.col("window.start").alias("start"), "src_ip", "flows", "bytes", "peers")
 
 
+def peers_stream(flows: DataFrame, width: int = 300, precision: int = 12) -> DataFrame:
+    """About how many peers each source had in windows of `width` seconds that begin each half width; the state is sketches."""
+    at = F.window("ts", f"{width} seconds", f"{width // 2} seconds")
+    return flows.groupBy(at, F.col("src_ip").alias("host")).agg(F.hll_sketch_agg("dst_ip", precision).alias("s")).select("host", F.col("window.start").cast("long").alias("start"), F.hll_sketch_estimate("s").alias("peers"))
+
+
 def sessions_stream(flows: DataFrame, keys: list[str], gap: str = "300 seconds") -> DataFrame:
     """Sessions cut by idle gaps."""
     return flows.groupBy(F.session_window("ts", gap), *keys).agg(F.count("*").alias("flows"), F.sum("bytes").alias("bytes")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("until"), *keys, "flows", "bytes")
