@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice import machines_sql, samples
-from sluice.catalogue import _joined, query
+from sluice.catalogue import _RULES, _VERTICAL, _joined, query, vertical_scan
 from sluice.functions import ip
 from sluice.operators import hierarchy, intervals, projections, words
-from sluice.plans import backscatter, hosts, scan
+from sluice.plans import backscatter, hosts, scan, smtp, web
 from sluice.schema import FLOWS_SQL, flows
+from sluice.sources import lists, sinks
 from sluice.storage import Snapshots, shared_folder
 from sluice.streaming import stateful, timers
 
@@ -141,3 +142,40 @@ def backscatter_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     backscatter.trained(ready.filter(~F.col("held_out"))).save(folder)
     found = backscatter.judged(ready, PipelineModel.load(folder))
     return found.select("src_ip", "protocol", "start", "label", "held_out", (F.col("probability") > 0.5).cast("int").alias("predicted"))
+
+
+# Rows of what is written and read again
+
+
+@query(_VERTICAL)
+def alerts_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts appended in two runs to a table parted by the target, and read again."""
+    path = f"{shared_folder(spark)}/alerts-{uuid.uuid4().hex}"
+    a = vertical_scan(spark, sf_dir)
+    for half in (0, 1):
+        sinks.write_alerts(a.filter(F.col("seq") % 2 == half), path, "dst_ip")
+    return spark.read.schema(a.schema).parquet(path).select(*a.columns)
+
+
+@query("""select cast(s_suppkey as bigint) as id, s_name as name, s_nationkey * 10 as every, case when s_suppkey % 3 > 0 then 'list ' || s_suppkey % 4 end as list from supplier""")
+def settings_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings as XML, as another program leaves them."""
+    k = F.col("s_suppkey")
+    path = f"{shared_folder(spark)}/settings-{uuid.uuid4().hex}"
+    said = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(k.cast("long").alias("id"), F.col("s_name").alias("name"), (F.col("s_nationkey") * 10).alias("every"), F.when(k % 3 > 0, F.concat(F.lit("list "), (k % 4).cast("string"))).alias("list"))
+    said.write.format("xml").option("rowTag", "module").option("rootTag", "settings").save(path)
+    return lists.settings(spark, path, "module", "id long, name string, every int, list string")
+
+
+@query(f"""with {FLOWS_SQL}, b as (select src_ip as host, t_last - t_last % 3000 as start, case when seq % 4 > 0 then 's' || seq % 9 end as sender from f where src_port in (25,143,465,587,993,995) or seq % 2 = 0 or dst_port in (25,143,465,587,993,995)),
+d as (select host, start, sender, row_number() over (partition by host, start order by sender) as k from (select distinct host, start, sender from b where sender is not null))
+select host, start, string_agg(sender, ',' order by sender) as senders from d where k <= 5 group by 1, 2""")
+def mail_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = smtp.entities(samples.mails(spark, sf_dir), 3000).filter(F.size("senders") > 0)
+    return found.select("host", "start", F.array_join("senders", ",").alias("senders"))
+
+
+@query(f"""with {samples.REQUESTS_SQL} select seq, case when regexp_matches(path, '[0-9]{{3,}}') then 'digits' else 'any' end as rule, case when regexp_matches(path, '[0-9]{{3,}}') then 'path' else 'url' end as field
+from r where regexp_matches(path, '[0-9]{{3,}}') or regexp_matches(url, '^http')""")
+def web_rules_enabled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.first_matches(samples.requests(spark, sf_dir), web.enabled(_RULES, {"letters", "unknown"})).select("seq", "rule", "field")

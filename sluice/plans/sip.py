@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -29,62 +31,103 @@ def summary(messages: DataFrame) -> DataFrame:
 
 
 class Server:
-    """All clients and users of one server."""
+    """All clients and users of one server, by both; a check looks only at those that have been idle for long enough.
+
+    Each client and each user has an entry in a queue by time, no later than its last message. At a check the entries
+    that are over are taken: one whose party has been heard since goes back with the later time, the others are judged.
+    """
 
     def __init__(self, attempts: int = ATTEMPTS, clients: int = CLIENTS, users: int = USERS, idle: int = IDLE, check: int = CHECK):
         self.limits, self.idle, self.check = (attempts, clients, users), idle, check
-        self.pairs: dict[tuple[int, str], dict[str, Any]] = {}
+        self.by_client: dict[int, dict[str, dict[str, Any]]] = {}
+        self.by_user: dict[str, dict[int, dict[str, Any]]] = {}
+        self.idle_clients: list[tuple[int, int]] = []
+        self.idle_users: list[tuple[int, str]] = []
+        self.queued: set[int] = set()
         self.checked: int | None = None
         self.server = 0
 
     def row(self, r: dict[str, Any]) -> list[dict[str, Any]]:
-        self.server, key, now = r["server"], (r["client"], r["user"]), r["t_last"]
+        self.server, client, user, now = r["server"], r["client"], r["user"], r["t_last"]
         self.checked = now if self.checked is None else self.checked
         out = self.report(now) if now - self.checked >= self.check else []
-        p = self.pairs.get(key)
+        p = self.by_client.get(client, {}).get(user)
         if not r["ok"]:
-            p = self.pairs.setdefault(key, {"n": 0, "oks": 0, "breach": None, "first": now})
+            if p is None:
+                p = {"n": 0, "oks": 0, "breach": None, "first": now}
+                if user not in self.by_user:
+                    heappush(self.idle_users, (now, user))
+                self.by_client.setdefault(client, {})[user] = self.by_user.setdefault(user, {})[client] = p
             p["n"] += 1
             p["last"] = now
         elif p and p["n"] < self.limits[0]:
-            del self.pairs[key]  # a user who knows the password
+            self.forget(client, user)  # a user who knows the password
         elif p:
             p["breach"] = p["breach"] or now
             p["oks"] += 1
             p["last"] = now
             if p["oks"] > OKS:
-                del self.pairs[key]
+                self.forget(client, user)
+        if client in self.by_client and client not in self.queued:
+            self.queued.add(client)
+            heappush(self.idle_clients, (now, client))
         return out
 
+    def take(self, client: int, user: str) -> dict[str, Any]:
+        for parties, a, b in ((self.by_client, client, user), (self.by_user, user, client)):
+            p = parties[a].pop(b)
+            if not parties[a]:
+                del parties[a]
+        return p
+
+    def forget(self, client: int, user: str) -> None:
+        """Takes a pair away; what is left of its client and user may have been idle for longer."""
+        self.take(client, user)
+        if user in self.by_user:
+            heappush(self.idle_users, (self.heard(self.by_user[user]), user))
+        if client in self.by_client:
+            self.queued.add(client)
+            heappush(self.idle_clients, (self.heard(self.by_client[client]), client))
+
+    @staticmethod
+    def heard(pairs: dict[Any, dict[str, Any]]) -> int:
+        return max(p["last"] for p in pairs.values())
+
+    def over(self, queue: list[tuple[int, Any]], parties: dict[Any, dict[Any, dict[str, Any]]], now: int | None) -> Iterator[Any]:
+        """The parties that have been idle for long enough, each once."""
+        while queue and (now is None or now - queue[0][0] > self.idle):
+            _, party = heappop(queue)
+            if party in parties:
+                last = self.heard(parties[party])
+                if now is None or now - last > self.idle:
+                    yield party
+                else:
+                    heappush(queue, (last, party))
+            else:
+                self.queued.discard(party)
+
     def report(self, now: int | None) -> list[dict[str, Any]]:
         self.checked, out = now, []
         attempts, clients, users = self.limits
-        due = lambda ps: now is None or all(now - p["last"] > self.idle for p in ps)
 
         def told(kind: str, client: int | None, user: str | None, keys: list[tuple[int, str]]) -> None:
-            ps = [self.pairs.pop(k) for k in keys]
+            ps = [self.take(*k) for k in keys]
             out.append({"server": self.server, "kind": kind, "client": client, "user": user, "attempts": sum(p["n"] for p in ps), "parties": len(ps), "breach": min((p["breach"] for p in ps if p["breach"]), default=None), "ts_first": min(p["first"] for p in ps), "ts_last": max(p["last"] for p in ps)})
 
-        by_client: dict[int, list[tuple[int, str]]] = {}
-        for k in self.pairs:
-            by_client.setdefault(k[0], []).append(k)
-        for client, keys in by_client.items():
-            if len(keys) >= users and due([self.pairs[k] for k in keys]):
-                told("SCAN", client, None, keys)
-        by_user: dict[str, list[tuple[int, str]]] = {}
-        for k in self.pairs:
-            by_user.setdefault(k[1], []).append(k)
-        for user, keys in by_user.items():
-            if not due([self.pairs[k] for k in keys]):
-                continue
-            if len(keys) >= clients and sum(self.pairs[k]["n"] for k in keys) >= attempts:
-                told("DBF", None, user, keys)
+        for client in self.over(self.idle_clients, self.by_client, now):
+            self.queued.discard(client)  # until it is heard again nothing more can come of it
+            if len(self.by_client[client]) >= users:
+                told("SCAN", client, None, [(client, user) for user in self.by_client[client]])
+        for user in self.over(self.idle_users, self.by_user, now):
+            pairs = self.by_user[user]
+            if len(pairs) >= clients and sum(p["n"] for p in pairs.values()) >= attempts:
+                told("DBF", None, user, [(client, user) for client in pairs])
             else:
-                for k in keys:
-                    if self.pairs[k]["n"] >= attempts:
-                        told("BF", k[0], user, [k])
+                for client, p in list(pairs.items()):
+                    if p["n"] >= attempts:
+                        told("BF", client, user, [(client, user)])
                     else:
-                        del self.pairs[k]
+                        self.take(client, user)
         return out
 
     def end(self) -> list[dict[str, Any]]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice import catalogue
 from sluice.operators import hierarchy, intervals, words
-from sluice.plans import hosts, scan, voip
+from sluice.plans import hosts, scan, sip, voip
 from sluice.schema import FLOW
 from sluice.storage import Snapshots
 from sluice.streaming import stateful, timers
@@ -192,3 +192,81 @@ def test_trained_classifier_knows_held_out_rows(spark, small):
     out = [r for r in found if r.held_out]
     most_frequent = max(sum(r.label == k for r in out) for k in (0, 1)) / len(out)
     assert len(out) > 60 and sum(r.label == r.predicted for r in out) / len(out) > most_frequent + 0.1
+
+
+class PlainServer:
+    """Walks all pairs at each check."""
+
+    def __init__(self, attempts, clients, users, idle, check):
+        self.limits, self.idle, self.check = (attempts, clients, users), idle, check
+        self.pairs= {}
+        self.checked = None
+        self.server = 0
+
+    def row(self, r):
+        self.server, key, now = r["server"], (r["client"], r["user"]), r["t_last"]
+        self.checked = now if self.checked is None else self.checked
+        out = self.report(now) if now - self.checked >= self.check else []
+        p = self.pairs.get(key)
+        if not r["ok"]:
+            p = self.pairs.setdefault(key, {"n": 0, "oks": 0, "breach": None, "first": now})
+            p["n"] += 1
+            p["last"] = now
+        elif p and p["n"] < self.limits[0]:
+            del self.pairs[key]  # a user who knows the password
+        elif p:
+            p["breach"] = p["breach"] or now
+            p["oks"] += 1
+            p["last"] = now
+            if p["oks"] > sip.OKS:
+                del self.pairs[key]
+        return out
+
+    def report(self, now):
+        self.checked, out = now, []
+        attempts, clients, users = self.limits
+        due = lambda ps: now is None or all(now - p["last"] > self.idle for p in ps)
+
+        def told(kind, client, user, keys):
+            ps = [self.pairs.pop(k) for k in keys]
+            out.append({"server": self.server, "kind": kind, "client": client, "user": user, "attempts": sum(p["n"] for p in ps), "parties": len(ps), "breach": min((p["breach"] for p in ps if p["breach"]), default=None), "ts_first": min(p["first"] for p in ps), "ts_last": max(p["last"] for p in ps)})
+
+        by_client = {}
+        for k in self.pairs:
+            by_client.setdefault(k[0], []).append(k)
+        for client, keys in by_client.items():
+            if len(keys) >= users and due([self.pairs[k] for k in keys]):
+                told("SCAN", client, None, keys)
+        by_user = {}
+        for k in self.pairs:
+            by_user.setdefault(k[1], []).append(k)
+        for user, keys in by_user.items():
+            if not due([self.pairs[k] for k in keys]):
+                continue
+            if len(keys) >= clients and sum(self.pairs[k]["n"] for k in keys) >= attempts:
+                told("DBF", None, user, keys)
+            else:
+                for k in keys:
+                    if self.pairs[k]["n"] >= attempts:
+                        told("BF", k[0], user, [k])
+                    else:
+                        del self.pairs[k]
+        return out
+
+    def end(self):
+        return self.report(None)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from("abcd"), st.integers(0, 4).map(lambda x: x == 0), st.integers(0, 9)), max_size=120))
+def test_queues_of_idle_parties_equal_walking_all(messages):
+    limits, t = {"attempts": 3, "clients": 2, "users": 2, "idle": 12, "check": 7}, 0
+    ours, plain, got, want = sip.Server(**limits), PlainServer(**limits), [], []
+    for client, user, ok, step in messages:
+        t += step
+        r = {"server": 1, "client": client, "user": user, "ok": ok, "t_last": t}
+        got += sorted(map(str, ours.row(r)))
+        want += sorted(map(str, plain.row(r)))
+        assert got == want
+        assert {(c, u) for c, us in ours.by_client.items() for u in us} == set(plain.pairs)
+    assert sorted(map(str, ours.end())) == sorted(map(str, plain.end()))
