@@ -6,11 +6,10 @@ from collections import Counter
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.numbers import div
-from sluice.operators.aggregates import histogram, shares, top_bins
 from sluice.operators.keyed import run_keyed
 from sluice.operators.projections import by_service
 
@@ -55,23 +54,45 @@ def totals(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def tops(flows: DataFrame, column: str, queries: bool, limits: Limits = Limits()) -> DataFrame:
-    """Of each (server, client, start) the top bins' mean edge, flows and share of all flows."""
+#: Histograms that judge a pair: a name, whether of queries, and the column.
+HISTOGRAMS = (("rb", False, "bytes"), ("rp", False, "packets"), ("qb", True, "bytes"))
+
+
+def binned(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """keys, kind ('all', or a name of HISTOGRAMS), bin and sums of the flows in it: one reading of the flows for all kinds.
+
+    A flow counts for the whole and for the histograms of its way; tasks sum up what they have before it is shuffled.
+    """
     keys = ["server", "client", "start"]
-    hist = histogram(pairs(flows, limits).filter(F.col("is_query") == queries), keys, column, limits.step, BYTES_MAX if column == "bytes" else None)
-    best = top_bins(shares(hist, keys), keys, limits.top)
-    return best.groupBy(*keys).agg(div(F.sum("bin"), F.count("*")).alias("mean_bin"), div(F.sum(F.col("bin") * F.col("n")), F.sum("n")).alias("mean"), F.sum("n").alias("n"), F.sum("share").alias("share"))
+    edges = {c: F.floor(F.col(c) / limits.step) * limits.step + limits.step for c in ("bytes", "packets")}
+    flow = F.struct(
+        F.lit(1).cast("long").alias("n"), *(F.when(F.col("is_query") == way, x).alias(f"{tag}_{name}") for tag, way in (("q", True), ("r", False)) for name, x in (("flows", F.lit(1).cast("long")), ("packets", F.col("packets")), ("bytes", F.col("bytes")))), "t_first", "t_last",
+        F.when(F.col("is_query"), F.col("packets")).alias("q_max_packets"), F.when(F.col("is_query"), F.col("bytes")).alias("q_max_bytes"), F.when(~F.col("is_query"), F.col("bytes")).alias("r_max_bytes"),
+    )
+    of = [F.when((F.col("is_query") == way) & ((F.col(c) < BYTES_MAX) if c == "bytes" else F.lit(True)), F.struct(F.lit(name).alias("kind"), edges[c].alias("bin"))) for name, way, c in HISTOGRAMS]
+    each = pairs(flows, limits).select(*keys, flow.alias("f"), F.explode(F.array_compact(F.array(F.struct(F.lit("all").alias("kind"), F.lit(0).cast("long").alias("bin")), *of))).alias("at"))
+    sums = [F.sum(f"f.{c}").alias(c) for c in ("n", "q_flows", "q_packets", "q_bytes", "r_flows", "r_packets", "r_bytes")]
+    return each.groupBy(*keys, "at.kind", "at.bin").agg(*sums, *(F.max(f"f.{c}").alias(c) for c in ("q_max_packets", "q_max_bytes", "r_max_bytes")), F.min("f.t_first").alias("ts_first"), F.max("f.t_last").alias("ts_last"))
+
+
+def judgements(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """keys, the sums of both ways, and of each histogram the top bins' mean edge, flows and share of all flows."""
+    keys = ["server", "client", "start"]
+    own = Window.partitionBy(*keys, "kind")
+    ranked = binned(flows, limits).withColumn("every", F.sum("n").over(own)).withColumn("rank", F.row_number().over(own.orderBy(F.desc("n"), F.desc("bin")))).filter(F.col("rank") <= limits.top)
+    whole = F.col("kind") == "all"
+    out = [F.coalesce(F.max(F.when(whole, F.col(c))), F.lit(0).cast("long")).alias(c) for c in ("q_flows", "q_packets", "q_bytes", "r_flows", "r_packets", "r_bytes")]
+    out += [F.max(F.when(whole, F.col(c))).alias(c) for c in ("q_max_packets", "q_max_bytes", "r_max_bytes", "ts_first", "ts_last")]
+    for tag, _, _ in HISTOGRAMS:
+        n, edge = (F.when(F.col("kind") == tag, F.col(c)) for c in ("n", "bin"))
+        out += [div(F.sum(edge), F.count(edge)).alias(f"{tag}_mean_bin"), div(F.sum(edge * n), F.sum(n)).alias(f"{tag}_mean"), F.sum(n).alias(f"{tag}_n"), F.sum(F.when(F.col("kind") == tag, F.col("n") / F.col("every"))).alias(f"{tag}_share")]
+    return ranked.groupBy(*keys).agg(*out)
 
 
 def amplified(flows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """server, client, start, kind (big or complex), flows, packets and bytes of both ways."""
     keys = ["server", "client", "start"]
-    t = totals(flows, limits).filter((F.col("q_flows") > 0) & (F.col("r_flows") > 0))
-
-    def named(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*keys, *(F.col(c).alias(f"{tag}_{c}") for c in ("mean_bin", "mean", "n", "share")))
-
-    t = t.join(named(tops(flows, "bytes", False, limits), "rb"), keys).join(named(tops(flows, "packets", False, limits), "rp"), keys).join(named(tops(flows, "bytes", True, limits), "qb"), keys)
+    t = judgements(flows, limits).filter((F.col("q_flows") > 0) & (F.col("r_flows") > 0) & F.col("rb_n").isNotNull() & F.col("rp_n").isNotNull() & F.col("qb_n").isNotNull())
     heavy = (F.col("q_packets") >= 30) & (div(F.col("r_packets"), F.col("q_packets")) >= 5)
     big = heavy & ((F.col("q_max_packets") > limits.big_query_packets) | (F.col("r_max_bytes") > limits.big_rsp_bytes)) & (div(F.col("r_max_bytes"), F.col("q_max_bytes")) > limits.ratio)
     complex_ = ~heavy & (F.col("rb_share") > limits.share) & (F.col("rb_n") > limits.flows) & (F.col("rp_mean") > limits.rsp_packets) & (F.col("rb_mean") > limits.rsp_bytes) & (F.col("qb_mean") < limits.query_bytes) & (div(F.col("rb_mean_bin"), F.col("qb_mean_bin")) > limits.ratio)
