@@ -272,25 +272,31 @@ def _similar(least: float):
     return run
 
 
+#: What is carried of a node beside its number: its smallest id, fingerprint and number of shingles.
+_OF_NODE = ("least", "f", "n")
+
+
 def shared_keys(nodes: DataFrame) -> DataFrame:
-    """k, node and size of the keys that several nodes have."""
-    each = nodes.select("node", F.explode("ks").alias("k"))
+    """k, size and the node (node, least, f, n) for the keys that several nodes have."""
+    each = nodes.select("node", *_OF_NODE, F.explode("ks").alias("k"))
     return each.join(each.groupBy("k").agg(F.count("*").alias("size")).filter("size > 1"), "k")
 
 
 def leaders(shared: DataFrame, most: int) -> DataFrame:
-    """k, leader and place of each key's most central nodes: those whose keys most nodes share."""
+    """k, place and each key's most central nodes (leader, l_least, l_f, l_n): those whose keys most nodes share."""
     weight = shared.groupBy("node").agg(F.sum(F.round(F.log2("size") * 1000).cast("long")).alias("weight"))
     place = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("weight"), "node"))
-    return shared.select("k", "node").join(weight, "node").withColumn("place", place).filter(F.col("place") <= most).select("k", F.col("node").alias("leader"), "place")
+    ranked = shared.join(weight, "node").withColumn("place", place).filter(F.col("place") <= most)
+    return ranked.select("k", "place", F.col("node").alias("leader"), *(F.col(c).alias(f"l_{c}") for c in _OF_NODE))
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The pairs u, v (with their least ids) whose sizes allow the similarity and whose fingerprints are near enough."""
-    u, v = (nodes.select(F.col("node").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("least", "f", "n"))) for s in ("u", "v"))
-    sized = (F.col("u_n") >= F.col("v_n") * least) & (F.col("v_n") >= F.col("u_n") * least)
-    near = F.bit_count(F.col("u_f").bitwiseXOR(F.col("v_f"))) <= MOST_APART
-    return pairs.join(u, "u").join(v, "v").filter(sized & near).select("u", "v", "u_least", "v_least")
+def likely(met: DataFrame, least: float) -> DataFrame:
+    """u, v and their least ids of the pairs node, leader whose sizes allow the similarity and whose fingerprints are near enough."""
+    sized = (F.col("n") >= F.col("l_n") * least) & (F.col("l_n") >= F.col("n") * least)
+    near = F.bit_count(F.col("f").bitwiseXOR(F.col("l_f"))) <= MOST_APART
+    a, b = F.struct("node", "least"), F.struct(F.col("leader").alias("node"), F.col("l_least").alias("least"))
+    pairs = met.filter((F.col("node") != F.col("leader")) & sized & near).select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
+    return pairs.select(F.col("x.node").alias("u"), F.col("y.node").alias("v"), F.col("x.least").alias("u_least"), F.col("y.least").alias("v_least")).distinct()
 
 
 def _node(doc_id: Column, text_hash: Column) -> Column:
@@ -312,16 +318,19 @@ def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILA
     shared = cut(shared_keys(nodes))
     led = cut(leaders(shared, LEADERS * ROUNDS))
     # of the nodes with one fingerprint the key groups take care; one of them stands for all beside other fingerprints
-    stand = cut(nodes.groupBy("f").agg(F.min("node").alias("node")))
-    met = links(stand.select("f")).toDF("p", "q").join(stand.toDF("p", "a"), "p").join(stand.toDF("q", "b"), "q").select("a", "b")
-    found, left = [], shared
+    stand = cut(nodes.groupBy("f").agg(F.min(F.struct("node", "least", "n")).alias("s")).select("f", "s.*"))
+    close = links(stand.select("f")).toDF("f", "l_f").join(stand, "f").join(stand.toDF("l_f", "leader", "l_least", "l_n"), "l_f")
+    found, tested, left = [], [], shared
     for at in range(ROUNDS):
-        own = led.filter(F.col("place").between(LEADERS * at + 1, LEADERS * (at + 1))).select("k", "leader")
-        by_key = left.join(own, "k").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        pairs = (by_key if at else by_key.union(met)).filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-        pairs = cut(likely(pairs, nodes, least))
+        met = left.join(led.filter(F.col("place").between(LEADERS * at + 1, LEADERS * (at + 1))), "k")
+        names = ["node", *_OF_NODE, "leader", *(f"l_{c}" for c in _OF_NODE)]
+        pairs = likely(met.select(names) if at else met.select(names).union(close.select(names)), least)
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.union, tested), ["u", "v"], "left_anti")
+        pairs = cut(pairs)
         if pairs.isEmpty():
             break
+        tested.append(pairs.select("u", "v"))
         found.append(cut(verified(pairs, docs, least)))
         linked = found[-1].select(F.explode(F.array("u", "v")).alias("node")).distinct()
         left = cut(left.filter(F.col("size") > LEADERS * (at + 1)).join(small(linked), "node", "left_anti"))
