@@ -202,8 +202,11 @@ def linked(met: DataFrame) -> DataFrame:
 def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """The texts of a block from its words' figures."""
     order = np.argsort(right.column("at").to_numpy())
-    figures = [right.column(f).to_numpy()[order] for f in FIGURES]
     said = right.column("groups").take(pa.array(order)).to_pylist()
+    known = {f: right.column(f).to_numpy()[order] for f in ("n_a", "n_b", "n_best", "count_sum")}
+    known["n_groups"] = np.fromiter((g.count(";") + 1 for g in said), np.int64, len(said))
+    known["n_links"] = known["n_a"] + known["n_b"] - known["n_groups"]  # as many stretches as ends
+    figures = [known[f] for f in FIGURES]
     out, names = [], ["doc_id", *FIGURES, "groups"]
 
     def packed(ids: list, codes: list[np.ndarray], groups: list[str]) -> pa.RecordBatch:
@@ -253,10 +256,11 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
     most = pairs.groupBy("b").agg(F.max("count").alias("most"))  # at most a row for each id of B
     judged = pairs.join(F.broadcast(most), "b").select("a", "b", "count", (F.col("count") == F.col("most")).cast("int").alias("best"))
     of_links = met.select("seg", F.explode("links").alias("l")).select("seg", "l.a", "l.b").join(small(judged, MOST_PAIRS), ["a", "b"]).groupBy("seg").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
-    figures = words.select("seg", "word").join(met.withColumn("n_links", F.size("links")).drop("links", "n"), "seg").join(of_links, "seg").drop("seg")
+    figures = words.select("seg", "word").join(met.drop("links", "n", "n_groups"), "seg").join(of_links, "seg").drop("seg")
     figures = kept(figures, "figures")
     swept(spark, f"{folder}/words", f"{folder}/aligned")
-    of_places = places.select("block", "at", "word").join(figures, "word").drop("word")
+    of_places = kept(places.select("block", "at", "word").join(figures, "word").drop("word"), "places")
+    swept(spark, f"{folder}/figures")
     kind = ", ".join(["doc_id long", *(f"{f} long" for f in FIGURES), "groups string"])
     texts = coded.filter(F.size("doc_ids") > 0).select(F.col("block").alias("of_block"), "doc_ids", "codes").groupBy("of_block").cogroup(of_places.groupBy("block")).applyInArrow(_assemble, kind)
     return texts, judged
