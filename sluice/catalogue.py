@@ -364,7 +364,7 @@ def sip_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sip.summary(samples.messages(spark, sf_dir))
 
 
-@query()
+@query(f"""with recursive {samples.MESSAGES_SQL}, a as (select src_ip as server, dst_ip as client, party as "user", sip_status_code = 200 as ok, t_last, seq from m where sip_msg_type = 'status' and sip_status_code in (200, 401) and sip_cseq = '1 REGISTER'), {machines_sql.sip_guessing(3, 2, 2)}""")
 def sip_attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sip.attacks(samples.messages(spark, sf_dir), attempts=3, clients=2, users=2)
 
@@ -381,7 +381,7 @@ def dialled_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voip.shared_ends(voip.calls(samples.messages(spark, sf_dir)))
 
 
-@query()
+@query(f"with recursive {_CALLS}, {machines_sql.dial_plan(600)}")
 def dial_plan_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voip.guesses(voip.calls(samples.messages(spark, sf_dir)), every=600)
 

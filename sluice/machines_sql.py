@@ -124,3 +124,52 @@ union all select client, i, round, case when confirmed then 'ATTACK' when strang
   case when confirmed or (strange and before = 'NEW') or before = 'NEW' then 0 when n + 1 > case before when 'ATTACK' then {calm_attack} else {calm_suspicion} end then 0 else n + 1 end from (
   select o.client, o.i, o.round, o.strange, o.confirmed, z.state as before, z.rounds as n from z join o on o.client = z.client and o.i = z.i + 1))
 select client, round, state, rounds from z where state <> before"""
+
+
+def dial_plan(every: int, longest: int = 10, strings: int = 10) -> str:
+    """c: caller, callee, ok, t_last, seq. Numbers a caller has tried; a check tells the longest end that too many share."""
+    ends = f"flatten(list_transform(list_filter(nums, lambda x: not x.ok), lambda x: list_transform(generate_series(1, least({longest}, length(x.c))), lambda k: right(x.c, k::int))))"
+    over = f"list_transform(list_filter(map_entries(list_aggregate({ends}, 'histogram')), lambda e: e.value > {strings}), lambda e: {{'less': -length(e.key), 'e': e.key}})"
+    added = "case when list_contains(list_transform(nums, lambda x: x.c), callee) then list_transform(nums, lambda x: {'c': x.c, 'ok': x.ok or (x.c = callee and ok)}) else list_append(nums, {'c': callee, 'ok': ok}) end"
+    gone = "list_filter(nums, lambda x: not x.ok and suffix(x.c, deepest))"
+    return f"""o as (select caller, callee, ok, t_last, row_number() over (partition by caller order by t_last, seq) as i from c),
+s as (select caller, 0::bigint as i, 0 as phase, cast([] as struct(c varchar, ok boolean)[]) as nums, t_last as checked, t_last as last, cast(null as varchar) as told, 0::bigint as strings, 0::bigint as tried from o where i = 1
+union all select caller, case when deepest is null then i + 1 else i end, case when deepest is null then 0 else 1 end, case when deepest is null then {added} else list_filter(nums, lambda x: x.ok or not suffix(x.c, deepest)) end,
+  case when checking then coalesce(t, last) else checked end, coalesce(t, last), deepest, case when deepest is null then 0 else len({gone}) end, len(nums) from (
+    select *, case when checking then list_sort({over})[1].e end as deepest from (
+      select s.caller, s.i, s.nums, s.checked, s.last, o.callee, o.ok, o.t_last as t, s.phase = 1 or o.caller is null or o.t_last - s.checked >= {every} as checking from s left join o on o.caller = s.caller and o.i = s.i + 1))
+  where deepest is not null or t is not null)
+select caller, told as suffix, strings, tried, last as ts_last from s where told is not null"""
+
+
+def sip_guessing(attempts: int, clients: int, users: int, idle: int = 1800, check: int = 300, oks: int = 5) -> str:
+    """a: server, client, user, ok, t_last, seq. Pairs of a server's clients and users; a check tells and forgets the idle ones."""
+    own = "list_filter(pairs, lambda p: p.c = x)"
+    due = "(final or len(list_filter({}, lambda p: now - p.last <= " + str(idle) + ")) = 0)"
+
+    def event(kind: str, client: str, user: str, of: str) -> str:
+        return f"""{{'kind': '{kind}', 'client': {client}, 'user': {user}, 'attempts': list_sum(list_transform({of}, lambda p: p.n))::bigint, 'parties': len({of})::bigint,
+          'breach': list_min(list_transform({of}, lambda p: p.breach)), 'ts_first': list_min(list_transform({of}, lambda p: p.first)), 'ts_last': list_max(list_transform({of}, lambda p: p.last))}}"""
+
+    of_user = "list_filter(left_over, lambda p: p.u = x)"
+    many = f"(len({of_user}) >= {clients} and list_sum(list_transform({of_user}, lambda p: p.n)) >= {attempts})"
+    none = "cast([] as struct(kind varchar, client bigint, \"user\" varchar, attempts bigint, parties bigint, breach bigint, ts_first bigint, ts_last bigint)[])"
+    same = "p.c = client and p.u = \"user\""
+    one = f"list_filter(kept, lambda p: {same})[1]"
+    changed = f"""case when not ok and {one} is null then list_append(kept, {{'c': client, 'u': "user", 'n': 1::bigint, 'oks': 0, 'breach': null::bigint, 'first': now, 'last': now}})
+      when not ok then list_transform(kept, lambda p: case when {same} then {{'c': p.c, 'u': p.u, 'n': p.n + 1, 'oks': p.oks, 'breach': p.breach, 'first': p.first, 'last': now}} else p end)
+      when {one} is null then kept
+      when {one}.n < {attempts} or {one}.oks + 1 > {oks} then list_filter(kept, lambda p: not ({same}))
+      else list_transform(kept, lambda p: case when {same} then {{'c': p.c, 'u': p.u, 'n': p.n, 'oks': p.oks + 1, 'breach': coalesce(p.breach, now), 'first': p.first, 'last': now}} else p end) end"""
+    return f"""o as (select server, client, "user", ok, t_last, row_number() over (partition by server order by t_last, seq) as i, count(*) over (partition by server) as n from a),
+s as (select server, 0::bigint as i, n, cast([] as struct(c bigint, u varchar, n bigint, oks int, breach bigint, first bigint, last bigint)[]) as pairs, t_last as checked, {none} as told from o where i = 1
+union all select server, i + 1, n, case when final then kept else {changed} end, case when reporting then now else checked end, list_concat(scans, others) from (
+  select *, case when reporting then list_filter(left_over, lambda p: not list_contains(idle_users, p.u)) else left_over end as kept,
+    case when reporting then list_concat(list_transform(list_filter(idle_users, lambda x: {many}), lambda x: {event('DBF', 'null::bigint', 'x', of_user)}),
+      list_transform(list_filter(left_over, lambda q: list_contains(list_filter(idle_users, lambda x: not {many}), q.u) and q.n >= {attempts}), lambda q: {{'kind': 'BF', 'client': q.c, 'user': q.u, 'attempts': q.n, 'parties': 1::bigint, 'breach': q.breach, 'ts_first': q.first, 'ts_last': q.last}})) else {none} end as others from (
+    select *, list_filter(list_distinct(list_transform(left_over, lambda p: p.u)), lambda x: {due.format(of_user)}) as idle_users from (
+      select *, list_filter(pairs, lambda p: not list_contains(scanning, p.c)) as left_over, list_transform(scanning, lambda x: {event('SCAN', 'x', 'null::varchar', own)}) as scans from (
+        select *, case when reporting then list_filter(list_distinct(list_transform(pairs, lambda p: p.c)), lambda x: len({own}) >= {users} and {due.format(own)}) else [] end as scanning from (
+          select s.server, s.i, s.n, s.pairs, s.checked, o.client, o."user", o.ok, o.t_last as now, o.server is null as final, o.server is null or o.t_last - s.checked >= {check} as reporting
+          from s left join o on o.server = s.server and o.i = s.i + 1 where s.i <= s.n))))))
+select server, e.kind as kind, e.client as client, e."user" as "user", e.attempts as attempts, e.parties as parties, e.breach as breach, e.ts_first as ts_first, e.ts_last as ts_last from (select server, unnest(told) as e from s)"""
