@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from sluice import machines_sql, samples
 from sluice.catalogue import _RULES, _VERTICAL, _joined, query, vertical_scan
-from sluice.functions import ip
+from sluice.functions import bits, ip, text
 from sluice.operators import hierarchy, intervals, projections, words
-from sluice.plans import backscatter, hosts, scan, smtp, web
+from sluice.plans import backscatter, blacklist, hosts, scan, smtp, web
 from sluice.schema import FLOWS_SQL, flows
 from sluice.sources import lists, sinks
 from sluice.storage import Snapshots, shared_folder
@@ -90,13 +90,13 @@ def domain_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.levels(samples.names(spark, sf_dir), ["client"], "name", 3)
 
 
-@query("""with recursive e as (select distinct 'h' || (event_id % 211) as name, case when event_id % 11 = 0 then '10.0.0.' || (event_id % 200) else 'h' || ((event_id * 7 + 3) % 211) end as target from events where event_id % 5 < 2),
+@query("""with recursive e as (select distinct 'h' || (event_id % 211) as name, case when event_id % 11 = 0 then '10.0.0.' || (event_id % 200) else 'h' || ((event_id * 7 + 3) % 211) end as target from events),
 s as (select distinct 'h' || (n_nationkey * 5) as start from nation), w as (select start, start as name, 0 as step from s union select w.start, e.target, step + 1 from w join e on e.name = w.name where step < 10)
 select start, count(distinct name) as names, count(distinct name) filter (where regexp_matches(name, '^10\\.')) as addresses from w group by 1""")
 def answers_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
     host = lambda n: F.concat(F.lit("h"), n.cast("string"))
-    answers = spark.read.parquet(f"{sf_dir}/events.parquet").filter(e % 5 < 2).select(host(e % 211).alias("name"), F.when(e % 11 == 0, F.concat(F.lit("10.0.0."), (e % 200).cast("string"))).otherwise(host((e * 7 + 3) % 211)).alias("target"))
+    answers = spark.read.parquet(f"{sf_dir}/events.parquet").select(host(e % 211).alias("name"), F.when(e % 11 == 0, F.concat(F.lit("10.0.0."), (e % 200).cast("string"))).otherwise(host((e * 7 + 3) % 211)).alias("target"))
     start = spark.read.parquet(f"{sf_dir}/nation.parquet").select(host(F.col("n_nationkey") * 5).alias("name"))
     found = hierarchy.reached(start, answers, 10)
     return found.groupBy("start").agg(F.count("*").alias("names"), F.count_if(F.col("name").rlike(r"^10\.")).alias("addresses"))
@@ -179,3 +179,15 @@ def mail_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
 from r where regexp_matches(path, '[0-9]{{3,}}') or regexp_matches(url, '^http')""")
 def web_rules_enabled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.first_matches(samples.requests(spark, sf_dir), web.enabled(_RULES, {"letters", "unknown"})).select("seq", "rule", "field")
+
+
+@query(f"""with {samples.REQUESTS_SQL}, {FLOWS_SQL}, u as (select seq as g, regexp_replace(regexp_replace(lower(host), '^www\\.', ''), '\\.$', '') as name, regexp_replace(regexp_replace(lower(host || path), '^www\\.', ''), '/$', '') as url from r),
+x as (select u.name, u.url, f.*, unnest(case when length(u.url) % 3 = 0 then [length(u.url) % 8 + 1, 9] else [length(u.url) % 8 + 1] end) as list_id from f join u on f.seq = u.g where u.url in (select url from u where g % 2 = 0))
+select name, url, dst_ip, protocol, cast(list_id as int) as list_id, t_first - t_first % 300 as start, count(*) as flows, count(distinct src_ip) as sources, cast(sum(packets) as bigint) as packets, cast(sum(bytes) as bigint) as bytes, min(t_first) as ts_first, max(t_last) as ts_last from x group by all""")
+def listed_url_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows and the pages of the same number as what they asked for; the URLs of every other page are listed."""
+    asked = flows(spark, sf_dir).join(samples.requests(spark, sf_dir).select("seq", "host", "path"), "seq")
+    name = text.url_key(F.col("host"), F.col("path"))
+    bitmap = bits.of_id(F.length(name) % 8 + 1).bitwiseOR(F.when(F.length(name) % 3 == 0, bits.of_id(F.lit(9))).otherwise(F.lit(0).cast("long")))
+    entries = samples.requests(spark, sf_dir).filter("seq % 2 = 0").select(name.alias("name"), bitmap.alias("bitmap")).distinct()
+    return blacklist.rolled_up_urls(blacklist.match_urls(asked, "host", "path", entries), "host", "path")

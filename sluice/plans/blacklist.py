@@ -129,6 +129,19 @@ def rolled_up_parts(matches: DataFrame, most: int = 1000, width: int = 300) -> D
     return placed.groupBy(*ROLLUP, "part").agg(F.array_sort(F.collect_list("target")).alias("targets")).join(parts, ROLLUP)
 
 
+def rolled_up_urls(matches: DataFrame, host: str, path: str, width: int = 300) -> DataFrame:
+    """By listed URL, where it was asked for, protocol, list and window: flows, different sources, bytes and times.
+
+    matches are requests with the columns of their flows and a bitmap. Sources are counted by a first aggregation, so
+    a URL that very many ask for is many tasks' work.
+    """
+    url = text.url_key(F.col(host), F.col(path))
+    each = single_bits(matches).withColumns({"url": url, "name": text.host_name(F.col(host)), "start": F.col("t_first") - F.col("t_first") % width})
+    keys = ["name", "url", "dst_ip", "protocol", "list_id", "start"]
+    by_source = each.groupBy(*keys, "src_ip").agg(F.count("*").alias("n"), F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes"), F.min("t_first").alias("a"), F.max("t_last").alias("b"))
+    return by_source.groupBy(*keys).agg(F.sum("n").alias("flows"), F.count("*").alias("sources"), F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes"), F.min("a").alias("ts_first"), F.max("b").alias("ts_last"))
+
+
 class Scenario:
     """Evidence of one botnet controller: clients are added; after `quiet` seconds without one it is told and ends."""
 
