@@ -20,10 +20,10 @@ groups() is that rule. Four bits of 64 are far less than the difference of near
 in some ten), so deduplicated() has a rule of its own: five-word shingle sets with a Jaccard similarity of 0.8 or more.
 Its candidates are the fingerprints' links and texts that share a class of shingles (class_keys); the sets decide.
 A pair of similar texts shares no key in fewer than one of 10,000 cases. Within a key's group a text is compared with
-LEADERS others a round, the most central ones first (those whose keys most texts share: they carry the fewest changes
+one or two others a round (ROUNDS), the most central ones first (those whose keys most texts share: they carry the fewest changes
 of their own), and texts that no round has linked yet go on to the next. So work grows with the keys, never with the
 square of a group, and what may be missed is a text of a very mixed large group whose few similar ones aren't among
-its keys' ROUNDS x LEADERS most central.
+its keys' eleven most central.
 
 Defined results: a null or empty text, or one without a word, has fingerprint zero and is linked like any other; rows
 with a null id get their group's smallest id (null if the group has none); repeated rows are repeated in the result.
@@ -49,8 +49,9 @@ MOST_BITS = 4
 COPY_WORDS, LEAST_SIMILAR = 5, 0.8
 #: Classes of a text's shingles that give keys.
 CLASSES = 24
-#: Members of a key's group that others are compared with in a round, and rounds.
-LEADERS, ROUNDS = 2, 6
+#: Members of a key's group, by place, that others are compared with in each round: the most central one first, as most
+#: texts of a group of copies are similar to it and need no other.
+ROUNDS = ((1, 1), (2, 3), (4, 5), (6, 7), (8, 9), (10, 11))
 #: Bits that fingerprints of similar sets differ in at most: some ten are to be expected, more than this in fewer than one
 #: of 10,000 pairs (sets of five shingles; far fewer of larger ones), and unrelated sets differ in some 32.
 MOST_APART = 24
@@ -307,7 +308,7 @@ def _node(doc_id: Column, text_hash: Column) -> Column:
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs whose whole texts' sets are similar."""
     texts = docs.select(_node(docs["doc_id"].cast("long"), F.xxhash64(docs["text"])).alias("node"), docs["text"])
-    held = texts.join(small(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "node", "left_semi").dropDuplicates(["node"])
+    held = texts.join(small(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()), "node", "left_semi").dropDuplicates(["node"])
     # v is a group's member mostly and u its leader, so rows of a hot u are spread by v first
     told = pairs.join(held.toDF("v", "v_text"), "v").join(held.toDF("u", "u_text"), "u").select("u", "v", "u_least", "v_least", "u_text", "v_text")
     return told.mapInArrow(_similar(least), "u long, v long, u_least long, v_least long")
@@ -316,13 +317,13 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
 def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
     """u, v: ids of similar nodes (node, least, f, n, ks), enough of them to join the groups."""
     shared = cut(shared_keys(nodes))
-    led = cut(leaders(shared, LEADERS * ROUNDS))
+    led = cut(leaders(shared, ROUNDS[-1][1]))
     # of the nodes with one fingerprint the key groups take care; one of them stands for all beside other fingerprints
     stand = cut(nodes.groupBy("f").agg(F.min(F.struct("node", "least", "n")).alias("s")).select("f", "s.*"))
     close = links(stand.select("f")).toDF("f", "l_f").join(stand, "f").join(stand.toDF("l_f", "leader", "l_least", "l_n"), "l_f")
     found, tested, left = [], [], shared
-    for at in range(ROUNDS):
-        met = left.join(led.filter(F.col("place").between(LEADERS * at + 1, LEADERS * (at + 1))), "k")
+    for at, (first, last) in enumerate(ROUNDS):
+        met = left.join(led.filter(F.col("place").between(first, last)), "k")
         names = ["node", *_OF_NODE, "leader", *(f"l_{c}" for c in _OF_NODE)]
         pairs = likely(met.select(names) if at else met.select(names).union(close.select(names)), least)
         if tested:
@@ -332,8 +333,8 @@ def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILA
             break
         tested.append(pairs.select("u", "v"))
         found.append(cut(verified(pairs, docs, least)))
-        linked = found[-1].select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        left = cut(left.filter(F.col("size") > LEADERS * (at + 1)).join(small(linked), "node", "left_anti"))
+        linked = found[-1].select(F.col("u").alias("node")).union(found[-1].select("v")).distinct()
+        left = cut(left.filter(F.col("size") > last).join(small(linked), "node", "left_anti"))
     if not found:
         return nodes.select(F.col("least").alias("u"), F.col("least").alias("v")).limit(0)
     return reduce(DataFrame.union, found).select(F.col("u_least").alias("u"), F.col("v_least").alias("v"))
