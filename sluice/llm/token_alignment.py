@@ -50,14 +50,29 @@ DICTIONARY = "seg long, word string, n long, tokens array<int>"
 ID_BITS, LENGTH_BITS = 18, 12
 
 
-class Tokenizers:
+class Splitter:
+    """Cuts texts into words; it needs B alone."""
+
+    def __init__(self, b: bytes, separable: bool):
+        from sentencepiece import SentencePieceProcessor
+
+        self.b, self.separable = SentencePieceProcessor(model_proto=b), separable
+
+    def words(self, text: str | None) -> list[str] | None:
+        """The words of a text, or None if it has no tokens by definition."""
+        if not text or "▁" in text or self.b.normalize(text).replace("▁", " ") != " " + text:
+            return None
+        return CUT.split(text) if self.separable else [text]
+
+
+class Tokenizers(Splitter):
     """A (a byte-level BPE of the tokenizers library) and B (a sentencepiece model), from their files' contents."""
 
     def __init__(self, a: str, b: bytes):
-        from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_str(a), SentencePieceProcessor(model_proto=b)
+        super().__init__(b, False)
+        self.a = Tokenizer.from_str(a)
         self.a.encode_special_tokens = True
         names = self.a.get_vocab(with_added_tokens=True)
         self.a_lens = np.zeros(max(names.values()) + 1, np.int64)
@@ -70,12 +85,6 @@ class Tokenizers:
         before = json.loads(a)["pre_tokenizer"] or {}
         self.separable = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def words(self, text: str | None) -> list[str] | None:
-        """The words of a text, or None if it has no tokens by definition."""
-        if not text or "▁" in text or self.b.normalize(text).replace("▁", " ") != " " + text:
-            return None
-        return CUT.split(text) if self.separable else [text]
-
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64), np.array(self.b.encode(text, num_threads=1), np.int64)
 
@@ -101,9 +110,9 @@ class Tokenizers:
         return out
 
 
-def _code(a: str, b: bytes, most_different: int, most_words: int):
+def _code(b: bytes, separable: bool, most_different: int, most_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, made = Tokenizers(a, b), 0
+        both, made = Splitter(b, separable), 0
         part = TaskContext.get().partitionId()
         numbers: dict[str, int] = {}
         ids: list[int | None] = []
@@ -246,7 +255,7 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
         df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_code(a, b, most_different, most_words), CODED), "coded")
+    coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_code(b, Tokenizers(a, b).separable, most_different, most_words), CODED), "coded")
     places = coded.select("block", "start", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", (F.col("start") + F.col("at")).alias("at"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     words = kept(places.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(_tokens(a, b), DICTIONARY), "words")
     swept(spark)
