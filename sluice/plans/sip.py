@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from typing import Any
@@ -30,20 +31,44 @@ def summary(messages: DataFrame) -> DataFrame:
     return a.groupBy("server", "user").agg(F.count("*").alias("clients"), F.sum("n").alias("attempts"), F.floor(F.sum("n") / F.count("*")).alias("each"))
 
 
+class Queue:
+    """Parties by a time that is no later than their last message; each party has one entry that counts.
+
+    A party that gets an earlier time leaves its old entry behind, which is thrown away when its turn comes. So entries
+    are as many as parties and earlier times, and never grow with what is put back.
+    """
+
+    def __init__(self) -> None:
+        self.heap: list[tuple[int, Any]] = []
+        self.at: dict[Any, int] = {}
+
+    def put(self, time: int, party: Any) -> None:
+        if party not in self.at or time < self.at[party]:
+            self.at[party] = time
+            heappush(self.heap, (time, party))
+
+    def before(self, time: int | None) -> Iterator[Any]:
+        """Takes the parties whose time is before the given one (None: all)."""
+        while self.heap and (time is None or self.heap[0][0] < time):
+            at, party = heappop(self.heap)
+            if self.at.get(party) == at:
+                del self.at[party]
+                yield party
+
+
 class Server:
     """All clients and users of one server, by both; a check looks only at those that have been idle for long enough.
 
     Each client and each user has an entry in a queue by time, no later than its last message. At a check the entries
     that are over are taken: one whose party has been heard since goes back with the later time, the others are judged.
+    Rows come by time, so that the pair of a party that was heard last is the last one of its dict.
     """
 
     def __init__(self, attempts: int = ATTEMPTS, clients: int = CLIENTS, users: int = USERS, idle: int = IDLE, check: int = CHECK):
         self.limits, self.idle, self.check = (attempts, clients, users), idle, check
-        self.by_client: dict[int, dict[str, dict[str, Any]]] = {}
-        self.by_user: dict[str, dict[int, dict[str, Any]]] = {}
-        self.idle_clients: list[tuple[int, int]] = []
-        self.idle_users: list[tuple[int, str]] = []
-        self.queued: set[int] = set()
+        self.by_client: dict[int, OrderedDict[str, dict[str, Any]]] = {}
+        self.by_user: dict[str, OrderedDict[int, dict[str, Any]]] = {}
+        self.idle_clients, self.idle_users = Queue(), Queue()
         self.checked: int | None = None
         self.server = 0
 
@@ -55,24 +80,29 @@ class Server:
         if not r["ok"]:
             if p is None:
                 p = {"n": 0, "oks": 0, "breach": None, "first": now}
-                if user not in self.by_user:
-                    heappush(self.idle_users, (now, user))
-                self.by_client.setdefault(client, {})[user] = self.by_user.setdefault(user, {})[client] = p
+                self.idle_users.put(now, user)
             p["n"] += 1
-            p["last"] = now
+            self.hear(client, user, p, now)
         elif p and p["n"] < self.limits[0]:
             self.forget(client, user)  # a user who knows the password
         elif p:
             p["breach"] = p["breach"] or now
             p["oks"] += 1
-            p["last"] = now
+            self.hear(client, user, p, now)
             if p["oks"] > OKS:
                 self.forget(client, user)
-        if client in self.by_client and client not in self.queued:
-            self.queued.add(client)
-            heappush(self.idle_clients, (now, client))
+        if client in self.by_client:
+            self.idle_clients.put(now, client)
         return out
 
+    def hear(self, client: int, user: str, p: dict[str, Any], now: int) -> None:
+        """Makes the pair the one that was heard last, of its client and of its user."""
+        p["last"] = now
+        for parties, a, b in ((self.by_client, client, user), (self.by_user, user, client)):
+            pairs = parties.setdefault(a, OrderedDict())
+            pairs[b] = p
+            pairs.move_to_end(b)
+
     def take(self, client: int, user: str) -> dict[str, Any]:
         for parties, a, b in ((self.by_client, client, user), (self.by_user, user, client)):
             p = parties[a].pop(b)
@@ -84,27 +114,24 @@ class Server:
         """Takes a pair away; what is left of its client and user may have been idle for longer."""
         self.take(client, user)
         if user in self.by_user:
-            heappush(self.idle_users, (self.heard(self.by_user[user]), user))
+            self.idle_users.put(self.heard(self.by_user[user]), user)
         if client in self.by_client:
-            self.queued.add(client)
-            heappush(self.idle_clients, (self.heard(self.by_client[client]), client))
+            self.idle_clients.put(self.heard(self.by_client[client]), client)
 
     @staticmethod
-    def heard(pairs: dict[Any, dict[str, Any]]) -> int:
-        return max(p["last"] for p in pairs.values())
+    def heard(pairs: OrderedDict[Any, dict[str, Any]]) -> int:
+        return next(reversed(pairs.values()))["last"]
 
-    def over(self, queue: list[tuple[int, Any]], parties: dict[Any, dict[Any, dict[str, Any]]], now: int | None) -> Iterator[Any]:
+    def over(self, queue: Queue, parties: dict[Any, OrderedDict[Any, dict[str, Any]]], now: int | None) -> Iterator[Any]:
         """The parties that have been idle for long enough, each once."""
-        while queue and (now is None or now - queue[0][0] > self.idle):
-            _, party = heappop(queue)
+        time = None if now is None else now - self.idle
+        for party in queue.before(time):
             if party in parties:
                 last = self.heard(parties[party])
-                if now is None or now - last > self.idle:
+                if time is None or last < time:
                     yield party
                 else:
-                    heappush(queue, (last, party))
-            else:
-                self.queued.discard(party)
+                    queue.put(last, party)
 
     def report(self, now: int | None) -> list[dict[str, Any]]:
         self.checked, out = now, []
@@ -115,7 +142,7 @@ class Server:
             out.append({"server": self.server, "kind": kind, "client": client, "user": user, "attempts": sum(p["n"] for p in ps), "parties": len(ps), "breach": min((p["breach"] for p in ps if p["breach"]), default=None), "ts_first": min(p["first"] for p in ps), "ts_last": max(p["last"] for p in ps)})
 
         for client in self.over(self.idle_clients, self.by_client, now):
-            self.queued.discard(client)  # until it is heard again nothing more can come of it
+            # until it is heard again nothing more can come of one that has too few users
             if len(self.by_client[client]) >= users:
                 told("SCAN", client, None, [(client, user) for user in self.by_client[client]])
         for user in self.over(self.idle_users, self.by_user, now):

@@ -270,3 +270,10 @@ def test_queues_of_idle_parties_equal_walking_all(messages):
         assert got == want
         assert {(c, u) for c, us in ours.by_client.items() for u in us} == set(plain.pairs)
     assert sorted(map(str, ours.end())) == sorted(map(str, plain.end()))
+
+
+def test_queues_of_idle_parties_stay_as_small_as_the_parties():
+    server = sip.Server(attempts=3, clients=2, users=2)
+    for i in range(40000):  # four clients and five users that are never idle; every seventh answer is 200
+        server.row({"server": 1, "client": i % 4, "user": "abcde"[i % 5], "ok": i % 7 == 0, "t_last": 12 * i})
+    assert len(server.idle_clients.heap) < 400 and len(server.idle_users.heap) < 400
