@@ -22,8 +22,13 @@ Its candidates are the fingerprints' links and texts that share a class of shing
 A pair of similar texts shares no key in fewer than one of 10,000 cases. Within a key's group a text is compared with
 one or two others a round (ROUNDS), the most central ones first (those whose keys most texts share: they carry the fewest changes
 of their own), and texts that no round has linked yet go on to the next. So work grows with the keys, never with the
-square of a group, and what may be missed is a text of a very mixed large group whose few similar ones aren't among
-its keys' eleven most central.
+square of a group. That joins nearly all copies, and finds no link between groups that only less central members share.
+
+So a last step is exact (missed_links()). Put all shingles in one order, rare ones first: two sets as similar as 0.8
+must share one of the first fifth of either one (else too few are left to share). Texts with such a shingle in common
+that aren't in one group yet are compared, all of them, without any bound on a shingle's texts. What is in one group by
+then needs no comparison, so copies are never expanded into pairs. Which shingles are rare is estimated on a sample; any
+order gives the same groups. A shingle's texts are cut into blocks, so a frequent one is many tasks' work.
 
 Defined results: a null or empty text, or one without a word, has fingerprint zero and is linked like any other; rows
 with a null id get their group's smallest id (null if the group has none); repeated rows are repeated in the result.
@@ -41,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, lower, slices, small, words
+from sluice.llm.common import cut, draw, lower, share_of, slices, small, swept, words
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -50,11 +55,18 @@ COPY_WORDS, LEAST_SIMILAR = 5, 0.8
 #: Classes of a text's shingles that give keys.
 CLASSES = 24
 #: Members of a key's group, by place, that others are compared with in each round: the most central one first, as most
-#: texts of a group of copies are similar to it and need no other.
-ROUNDS = ((1, 1), (2, 3), (4, 5), (6, 7), (8, 9), (10, 11))
+#: texts of a group of copies are similar to it and need no other. What they don't join is left to missed_links().
+ROUNDS = ((1, 1), (2, 3))
 #: Bits that fingerprints of similar sets differ in at most: some ten are to be expected, more than this in fewer than one
 #: of 10,000 pairs (sets of five shingles; far fewer of larger ones), and unrelated sets differ in some 32.
 MOST_APART = 24
+#: Texts whose shingles are counted to tell common ones, the least count in there, and how many common ones are told apart.
+#: They order shingles and decide nothing else: any order gives the same links.
+ORDER_TEXTS, ORDER_COUNT, MOST_COMMON = 1 << 14, 3, 1 << 17
+#: Shared shingles up to which they are broadcast (some 10 MB); more are joined by shuffle.
+MOST_GROUPS = 200_000
+#: Texts of a shingle that one block of comparisons holds.
+BLOCK = 4096
 SEED = 42
 #: Low bit and width of each segment.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -238,14 +250,50 @@ def class_keys(h: np.ndarray, least: float = LEAST_SIMILAR, most: int = CLASSES)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _copy_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in slices(batches):
-        sets = [shingles(t) for t in texts]
-        f = np.fromiter(map(_majority, sets), np.uint64, len(sets)).view(np.int64)
-        ks = [np.append(class_keys(h), x.view(np.uint64)).view(np.int64) if len(h) else np.zeros(0, np.int64) for h, x in zip(sets, f, strict=True)]
-        offsets = np.cumsum([0, *map(len, ks)]).astype(np.int32)
-        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *ks])))
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), listed], ["doc_id", "t", "c", "f", "n", "ks"])
+def prefix(h: np.ndarray, common: np.ndarray, ranks: np.ndarray, least: float = LEAST_SIMILAR) -> np.ndarray:
+    """The first of a set's shingles, rare ones first: sets as similar as `least` share one of the first of each.
+
+    common: sorted shingles that many texts have, ranks: their places in the order. All others come before, by number.
+    """
+    rank = np.full(len(h), -1, np.int64)
+    if len(common):
+        at = np.searchsorted(common, h).clip(0, len(common) - 1)
+        rank = np.where(common[at] == h, ranks[at], -1)
+    # as sets share `least` of the larger one at least; the margin keeps rounding from raising that
+    return h[np.lexsort((h, rank))][: len(h) - int(np.ceil(least * len(h) - 1e-6)) + 1]
+
+
+def _listed(lists: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in lists)])))
+
+
+def _copy_prints(common: np.ndarray, ranks: np.ndarray, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            sets = [shingles(t) for t in texts]
+            f = np.fromiter(map(_majority, sets), np.uint64, len(sets)).view(np.int64)
+            ks = [np.append(class_keys(h, least), x.view(np.uint64)) if len(h) else np.zeros(0, np.uint64) for h, x in zip(sets, f, strict=True)]
+            ps = [prefix(h, common, ranks, least) for h in sets]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), _listed(ks), _listed(ps)], ["doc_id", "t", "c", "f", "n", "ks", "ps"])
+
+    return run
+
+
+def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts in slices(batches):
+        for t in texts:
+            yield pa.RecordBatch.from_arrays([pa.array(shingles(t).view(np.int64))], ["h"])
+
+
+def common_shingles(docs: DataFrame, most: int = ORDER_TEXTS) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many of a sample's texts have, sorted, and their places in the order, rarer ones first."""
+    sample = docs.filter(draw("doc_id", "text") < share_of(most, docs.count())).select("text")
+    often = sample.mapInArrow(_all_shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= ORDER_COUNT)
+    got = often.orderBy(F.desc("n"), "h").limit(MOST_COMMON).select("h").toArrow().column("h").to_numpy()
+    h = np.asarray(got, np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], len(h) - order
 
 
 def _majority(h: np.ndarray) -> int:
@@ -340,21 +388,71 @@ def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILA
     return reduce(DataFrame.union, found).select(F.col("u_least").alias("u"), F.col("v_least").alias("v"))
 
 
+def missed_pairs(nodes: DataFrame, least: float) -> DataFrame:
+    """u, v, their least ids and groups, and `shared`, of all nodes of different groups that may be similar.
+
+    nodes: node, least, of (its group), n, ps. Of two sets, take the one whose first shingles (prefix()) end earlier in
+    the order: what it shares is among the first of both, or comes after its own first ones. So the shingles shared among
+    the first and the rest of one set must be enough together.
+    """
+    each = nodes.select("node", "least", "of", "n", (F.col("n") - F.size("ps")).alias("after"), F.explode("ps").alias("k"))
+    groups = each.groupBy("k", "of").agg(F.count("*").alias("m")).groupBy("k").agg(F.count("*").alias("groups"), F.sum("m").alias("size"), F.max_by("of", F.struct("m", "of")).alias("major"))
+    met = cut(each.join(small(cut(groups.filter("groups > 1").drop("groups")), MOST_GROUPS), "k").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))
+    # of two groups' members one isn't in the largest group, so members of that are compared with the others only
+    minor = met.filter("of <> major").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    every = met.withColumn("part", F.pmod(F.hash("node"), F.col("blocks")))
+    x, y = minor.select("k", "part", *(F.col(c).alias(f"x_{c}") for c in ("node", "least", "of", "n", "after"))), every.select("k", "part", "major", *(F.col(c).alias(f"y_{c}") for c in ("node", "least", "of", "n", "after")))
+    once = (F.col("y_of") == F.col("major")) | (F.col("x_node") < F.col("y_node"))
+    sized = (F.col("x_n") >= F.col("y_n") * least - 1e-6) & (F.col("y_n") >= F.col("x_n") * least - 1e-6)
+    pairs = x.hint("merge").join(y, (x["k"] == y["k"]) & (x["part"] == y["part"]) & (F.col("x_of") != F.col("y_of")) & once & sized)
+    a, b = (F.struct(*(F.col(f"{side}_{c}").alias(c) for c in ("node", "least", "of"))) for side in "xy")
+    needed = F.lit(least / (1 + least)) * (F.col("x_n") + F.col("y_n")) - F.greatest("x_after", "y_after") - 1e-6
+    pairs = pairs.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"), needed.alias("needed")).groupBy("u", "v").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed")
+    return pairs.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"), F.col("u.least").alias("u_least"), F.col("v.least").alias("v_least"), F.col("u.of").alias("u_of"), F.col("v.of").alias("v_of"), "shared")
+
+
+def missed_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame | None:
+    """u, v: ids of similar nodes of different groups (node, least, of, n, ps), enough of them to join all groups; None: none."""
+    pairs, found = cut(missed_pairs(nodes, least)), []
+    names = ["u", "v", "u_least", "v_least"]
+    # first the likeliest pair of a node and another group, which joins most of what there is to join; then all the rest
+    ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("u", "v_of").orderBy(F.desc("shared"), "v")))
+    first = cut(ranked.filter("place = 1").select(*names, "u_of", "v_of"))
+    if first.isEmpty():
+        return None
+    found.append(cut(verified(first.select(names), docs, least)))
+    joined = components(found[0].join(pairs, names).select(F.col("u_of").alias("u"), F.col("v_of").alias("v")))
+    rest = pairs.join(first.select("u", "v"), ["u", "v"], "left_anti")
+    for side in "uv":
+        rest = rest.join(joined.toDF(f"{side}_of", f"{side}_in"), f"{side}_of", "left").withColumn(f"{side}_in", F.coalesce(f"{side}_in", f"{side}_of"))
+    rest = cut(rest.filter("u_in <> v_in").select(names))
+    if not rest.isEmpty():
+        found.append(cut(verified(rest, docs, least)))
+    return reduce(DataFrame.union, found).select(F.col("u_least").alias("u"), F.col("v_least").alias("v"))
+
+
 def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
     """doc_id and component_id, the smallest doc_id reachable over links, of all rows with an id.
 
     Texts with the same set of five-word shingles are linked, and texts whose sets have a Jaccard similarity of `least`
-    or more: similar_links() proposes, the whole texts' sets decide. Texts of one id are one document.
+    or more: similar_links() and missed_links() propose, the whole texts' sets decide. Texts of one id are one document.
     """
     prints = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), docs["text"])
-    prints = cut(prints.mapInArrow(_copy_prints, "doc_id long, t long, c string, f long, n int, ks array<long>").filter("doc_id is not null"))
-    nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"))
-    nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks"))
+    prints = cut(prints.mapInArrow(_copy_prints(*common_shingles(docs), least), "doc_id long, t long, c string, f long, n int, ks array<long>, ps array<long>").filter("doc_id is not null"))
+    nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"), F.first("ps").alias("ps"))
+    nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks", "ps"))
     same_id = prints.groupBy("doc_id").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("doc_id")
     # a document of several texts joins their groups
     of_one = prints.join(same_id, "doc_id", "left_semi").select("doc_id", "c").distinct().join(nodes.select("c", "least"), "c").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
-    found = components(similar_links(nodes, docs, least).union(of_one))
-    of = nodes.select("c", "least").join(found, F.col("least") == found["node"], "left").select("c", F.coalesce("component", "least").alias("component_id"))
+    edges = cut(similar_links(nodes, docs, least).union(of_one))
+    swept(docs.sparkSession)
+    found = cut(components(edges).toDF("least", "component"))
+    grouped = nodes.join(found, "least", "left").withColumn("of", F.coalesce("component", "least"))
+    missed = missed_links(grouped, docs, least)
+    swept(docs.sparkSession)
+    if missed is not None:
+        found = cut(components(edges.union(missed)).toDF("least", "component"))
+    of = nodes.select("c", "least").join(found, "least", "left").select("c", F.coalesce("component", "least").alias("component_id"))
     return prints.select("doc_id", "c").join(of, "c").select("doc_id", "component_id")
 
 

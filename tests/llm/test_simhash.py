@@ -150,6 +150,28 @@ def test_large_mixed_groups(spark, words, low, high, least):
     assert least * by_all <= removed <= by_all
 
 
+@pytest.mark.parametrize("order_texts", [0, simhash.ORDER_TEXTS])
+def test_mixed_groups_equal_all_pairs(spark, monkeypatch, order_texts):
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    common = simhash.common_shingles
+    monkeypatch.setattr(simhash, "common_shingles", lambda docs: common(docs, order_texts))
+    texts = mixed(1, 600, 100, 1, 3) + mixed(2, 600, 200, 2, 5) + mixed(3, 40, 12, 1, 2) + mixed(4, 40, 5, 0, 1)
+    got = simhash.similar_groups(documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])).collect()
+    assert len({r.component_id for r in got}) == plain_groups(texts)
+
+
+def test_prefixes_of_similar_sets_meet():
+    rnd, common = np.random.default_rng(4), np.arange(0, 400, 3, dtype=np.uint64)
+    ranks, met = rnd.permutation(len(common)) + 1, 0
+    for _ in range(3000):
+        a = rnd.choice(400, rnd.integers(1, 40), replace=False).astype(np.uint64)
+        b = np.unique(np.append(rnd.permutation(a)[: max(1, len(a) - rnd.integers(0, 6))], rnd.integers(0, 400, rnd.integers(0, 5)).astype(np.uint64)))
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            met += 1
+            assert set(simhash.prefix(np.sort(a), common, ranks)) & set(simhash.prefix(b, common, ranks))
+    assert met > 300
+
+
 def test_one_id_with_very_many_texts(spark):
     rows = [(7, f"text number {i} of one id with words {i * 31} and {i * 17} and more", "en", "a", 1) for i in range(1500)] + [(8, "text number 3 of one id with words 93 and 51 and more", "en", "a", 1), (9, "quite another text that nothing here is like in any way", "en", "a", 1)]
     got = {(r.doc_id, r.component_id) for r in simhash.similar_groups(documents(spark, rows)).collect()}
