@@ -127,6 +127,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Mac
     sample = sample.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = sample.select("quality", "text", "doc_id").mapInArrow(_extract, "quality int, ids array<int>, x array<float>").toArrow()
     rows = sorted(((i.tobytes(), x.tobytes(), q) for q, i, x in zip(got["quality"].to_pylist(), (a.values.to_numpy() for a in got["ids"]), (a.values.to_numpy() for a in got["x"]), strict=True)))
+    del got
+    pa.default_memory_pool().release_unused()  # the driver keeps one copy of the sample while it trains
     return train([(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32), q) for i, x, q in rows])
 
 
