@@ -393,21 +393,23 @@ def missed_pairs(nodes: DataFrame, least: float) -> DataFrame:
 
     nodes: node, least, of (its group), n, ps. Of two sets, take the one whose first shingles (prefix()) end earlier in
     the order: what it shares is among the first of both, or comes after its own first ones. So the shingles shared among
-    the first and the rest of one set must be enough together.
+    the first and the rest of one set must be enough together. And wherever a shared shingle stands, what can be shared
+    before it and after it must be enough with it, so texts that differ in many rare shingles don't meet at common ones.
     """
-    each = nodes.select("node", "least", "of", "n", (F.col("n") - F.size("ps")).alias("after"), F.explode("ps").alias("k"))
+    each = nodes.select("node", "least", "of", "n", (F.col("n") - F.size("ps")).alias("after"), F.posexplode("ps").alias("at", "k"))
     groups = each.groupBy("k", "of").agg(F.count("*").alias("m")).groupBy("k").agg(F.count("*").alias("groups"), F.sum("m").alias("size"), F.max_by("of", F.struct("m", "of")).alias("major"))
     met = cut(each.join(small(cut(groups.filter("groups > 1").drop("groups")), MOST_GROUPS), "k").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))
     # of two groups' members one isn't in the largest group, so members of that are compared with the others only
     minor = met.filter("of <> major").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     every = met.withColumn("part", F.pmod(F.hash("node"), F.col("blocks")))
-    x, y = minor.select("k", "part", *(F.col(c).alias(f"x_{c}") for c in ("node", "least", "of", "n", "after"))), every.select("k", "part", "major", *(F.col(c).alias(f"y_{c}") for c in ("node", "least", "of", "n", "after")))
+    x, y = minor.select("k", "part", *(F.col(c).alias(f"x_{c}") for c in ("node", "least", "of", "n", "after", "at"))), every.select("k", "part", "major", *(F.col(c).alias(f"y_{c}") for c in ("node", "least", "of", "n", "after", "at")))
     once = (F.col("y_of") == F.col("major")) | (F.col("x_node") < F.col("y_node"))
     sized = (F.col("x_n") >= F.col("y_n") * least - 1e-6) & (F.col("y_n") >= F.col("x_n") * least - 1e-6)
-    pairs = x.hint("merge").join(y, (x["k"] == y["k"]) & (x["part"] == y["part"]) & (F.col("x_of") != F.col("y_of")) & once & sized)
+    required = F.lit(least / (1 + least)) * (F.col("x_n") + F.col("y_n")) - 1e-6
+    enough = F.least("x_at", "y_at") + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) >= required
+    pairs = x.hint("merge").join(y, (x["k"] == y["k"]) & (x["part"] == y["part"]) & (F.col("x_of") != F.col("y_of")) & once & sized & enough)
     a, b = (F.struct(*(F.col(f"{side}_{c}").alias(c) for c in ("node", "least", "of"))) for side in "xy")
-    needed = F.lit(least / (1 + least)) * (F.col("x_n") + F.col("y_n")) - F.greatest("x_after", "y_after") - 1e-6
-    pairs = pairs.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"), needed.alias("needed")).groupBy("u", "v").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed")
+    pairs = pairs.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"), (required - F.greatest("x_after", "y_after")).alias("needed")).groupBy("u", "v").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed")
     return pairs.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"), F.col("u.least").alias("u_least"), F.col("v.least").alias("v_least"), F.col("u.of").alias("u_of"), F.col("v.of").alias("v_of"), "shared")
 
 
