@@ -65,6 +65,8 @@ MOST_APART = 24
 ORDER_TEXTS, ORDER_COUNT, MOST_COMMON = 1 << 14, 3, 1 << 17
 #: Shared shingles up to which they are broadcast (some 10 MB); more are joined by shuffle.
 MOST_GROUPS = 200_000
+#: Longs of a set's parities (parities()): enough to tell sets of up to a thousand shingles apart.
+PARITIES = 8
 #: Texts of a shingle that one block of comparisons holds.
 BLOCK = 4096
 SEED = 42
@@ -263,6 +265,16 @@ def prefix(h: np.ndarray, common: np.ndarray, ranks: np.ndarray, least: float =
     return h[np.lexsort((h, rank))][: len(h) - int(np.ceil(least * len(h) - 1e-6)) + 1]
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """For each class of hashes whether a set has an odd number of its shingles, a bit each.
+
+    Each shingle that is in one of two sets only changes one bit, so two sets differ in at least as many shingles as
+    their parities differ in bits.
+    """
+    bits = np.bincount((h >> np.uint64(7)).astype(np.int64) & (64 * PARITIES - 1), minlength=64 * PARITIES) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _listed(lists: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in lists)])))
@@ -275,7 +287,7 @@ def _copy_prints(common: np.ndarray, ranks: np.ndarray, least: float):
             f = np.fromiter(map(_majority, sets), np.uint64, len(sets)).view(np.int64)
             ks = [np.append(class_keys(h, least), x.view(np.uint64)) if len(h) else np.zeros(0, np.uint64) for h, x in zip(sets, f, strict=True)]
             ps = [prefix(h, common, ranks, least) for h in sets]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), _listed(ks), _listed(ps)], ["doc_id", "t", "c", "f", "n", "ks", "ps"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets], pa.string()), pa.array(f), pa.array([len(h) for h in sets], pa.int32()), _listed(ks), _listed(ps), _listed([parities(h) for h in sets])], ["doc_id", "t", "c", "f", "n", "ks", "ps", "odd"])
 
     return run
 
@@ -389,33 +401,48 @@ def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILA
 
 
 def missed_pairs(nodes: DataFrame, least: float) -> DataFrame:
-    """u, v, their least ids and groups, and `shared`, of all nodes of different groups that may be similar.
+    """u, v, their groups, and `shared`, of all nodes of different groups that may be similar.
 
-    nodes: node, least, of (its group), n, ps. Of two sets, take the one whose first shingles (prefix()) end earlier in
+    nodes: node, of (its group), n, ps, odd. Of two sets, take the one whose first shingles (prefix()) end earlier in
     the order: what it shares is among the first of both, or comes after its own first ones. So the shingles shared among
     the first and the rest of one set must be enough together. And wherever a shared shingle stands, what can be shared
     before it and after it must be enough with it, so texts that differ in many rare shingles don't meet at common ones.
+    Nor do texts meet whose parities differ in more bits than similar sets of their sizes differ in shingles.
     """
-    each = nodes.select("node", "least", "of", "n", (F.col("n") - F.size("ps")).alias("after"), F.posexplode("ps").alias("at", "k"))
-    groups = each.groupBy("k", "of").agg(F.count("*").alias("m")).groupBy("k").agg(F.count("*").alias("groups"), F.sum("m").alias("size"), F.max_by("of", F.struct("m", "of")).alias("major"))
-    met = cut(each.join(small(cut(groups.filter("groups > 1").drop("groups")), MOST_GROUPS), "k").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))
+    each = nodes.select("node", "of", F.posexplode("ps").alias("at", "k"))
+    spread = cut(each.groupBy("k").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low <> high").select("k"))
+    swept(nodes.sparkSession)
+    # most shingles are a single group's, so only what is needed to meet is shuffled before they are gone
+    shared = cut(each.join(small(spread, MOST_GROUPS), "k"))
+    swept(nodes.sparkSession)
+    groups = shared.groupBy("k", "of").agg(F.count("*").alias("m")).groupBy("k").agg(F.sum("m").alias("size"), F.max_by("of", F.struct("m", "of")).alias("major"))
+    groups = groups.select("k", "major", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    odd = [F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES)]
+    met = shared.join(nodes.select("node", "n", (F.col("n") - F.size("ps")).alias("after"), *odd), "node").join(groups, "k")
     # of two groups' members one isn't in the largest group, so members of that are compared with the others only
     minor = met.filter("of <> major").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     every = met.withColumn("part", F.pmod(F.hash("node"), F.col("blocks")))
-    x, y = minor.select("k", "part", *(F.col(c).alias(f"x_{c}") for c in ("node", "least", "of", "n", "after", "at"))), every.select("k", "part", "major", *(F.col(c).alias(f"y_{c}") for c in ("node", "least", "of", "n", "after", "at")))
+    names = ["node", "of", "n", "after", "at", *(f"odd{i}" for i in range(PARITIES))]
+    x, y = minor.select("k", "part", *(F.col(c).alias(f"x_{c}") for c in names)), every.select("k", "part", "major", *(F.col(c).alias(f"y_{c}") for c in names))
     once = (F.col("y_of") == F.col("major")) | (F.col("x_node") < F.col("y_node"))
     sized = (F.col("x_n") >= F.col("y_n") * least - 1e-6) & (F.col("y_n") >= F.col("x_n") * least - 1e-6)
-    required = F.lit(least / (1 + least)) * (F.col("x_n") + F.col("y_n")) - 1e-6
+    both = F.col("x_n") + F.col("y_n")
+    required = F.lit(least / (1 + least)) * both - 1e-6
     enough = F.least("x_at", "y_at") + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) >= required
-    pairs = x.hint("merge").join(y, (x["k"] == y["k"]) & (x["part"] == y["part"]) & (F.col("x_of") != F.col("y_of")) & once & sized & enough)
-    a, b = (F.struct(*(F.col(f"{side}_{c}").alias(c) for c in ("node", "least", "of"))) for side in "xy")
+    apart = reduce(Column.__add__, (F.bit_count(F.col(f"x_odd{i}").bitwiseXOR(F.col(f"y_odd{i}"))) for i in range(PARITIES)))
+    pairs = x.hint("merge").join(y, (x["k"] == y["k"]) & (x["part"] == y["part"]) & (F.col("x_of") != F.col("y_of")) & once & sized & enough & (apart <= both - 2 * required))
+    a, b = (F.struct(*(F.col(f"{side}_{c}").alias(c) for c in ("node", "of"))) for side in "xy")
     pairs = pairs.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"), (required - F.greatest("x_after", "y_after")).alias("needed")).groupBy("u", "v").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed")
-    return pairs.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"), F.col("u.least").alias("u_least"), F.col("v.least").alias("v_least"), F.col("u.of").alias("u_of"), F.col("v.of").alias("v_of"), "shared")
+    return pairs.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"), F.col("u.of").alias("u_of"), F.col("v.of").alias("v_of"), "shared")
 
 
 def missed_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame | None:
-    """u, v: ids of similar nodes of different groups (node, least, of, n, ps), enough of them to join all groups; None: none."""
-    pairs, found = cut(missed_pairs(nodes, least)), []
+    """u, v: ids of similar nodes of different groups (node, least, of, n, ps, odd), enough of them to join all groups; None: none."""
+    pairs, found = missed_pairs(nodes, least), []
+    for side in "uv":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("least").alias(f"{side}_least")), side)
+    pairs = cut(pairs)
+    swept(docs.sparkSession)
     names = ["u", "v", "u_least", "v_least"]
     # first the likeliest pair of a node and another group, which joins most of what there is to join; then all the rest
     ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("u", "v_of").orderBy(F.desc("shared"), "v")))
@@ -440,17 +467,19 @@ def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
     or more: similar_links() and missed_links() propose, the whole texts' sets decide. Texts of one id are one document.
     """
     prints = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), docs["text"])
-    prints = cut(prints.mapInArrow(_copy_prints(*common_shingles(docs), least), "doc_id long, t long, c string, f long, n int, ks array<long>, ps array<long>").filter("doc_id is not null"))
-    nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"), F.first("ps").alias("ps"))
-    nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks", "ps"))
+    prints = cut(prints.mapInArrow(_copy_prints(*common_shingles(docs), least), "doc_id long, t long, c string, f long, n int, ks array<long>, ps array<long>, odd array<long>").filter("doc_id is not null"))
+    nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"), F.first("ps").alias("ps"), F.first("odd").alias("odd"))
+    nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks", "ps", "odd"))
+    prints = cut(prints.select("doc_id", "c"))
     same_id = prints.groupBy("doc_id").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("doc_id")
     # a document of several texts joins their groups
     of_one = prints.join(same_id, "doc_id", "left_semi").select("doc_id", "c").distinct().join(nodes.select("c", "least"), "c").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
     edges = cut(similar_links(nodes, docs, least).union(of_one))
     swept(docs.sparkSession)
     found = cut(components(edges).toDF("least", "component"))
-    grouped = nodes.join(found, "least", "left").withColumn("of", F.coalesce("component", "least"))
-    missed = missed_links(grouped, docs, least)
+    nodes = cut(nodes.join(found, "least", "left").select("c", "node", "least", F.coalesce("component", "least").alias("of"), "n", "ps", "odd"))
+    swept(docs.sparkSession)
+    missed = missed_links(nodes, docs, least)
     swept(docs.sparkSession)
     if missed is not None:
         found = cut(components(edges.union(missed)).toDF("least", "component"))

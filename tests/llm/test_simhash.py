@@ -176,3 +176,25 @@ def test_one_id_with_very_many_texts(spark):
     rows = [(7, f"text number {i} of one id with words {i * 31} and {i * 17} and more", "en", "a", 1) for i in range(1500)] + [(8, "text number 3 of one id with words 93 and 51 and more", "en", "a", 1), (9, "quite another text that nothing here is like in any way", "en", "a", 1)]
     got = {(r.doc_id, r.component_id) for r in simhash.similar_groups(documents(spark, rows)).collect()}
     assert got == {(7, 7), (8, 7), (9, 9)}
+
+
+def test_parities_never_differ_in_more_bits_than_sets_in_shingles():
+    rnd = np.random.default_rng(5)
+    for size in (1, 3, 40, 300, 5000):
+        a = np.unique(rnd.integers(0, 1 << 63, size, dtype=np.uint64))
+        for kept in (0, size // 2, size - 1, size):
+            b = np.unique(np.append(a[:kept], rnd.integers(0, 1 << 63, size // 4, dtype=np.uint64)))
+            differing = int(np.bitwise_count((simhash.parities(a) ^ simhash.parities(b)).view(np.uint64)).sum())
+            assert differing <= len(np.setxor1d(a, b))
+    assert not simhash.parities(np.zeros(0, np.uint64)).any()
+
+
+def test_texts_that_share_rare_shingles_only_do_not_meet(spark):
+    """Before, 12 shared shingles among the first were enough for all pairs of these to be told apart by their texts."""
+    rnd = np.random.default_rng(6)
+    none, rare = np.zeros(0, np.uint64), np.arange(1, 13, dtype=np.uint64)
+    sets = [np.sort(np.append(rare, rnd.integers(1 << 40, 1 << 62, 88, dtype=np.uint64))) for _ in range(30)]
+    near = np.sort(np.append(sets[0][:95], rnd.integers(1 << 40, 1 << 62, 5, dtype=np.uint64)))
+    rows = [(i, i, i, len(h), [int(x) for x in simhash.prefix(h, none, none.astype(np.int64))], [int(x) for x in simhash.parities(h)]) for i, h in enumerate([*sets, near])]
+    nodes = spark.createDataFrame(rows, "node long, least long, of long, n int, ps array<long>, odd array<long>")
+    assert [(r.u, r.v) for r in simhash.missed_pairs(nodes, 0.8).collect()] == [(0, 30)]
