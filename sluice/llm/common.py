@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,10 @@ SLICE = 512
 MOST_IDS = 1_000_000
 
 
+#: Rows of an Arrow batch of whole texts: Spark's 10,000 are tens of MB, held by the JVM and by Python for each task.
+BATCH_ROWS = 1000
+
+
 def words(text: bytes) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` of UTF-8 text; bytes.split() parts at exactly these six characters."""
     return text.split()
@@ -36,6 +41,35 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield part, [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Batches that this session hands to Python have BATCH_ROWS at most; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Gives freed memory back to the system: Python workers live on after a task, and so does what they hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def thrifty(f: Batches) -> Batches:
+    """The function on batches; once its task is done, what it held is given back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
 def remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % mod

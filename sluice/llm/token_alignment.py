@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import shared_folder, small, swept
+from sluice.llm.common import give_back, shared_folder, short_batches, small, swept, thrifty
 
 #: Before a single space between two characters that aren't white space.
 CUT = re.compile(r" (?<=\S )(?=\S)")
@@ -210,8 +210,9 @@ def linked(met: DataFrame) -> DataFrame:
 
 def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """The texts of a block from its words' figures."""
+    give_back()  # what the block before left
     order = np.argsort(right.column("at").to_numpy())
-    said = right.column("groups").take(pa.array(order)).to_pylist()
+    said = right.column("groups").combine_chunks().take(pa.array(order)).to_pylist()
     known = {f: right.column(f).to_numpy()[order] for f in ("n_a", "n_b", "n_best", "count_sum")}
     known["n_groups"] = np.fromiter((g.count(";") + 1 for g in said), np.int64, len(said))
     known["n_links"] = known["n_a"] + known["n_b"] - known["n_groups"]  # as many stretches as ends
@@ -249,15 +250,16 @@ def aligned(docs: DataFrame, a: str, b: bytes, most_different: int = MOST_DIFFER
     a and b are the contents of the tokenizers' files; they go to the tasks with the code.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     folder = f"{shared_folder(spark)}/align-{uuid.uuid4().hex}"
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(_code(b, Tokenizers(a, b).separable, most_different, most_words), CODED), "coded")
+    coded = kept(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(thrifty(_code(b, Tokenizers(a, b).separable, most_different, most_words)), CODED), "coded")
     places = coded.select("block", "start", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", (F.col("start") + F.col("at")).alias("at"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    words = kept(places.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(_tokens(a, b), DICTIONARY), "words")
+    words = kept(places.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(thrifty(_tokens(a, b)), DICTIONARY), "words")
     swept(spark)
     met = kept(aligned_words(words), "aligned")
     swept(spark)

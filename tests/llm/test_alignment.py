@@ -6,9 +6,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import ROWS, documents
 
+from sluice.llm import common
 from sluice.llm import token_alignment as align
 from sluice.llm.bpe import byte_alphabet
 
@@ -102,3 +104,17 @@ def test_words_equal_whole_texts(files):
         text = "".join(rnd.choice("ab 'st.\n \x1cé1—  ") for _ in range(rnd.randint(1, 40)))
         for whole, (ids, of) in zip(both.of(text), both.flat(both.words(text)), strict=True):
             assert whole.tolist() == ids[np.argsort(of, kind="stable")].tolist()
+
+
+def test_batches_of_texts_are_short(spark):
+    """Before, Spark's 10,000 rows a batch stood in each task's memory twice."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for set_to, expected in (("10000", common.BATCH_ROWS), ("0", common.BATCH_ROWS), ("7", 7)):
+            spark.conf.set(key, set_to)
+            common.short_batches(spark)
+            sizes = spark.range(0, 5000, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+            assert max(r.n for r in sizes) == expected
+    finally:
+        spark.conf.set(key, before)
