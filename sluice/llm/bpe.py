@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from sluice.llm.common import short_batches, thrifty
+
 #: Words and pieces that a task keeps at most, in each of two generations.
 KEPT = 60_000
 #: Longer ones aren't kept.
@@ -243,8 +245,9 @@ def coder(source: str, digest: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
                     out += [pa.array([hashlib.sha256(i).hexdigest() for i, _ in coded]), pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in coded])]
                     yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 else:
-                    ids = [struct.unpack(f"<{len(i) // 4}I", i) for i, _ in coded]
-                    out += [pa.array(ids, pa.list_(pa.int32())), pa.array([d for _, d in coded])]
+                    ends = np.cumsum([0, *(len(i) // 4 for i, _ in coded)]).astype(np.int32)
+                    ids = np.frombuffer(b"".join([i for i, _ in coded]), "<i4")
+                    out += [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32())), pa.array([d for _, d in coded], pa.string())]
                     yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids", "decoded"])
 
     return run
@@ -258,9 +261,11 @@ def vocabulary(path: str) -> str:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids (array of int) and decoded (string) of each whole text."""
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(coder(vocabulary(path), False), "doc_id long, n_tokens long, ids array<int>, decoded string")
+    short_batches(docs.sparkSession)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(thrifty(coder(vocabulary(path), False)), "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """As encode(), with SHA-256 digests in place of the ids and the decoded text."""
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(coder(vocabulary(path), True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    short_batches(docs.sparkSession)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(thrifty(coder(vocabulary(path), True)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

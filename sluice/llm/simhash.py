@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, draw, lower, share_of, slices, small, swept, words
+from sluice.llm.common import cut, draw, lower, share_of, short_batches, slices, small, swept, thrifty, words
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -371,7 +371,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     held = texts.join(small(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()), "node", "left_semi").dropDuplicates(["node"])
     # v is a group's member mostly and u its leader, so rows of a hot u are spread by v first
     told = pairs.join(held.toDF("v", "v_text"), "v").join(held.toDF("u", "u_text"), "u").select("u", "v", "u_least", "v_least", "u_text", "v_text")
-    return told.mapInArrow(_similar(least), "u long, v long, u_least long, v_least long")
+    return told.mapInArrow(thrifty(_similar(least)), "u long, v long, u_least long, v_least long")
 
 
 def similar_links(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
@@ -466,8 +466,9 @@ def similar_groups(docs: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
     Texts with the same set of five-word shingles are linked, and texts whose sets have a Jaccard similarity of `least`
     or more: similar_links() and missed_links() propose, the whole texts' sets decide. Texts of one id are one document.
     """
+    short_batches(docs.sparkSession)
     prints = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), docs["text"])
-    prints = cut(prints.mapInArrow(_copy_prints(*common_shingles(docs), least), "doc_id long, t long, c string, f long, n int, ks array<long>, ps array<long>, odd array<long>").filter("doc_id is not null"))
+    prints = cut(prints.mapInArrow(thrifty(_copy_prints(*common_shingles(docs), least)), "doc_id long, t long, c string, f long, n int, ks array<long>, ps array<long>, odd array<long>").filter("doc_id is not null"))
     nodes = prints.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("ks").alias("ks"), F.first("ps").alias("ps"), F.first("odd").alias("odd"))
     nodes = cut(nodes.select("c", _node(F.col("rep.doc_id"), F.col("rep.t")).alias("node"), F.col("rep.doc_id").alias("least"), "f", "n", "ks", "ps", "odd"))
     prints = cut(prints.select("doc_id", "c"))
