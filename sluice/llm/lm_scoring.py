@@ -24,7 +24,6 @@ ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -32,10 +31,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, lower, remainder, slices, words
+from sluice.llm.common import SLICE, cut, remainder
 
 #: Words whose counts all tasks have, at most.
 HEAD_WORDS = 1 << 16
@@ -48,8 +48,12 @@ CONTEXT, MEMORY, WIDTH = 2, 64, 16
 ROUNDS = (2, 14)
 SHARD_TOKENS = 2_000_000
 NOISE, CLASS_NOISE, BATCH, RATE = 24, 2, 4096, 0.3
+#: Scores of outputs that are normalised at a time: they stay in a core's cache, and BLAS multiplies matrices this small faster.
+AT_ONCE = 3 << 14
 #: Averages are sums of whole numbers: values by this, times occurrences up to MOST_WEIGHT.
 UNIT, MOST_WEIGHT = 1 << 15, 256
+#: Different words that a task counts before it hands them on, at least; it holds three times as many counts at most.
+HELD_WORDS = 300_000
 #: The end of a text in the table of counts (words are never empty).
 END_WORD = b""
 
@@ -58,21 +62,69 @@ def word_class(word: bytes) -> int:
     return crc32(word[:3]) % CLASSES
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
+def _pieces(texts: pa.Array) -> pa.Array:
+    """Each text's words with A-Z in lower case; there are empty ones beside white space at a text's ends.
+
+    Arrow's ASCII white space is \x20 and \x09 to \x0D.
+    """
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of SLICE rows of the batches with their texts' pieces."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            yield part, _pieces(part.column(part.schema.get_field_index("text")))
+
+
+def _binary(strings: pa.Array) -> pa.Array:
+    return strings.cast(pa.large_binary() if pa.types.is_large_string(strings.type) else pa.binary())
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["w", "c"])
 
-    for _, texts in slices(batches):
-        for text in texts:
-            seen.update(words(lower(text)))
-        seen[END_WORD] += len(texts)
-        if len(seen) > 300_000:
-            yield out()
-            seen.clear()
-    if seen:
-        yield out()
+class Words:
+    """The different words of some texts, and all their words as numbers of these, text by text."""
+
+    def __init__(self, pieces: pa.Array):
+        coded = pieces.flatten().dictionary_encode()
+        self.listed = _binary(coded.dictionary)
+        self.different = self.listed.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy()
+        of = np.repeat(np.arange(len(pieces)), np.diff(pieces.offsets.to_numpy()))
+        full = np.array(list(map(len, self.different)), np.int64)[codes] > 0
+        self.codes, self.of = codes[full], of[full]
+        self.sizes = np.bincount(self.of, minlength=len(pieces))
+
+    def ended(self, rows: np.ndarray, end: int) -> list[np.ndarray]:
+        """Each text as the rows of its words, given those of the different ones, and the end's row."""
+        out = np.full(len(self.codes) + len(self.sizes), end, np.int64)
+        out[np.arange(len(self.codes)) + self.of] = rows[self.codes]
+        return np.split(out, np.cumsum(self.sizes + 1)[:-1])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
+    n = texts = 0
+
+    def summed() -> pa.Table:
+        return pa.TableGroupBy(pa.concat_tables(held), "w", use_threads=False).aggregate([("c", "sum")]).rename_columns(["w", "c"])
+
+    for part, pieces in _parts(batches):
+        found = pieces.flatten().value_counts()
+        words, counts = found.field(0), found.field(1)
+        full = pc.greater(pc.binary_length(words), 0)
+        held.append(pa.table({"w": words.filter(full).cast(pa.string()).cast(pa.binary()), "c": counts.filter(full)}))
+        texts += part.num_rows
+        n += held[-1].num_rows
+        if n > 2 * HELD_WORDS:
+            held = [summed()]
+            n = held[0].num_rows
+            if n > HELD_WORDS:
+                yield from held[0].to_batches()
+                held, n = [], 0
+    if texts:
+        held.append(pa.table({"w": pa.array([END_WORD], pa.binary()), "c": pa.array([texts], pa.int64())}))
+        yield from summed().to_batches()
 
 
 class Vocabulary:
@@ -138,12 +190,16 @@ class Parameters:
     def copy(self) -> Parameters:
         return Parameters(self.table.copy(), self.position.copy())
 
+    def weights(self) -> np.ndarray:
+        """The positions' vectors with a zero for the bias."""
+        return np.column_stack([self.position, np.zeros(CONTEXT + 1, np.float32)])
+
 
 def _sums(x: np.ndarray) -> np.ndarray:
-    """Sums of the rows before each place."""
-    out = np.zeros((len(x) + 1, x.shape[1]), np.float64)
-    np.cumsum(x, axis=0, out=out[1:])
-    return out
+    """Sums of the rows before each place, column by column, as a column is read in one go."""
+    out = np.zeros((x.shape[1], len(x) + 1), np.float64)
+    out[:, 1:] = x.T
+    return np.ascontiguousarray(np.cumsum(out, axis=1).T)
 
 
 class Line:
@@ -159,15 +215,21 @@ class Line:
         self.contexts = [np.where(self.place > i, self.target[np.maximum(at - i - 1, 0)], start) for i in range(CONTEXT)]
         self.back = np.minimum(self.place, MEMORY)
 
-    def context(self, p: Parameters, vectors: np.ndarray, part: slice) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Context vectors of a part of the places, and what each position adds before it is weighed."""
+    def context(self, p: Parameters, part: slice) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Context vectors of a part of the places, each with a one for the bias, and what each position adds before it is weighed."""
         first = max(0, part.start - MEMORY)
         back = self.back[part]
-        sums = _sums(vectors[self.target[first : part.stop]])
+        sums = _sums(p.table.take(self.target[first : part.stop], axis=0))
         at = np.arange(part.start, part.stop) - first
-        mean = ((sums[at] - sums[at - back]) / np.maximum(back, 1)[:, None]).astype(np.float32)
-        seen = [*(vectors[c[part]] for c in self.contexts), mean]
-        return sum(x * p.position[i] for i, x in enumerate(seen)), seen
+        mean = sums[part.start - first : part.stop - first] - sums.take(at - back, axis=0)
+        mean /= np.maximum(back, 1)[:, None]
+        seen = [*(p.table.take(c[part], axis=0) for c in self.contexts), mean.astype(np.float32)]
+        weights = p.weights()
+        q = seen[0] * weights[0]
+        for x, w in zip(seen[1:], weights[1:], strict=True):
+            q += x * w
+        q[:, WIDTH] = 1
+        return q, seen
 
 
 class Trainer:
@@ -186,54 +248,74 @@ class Trainer:
 
     def step(self, line: Line, part: slice) -> None:
         v, table = self.v, self.p.table
-        vectors, bias = table[:, :WIDTH], table[:, WIDTH]
         row = line.target[part]
         n = len(row)
         self.tokens += n
         np.add.at(self.seen, row, 1)
-        q, seen = line.context(self.p, vectors, part)
+        q, seen = line.context(self.p, part)
         # the first step: frequent words, the end and classes; noise is shared by the batch
         kind = v.class_of[row]
         target = np.where(kind < 0, row, v.classes + kind)
         np.add.at(self.seen, target[kind >= 0], 1)
         noise = np.minimum(np.searchsorted(v.first_sums, self.rng.random(NOISE) * v.first_sums[-1]), v.n_first - 1)
         log_noise = v.log_share + np.float32(np.log(NOISE))
-        e_true, e_false = self._errors(np.einsum("ij,ij->i", q, vectors[target]) + (bias - log_noise)[target], q @ vectors[noise].T + (bias - log_noise)[noise])
-        dq = e_true[:, None] * vectors[target] + e_false @ vectors[noise]
-        rows, values = [target, noise], [np.column_stack([e_true[:, None] * q, e_true]), np.column_stack([e_false.T @ q, e_false.sum(0)])]
+        theirs, false = table.take(target, axis=0), table[noise]
+        e_true, e_false = self._errors(np.einsum("ij,ij->i", q, theirs) - log_noise[target], q @ false.T - log_noise[noise])
+        theirs *= e_true[:, None]
+        dq = theirs
+        dq += e_false @ false
+        # what moves each place's own row: as an output here, as a context of the next places below
+        own_values = e_true[:, None] * q
+        rows, values = [row, noise], [own_values, e_false.T @ q]
         # the second step: words of a class, each place with noise of its own
         within = np.flatnonzero(kind >= 0)
         if len(within):
-            k, own, qk = kind[within], row[within], q[within]
+            k, own, qk = kind[within], row[within], q.take(within, axis=0)
             below = np.concatenate([[0.0], v.class_sums])
             low, high = below[v.bounds[k]], below[v.bounds[k + 1]]
             drawn = low[:, None] + self.rng.random((len(within), CLASS_NOISE)) * (high - low)[:, None]
             at = np.clip(np.searchsorted(v.class_sums, drawn), v.bounds[k][:, None], v.bounds[k + 1][:, None] - 1)
             noise = v.order[at]
             log_noise = v.log_share + np.float32(np.log(CLASS_NOISE))
-            theirs = vectors[noise]
-            e_true, e_false = self._errors(np.einsum("ij,ij->i", qk, vectors[own]) + (bias - log_noise)[own], np.einsum("ij,ikj->ik", qk, theirs) + (bias - log_noise)[noise])
-            dq[within] += e_true[:, None] * vectors[own] + np.einsum("ik,ikj->ij", e_false, theirs)
-            rows += [own, noise.ravel()]
-            values += [np.column_stack([e_true[:, None] * qk, e_true]), np.column_stack([(e_false[:, :, None] * qk[:, None, :]).reshape(-1, WIDTH), e_false.ravel()])]
+            theirs, false = table.take(own, axis=0), table.take(noise, axis=0)
+            e_true, e_false = self._errors(np.einsum("ij,ij->i", qk, theirs) - log_noise[own], np.einsum("ij,ikj->ik", qk, false) - log_noise[noise])
+            theirs *= e_true[:, None]
+            theirs += np.einsum("ik,ikj->ij", e_false, false)
+            dq[within] += theirs
+            rows += [target[within], noise.ravel()]
+            values += [own_values.take(within, axis=0), (e_false[:, :, None] * qk[:, None, :]).reshape(-1, WIDTH + 1)]
+            own_values[within] = e_true[:, None] * qk
         # the context's words
+        weights = self.p.weights()
         for i, c in enumerate(line.contexts):
-            rows.append(c[part])
-            values.append(np.column_stack([dq * self.p.position[i], np.zeros(n, np.float32)]))
-        self._move(np.concatenate(rows), np.concatenate(values).astype(np.float32), n)
-        d = np.stack([np.einsum("ij,ij->j", dq, x) for x in seen]) / n
+            d = dq * weights[i]
+            early = np.flatnonzero(line.place[part] <= i)
+            at_start = d.take(early, axis=0).sum(0)
+            d[early] = 0
+            own_values[: max(0, n - i - 1)] += d[i + 1 :]
+            # the start of texts, and words before this part
+            rows += [np.array([v.start]), c[part][: i + 1]]
+            values += [at_start[None], d[: i + 1]]
+        self._move(np.concatenate(rows), np.concatenate([x.T for x in values], axis=1, dtype=np.float64), n)
+        d = np.stack([np.einsum("ij,ij->j", dq, x)[:WIDTH] for x in seen]) / n
         self.g.position += d * d
         self.p.position -= 0.5 * RATE * d / np.sqrt(self.g.position)
 
     def _move(self, rows: np.ndarray, values: np.ndarray, n: int) -> None:
-        order = np.argsort(rows.astype(np.int32))
-        ordered = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        d = np.add.reduceat(values[order], first) / np.float32(n)
-        at = ordered[first]
-        g = self.g.table[at] + d * d
+        met = np.zeros(self.v.n_rows, bool)
+        met[rows] = True
+        at = np.flatnonzero(met)
+        number = np.empty(self.v.n_rows, np.int64)
+        number[at] = np.arange(len(at))
+        of = number[rows]
+        d = np.ascontiguousarray(np.array([np.bincount(of, x, len(at)) for x in values], np.float32).T)
+        d /= np.float32(n)
+        g = d * d
+        g += self.g.table.take(at, axis=0)
         self.g.table[at] = g
-        self.p.table[at] -= RATE * d / np.sqrt(g)
+        d *= RATE
+        d /= np.sqrt(g, out=g)
+        self.p.table[at] = np.subtract(self.p.table.take(at, axis=0), d, out=d)
 
     def learn(self, texts: list[np.ndarray]) -> None:
         line = Line(texts, self.v.start)
@@ -254,15 +336,16 @@ def _trained(v: Vocabulary, p: Parameters):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, t, waiting, n = None, None, [], 0
-        for part, texts in slices(batches):
-            for s, text in zip(part.column(part.schema.get_field_index("shard")).to_pylist(), texts, strict=True):
+        for part, pieces in _parts(batches):
+            texts = Words(pieces)
+            for s, text in zip(part.column(part.schema.get_field_index("shard")).to_pylist(), texts.ended(v.rows(texts.different), v.end), strict=True):
                 if s != shard:
                     if t:
                         t.learn(waiting)
                         yield out(t)
                     shard, t, waiting, n = s, Trainer(v, p, s & 0xFFFFFFFF), [], 0
-                waiting.append(np.append(v.rows(words(lower(text))), v.end))
-                n += len(waiting[-1])
+                waiting.append(text)
+                n += len(text)
                 if n >= 8 * BATCH:
                     t.learn(waiting)
                     waiting, n = [], 0
@@ -348,38 +431,45 @@ def learn(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, head_words: int = H
 
 def log_probabilities(v: Vocabulary, p: Parameters, line: Line, block: int = 1 << 17) -> np.ndarray:
     """Natural logarithms of the normalised probabilities of a line's targets, in blocks of bounded size."""
-    vectors, bias = np.ascontiguousarray(p.table[:, :WIDTH]), np.ascontiguousarray(p.table[:, WIDTH])
-    longest, highest = float(np.sqrt(np.square(vectors).sum(1).max())), float(bias.max())
-    ones = np.ones(max(v.n_first, int(np.diff(v.bounds).max())), np.float32)
+    longest, highest = float(np.sqrt(np.square(p.table[:, :WIDTH]).sum(1).max())), float(p.table[:, WIDTH].max())
+    # powers of two are faster than those of e; the bias is the product with a context's one
+    table = p.table * np.float32(1 / np.log(2))
+    first = np.ascontiguousarray(table[: v.n_first].T)
+    others = [np.ascontiguousarray(table[v.order[a:b]].T) for a, b in zip(v.bounds[:-1], v.bounds[1:], strict=True)]
+    widest = max(v.n_first, int(np.diff(v.bounds).max()))
+    ones, held, numbers = np.ones(widest, np.float32), np.empty(max(widest, AT_ONCE), np.float32), np.arange(AT_ONCE)
     lp = np.empty(len(line.target), np.float64)
 
-    def normalised(q: np.ndarray, rows: np.ndarray | slice, target: np.ndarray) -> np.ndarray:
-        s = q @ vectors[rows].T
-        s += bias[rows]
-        if len(q) and longest * float(np.sqrt(np.square(q).sum(1).max())) + highest > 80:
-            np.minimum(s, 80, out=s)
-        true = s[np.arange(len(s)), target]
-        return true - np.log(np.exp(s, out=s) @ ones[: s.shape[1]])
+    def normalised(q: np.ndarray, outputs: np.ndarray, target: np.ndarray) -> np.ndarray:
+        n = outputs.shape[1]
+        step = max(1, AT_ONCE // n)
+        true, total = np.empty(len(q), np.float32), np.empty(len(q), np.float32)
+        steep = len(q) and longest * float(np.sqrt(np.square(q[:, :WIDTH]).sum(1).max())) + highest > 80
+        for i in range(0, len(q), step):
+            m = min(step, len(q) - i)
+            s = np.matmul(q[i : i + m], outputs, out=held[: m * n].reshape(m, n))
+            if steep:
+                np.minimum(s, 80 / np.log(2), out=s)
+            true[i : i + m] = s[numbers[:m], target[i : i + m]]
+            np.matmul(np.exp2(s, out=s), ones[:n], out=total[i : i + m])
+        return true * np.log(2) - np.log(total)
 
     at_in_class = np.zeros(v.n_rows, np.int64)
     at_in_class[v.order] = np.arange(len(v.order)) - v.bounds[v.class_of[v.order]]
     for start in range(0, len(line.target), block):
         part = slice(start, min(start + block, len(line.target)))
-        q, _ = line.context(p, vectors, part)
         row = line.target[part]
+        q = np.empty((len(row), WIDTH + 1), np.float32)
+        for i in range(0, len(row), BATCH):
+            q[i : i + BATCH] = line.context(p, slice(start + i, min(start + i + BATCH, part.stop)))[0]
         kind = v.class_of[row]
-        target = np.where(kind < 0, row, v.classes + kind)
-        out = np.empty(len(row), np.float64)
-        for i in range(0, len(row), 512):
-            out[i : i + 512] = normalised(q[i : i + 512], slice(0, v.n_first), target[i : i + 512])
-        order = np.argsort(kind, kind="stable")
+        out = normalised(q, first, np.where(kind < 0, row, v.classes + kind))
+        order = np.argsort(kind.astype(np.int16), kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        q, target = q.take(order, axis=0), at_in_class[row[order]]
         for k in range(CLASSES):
-            members = v.order[v.bounds[k] : v.bounds[k + 1]]
-            step = max(1, (1 << 21) // len(members))
-            for i in range(bounds[k], bounds[k + 1], step):
-                here = order[i : min(i + step, bounds[k + 1])]
-                out[here] += normalised(q[here], members, at_in_class[row[here]])
+            mine = slice(bounds[k], bounds[k + 1])
+            out[order[mine]] += normalised(q[mine], others[k], target[mine])
         lp[part] = out
     return lp
 
@@ -393,19 +483,27 @@ def _scored(m: Model):
         log_c, row = np.log10(count + 1), np.append(v.rows(list(head)), 0)
         # what a word without a vector adds to its class's rest
         share = np.array([np.log10((c - discount) / rest[word_class(w)]) if w not in v.row and w != END_WORD else 0.0 for w, c in head.items()] + [0.0])
-        for part, texts in slices(batches):
-            rows, figures, rare = [], [], []
-            for text in texts:
-                w = words(lower(text))
-                at = np.fromiter(map(index.get, w, repeat(-1)), np.int64, len(w))
-                out = row[at]
-                other = np.flatnonzero(at < 0).tolist()
-                strange = [w[i] for i in other]
-                kinds = np.array([crc32(x[:3]) % CLASSES for x in strange], np.int64)
-                out[other] = v.rest + kinds
-                rows.append(np.append(out, v.end))
-                figures.append((len(w) + 1, len(w) - len(other) + (ends > 0), log_c[at].sum() + np.log10(ends + 1.0), share[at].sum() + unseen[kinds].sum()))
-                rare.append(Counter(strange))
+        for part, pieces in _parts(batches):
+            texts = Words(pieces)
+            at = np.fromiter(map(index.get, texts.different, repeat(-1)), np.int64, len(texts.different))
+            out, more = row[at], share[at]
+            strange = np.flatnonzero(at < 0)
+            kinds = np.array([crc32(texts.different[i][:3]) % CLASSES for i in strange.tolist()], np.int64)
+            out[strange], more[strange] = v.rest + kinds, unseen[kinds]
+            rows = texts.ended(out, v.end)
+            codes, of, size = texts.codes, texts.of, len(texts.sizes)
+
+            def summed(x: np.ndarray, codes: np.ndarray = codes, of: np.ndarray = of, size: int = size) -> np.ndarray:
+                return np.bincount(of, x[codes], size)
+
+            other = np.flatnonzero(at[codes] < 0)
+            n, known = texts.sizes + 1, texts.sizes - np.bincount(of[other], minlength=size) + (ends > 0)
+            base, more = summed(log_c[at]) + np.log10(ends + 1.0), summed(more)
+            # how often each text has each of its words that the head lacks
+            pairs, times = np.unique(of[other] * len(at) + codes[other], return_counts=True)
+            bounds = pa.array(np.searchsorted(pairs, np.arange(size + 1) * len(at)), pa.int32())
+            rare = pa.ListArray.from_arrays(bounds, texts.listed.take(pa.array(pairs % max(1, len(at)))).cast(pa.binary()))
+            times = pa.ListArray.from_arrays(bounds, pa.array(times, pa.int32()))
             if rows:
                 lp = np.empty(sum(map(len, rows)))
                 done, first = 0, 0
@@ -416,9 +514,8 @@ def _scored(m: Model):
                         done, first = done + len(line.target), i
             firsts = np.cumsum([0, *map(len, rows[:-1])]) if rows else np.zeros(0, np.int64)
             model = np.add.reduceat(lp, firsts) / np.log(10) if rows else np.zeros(0)
-            n, known, base, more = map(np.array, zip(*figures, strict=True)) if rows else [np.zeros(0)] * 4
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model + more, pa.float64()), pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int32()))],
+                [part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model + more, pa.float64()), rare, times],
                 ["doc_id", "n_tokens", "n_known", "base", "model", "rare", "times"],
             )
 
