@@ -23,6 +23,7 @@ import json
 import re
 import uuid
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,23 @@ DICTIONARY = "seg long, word string, n long, tokens array<int>"
 ID_BITS, LENGTH_BITS = 18, 12
 
 
+def cut_words(text: str) -> list[str]:
+    """As CUT.split(text).
+
+    Printable text has no white space but spaces; then, and with line feeds that touch no space, every space is a cut.
+    """
+    if text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text or not text.replace("\n", "").isprintable():
+        return CUT.split(text)
+    return text.split(" ")
+
+
+def numbering() -> defaultdict[str, int]:
+    """Numbers words in the order in which they are first looked up."""
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return numbers
+
+
 class Splitter:
     """Cuts texts into words; it needs B alone."""
 
@@ -62,7 +80,7 @@ class Splitter:
         """The words of a text, or None if it has no tokens by definition."""
         if not text or "▁" in text or self.b.normalize(text).replace("▁", " ") != " " + text:
             return None
-        return CUT.split(text) if self.separable else [text]
+        return cut_words(text) if self.separable else [text]
 
 
 class Tokenizers(Splitter):
@@ -103,7 +121,7 @@ class Tokenizers(Splitter):
         for side, (ids, lens) in enumerate(zip(self.of(text) if len(ends) else (np.zeros(0, np.int64),) * 2, (self.a_lens, self.b_lens), strict=True)):
             token_ends = np.cumsum(lens[ids])
             of = np.searchsorted(ends, token_ends)
-            if len(ends) and not np.isin(ends, token_ends, assume_unique=True).all():
+            if len(ends) and not np.array_equal(token_ends.take(np.searchsorted(token_ends, ends), mode="clip"), ends):
                 raise ValueError("tokens cross a word's end")
             own = [pair[side] for pair in one_by_one]
             out.append((np.concatenate([ids, *own]), np.concatenate([np.array(chain, np.int64)[of], np.repeat(np.array(alone, np.int64), [len(x) for x in own])])))
@@ -114,7 +132,7 @@ def _code(b: bytes, separable: bool, most_different: int, most_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, made = Splitter(b, separable), 0
         part = TaskContext.get().partitionId()
-        numbers: dict[str, int] = {}
+        numbers = numbering()
         ids: list[int | None] = []
         codes: list[array | None] = []
         n_words = 0
@@ -142,11 +160,11 @@ def _code(b: bytes, separable: bool, most_different: int, most_words: int):
                 for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                     words = both.words(text)
                     ids.append(doc_id)
-                    codes.append(None if words is None else array("i", [numbers.setdefault(w, len(numbers)) for w in words]))
+                    codes.append(None if words is None else array("i", map(numbers.__getitem__, words)))
                     n_words += len(words or ())
                     if len(numbers) >= most_different or n_words >= most_words or len(ids) >= most_words:
                         yield from block()
-                        numbers, ids, codes, n_words, made = {}, [], [], 0, made + 1
+                        numbers, ids, codes, n_words, made = numbering(), [], [], 0, made + 1
         if ids:
             yield from block()
 
@@ -159,7 +177,7 @@ def _tokens(a: str, b: bytes):
         for batch in batches:
             for start in range(0, batch.num_rows, CALL_WORDS):
                 rows = batch.slice(start, CALL_WORDS)
-                sides = both.flat(rows.column(0).to_pylist())
+                sides = both.flat(rows.column(0).to_numpy(zero_copy_only=False).tolist())
                 packed = [ids << LENGTH_BITS + 1 | lens[ids] << 1 | side for side, ((ids, _), lens) in enumerate(zip(sides, (both.a_lens, both.b_lens), strict=True))]
                 of = np.concatenate([2 * of + side for side, (_, of) in enumerate(sides)])
                 ends = np.concatenate([[0], np.cumsum(np.bincount(of >> 1, minlength=rows.num_rows))]).astype(np.int32)
